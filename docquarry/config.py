@@ -52,6 +52,7 @@ class Settings:
     top_labels: int = 100
     k1: float = 1.5
     b: float = 0.75
+    score_digits: int = 9
     split_seed: int = 42
     test_percent: int = 20
     # A side of a join is broadcast only when it has at most this many rows.

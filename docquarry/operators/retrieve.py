@@ -64,12 +64,15 @@ def restrict_to(candidates: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def top_k(scores: DataFrame, k: int) -> DataFrame:
+def top_k(scores: DataFrame, k: int, settings: Settings = DEFAULTS) -> DataFrame:
     """The k best documents per query with their rank; ties go to the smaller id.
 
+    Scores that agree to ``score_digits`` places tie, so the order of a sum cannot decide a rank.
     Spark keeps at most k rows per query in each task before the shuffle.
     """
-    best_first = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("doc_id"))
+    best_first = Window.partitionBy("qid").orderBy(
+        F.round("score", settings.score_digits).desc(), F.col("doc_id")
+    )
     return scores.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
 

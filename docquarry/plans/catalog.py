@@ -7,11 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.config import ACT_COLUMNS, DEFAULTS, TEXT_CAP
-from docquarry.operators import clean, corpus, index, labels, retrieve
+from docquarry.config import ACT_COLUMNS, TEXT_CAP
+from docquarry.operators import (
+    clean,
+    corpus,
+    index,
+    judgments,
+    labels,
+    profile,
+    ranking_metrics,
+    retrieve,
+    search,
+    svm,
+    tagging_metrics,
+    tfidf,
+)
 from docquarry.plans import fixtures
 from docquarry.plans.oracles import chain
 from docquarry.plans.pipeline import Stages, stages
+from docquarry.session import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +45,10 @@ def registered(oracle: str | None = None):
     return add
 
 
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({name: F.round(name, 6) for name in columns})
+
+
 def known_acts(s: Stages) -> DataFrame:
     return clean.blank_to_null(fixtures.raw_acts(s.spark, s.sf_dir), ACT_COLUMNS)
 
@@ -175,8 +193,7 @@ def bm25_scores(s: Stages) -> DataFrame:
     where rank <= 10""")
 def bm25_topk(s: Stages) -> DataFrame:
     scores = retrieve.bm25_scores(s.query_terms, s.index)
-    best = retrieve.top_k(scores.withColumn("score", F.round("score", 9)), 10)
-    return best.withColumn("score", F.round("score", 6))
+    return retrieve.top_k(scores, 10).withColumn("score", F.round("score", 6))
 
 
 @registered("""
@@ -185,3 +202,262 @@ def bm25_topk(s: Stages) -> DataFrame:
       on u.qid = q.qid group by q.qid""")
 def search_hits(s: Stages) -> DataFrame:
     return retrieve.hit_counts(s.queries(), retrieve.union_retrieval(s.query_terms, s.index))
+
+
+# --- labels ---
+
+
+@registered("select label, n from label_freq")
+def label_freq(s: Stages) -> DataFrame:
+    return labels.label_freq(s.corpus)
+
+
+@registered("select label, n, rank from top_labels")
+def top_labels(s: Stages) -> DataFrame:
+    return labels.top_labels(s.corpus)
+
+
+@registered("select doc_id, unnest(kept_tags) as label, generate_subscripts(kept_tags, 1) - 1 as pos from kept_tags")
+def filtered_tags(s: Stages) -> DataFrame:
+    return s.kept().select("doc_id", F.posexplode("kept_tags").alias("pos", "label"))
+
+
+@registered("""
+    select (select count(*) from corpus) as documents, count(*) as labelled_documents from kept_tags""")
+def filtered_documents(s: Stages) -> DataFrame:
+    kept = F.size(F.filter("tags", lambda tag: tag.isin(*s.label_names))) > 0
+    return s.corpus.agg(
+        F.count(F.lit(1)).alias("documents"), F.count(F.when(kept, True)).alias("labelled_documents")
+    )
+
+
+@registered("select p.doc_id, t.rank - 1 as target from kept_pairs p join top_labels t on t.label = p.label")
+def binarized_labels(s: Stages) -> DataFrame:
+    return s.kept().select("doc_id", F.explode("targets").alias("target"))
+
+
+@registered("select doc_id, is_test from split")
+def train_test_split(s: Stages) -> DataFrame:
+    return s.kept().select("doc_id", "is_test")
+
+
+# --- tf-idf ---
+
+
+@registered("select doc_id, gram, tf from gram_tf")
+def ngrams(s: Stages) -> DataFrame:
+    return tfidf.document_gram_counts(tfidf.with_grams(s.corpus))
+
+
+@registered("select gram, idx, n, df from vocab")
+def tfidf_vocab(s: Stages) -> DataFrame:
+    counts = tfidf.gram_counts(tfidf.with_grams(s.kept().where("not is_test")))
+    table = tfidf.vocabulary(store(counts, "gram_counts"), s.train_rows)
+    return table.select("gram", "idx", "n", "df")
+
+
+@registered("select gram, df, round(idf, 6) as idf from vocab")
+def tfidf_idf(s: Stages) -> DataFrame:
+    return s.tfidf.table.select("gram", "df", F.round("idf", 6).alias("idf"))
+
+
+@registered("""
+    select doc_id, gram, round(weight, 6) as weight from weights where doc_id in (select doc_id from train)""")
+def tfidf_weights(s: Stages) -> DataFrame:
+    vectors = s.vectors(s.kept().where("not is_test"))
+    return tfidf.long_weights(vectors, s.tfidf).withColumn("weight", F.round("weight", 6))
+
+
+@registered("select qid, gram, round(weight, 6) as weight from query_weights")
+def tfidf_transform(s: Stages) -> DataFrame:
+    vectors = search.query_vectors(s.queries(), s.tfidf)
+    return tfidf.long_weights(vectors, s.tfidf, key="qid").withColumn("weight", F.round("weight", 6))
+
+
+# --- classification ---
+
+
+@registered("select doc_id, label, round(margin, 6) as margin from margins")
+def svc_margin(s: Stages) -> DataFrame:
+    return svm.long_margins(s.vectors(), s.tagger.model).withColumn("margin", F.round("margin", 6))
+
+
+@registered("select label, doc_id from label_index")
+def label_index(s: Stages) -> DataFrame:
+    tagged = search.tag_documents(s.vectors(), s.tagger.model)
+    return tagged.select(F.explode("labels").alias("label"), "doc_id")
+
+
+@registered("""
+    select count(*) as labels, round(avg(n), 6) as avg_docs, sum((n > 0)::int)::bigint as nonempty_labels
+    from (select t.label, count(x.doc_id) as n from top_labels t left join label_index x on x.label = t.label
+          group by t.label)""")
+def label_index_stats(s: Stages) -> DataFrame:
+    stats = labels.label_index_stats(s.label_vocabulary, s.tag_index.label_index())
+    return stats.withColumn("avg_docs", F.round("avg_docs", 6))
+
+
+@registered("select qid, label, row_number() over (partition by qid order by rank) - 1 as pos from query_labels")
+def query_tags(s: Stages) -> DataFrame:
+    tags = search.classify_queries(s.queries(), s.tagger)
+    return tags.select("qid", F.posexplode("labels").alias("pos", "label"))
+
+
+@registered("select label, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from label_report")
+def clf_report_labels(s: Stages) -> DataFrame:
+    return rounded(tagging_metrics.label_report(s.cells, s.label_vocabulary), "precision", "recall", "f1")
+
+
+@registered("""
+    select average, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from (
+      select 'micro' as average, sum(tp) / sum(tp + fp) as precision, sum(tp) / sum(tp + fn) as recall,
+             2 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)) as f1, sum(tp + fn)::bigint as support from cells
+      union all
+      select 'macro', avg(precision), avg(recall), avg(f1), sum(support)::bigint from label_report
+      union all
+      select 'weighted', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+             sum(f1 * support) / sum(support), sum(support)::bigint from label_report
+      union all
+      select 'samples', sum(case when tp + fp > 0 then tp / (tp + fp) else 0 end) / (select count(*) from test),
+             sum(case when tp + fn > 0 then tp / (tp + fn) else 0 end) / (select count(*) from test),
+             sum(2 * tp / (2 * tp + fp + fn)) / (select count(*) from test), sum(tp + fn)::bigint
+      from doc_counts)""")
+def clf_report_avgs(s: Stages) -> DataFrame:
+    report = tagging_metrics.average_report(s.cells, s.label_vocabulary, s.test_rows)
+    return rounded(report, "precision", "recall", "f1")
+
+
+@registered("""
+    select sum(fp + fn)::bigint as wrong_cells, any_value(n) as cells, round(sum(fp + fn) / any_value(n), 6) as hamming_loss
+    from cells cross join (select (select count(*) from test) * (select count(*) from top_labels) as n)""")
+def hamming_loss(s: Stages) -> DataFrame:
+    loss = tagging_metrics.hamming_loss(s.cells, s.test_rows, len(s.label_names))
+    return rounded(loss, "hamming_loss")
+
+
+# --- label retrieval and whole searches ---
+
+
+@registered("select qid, doc_id from tag_docs")
+def label_union(s: Stages) -> DataFrame:
+    chosen = search.choose_methods(
+        s.queries(), search.classify_queries(s.queries(), s.tagger), s.tag_index, s.label_names
+    )
+    wanted = chosen.select("qid", F.explode("tags").alias("label"))
+    return retrieve.label_documents(wanted, s.tag_index.label_index())
+
+
+@registered("select t.qid, x.doc_id from targets t join label_index x on x.label = t.label")
+def label_target(s: Stages) -> DataFrame:
+    target = search.matched_target(F.col("target_label"), s.label_names)
+    wanted = s.queries().select("qid", target.alias("label")).where("label is not null")
+    return retrieve.label_documents(wanted, s.tag_index.label_index())
+
+
+@registered("""
+    select t.qid, x.doc_id, round(coalesce(s.score, 0.0), 6) as score from targets t
+    join label_index x on x.label = t.label left join scores s on s.qid = t.qid and s.doc_id = x.doc_id""")
+def bm25_label_restricted(s: Stages) -> DataFrame:
+    scored = retrieve.restrict_to(label_target(s), retrieve.bm25_scores(s.query_terms, s.index))
+    return rounded(scored, "score")
+
+
+@registered("""
+    select m.qid, m.method, array_to_string(m.tokens, ' ') as tokens,
+           coalesce((select string_agg(label, '|' order by rank) from query_label_set l where l.qid = m.qid), '') as tags,
+           (select count(*) from candidates c where c.qid = m.qid) as total_hits,
+           r.rank, r.doc_id, round(r.score, 6) as score
+    from methods m left join (select * from ranked where rank <= 10) r on r.qid = m.qid""")
+def search_batch(s: Stages) -> DataFrame:
+    found = search.search(s.queries(), s.index, s.tag_index, s.tagger, k=10)
+    flat = found.withColumns({"tokens": F.array_join("tokens", " "), "tags": F.array_join("tags", "|")})
+    return rounded(flat, "score")
+
+
+# --- judgments and ranking metrics ---
+
+
+@registered("select source_id, doc_id from ids")
+def id_map_clean(s: Stages) -> DataFrame:
+    return judgments.clean_id_map(fixtures.id_map(s.spark, s.sf_dir), "row_no")
+
+
+@registered("select line_no, label, source_id, rel from judged")
+def qrels_parsed(s: Stages) -> DataFrame:
+    return s.parsed_judgments()
+
+
+@registered("select qid, doc_id, rel from final_judged")
+def qrels_filtered(s: Stages) -> DataFrame:
+    return judgments.final_judgments(s.mapped_judgments, "line_no")
+
+
+@registered("""
+    select count(*) as skipped from judged where lower(replace(label, '_', ' ')) not in
+      (select lower(replace(label, '_', ' ')) from top_labels)""")
+def qrels_skipped(s: Stages) -> DataFrame:
+    return judgments.skipped_judgments(s.parsed_judgments(), s.label_vocabulary)
+
+
+@registered("select qid, first_seen from eval_set")
+def eval_queries(s: Stages) -> DataFrame:
+    return s.evaluation_queries()
+
+
+@registered("select qid, doc_id, round(score, 6) as score, rank from eval_ranked")
+def eval_run(s: Stages) -> DataFrame:
+    return rounded(s.evaluation_run, "score")
+
+
+RANKING_METRICS = (
+    "map", "mrr", "ndcg_10", "precision_10", "recall_10", "f1_10",
+    "ndcg_20", "precision_20", "recall_20", "f1_20",
+)
+
+
+def ranking_report(s: Stages) -> DataFrame:
+    judged = judgments.final_judgments(s.mapped_judgments, "line_no")
+    chosen = judged.join(F.broadcast(s.evaluation_queries().select("qid")), "qid", "left_semi")
+    return ranking_metrics.query_metrics(s.evaluation_run, chosen)
+
+
+@registered("select qid, " + ", ".join(f"round({m}, 6) as {m}" for m in RANKING_METRICS) + " from per_query")
+def ir_metrics_by_query(s: Stages) -> DataFrame:
+    return rounded(ranking_report(s), *RANKING_METRICS)
+
+
+@registered("select 'queries' as metric, count(*)::double as value from per_query" + "".join(
+    f" union all select '{m}', round(avg({m}), 6) from per_query" for m in RANKING_METRICS))
+def ir_metrics(s: Stages) -> DataFrame:
+    return rounded(ranking_metrics.mean_metrics(ranking_report(s)), "value")
+
+
+# --- data inspection ---
+
+WIDE_TYPES = {
+    "row_no": "bigint", "Act_type": "string", "Act_name": "string", "CELEX": "string",
+    "act_raw_text": "string", "EUROVOC": "string", "n_chars": "bigint", "quality": "int", "toxic": "int",
+}
+
+
+@registered(" union all ".join(
+    f"select '{name}' as column_name, '{kind}' as type, count(*) as rows, count({name}) as non_null from wide_acts"
+    for name, kind in WIDE_TYPES.items()))
+def profile_nulls(s: Stages) -> DataFrame:
+    return profile.null_profile(fixtures.wide_acts(s.spark, s.sf_dir))
+
+
+@registered(" union all ".join(
+    f"""select '{name}' as column_name, count({name}) as count, round(avg({name}), 6) as mean,
+        round(stddev_samp({name}), 6) as std, min({name})::double as min,
+        round(quantile_cont({name}::double, 0.25), 6) as q25, round(quantile_cont({name}::double, 0.5), 6) as q50,
+        round(quantile_cont({name}::double, 0.75), 6) as q75, max({name})::double as max from wide_acts"""
+    for name, kind in WIDE_TYPES.items() if kind != "string"))
+def profile_describe(s: Stages) -> DataFrame:
+    summary = profile.describe_numbers(fixtures.wide_acts(s.spark, s.sf_dir))
+    return rounded(summary, "mean", "std", "q25", "q50", "q75")
+
+
+@registered("select * from wide_acts order by row_no limit 5")
+def profile_head(s: Stages) -> DataFrame:
+    return profile.first_rows(fixtures.wide_acts(s.spark, s.sf_dir), "row_no")

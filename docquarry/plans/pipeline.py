@@ -3,13 +3,43 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docquarry.config import ACT_COLUMNS, DEFAULTS
+from docquarry.operators import judgments, labels, svm, tagging_metrics
 from docquarry.operators.clean import blank_to_null, clean_acts
 from docquarry.operators.corpus import build_corpus, with_query_tokens
 from docquarry.operators.index import Index, build_index
 from docquarry.operators.retrieve import weighted_terms
-from docquarry.plans.fixtures import query_set, raw_acts
+from docquarry.operators.search import Tagger, TagIndex, build_tag_index, search
+from docquarry.operators.tfidf import TfidfModel, document_gram_counts, fit_tfidf, with_grams
+from docquarry.plans.fixtures import id_map, judgment_lines, query_set, raw_acts
+from docquarry.session import store
+
+
+# Grams of the fixed coefficient table, and its intercept.
+SIGN_GRAMS = 200
+INTERCEPT = -0.0625
+
+
+def sign_coefficients(train_pairs: DataFrame, train_grams: DataFrame, vocabulary: DataFrame, rows: int) -> DataFrame:
+    """A coefficient table that SQL can rebuild.
+
+    +1 where a gram's share of documents is greater with the label than without it, else -1, over
+    the most frequent grams that occur with the label. Shares are compared as whole numbers.
+    """
+    top = F.broadcast(vocabulary.where(F.col("idx") < SIGN_GRAMS).select("gram", "idx", "df"))
+    together = (
+        train_grams.join(top, "gram")
+        .join(train_pairs, "doc_id")
+        .groupBy("label", "idx", "df")
+        .agg(F.count(F.lit(1)).alias("both"))
+    )
+    sizes = train_pairs.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    more = F.col("both") * (rows - F.col("size")) > (F.col("df") - F.col("both")) * F.col("size")
+    return together.join(sizes, "label").select(
+        "label", "idx", F.when(more, 1.0).otherwise(-1.0).alias("coef")
+    )
 
 
 class Stages:
@@ -44,6 +74,102 @@ class Stages:
     def query_terms(self) -> DataFrame:
         return self.once("query_terms", lambda: weighted_terms(self.queries(), self.index))
 
+    # --- labels and vectors ---
+
+    @property
+    def label_vocabulary(self) -> DataFrame:
+        return self.once("label_vocabulary", lambda: store(labels.top_labels(self.corpus), "label_vocabulary"))
+
+    @property
+    def label_names(self) -> list[str]:
+        return self.once("label_names", lambda: labels.label_names(self.label_vocabulary))
+
+    def kept(self) -> DataFrame:
+        """Documents with a vocabulary tag, their targets and their side of the split."""
+        return labels.with_split(
+            labels.binarized(labels.with_kept_tags(self.corpus, self.label_names), self.label_names)
+        )
+
+    def kept_pairs(self, is_test: bool | None = None) -> DataFrame:
+        rows = self.kept()
+        if is_test is not None:
+            rows = rows.where(F.col("is_test") == is_test)
+        return rows.select("doc_id", F.explode(F.array_distinct("kept_tags")).alias("label"))
+
+    @property
+    def train_rows(self) -> int:
+        return self.once("train_rows", lambda: self.kept().where("not is_test").count())
+
+    @property
+    def test_rows(self) -> int:
+        return self.once("test_rows", lambda: self.kept().where("is_test").count())
+
+    @property
+    def tfidf(self) -> TfidfModel:
+        return self.once("tfidf", lambda: fit_tfidf(self.kept().where("not is_test")))
+
+    def vectors(self, rows: DataFrame | None = None) -> DataFrame:
+        source = self.corpus if rows is None else rows
+        return self.tfidf.transform(with_grams(source)).drop("grams", "tokens")
+
+    # --- the fixed coefficient table and what follows from it ---
+
+    @property
+    def tagger(self) -> Tagger:
+        def build() -> Tagger:
+            grams = document_gram_counts(with_grams(self.kept().where("not is_test")))
+            signs = sign_coefficients(self.kept_pairs(False), grams, self.tfidf.table, self.train_rows)
+            model = svm.LinearModel.from_coefficients(
+                self.label_names, signs, len(self.tfidf.grams), INTERCEPT
+            )
+            return Tagger(self.tfidf, model)
+
+        return self.once("tagger", build)
+
+    @property
+    def tag_index(self) -> TagIndex:
+        return self.once("tag_index", lambda: build_tag_index(self.vectors(), self.tagger.model))
+
+    @property
+    def cells(self) -> DataFrame:
+        return self.once("cells", lambda: self.outcomes(self.tag_index))
+
+    def outcomes(self, tag_index: TagIndex) -> DataFrame:
+        test = self.kept().where("is_test").select("doc_id")
+        guessed = tag_index.label_index().join(test, "doc_id", "left_semi")
+        met = tagging_metrics.outcome_cells(self.kept_pairs(True), guessed)
+        return store(met, "cells", bucket_by="doc_id", distributed=True)
+
+    # --- judgments and the evaluation run ---
+
+    def parsed_judgments(self) -> DataFrame:
+        return judgments.parse_judgments(judgment_lines(self.spark, self.sf_dir), "line_no")
+
+    @property
+    def mapped_judgments(self) -> DataFrame:
+        def build() -> DataFrame:
+            ids = judgments.clean_id_map(id_map(self.spark, self.sf_dir), "row_no")
+            kept = judgments.vocabulary_judgments(self.parsed_judgments(), self.label_vocabulary)
+            return store(judgments.mapped_judgments(kept, ids).select("line_no", "qid", "doc_id", "rel"), "judged")
+
+        return self.once("mapped_judgments", build)
+
+    def evaluation_queries(self) -> DataFrame:
+        return judgments.evaluation_queries(self.mapped_judgments, "line_no")
+
+    @property
+    def evaluation_run(self) -> DataFrame:
+        def build() -> DataFrame:
+            label_queries = self.evaluation_queries().select(
+                "qid",
+                F.col("qid").alias("raw_query"),
+                F.replace(F.col("qid"), F.lit(" "), F.lit("_")).alias("target_label"),
+            )
+            found = search(label_queries, self.index, self.tag_index, self.tagger, k=50)
+            return store(found.where("rank is not null").select("qid", "doc_id", "score", "rank"), "run")
+
+        return self.once("evaluation_run", build)
+
 
 _stages: dict[tuple[str, str], Stages] = {}
 
