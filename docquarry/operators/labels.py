@@ -41,7 +41,7 @@ def with_kept_tags(corpus: DataFrame, names: list[str]) -> DataFrame:
 def binarized(kept: DataFrame, names: list[str]) -> DataFrame:
     """Distinct label positions per document, in vocabulary order."""
     order = F.array(*[F.lit(name) for name in names])
-    places = F.array_sort(F.transform(F.array_distinct("kept_tags"), lambda t: F.array_position(order, t).cast("int")))
+    places = F.array_sort(F.transform(F.array_distinct("kept_tags"), lambda t: (F.array_position(order, t) - 1).cast("int")))
     return kept.withColumn("targets", places)
 
 

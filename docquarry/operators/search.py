@@ -21,7 +21,7 @@ from docquarry.operators.corpus import with_query_tokens
 from docquarry.operators.index import Index
 from docquarry.operators.retrieve import bm25_scores, top_k, union_retrieval, weighted_terms
 from docquarry.operators.svm import LinearModel, predict
-from docquarry.operators.tfidf import TfidfModel, text_grams
+from docquarry.operators.tfidf import TfidfModel, with_text_grams
 from docquarry.session import fits, store
 
 
@@ -66,7 +66,7 @@ def query_vectors(queries: DataFrame, tfidf: TfidfModel, query_text: str = "raw"
     if query_text not in ("raw", "tokens"):
         raise ValueError("query_text is 'raw' or 'tokens'")
     text = F.col("raw_query") if query_text == "raw" else F.array_join("tokens", " ")
-    return tfidf.transform(queries.withColumn("grams", text_grams(text, settings)))
+    return tfidf.transform(with_text_grams(queries, text, settings), key="qid", settings=settings)
 
 
 def classify_queries(queries: DataFrame, tagger: Tagger, query_text: str = "raw", settings: Settings = DEFAULTS) -> DataFrame:

@@ -1,34 +1,31 @@
 """TF-IDF vocabulary and document vectors.
 
-The vocabulary is bounded by ``max_features``, so it may pass through the driver; documents are
-turned into sparse vectors row by row inside the JVM, without a shuffle.
+Everything is a join or a grouping by document. On a corpus distributed by ``doc_id`` none of it
+shuffles documents; only n-gram totals are exchanged.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.config import DEFAULTS, Settings
 from docquarry.functions.scoring import smooth_idf
 from docquarry.functions.text import gram_words, ngrams
-from docquarry.session import store
+from docquarry.session import join_hot, store
 
 
-def document_grams(tokens: Column, settings: Settings = DEFAULTS) -> Column:
-    return text_grams(F.array_join(tokens, " "), settings)
-
-
-def text_grams(text: Column, settings: Settings = DEFAULTS) -> Column:
-    return ngrams(gram_words(text), settings.ngram_max)
+def with_text_grams(df: DataFrame, text: Column, settings: Settings = DEFAULTS) -> DataFrame:
+    """Add ``grams``: the n-grams of the words of a text, in order, with repeats."""
+    # The words are a column of their own: the n-grams read them several times.
+    split = df.withColumn("gram_words", gram_words(text))
+    return split.withColumn("grams", ngrams(F.col("gram_words"), settings.ngram_max)).drop("gram_words")
 
 
 def with_grams(corpus: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    return corpus.withColumn("grams", document_grams(F.col("tokens"), settings))
+    return with_text_grams(corpus, F.array_join("tokens", " "), settings)
 
 
 def document_gram_counts(grams: DataFrame) -> DataFrame:
@@ -82,45 +79,51 @@ def vocabulary(counts: DataFrame, documents: int, settings: Settings = DEFAULTS)
 
 @dataclass(frozen=True)
 class TfidfModel:
-    """Fitted vocabulary as a table and as the lists the row-wise transform needs."""
+    """The fitted vocabulary ``(gram, idx, n, df, idf)`` and its size."""
 
     table: DataFrame
-    grams: list[str]
-    idf: list[float]
-
-    @classmethod
-    def from_table(cls, table: DataFrame) -> TfidfModel:
-        rows = table.select("idx", "gram", "idf").orderBy("idx").collect()
-        return cls(table, [row.gram for row in rows], [row.idf for row in rows])
-
-    def transform(self, df: DataFrame, grams_column: str = "grams") -> DataFrame:
-        """Add ``indices`` and ``values``: unit-length tf-idf weights; unknown grams are ignored."""
-        counted = CountVectorizerModel.from_vocabulary(
-            self.grams, inputCol=grams_column, outputCol="gram_counts"
-        ).transform(df)
-        scaled = ElementwiseProduct(
-            scalingVec=Vectors.dense(self.idf), inputCol="gram_counts", outputCol="gram_scaled"
-        ).transform(counted)
-        unit = Normalizer(p=2.0, inputCol="gram_scaled", outputCol="gram_unit").transform(scaled)
-        plain = unit.withColumn("vector", F.unwrap_udt("gram_unit"))
-        return plain.select(
-            *df.columns,
-            F.col("vector.indices").alias("indices"),
-            F.col("vector.values").alias("values"),
+    size: int
+
+    def transform(self, df: DataFrame, key: str = "doc_id", settings: Settings = DEFAULTS) -> DataFrame:
+        """``(key, indices, values)``: unit-length tf-idf weights of the rows' ``grams``.
+
+        Unknown grams are ignored; a row without a known one gets empty arrays. ``key`` must be
+        unique per row.
+        """
+        weights = (F.col("tf") * F.col("idf")).alias("weight")
+        entries = F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "weight")))
+        found = (
+            self.known_grams(df.select(key, F.explode_outer("grams").alias("gram")), settings)
+            .groupBy(key, "idx", "idf")
+            .agg(F.count(F.lit(1)).alias("tf"))
+            .select(key, "idx", weights)
+            .groupBy(key)
+            .agg(entries.alias("entries"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
         )
+        return found.select(
+            key,
+            F.col("entries.idx").alias("indices"),
+            F.transform("entries.weight", lambda weight: weight / F.col("norm")).alias("values"),
+        )
+
+    def known_grams(self, grams: DataFrame, settings: Settings) -> DataFrame:
+        """Join the vocabulary, which has at most ``max_features`` rows; others keep a NULL place."""
+        table = self.table.select("gram", "idx", "idf")
+        if self.size <= settings.broadcast_rows:
+            table = F.broadcast(table)
+        return grams.join(table, "gram", "left")
 
 
 def fit_tfidf(train: DataFrame, settings: Settings = DEFAULTS) -> TfidfModel:
     """Fit on a corpus table; vocabulary and idf come from its documents only."""
     counts = store(gram_counts(with_grams(train, settings)), "gram_counts")
-    table = vocabulary(counts, train.count(), settings)
-    return TfidfModel.from_table(store(table, "tfidf_vocabulary"))
+    table = store(vocabulary(counts, train.count(), settings), "tfidf_vocabulary")
+    return TfidfModel(table, table.count())
 
 
-def long_weights(vectors: DataFrame, model: TfidfModel, key: str = "doc_id") -> DataFrame:
+def long_weights(vectors: DataFrame, model: TfidfModel, key: str = "doc_id", settings: Settings = DEFAULTS) -> DataFrame:
     """``(key, gram, weight)`` rows of transformed documents."""
     entries = vectors.select(key, F.inline(F.arrays_zip("indices", "values"))).select(
         key, F.col("indices").alias("idx"), F.col("values").alias("weight")
     )
-    # The vocabulary has at most max_features rows.
-    return entries.join(F.broadcast(model.table.select("idx", "gram")), "idx").drop("idx")
+    return join_hot(entries, model.table.select("idx", "gram"), "idx", key, settings.broadcast_rows).drop("idx")

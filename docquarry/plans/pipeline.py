@@ -110,7 +110,7 @@ class Stages:
 
     def vectors(self, rows: DataFrame | None = None) -> DataFrame:
         source = self.corpus if rows is None else rows
-        return self.tfidf.transform(with_grams(source)).drop("grams", "tokens")
+        return self.tfidf.transform(with_grams(source))
 
     # --- the fixed coefficient table and what follows from it ---
 
@@ -120,7 +120,7 @@ class Stages:
             grams = document_gram_counts(with_grams(self.kept().where("not is_test")))
             signs = sign_coefficients(self.kept_pairs(False), grams, self.tfidf.table, self.train_rows)
             model = svm.LinearModel.from_coefficients(
-                self.label_names, signs, len(self.tfidf.grams), INTERCEPT
+                self.label_names, signs, self.tfidf.size, INTERCEPT
             )
             return Tagger(self.tfidf, model)
 

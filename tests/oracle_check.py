@@ -38,12 +38,18 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(_value(row[i]) for i in order) for row in rows), key=repr)
 
 
-def difference(spark_df, connection, sql: str) -> str | None:
+def difference(spark_df, connection, sql: str, times: list[float] | None = None) -> str | None:
     """None when names, row count and values agree, else what differs first."""
-    ours = rows_of(spark_df.columns, spark_df.collect())
+    start = time.time()
+    collected = spark_df.collect()
+    middle = time.time()
     result = connection.execute(sql)
     names = [column[0] for column in result.description]
-    theirs = rows_of(names, result.fetchall())
+    fetched = result.fetchall()
+    if times is not None:
+        times[:] = [middle - start, time.time() - middle]
+    ours = rows_of(spark_df.columns, collected)
+    theirs = rows_of(names, fetched)
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} against {sorted(names)}"
     if len(ours) != len(theirs):
@@ -72,17 +78,19 @@ def main() -> int:
         if chosen and name not in chosen:
             continue
         start = time.time()
+        times, built = [0.0, 0.0], 0.0
         try:
             df = query(spark, sf_dir)
+            built = time.time() - start
             if name in oracles:
-                problem = difference(df, connection, oracles[name])
+                problem = difference(df, connection, oracles[name], times)
             else:
                 problem = None
                 print(f"  {name}: no SQL, {df.count()} rows")
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
-        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.2f}s {problem or ''}", flush=True)
+        print(f"{'ok ' if problem is None else 'BAD'} {name} build {built:.2f}s run {times[0]:.2f}s sql {times[1]:.2f}s {problem or ''}", flush=True)
     print("failures", bad)
     return 1 if bad else 0
 
