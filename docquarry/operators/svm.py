@@ -15,9 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +24,11 @@ from docquarry.config import DEFAULTS, Settings
 # The functions below that run in tasks travel with the job: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Vector entries a task expands to all labels at a time.
-CHUNK_ENTRIES = 50_000
+# Rows a task turns into one dense matrix at a time.
+BLOCK_ROWS = 64
+
+# Gradients one merging task adds up.
+MERGE_WIDTH = 64
 
 
 @dataclass(frozen=True)
@@ -75,34 +76,24 @@ def coefficient_rows(model_table: DataFrame, vocabulary: DataFrame) -> DataFrame
     return entries.join(F.broadcast(vocabulary.select("idx", "gram")), "idx").select("label", "gram", "coef")
 
 
-def _parts(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``CHUNK_ENTRIES`` entries each."""
-    ends = np.cumsum(lengths)
-    start = 0
-    while start < len(lengths):
-        floor = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, floor + CHUNK_ENTRIES, side="right")))
-        yield start, stop
-        start = stop
-
-
-def _sparse(indices: pa.ListArray, values: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lengths = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    return (
-        lengths,
-        indices.flatten().to_numpy(zero_copy_only=False),
-        values.flatten().to_numpy(zero_copy_only=False),
-    )
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and concatenated items of a list column."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lengths, column.flatten().to_numpy(zero_copy_only=False)
 
 
-def _row_sums(entries: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Sum consecutive runs of ``lengths`` rows; an empty run gives zeros."""
-    sums = np.zeros((len(lengths), entries.shape[1]))
-    filled = np.flatnonzero(lengths)
-    if len(filled):
-        starts = (np.cumsum(lengths) - lengths)[filled]
-        sums[filled] = np.add.reduceat(entries, starts, axis=0)
-    return sums
+def _blocks(indices: pa.ListArray, values: pa.ListArray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Row blocks as ``(rows, features, matrix)``: a dense matrix over the features a block holds."""
+    lengths, places = _lists(indices)
+    _, weights = _lists(values)
+    ends = np.concatenate(([0], np.cumsum(lengths)))
+    for start in range(0, len(lengths), BLOCK_ROWS):
+        stop = min(start + BLOCK_ROWS, len(lengths))
+        part = slice(ends[start], ends[stop])
+        features, column = np.unique(places[part], return_inverse=True)
+        matrix = np.zeros((stop - start, len(features)))
+        matrix[np.repeat(np.arange(stop - start), lengths[start:stop]), column] = weights[part]
+        yield slice(start, stop), features, matrix
 
 
 def margin_column(spark: SparkSession, model: LinearModel, indices: Column, values: Column) -> Column:
@@ -112,15 +103,11 @@ def margin_column(spark: SparkSession, model: LinearModel, indices: Column, valu
     @F.arrow_udf("array<double>")
     def margins(index_lists: pa.Array, value_lists: pa.Array) -> pa.Array:
         by_feature, intercepts = shared.value
-        lengths, places, weights = _sparse(index_lists, value_lists)
-        out = np.empty((len(lengths), len(intercepts)))
-        offsets = np.concatenate(([0], np.cumsum(lengths)))
-        for start, stop in _parts(lengths):
-            part = slice(offsets[start], offsets[stop])
-            entries = by_feature[places[part]] * weights[part, None]
-            out[start:stop] = _row_sums(entries, lengths[start:stop]) + intercepts
+        out = np.empty((len(index_lists), len(intercepts)))
+        for rows, features, matrix in _blocks(index_lists, value_lists):
+            out[rows] = matrix @ by_feature[features] + intercepts
         width = len(intercepts)
-        ends = np.arange(0, width * len(lengths) + 1, width or 1, dtype=np.int32)
+        ends = np.arange(0, out.size + 1, width, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
 
     return margins(indices, values)
@@ -163,8 +150,13 @@ def predict(vectors: DataFrame, model: LinearModel, key: str = "doc_id") -> Data
 # --- fitting ---
 
 
-def loss_and_gradient(train: DataFrame, weights: np.ndarray, intercepts: np.ndarray, c: float):
-    """Loss sum, intercept gradient and weight gradient per label, without the penalty terms."""
+def loss_and_gradient(
+    train: DataFrame, active: np.ndarray, all_labels: int, weights: np.ndarray, intercepts: np.ndarray, c: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Loss sum, intercept gradient and weight gradient per active label, without the penalty.
+
+    ``active`` holds the label positions that the rows of ``weights`` and ``intercepts`` stand for.
+    """
     spark = train.sparkSession
     labels, features = weights.shape
     shared = spark.sparkContext.broadcast((np.ascontiguousarray(weights.T), intercepts))
@@ -175,70 +167,81 @@ def loss_and_gradient(train: DataFrame, weights: np.ndarray, intercepts: np.ndar
         bias_gradient = np.zeros(labels)
         loss = np.zeros(labels)
         for batch in batches:
-            lengths, places, values = _sparse(batch.column("indices"), batch.column("values"))
-            target_counts, target_places, _ = _sparse(batch.column("targets"), batch.column("targets"))
-            signs = np.full((len(lengths), labels), -1.0)
-            signs[np.repeat(np.arange(len(lengths)), target_counts), target_places] = 1.0
-            offsets = np.concatenate(([0], np.cumsum(lengths)))
-            for start, stop in _parts(lengths):
-                part = slice(offsets[start], offsets[stop])
-                where, weight = places[part], values[part, None]
-                margin = _row_sums(by_feature[where] * weight, lengths[start:stop]) + bias
-                short = np.maximum(0.0, 1.0 - signs[start:stop] * margin)
+            counts, targets = _lists(batch.column("targets"))
+            signs = np.full((batch.num_rows, all_labels), -1.0)
+            signs[np.repeat(np.arange(batch.num_rows), counts), targets] = 1.0
+            signs = signs[:, active]
+            for rows, held, matrix in _blocks(batch.column("indices"), batch.column("values")):
+                short = np.maximum(0.0, 1.0 - signs[rows] * (matrix @ by_feature[held] + bias))
                 loss += c * np.square(short).sum(axis=0)
-                pull = -2.0 * c * signs[start:stop] * short
+                pull = -2.0 * c * signs[rows] * short
                 bias_gradient += pull.sum(axis=0)
-                if len(where):
-                    order = np.argsort(where, kind="stable")
-                    touched, first = np.unique(where[order], return_index=True)
-                    rows = np.repeat(np.arange(stop - start), lengths[start:stop])[order]
-                    gradient[touched] += np.add.reduceat(pull[rows] * weight[order], first, axis=0)
-        ends = np.arange(0, features * labels + 1, features, dtype=np.int32)
+                gradient[held] += matrix.T @ pull
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(labels), pa.int32()),
-                pa.array(loss),
-                pa.array(bias_gradient),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(gradient.T.ravel())),
+                pa.array([
+                    np.concatenate(([loss[i], bias_gradient[i]], gradient[:, i])).tobytes() for i in range(labels)
+                ]),
             ],
-            names=["label", "loss", "bias", "gradient"],
+            names=["label", "sums"],
         )
 
-    parts = train.select("indices", "values", "targets").mapInArrow(
-        partial, "label int, loss double, bias double, gradient array<double>"
-    )
-    total = parts.groupBy("label").agg(
-        F.sum("loss").alias("loss"),
-        F.sum("bias").alias("bias"),
-        Summarizer.sum(array_to_vector("gradient")).alias("gradient"),
-    )
-    rows = total.select("label", "loss", "bias", vector_to_array("gradient").alias("gradient")).toArrow()
+    rows = train.select("indices", "values", "targets")
+    totals = rows.mapInArrow(partial, "label int, sums binary")
+    tasks = rows.rdd.getNumPartitions()
+    if tasks > MERGE_WIDTH:
+        # No group holds the sums of more than tasks / MERGE_WIDTH, then MERGE_WIDTH tasks.
+        slots = totals.withColumn("slot", F.spark_partition_id() % MERGE_WIDTH)
+        totals = slots.groupBy("label", "slot").applyInArrow(_add_up, "label int, sums binary")
+    if tasks > 1:
+        totals = totals.groupBy("label").applyInArrow(_add_up, "label int, sums binary")
+    table = totals.toArrow()
     shared.destroy()
-    order = np.argsort(rows.column("label").to_numpy())
-    gradient = rows.column("gradient").combine_chunks().flatten().to_numpy().reshape(len(order), -1)
-    return (
-        rows.column("loss").to_numpy()[order],
-        rows.column("bias").to_numpy()[order],
-        gradient[order],
-    )
+    sums = np.empty((labels, features + 2))
+    for label, packed in zip(table.column("label").to_pylist(), table.column("sums")):
+        sums[label] = np.frombuffer(packed.as_buffer())
+    return sums[:, 0], sums[:, 1], sums[:, 2:]
+
+
+def _add_up(parts: pa.Table) -> pa.Table:
+    """Add the packed sums of one label: one row per task that read training rows."""
+    total = np.zeros(len(parts.column("sums")[0].as_buffer()) // 8)
+    for packed in parts.column("sums"):
+        total += np.frombuffer(packed.as_buffer())
+    return pa.table({"label": parts.column("label").combine_chunks().slice(0, 1), "sums": [total.tobytes()]})
 
 
-def _direction(gradient: np.ndarray, history: deque) -> np.ndarray:
-    """L-BFGS direction of one label from its past steps."""
+def _direction(gradient: np.ndarray, history: deque, scale: np.ndarray) -> np.ndarray:
+    """L-BFGS direction of one label from its past steps; ``scale`` is the inverse curvature guess."""
     step = gradient.copy()
     shares = []
-    for move, change, scale in reversed(history):
-        share = scale * move.dot(step)
+    for move, change, weight in reversed(history):
+        share = weight * move.dot(step)
         step -= share * change
         shares.append(share)
+    step *= scale
     if history:
         move, change, _ = history[-1]
-        step *= move.dot(change) / change.dot(change)
-    for (move, change, scale), share in zip(history, reversed(shares)):
-        step += move * (share - scale * change.dot(step))
+        step *= move.dot(change) / change.dot(scale * change)
+    for (move, change, weight), share in zip(history, reversed(shares)):
+        step += move * (share - weight * change.dot(step))
     return -step
 
 
+def feature_energy(train: DataFrame, features: int) -> np.ndarray:
+    """Sum of squares of each feature, one entry per vocabulary position."""
+    energy = np.zeros(features)
+    squares = (
+        train.select(F.inline(F.arrays_zip("indices", "values")))
+        .groupBy("indices")
+        .agg(F.sum(F.col("values") * F.col("values")).alias("energy"))
+    )
+    for row in squares.collect():
+        energy[row["indices"]] = row["energy"]
+    return energy
+
+
 def fit_labels(
     train: DataFrame,
     positives: np.ndarray,
@@ -246,8 +249,8 @@ def fit_labels(
     features: int,
     settings: Settings = DEFAULTS,
     tolerance: float = 1e-4,
-    max_passes: int = 200,
-    memory: int = 5,
+    max_passes: int = 300,
+    memory: int = 20,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights, intercepts and final objective per label.
 
@@ -257,44 +260,55 @@ def fit_labels(
     """
     labels = len(positives)
     point = np.zeros((labels, features + 1))
-
-    def evaluate(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        loss, bias, gradient = loss_and_gradient(train, at[:, :-1], at[:, -1], settings.svc_c)
-        return 0.5 * np.square(at).sum(axis=1) + loss, at + np.column_stack([gradient, bias])
-
-    value, gradient = evaluate(point)
-    rarer = np.maximum(np.minimum(positives, rows - positives), 1)
-    goal = tolerance * rarer / rows * np.linalg.norm(gradient, axis=1)
+    value = np.zeros(labels)
+    gradient = np.zeros_like(point)
+
+    def evaluate(active: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        loss, bias, slope = loss_and_gradient(train, active, labels, at[:, :-1], at[:, -1], settings.svc_c)
+        return 0.5 * np.square(at).sum(axis=1) + loss, at + np.column_stack([slope, bias])
+
+    moving = (positives > 0) & (positives < rows)
+    active = np.flatnonzero(moving)
+    if not len(active):
+        return point[:, :-1], point[:, -1], value
+    # The curvature of a coordinate, with about a third of the rows inside the margin.
+    curvature = 1.0 + 2.0 * settings.svc_c * np.append(feature_energy(train, features), rows) / 3.0
+    scale = 1.0 / curvature
+    value[active], gradient[active] = evaluate(active, point[active])
+    goal = tolerance * np.minimum(positives, rows - positives) / rows * np.linalg.norm(gradient, axis=1)
     histories = [deque(maxlen=memory) for _ in range(labels)]
-    moving = (np.linalg.norm(gradient, axis=1) > goal) & (positives > 0) & (positives < rows)
-    direction = np.zeros_like(point)
+    direction = -gradient * scale
     length = np.ones(labels)
-    for label in np.flatnonzero(moving):
-        direction[label] = -gradient[label]
-        length[label] = 1.0 / max(1.0, np.linalg.norm(gradient[label]))
     for _ in range(max_passes):
-        if not moving.any():
+        active = np.flatnonzero(moving)
+        if not len(active):
             break
-        trial = point + np.where(moving, length, 0.0)[:, None] * direction
-        trial_value, trial_gradient = evaluate(trial)
-        for label in np.flatnonzero(moving):
+        trials = point[active] + length[active, None] * direction[active]
+        trial_values, trial_gradients = evaluate(active, trials)
+        for label, trial, trial_value, trial_gradient in zip(active, trials, trial_values, trial_gradients):
             slope = gradient[label].dot(direction[label])
-            if trial_value[label] > value[label] + 1e-4 * length[label] * slope:
+            if trial_value > value[label] + 1e-4 * length[label] * slope:
                 length[label] /= 2.0
-                if length[label] < 1e-12:
-                    moving[label] = False
+                moving[label] = length[label] > 1e-12
                 continue
-            move = trial[label] - point[label]
-            change = trial_gradient[label] - gradient[label]
+            move, change = trial - point[label], trial_gradient - gradient[label]
             if move.dot(change) > 1e-12:
                 histories[label].append((move, change, 1.0 / move.dot(change)))
-            point[label], value[label], gradient[label] = trial[label], trial_value[label], trial_gradient[label]
-            moving[label] = np.linalg.norm(gradient[label]) > goal[label]
-            direction[label] = _direction(gradient[label], histories[label])
+            point[label], value[label], gradient[label] = trial, trial_value, trial_gradient
+            moving[label] = np.linalg.norm(trial_gradient) > goal[label]
+            direction[label] = _direction(trial_gradient, histories[label], scale)
             length[label] = 1.0
     return point[:, :-1], point[:, -1], value
 
 
+def fitting_tasks(train: DataFrame, features: int) -> int:
+    """Tasks per pass: each returns a gradient as wide as the vocabulary, so each should hold
+    several times as many entries."""
+    entries = train.agg(F.sum(F.size("indices").cast("long"))).first()[0] or 0
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return int(min(max(entries // (8 * max(features, 1)), 1), cores))
+
+
 def label_support(train: DataFrame, labels: int) -> tuple[np.ndarray, int]:
     """Rows per label position, and all rows."""
     counts = np.zeros(labels)
@@ -308,9 +322,10 @@ def fit_model(
 ) -> tuple[LinearModel, np.ndarray]:
     """Fit all labels; a label with one class in training gets a constant answer."""
     positives, rows = label_support(train, len(labels))
-    weights, intercepts, objective = fit_labels(train, positives, rows, features, settings, **options)
+    # Every pass reads the rows again; a lost executor's part comes back from the stored table.
+    cached = train.coalesce(fitting_tasks(train, features)).persist(StorageLevel.MEMORY_AND_DISK)
+    weights, intercepts, objective = fit_labels(cached, positives, rows, features, settings, **options)
+    cached.unpersist()
     for constant, sign in ((positives == 0, -np.inf), (positives == rows, np.inf)):
-        weights[constant] = 0.0
         intercepts[constant] = sign
-        objective[constant] = 0.0
     return LinearModel(labels, weights, intercepts), objective

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from docquarry.operators import (
 from docquarry.plans import fixtures
 from docquarry.plans.oracles import chain
 from docquarry.plans.pipeline import Stages, stages
-from docquarry.session import store
+from docquarry.session import shared_folder, store
+from docquarry.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -335,6 +337,32 @@ def hamming_loss(s: Stages) -> DataFrame:
     return rounded(loss, "hamming_loss")
 
 
+@registered()
+def svc_fit(s: Stages) -> DataFrame:
+    """Fitted models: no SQL, the solver is iterative; the tests compare it with a plain solver."""
+    model, objective = s.fitted
+    table = svm.coefficient_rows(model.to_table(s.spark), s.tfidf.table)
+    norms = table.groupBy("label").agg(
+        F.count(F.lit(1)).alias("nonzero"), F.round(F.sqrt(F.sum(F.col("coef") ** 2)), 3).alias("norm")
+    )
+    summary = s.spark.createDataFrame(
+        [
+            (label, float(round(b, 3)), float(round(value, 3)))
+            for label, b, value in zip(model.labels, model.intercepts, objective)
+        ],
+        "label string, intercept double, objective double",
+    )
+    return summary.join(norms, "label", "left")
+
+
+@registered()
+def svc_report(s: Stages) -> DataFrame:
+    """Held-out report of the fitted models."""
+    return tagging_metrics.average_report(
+        s.once("fitted_cells", lambda: s.outcomes(s.fitted_tag_index)), s.label_vocabulary, s.test_rows
+    )
+
+
 # --- label retrieval and whole searches ---
 
 
@@ -432,6 +460,47 @@ def ir_metrics(s: Stages) -> DataFrame:
     return rounded(ranking_metrics.mean_metrics(ranking_report(s)), "value")
 
 
+# --- file sources: the fixtures written as files in the shared folder and read back ---
+
+
+def written(s: Stages, name: str, write) -> str:
+    """A fresh path in the shared folder, filled by ``write``."""
+    path = f"{shared_folder(s.spark)}/docquarry/{name}_{uuid.uuid4().hex[:12]}"
+    write(path)
+    return path
+
+
+def csv_path(s: Stages, df: DataFrame, name: str) -> str:
+    return written(
+        s, name, lambda path: df.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    )
+
+
+@registered("""
+    select Act_type, Act_name, CELEX, act_raw_text, array_to_string(EUROVOC, '|') as tags from acts""")
+def acts_from_csv(s: Stages) -> DataFrame:
+    path = s.once("acts_csv", lambda: csv_path(s, fixtures.raw_acts(s.spark, s.sf_dir), "acts_csv"))
+    acts = clean.clean_acts(files.read_acts(s.spark, path))
+    return acts.withColumn("tags", F.array_join("EUROVOC", "|")).drop("EUROVOC")
+
+
+@registered("select source_id, doc_id from ids")
+def id_map_from_csv(s: Stages) -> DataFrame:
+    rows = fixtures.id_map(s.spark, s.sf_dir).orderBy("row_no").drop("row_no")
+    path = s.once("id_map_csv", lambda: csv_path(s, rows, "id_map_csv"))
+    return judgments.clean_id_map(files.read_id_map(s.spark, path), "row_order")
+
+
+@registered("select qid, doc_id, rel from final_judged")
+def qrels_from_text(s: Stages) -> DataFrame:
+    lines = fixtures.judgment_lines(s.spark, s.sf_dir).orderBy("line_no").select("line")
+    path = s.once("judgment_text", lambda: written(s, "judgment_text", lines.write.text))
+    parsed = judgments.parse_judgments(files.read_judgment_lines(s.spark, path), "row_order")
+    kept = judgments.vocabulary_judgments(parsed, s.label_vocabulary)
+    ids = judgments.clean_id_map(fixtures.id_map(s.spark, s.sf_dir), "row_no")
+    return judgments.final_judgments(judgments.mapped_judgments(kept, ids), "row_order")
+
+
 # --- data inspection ---
 
 WIDE_TYPES = {

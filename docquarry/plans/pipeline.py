@@ -140,6 +140,27 @@ class Stages:
         met = tagging_metrics.outcome_cells(self.kept_pairs(True), guessed)
         return store(met, "cells", bucket_by="doc_id", distributed=True)
 
+    # --- the fitted model ---
+
+    @property
+    def training_table(self) -> DataFrame:
+        def build() -> DataFrame:
+            train = self.kept().where("not is_test")
+            joined = self.vectors(train).join(train.select("doc_id", "targets"), "doc_id")
+            return store(joined, "training")
+
+        return self.once("training_table", build)
+
+    @property
+    def fitted(self) -> tuple[svm.LinearModel, object]:
+        return self.once(
+            "fitted", lambda: svm.fit_model(self.training_table, self.label_names, self.tfidf.size)
+        )
+
+    @property
+    def fitted_tag_index(self) -> TagIndex:
+        return self.once("fitted_tag_index", lambda: build_tag_index(self.vectors(), self.fitted[0]))
+
     # --- judgments and the evaluation run ---
 
     def parsed_judgments(self) -> DataFrame:
