@@ -31,7 +31,7 @@ STOP_WORDS = (
     "again", "further", "then", "once", "here", "there", "when", "where", "why", "how", "all",
     "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not",
     "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don",
-    "should", "now",
+    "should", "now", "cannot", "could", "ought", "would",
     "third", "regarding", "within",
 )
 

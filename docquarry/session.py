@@ -109,5 +109,5 @@ def join_hot(large: DataFrame, small: DataFrame, key: str, spread_on: str, max_r
     if fits(small, max_rows):
         return large.join(F.broadcast(small), key)
     salted = large.withColumn("salt", F.pmod(F.xxhash64(spread_on), F.lit(SALTS)))
-    copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return salted.join(copies, [key, "salt"]).drop("salt")
