@@ -25,7 +25,7 @@ from docquarry.config import DEFAULTS, Settings
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows a task turns into one dense matrix at a time.
-BLOCK_ROWS = 64
+BLOCK_ROWS = 8
 
 # Gradients one merging task adds up.
 MERGE_WIDTH = 64
@@ -303,10 +303,10 @@ def fit_labels(
 
 def fitting_tasks(train: DataFrame, features: int) -> int:
     """Tasks per pass: each returns a gradient as wide as the vocabulary, so each should hold
-    several times as many entries."""
+    at least twice as many entries."""
     entries = train.agg(F.sum(F.size("indices").cast("long"))).first()[0] or 0
     cores = train.sparkSession.sparkContext.defaultParallelism
-    return int(min(max(entries // (8 * max(features, 1)), 1), cores))
+    return int(min(max(entries // (2 * max(features, 1)), 1), cores))
 
 
 def label_support(train: DataFrame, labels: int) -> tuple[np.ndarray, int]:

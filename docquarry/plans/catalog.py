@@ -26,7 +26,7 @@ from docquarry.operators import (
 from docquarry.plans import fixtures
 from docquarry.plans.oracles import chain
 from docquarry.plans.pipeline import Stages, stages
-from docquarry.session import shared_folder, store
+from docquarry.session import shared_folder, spread, store
 from docquarry.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,7 +99,7 @@ def text_cap(s: Stages) -> DataFrame:
 @registered("""
     select doc_id, unnest(tokens) as token, generate_subscripts(tokens, 1) - 1 as pos from corpus""")
 def tokens(s: Stages) -> DataFrame:
-    acts = corpus.with_tokens(s.acts())
+    acts = corpus.with_tokens(spread(s.acts(), "row_no"))
     return acts.select(F.col("CELEX").alias("doc_id"), F.posexplode("tokens").alias("pos", "token"))
 
 
@@ -123,7 +123,7 @@ def postings(s: Stages) -> DataFrame:
 
 def dup_tokens(s: Stages) -> DataFrame:
     known = clean.blank_to_null(fixtures.raw_acts_dup(s.spark, s.sf_dir), ACT_COLUMNS)
-    acts = corpus.with_tokens(clean.clean_acts(known, carry=("row_no",)))
+    acts = corpus.with_tokens(spread(clean.clean_acts(known, carry=("row_no",)), "row_no"))
     return acts.select(F.col("CELEX").alias("doc_id"), "row_no", "tokens")
 
 
