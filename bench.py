@@ -22,7 +22,7 @@ MEMORY = os.environ.get("BENCH_MEMORY", "12g")
 
 STAGES = (
     "corpus", "index", "query_terms", "label_vocabulary", "tfidf", "tagger", "tag_index", "cells",
-    "mapped_judgments", "evaluation_run", "training_table", "fitted",
+    "mapped_judgments", "evaluation_judgments", "evaluation_run", "training_table", "fitted",
 )
 QUERIES = (
     "acts_clean", "tokens", "ngrams", "postings", "postings_dup", "corpus_stats", "doc_freq",

@@ -444,9 +444,7 @@ RANKING_METRICS = (
 
 
 def ranking_report(s: Stages) -> DataFrame:
-    judged = judgments.final_judgments(s.mapped_judgments, "line_no")
-    chosen = judged.join(F.broadcast(s.evaluation_queries().select("qid")), "qid", "left_semi")
-    return ranking_metrics.query_metrics(s.evaluation_run, chosen)
+    return ranking_metrics.query_metrics(s.evaluation_run, s.evaluation_judgments)
 
 
 @registered("select qid, " + ", ".join(f"round({m}, 6) as {m}" for m in RANKING_METRICS) + " from per_query")

@@ -178,6 +178,16 @@ class Stages:
     def evaluation_queries(self) -> DataFrame:
         return judgments.evaluation_queries(self.mapped_judgments, "line_no")
 
+    @property
+    def evaluation_judgments(self) -> DataFrame:
+        def build() -> DataFrame:
+            final = judgments.final_judgments(self.mapped_judgments, "line_no")
+            # At most 500 queries.
+            chosen = F.broadcast(self.evaluation_queries().select("qid"))
+            return store(final.join(chosen, "qid", "left_semi"), "evaluation_judgments")
+
+        return self.once("evaluation_judgments", build)
+
     @property
     def evaluation_run(self) -> DataFrame:
         def build() -> DataFrame:
