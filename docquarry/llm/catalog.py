@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import secrets
-from docquarry.llm.common import table
+from docquarry.llm import packing, secrets, warc, wordpiece
+from docquarry.llm.common import shared_path, table
+from docquarry.llm.tokens import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,6 +81,22 @@ def _secrets_sql() -> str:
     """
 
 
+@registered()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy longest-match pieces of every document."""
+    return wordpiece.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path("word_bpe_49k.json"))
+
+
+@registered()
+def op3_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
+    folder = shared_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.read_pages(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "n_segments", "problem"
+    )
+
+
 @registered(_secrets_sql())
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts, a digest of the pattern spans, and all spans."""
@@ -92,3 +109,9 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined("base_spans").cast("binary"), 256).alias("base_sha256"),
         secrets.joined("secret_spans").alias("spans"),
     )
+
+
+@registered()
+def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path("byte_bpe_50k.json"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.session import store
+from docquarry.session import shared_folder, store
 
 # Bytes of text that one step of a Python task holds as arrays.
 STEP_BYTES = 1 << 20
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return rows.select(*columns) if columns else rows
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder, for files that are no tables."""
+    return f"{shared_folder(spark)}/docquarry/{name}_{uuid.uuid4().hex[:12]}"
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """A fifth of the ids, by the crc32 of the id as text; such rows never teach a model."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
@@ -49,4 +55,4 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-__all__ = ["STEP_BYTES", "binary_values", "column", "held_out", "steps", "store", "table"]
+__all__ = ["STEP_BYTES", "binary_values", "column", "held_out", "shared_path", "steps", "store", "table"]
