@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import packing, secrets, warc, wordpiece
+from docquarry.llm import packing, repair, secrets, warc, wordpiece
 from docquarry.llm.common import shared_path, table
 from docquarry.llm.tokens import vocabulary_path
 
@@ -111,6 +111,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered()
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as token ids in grammar-compressed shards, read back from the files."""
+    folder = shared_path(spark, "token_shards")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    repair.write_shards(docs, folder, vocabulary_path("word_bpe_49k.json"))
+    return repair.crc32_of_ids(repair.read_documents(spark, folder))
+
+
 @registered()
 def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens."""
