@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import packing, repair, secrets, warc, wordpiece
-from docquarry.llm.common import shared_path, table
+from docquarry.llm import packing, quality, repair, secrets, toxicity, warc, wordpiece
+from docquarry.llm.common import held_out, shared_path, table
 from docquarry.llm.tokens import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,26 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.crc32_of_ids(repair.read_documents(spark, folder))
 
 
+@registered()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document from its nearest labelled examples."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence"
+    )
+
+
+@registered()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from learnt subword vectors."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted")
+    )
+
+
 @registered()
 def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens."""

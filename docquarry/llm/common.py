@@ -30,6 +30,28 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
+def learnable(labels: DataFrame, label: str, doc: str = "doc_id") -> DataFrame:
+    """(doc_id, label) of the rows that a model may learn from: 0 or 1, with an id, not held out."""
+    marks = labels.select(F.col(doc).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    return marks.where("doc_id is not null and label in (0, 1)").where(~held_out())
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, most: int, most_bytes: int, text: str = "text", doc: str = "doc_id"
+) -> tuple[list[int], list[bytes], list[int]]:
+    """Ids, texts and labels of at most ``most`` rows of each class, the first by a hash of the id.
+
+    Rows with null texts or texts over ``most_bytes`` are left out, so the sample has a fixed bound.
+    """
+    marks, order = learnable(labels, label, doc), F.xxhash64("doc_id")
+    first = [marks.where(f"label = {c}").orderBy(order, "doc_id").limit(most) for c in (0, 1)]
+    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
+    rows = rows.where(F.octet_length("text") <= most_bytes)
+    found = rows.join(F.broadcast(first[0].unionByName(first[1])), "doc_id").toArrow()
+    ordered = sorted(zip(*(found[c].to_pylist() for c in ("doc_id", "text", "label"))))
+    return tuple(map(list, zip(*ordered))) if ordered else ([], [], [])
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of at most ``STEP_BYTES`` of text, or one row when a single text is larger."""
     for batch in batches:
@@ -55,4 +77,7 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-__all__ = ["STEP_BYTES", "binary_values", "column", "held_out", "shared_path", "steps", "store", "table"]
+__all__ = [
+    "STEP_BYTES", "binary_values", "column", "held_out", "labelled_sample", "learnable", "shared_path", "steps", "store",
+    "table",
+]

@@ -56,6 +56,13 @@ def words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(begin, offsets)
 
 
+def letter_codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A code of every byte (A-Z as a-z, all white space alike) and the number of the text it belongs to."""
+    raw = np.frombuffer(b"".join(t or b"" for t in texts), np.uint8)
+    codes = np.where(_SPACE, _LETTER[0x20], _LETTER)[raw]
+    return codes, np.repeat(np.arange(len(texts)), [len(t or b"") for t in texts])
+
+
 def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     hashes, firsts = words(texts)

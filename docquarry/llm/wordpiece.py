@@ -117,8 +117,9 @@ def count_tokens(texts: list[bytes | None], path: str) -> list[tuple[int, int]]:
     found = []
     for text in texts:
         words = (text or b"").lower().split()
-        for word in set(words) - known.keys():
-            known[word] = automaton.count(word)
+        for word in set(words):
+            if word not in known:
+                known[word] = automaton.count(word)
         found.append((len(words), sum(map(known.__getitem__, words))))
     return found
 
