@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm import packing, quality, repair, secrets, toxicity, warc, wordpiece
+from docquarry.llm import (
+    decontaminate,
+    neighbours,
+    packing,
+    quality,
+    repair,
+    secrets,
+    toxicity,
+    warc,
+    wordpiece,
+)
 from docquarry.llm.common import held_out, shared_path, table
 from docquarry.llm.tokens import vocabulary_path
 
@@ -25,6 +35,35 @@ def registered(oracle: str | None = None):
     return add
 
 
+def _words_sql(text: str) -> str:
+    """Words as the shingle operators take them."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"list_filter(string_split_regex({lower}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+
+_DECONTAMINATION = f"""
+with docs as (select row_number() over () as row, doc_id, {_words_sql('text')} as w from documents),
+items as (select row_number() over () as item_row, item_id, {_words_sql('text')} as w from benchmark),
+item_shingles as (
+    select distinct item_row, item_id, width, array_to_string(w[i: i + width - 1], ' ') as shingle
+    from (select *, least(5, len(w)) as width from items where len(w) > 0), lateral (select unnest(range(1, len(w) - width + 2)) as i)),
+sizes as (select item_row, count(*) as item_shingles from item_shingles group by item_row),
+doc_shingles as (
+    select distinct row, doc_id, width, array_to_string(w[i: i + width - 1], ' ') as shingle
+    from (select * from docs, (select distinct width from item_shingles) where len(w) >= width),
+        lateral (select unnest(range(1, len(w) - width + 2)) as i))
+select doc_id, item_id, item_shingles, count(*) as shared, count(*) / item_shingles as containment
+from doc_shingles join item_shingles using (width, shingle) join sizes using (item_row)
+group by row, doc_id, item_row, item_id, item_shingles having 5 * count(*) >= 4 * item_shingles
+"""
+
+
+@registered(_DECONTAMINATION)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _secrets_sql() -> str:
     """The same spans from DuckDB's regular expressions; entropy by counting each window anew."""
     assign = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -130,6 +169,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered()
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth row, by learned partitions."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 @registered()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from learnt subword vectors."""

@@ -63,24 +63,27 @@ def letter_codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.repeat(np.arange(len(texts)), [len(t or b"") for t in texts])
 
 
+def rolled(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hash of the ``width`` words from each place on, also across the ends of texts."""
+    found = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
+    for place in range(width):
+        found = found * _TURN + hashes[place: place + len(found)]
+    return mix(found + np.uint64(width))
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    ordered = np.sort(values)
+    return ordered[np.concatenate(([True], ordered[1:] != ordered[:-1]))] if len(ordered) else ordered
+
+
 def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     hashes, firsts = words(texts)
-    rolled = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
-    for place in range(width):
-        rolled = rolled * _TURN + hashes[place: place + len(rolled)]
-    rolled = mix(rolled + np.uint64(width))
+    shingles = rolled(hashes, width)
     found = []
     for begin, end in zip(firsts[:-1].tolist(), firsts[1:].tolist()):
         if end - begin >= width:
-            sorted_hashes = np.sort(rolled[begin: end - width + 1])
-            found.append(sorted_hashes[np.concatenate(([True], sorted_hashes[1:] != sorted_hashes[:-1]))])
-        elif end > begin:
-            whole = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for word in hashes[begin:end]:
-                    whole = whole * _TURN + word
-                found.append(mix(np.array([whole + np.uint64(end - begin)], np.uint64)))
+            found.append(distinct(shingles[begin: end - width + 1]))
         else:
-            found.append(np.empty(0, np.uint64))
+            found.append(rolled(hashes[begin:end], end - begin) if end > begin else hashes[:0])
     return found
