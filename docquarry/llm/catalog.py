@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docquarry.llm import (
     decontaminate,
+    jaccard,
     neighbours,
     packing,
     quality,
@@ -159,6 +160,32 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.crc32_of_ids(repair.read_documents(spark, folder))
 
 
+_JACCARD = f"""
+with recursive docs as (select row_number() over () as row, doc_id, {_words_sql('text')} as w from documents),
+shingles as (
+    select distinct row, doc_id, case when len(w) < 3 then array_to_string(w, ' ') else array_to_string(w[i: i + 2], ' ') end as shingle
+    from docs, lateral (select unnest(range(1, greatest(len(w) - 1, 2))) as i) where len(w) > 0),
+sizes as (select row, doc_id, count(*) as n, list_sort(list(shingle)) as all_shingles from shingles group by row, doc_id),
+classes as (select all_shingles, n, min(doc_id) as head from sizes where doc_id is not null group by all_shingles, n),
+members as (select head, n, unnest(all_shingles) as shingle from classes),
+pairs as (
+    select a.head as a, b.head as b from members a join members b using (shingle)
+    where a.head < b.head group by a.head, b.head, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+edges as (select a, b from pairs union select b, a from pairs),
+reach(a, b) as (select a, b from edges union select r.a, e.b from reach r join edges e on r.b = e.a),
+lowest as (select a as head, least(a, min(b)) as component from reach group by a)
+select docs.doc_id, coalesce(sizes.n, 0) as n_shingles,
+    case when docs.doc_id is not null then coalesce(component, classes.head, docs.doc_id) end as component_id
+from docs left join sizes using (row) left join classes using (all_shingles) left join lowest using (head)
+"""
+
+
+@registered(_JACCARD)
+def op6_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under Jaccard links of 0.9 between sets of three-word shingles."""
+    return jaccard.component_ids(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @registered()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document from its nearest labelled examples."""

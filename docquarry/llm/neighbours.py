@@ -33,7 +33,7 @@ GRAPH = 10
 PART_ROWS = 512
 MOST_PARTS = 256
 HIDDEN = 64
-RECALL = 0.98
+RECALL = 0.95
 CELL_ROWS = 16_384
 CELL_QUERIES = 2048
 NEAREST = 10
