@@ -68,6 +68,16 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.
         yield batch.slice(begin)
 
 
+def filtered(docs: DataFrame, text: str, stays) -> DataFrame:
+    """The rows, with all their columns, whose texts pass: ``stays`` takes a list of texts and returns a mask."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, text):
+            yield batch.filter(pa.array(stays(binary_values(column(batch, text))), pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def binary_values(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each text, without decoding them."""
     return column.cast(pa.binary()).to_pylist() if pa.types.is_string(column.type) else column.to_pylist()
@@ -78,6 +88,6 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 __all__ = [
-    "STEP_BYTES", "binary_values", "column", "held_out", "labelled_sample", "learnable", "shared_path", "steps", "store",
+    "STEP_BYTES", "binary_values", "column", "filtered", "held_out", "labelled_sample", "learnable", "shared_path", "steps", "store",
     "table",
 ]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import binary_values, column, steps
+from docquarry.llm.common import binary_values, column, filtered, steps
 from docquarry.llm.shingles import distinct, rolled, words
 
 WORDS = 5
@@ -153,11 +153,10 @@ def without_items(docs: DataFrame, benchmark: DataFrame, width: int = WORDS, sha
     for items in _blocks(benchmark, item, text, width, share):
         known = docs.sparkSession.sparkContext.broadcast(items)
 
-        def kept(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
-            for batch in steps(batches, text):
-                stays = np.ones(batch.num_rows, bool)
-                stays[[t for t, _, _ in search(known.value, binary_values(column(batch, text)))]] = False
-                yield batch.filter(pa.array(stays))
+        def stays(texts: list[bytes | None], known=known) -> np.ndarray:
+            mask = np.ones(len(texts), bool)
+            mask[[t for t, _, _ in search(known.value, texts)]] = False
+            return mask
 
-        docs = docs.mapInArrow(kept, docs.schema)
+        docs = filtered(docs, text, stays)
     return docs

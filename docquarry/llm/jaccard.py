@@ -444,3 +444,22 @@ def component_ids(
     return sizes.join(known, "digest", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     )
+
+
+def without_repeats(
+    docs: DataFrame, width: int = 5, share: tuple[int, int] = (4, 5), text: str = "text", doc: str = "doc_id"
+) -> DataFrame:
+    """One document of each component, with all its columns: the one with the smallest id.
+
+    Rows without an id all stay. Of rows that repeat an id one stays.
+    """
+    found = component_ids(docs, width, share, text, doc).where("doc_id is not null")
+    found = store(found.select(F.col("doc_id").alias("_own_id"), "component_id"), "component_ids")
+    gone = store(found.where("_own_id <> component_id").select("_own_id").distinct(), "repeats")
+    twice = store(found.groupBy("_own_id").count().where("count > 1").select("_own_id"), "repeated_ids")
+    own_id = docs[doc].cast("long") == F.col("_own_id")
+    kept = docs.join(gone, own_id, "left_anti")
+    if twice.isEmpty():
+        return kept
+    repeated = kept.join(twice, own_id, "left_semi").dropDuplicates([doc])
+    return kept.join(twice, own_id, "left_anti").unionByName(repeated)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docquarry.llm.common import binary_values, column, labelled_sample, steps
+from docquarry.llm.common import binary_values, column, filtered, labelled_sample, steps
 from docquarry.llm.shingles import letter_codes, mix, words
 
 SAMPLE = 3000
@@ -144,6 +144,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     return rows.mapInArrow(scored, f"{kept_schema}, score double")
 
 
+def without_rejected(docs: DataFrame, model: Model, text: str = "text", cut: float = CUT) -> DataFrame:
+    """The documents, with all their columns, whose score is at least ``cut``."""
+    known = docs.sparkSession.sparkContext.broadcast(model)
+    least = float(np.log(cut / (1 - cut)))
+    return filtered(docs, text, lambda texts: log_odds(known.value, texts) >= least)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE) -> Model:
     _, texts, marks = labelled_sample(docs, labels, label, most, SAMPLE_BYTES)
     return train(texts, marks)

@@ -194,27 +194,28 @@ def joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """Replace every secret by a mark; overlapping spans are replaced together, null texts stay null."""
-    rows = find_secrets(docs.withColumn("_body", F.col(text)), "_body")
+def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", length: str | None = None) -> DataFrame:
+    """Replace every secret by a mark; overlapping spans go together, null texts stay null, other columns too.
+
+    ``length`` names a column that holds the number of characters and is set anew where the text changes.
+    """
+    found = find_secrets(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("body")), "body")
 
     def put(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        between = F.substring(F.col("_body"), state["at"] + 1, span["start"] - state["at"])
+        between = F.substring(F.col("body"), state["at"] + 1, span["start"] - state["at"])
         return F.struct(
             F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], between, F.lit(mark))).otherwise(state["out"]).alias("out"),
+            F.when(span["start"] >= state["at"], F.concat(state["out"], between, F.lit(mark))).otherwise(state["out"]).alias("out"),
         )
 
+    def rest(state: Column) -> Column:
+        return F.concat(state["out"], F.substring(F.col("body"), state["at"] + 1, F.length("body") - state["at"]))
+
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(
-        "secret_spans",
-        start,
-        put,
-        lambda s: F.concat(s["out"], F.substring(F.col("_body"), s["at"] + 1, F.length("_body") - s["at"])),
-    )
-    kept = [c for c in docs.columns if c != text]
-    clean = F.when(F.size("secret_spans") > 0, clean).otherwise(F.col("_body"))
-    return rows.select(*[clean.alias(text) if c == text else F.col(c) for c in docs.columns]) if kept else rows.select(
-        clean.alias(text)
-    )
+    clean = F.when(F.size("secret_spans") > 0, F.aggregate("secret_spans", start, put, rest)).otherwise(F.col("body"))
+    rows = found.select("row", clean.alias("clean"), (F.size("secret_spans") > 0).alias("changed"))
+    columns = {c: F.col("row")[c] for c in docs.columns} | {text: F.col("clean")}
+    if length in columns:
+        kind = docs.schema[length].dataType
+        columns[length] = F.when(F.col("changed"), F.length("clean").cast(kind)).otherwise(columns[length])
+    return rows.select(*[column.alias(name) for name, column in columns.items()])
