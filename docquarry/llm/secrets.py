@@ -107,6 +107,10 @@ def _labelled(spans: Column, kind: str, order: int) -> Column:
     )
 
 
+def _long_enough(spans: Column, least: int) -> Column:
+    return F.filter(spans, lambda s: s["value"] >= least)
+
+
 def dense_window(candidate: Column) -> Column:
     """First start and last end of the windows whose entropy reaches the class's threshold, or nulls."""
     weights = F.array(*[F.lit(w).cast("long") for w in WEIGHTS])
@@ -175,9 +179,7 @@ def find_secrets(docs: DataFrame, text: str = "text", patterns: tuple[Pattern, .
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     found = {}
     for order, pattern in enumerate(patterns):
-        spans = F.filter(
-            located(body, pattern.regex, pattern.group), lambda s, least=pattern.least: s["value"] >= least
-        )
+        spans = _long_enough(located(body, pattern.regex, pattern.group), pattern.least)
         found[f"_{pattern.kind}"] = _labelled(spans, pattern.kind, order)
     found["_entropy"] = _labelled(dense_spans(body), "entropy", len(patterns))
     rows = docs.withColumns(found)
