@@ -15,8 +15,8 @@ class Index:
     """Tables of a document-partitioned index.
 
     ``postings(doc_id, term, tf, length)`` is hash-distributed on ``doc_id`` and sorted by term
-    within each file: a query batch reads only the pages that hold its terms, every common term is
-    spread over all files, and scores add up per document without a shuffle.
+    within each file: every common term is spread over all files, and scores add up per document
+    without a shuffle. A batch of queries reads all postings.
     """
 
     postings: DataFrame
@@ -62,7 +62,8 @@ def overwriting_postings(tokens: DataFrame, order: str) -> DataFrame:
     A term only an earlier copy holds stays. ``tokens`` has ``doc_id``, ``order`` and ``tokens``.
     """
     per_copy = (
-        tokens.select("doc_id", order, F.explode("tokens").alias("term"))
+        tokens.select("doc_id", order, F.explode_outer("tokens").alias("term"))
+        .where("term is not null")
         .groupBy("doc_id", "term", order)
         .agg(F.count(F.lit(1)).cast("int").alias("tf"))
     )
@@ -73,8 +74,22 @@ def overwriting_lengths(tokens: DataFrame, order: str) -> DataFrame:
     return tokens.groupBy("doc_id").agg(F.max_by(F.size("tokens"), F.col(order)).alias("length"))
 
 
-def build_index(corpus: DataFrame) -> Index:
-    stored = store(postings(corpus), "postings", bucket_by="doc_id", sort_by=("term",), distributed=True)
+def build_index(corpus: DataFrame, on_duplicate: str = "last", order: str | None = None) -> Index:
+    """The index of ``(doc_id, tokens)``.
+
+    ``on_duplicate="last"`` expects unique ids (see ``build_corpus``). With ``"overwrite"`` ids may
+    repeat, and a later row by ``order`` overwrites term by term: a term that only an earlier copy
+    holds stays, lengths are those of the last copy, and every copy counts in the statistics.
+    """
+    if on_duplicate not in ("last", "overwrite"):
+        raise ValueError("on_duplicate is 'last' or 'overwrite'")
+    if on_duplicate == "last":
+        stored = store(postings(corpus), "postings", bucket_by="doc_id", sort_by=("term",), distributed=True)
+    else:
+        rows = overwriting_postings(corpus, order).join(overwriting_lengths(corpus, order), "doc_id")
+        stored = store(
+            rows.select("doc_id", "term", "tf", "length"), "postings", bucket_by="doc_id", sort_by=("term",)
+        )
     frequencies = store(doc_freq(stored), "doc_freq")
     stats = corpus_stats(corpus).first()
     return Index(stored, frequencies, stats.total_documents, stats.avgdl)

@@ -20,7 +20,10 @@ def clean_id_map(rows: DataFrame, order: str, source: str = "DocID", target: str
 
 
 def parse_judgments(lines: DataFrame, order: str, line: str = "line") -> DataFrame:
-    """``(order, label, source_id, rel)`` from lines with exactly three fields."""
+    """``(order, label, source_id, rel)`` from lines with exactly three fields.
+
+    ``rel`` stays text: only judgments that pass the label and id filters must hold a number.
+    """
     fields = F.split(F.regexp_replace(line, r"(?U)^\s+|\s+$", ""), r"(?U)\s+")
     return (
         lines.select(order, fields.alias("fields"))
@@ -29,7 +32,7 @@ def parse_judgments(lines: DataFrame, order: str, line: str = "line") -> DataFra
             order,
             F.col("fields")[0].alias("label"),
             F.col("fields")[1].alias("source_id"),
-            F.col("fields")[2].cast("int").alias("rel"),
+            F.col("fields")[2].alias("rel"),
         )
     )
 
@@ -51,8 +54,11 @@ def skipped_judgments(parsed: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def mapped_judgments(kept: DataFrame, ids: DataFrame) -> DataFrame:
-    """Judgment lines with the act id; lines whose id has no match drop out."""
-    return kept.join(ids, "source_id")
+    """Judgment lines with the act id and ``rel`` as a number; lines whose id has no match drop out.
+
+    The cast stands behind the join: a plan may not move one that can fail below it.
+    """
+    return kept.join(ids, "source_id").withColumn("rel", F.when(F.col("doc_id").isNotNull(), F.col("rel").cast("int")))
 
 
 def final_judgments(mapped: DataFrame, order: str) -> DataFrame:
@@ -60,7 +66,7 @@ def final_judgments(mapped: DataFrame, order: str) -> DataFrame:
     return mapped.groupBy("qid", "doc_id").agg(F.max_by("rel", order).alias("rel"))
 
 
-def evaluation_queries(mapped: DataFrame, order: str, limit: int | None = 500) -> DataFrame:
-    """Query texts in order of their first judgment; ``limit`` None keeps all."""
+def evaluation_queries(mapped: DataFrame, order: str, limit: int | None = None) -> DataFrame:
+    """Query texts with the place of their first judgment; ``limit`` keeps the first ones only."""
     first = mapped.groupBy("qid").agg(F.min(order).alias("first_seen"))
     return first if limit is None else first.orderBy("first_seen", "qid").limit(limit)

@@ -45,7 +45,7 @@ class TagIndex:
     combos: DataFrame
 
     def label_index(self) -> DataFrame:
-        return self.doc_labels.select(F.explode("labels").alias("label"), "doc_id")
+        return self.doc_labels.select(F.explode_outer("labels").alias("label"), "doc_id").where("label is not null")
 
 
 def tag_documents(vectors: DataFrame, model: LinearModel) -> DataFrame:
@@ -181,7 +181,8 @@ def search(
     without results has one row with a NULL rank.
     """
     tokenized = with_query_tokens(queries.select("qid", "raw_query", "target_label"), settings=settings)
-    tags = classify_queries(tokenized, tagger, query_text, settings)
+    # Stored: the plan below reads the tags of each query more than once.
+    tags = store(classify_queries(tokenized, tagger, query_text, settings), "query_tags")
     chosen = store(
         choose_methods(tokenized, tags, tag_index, tagger.model.labels, strict_label_match), "search_plan"
     )

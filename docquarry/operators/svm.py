@@ -3,12 +3,14 @@
 Each label minimises ``0.5 * (|w|^2 + b^2) + C * sum(max(0, 1 - y * (w.x + b))^2)``. Executors
 compute loss and gradient of all labels in one pass over their rows, Spark adds the parts up by
 label, and the driver takes an L-BFGS step. Driver and task hold matrices of labels x vocabulary,
-both bounded by settings (100 x 50,000 doubles are 40 MB).
+both bounded by settings (100 x 50,000 doubles are 40 MB); the driver also keeps two such matrices
+for each of the last five steps.
 """
 
 from __future__ import annotations
 
 import sys
+import warnings
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +40,8 @@ class LinearModel:
     labels: list[str]
     weights: np.ndarray
     intercepts: np.ndarray
+    # Per label, whether the fit reached its tolerance; True for models that were not fitted.
+    converged: np.ndarray | None = None
 
     def to_table(self, spark: SparkSession) -> DataFrame:
         """One row per label: ``(rank, label, intercept, weights)``."""
@@ -65,8 +69,11 @@ class LinearModel:
         """From rows ``(label, idx, coef)``, at most labels x vocabulary of them; absent ones are 0."""
         weights = np.zeros((len(labels), features))
         place = {label: i for i, label in enumerate(labels)}
-        for row in coefficients.select("label", "idx", "coef").toLocalIterator():
-            weights[place[row.label], row.idx] = row.coef
+        by_label = coefficients.groupBy("label").agg(
+            F.collect_list("idx").alias("idx"), F.collect_list("coef").alias("coef")
+        )
+        for label, idx, coef in zip(*by_label.toArrow().select(["label", "idx", "coef"])):
+            weights[place[label.as_py()], idx.values.to_numpy()] = coef.values.to_numpy()
         return cls(labels, weights, np.full(len(labels), intercept))
 
 
@@ -106,8 +113,7 @@ def margin_column(spark: SparkSession, model: LinearModel, indices: Column, valu
         out = np.empty((len(index_lists), len(intercepts)))
         for rows, features, matrix in _blocks(index_lists, value_lists):
             out[rows] = matrix @ by_feature[features] + intercepts
-        width = len(intercepts)
-        ends = np.arange(0, out.size + 1, width, dtype=np.int32)
+        ends = np.arange(len(index_lists) + 1, dtype=np.int32) * len(intercepts)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
 
     return margins(indices, values)
@@ -123,6 +129,8 @@ def predicted_labels(margins: Column, labels: list[str]) -> Column:
 
     Margins are rounded to nine places first, so the order of a sum cannot decide the sign.
     """
+    if not labels:
+        return F.array().cast("array<string>")
     pairs = F.zip_with(
         F.array(*[F.lit(label) for label in labels]), margins,
         lambda label, margin: F.when(F.round(margin, 9) > 0, label),
@@ -135,7 +143,8 @@ def long_margins(vectors: DataFrame, model: LinearModel, key: str = "doc_id") ->
     names = F.array(*[F.lit(label) for label in model.labels])
     return (
         with_margins(vectors, model)
-        .select(key, F.posexplode("margins").alias("pos", "margin"))
+        .select(key, F.posexplode_outer("margins").alias("pos", "margin"))
+        .where("pos is not null")
         .select(key, F.get(names, F.col("pos")).alias("label"), "margin")
     )
 
@@ -250,9 +259,9 @@ def fit_labels(
     settings: Settings = DEFAULTS,
     tolerance: float = 1e-4,
     max_passes: int = 300,
-    memory: int = 20,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights, intercepts and final objective per label.
+    memory: int = 5,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Weights, intercepts, final objective, and whether the tolerance was reached, per label.
 
     ``train`` has ``indices``, ``values`` and ``targets`` (label positions). One pass over it
     serves the trial points of all labels that are still moving; a label stops when its gradient
@@ -270,12 +279,13 @@ def fit_labels(
     moving = (positives > 0) & (positives < rows)
     active = np.flatnonzero(moving)
     if not len(active):
-        return point[:, :-1], point[:, -1], value
+        return point[:, :-1], point[:, -1], value, np.ones(labels, bool)
     # The curvature of a coordinate, with about a third of the rows inside the margin.
     curvature = 1.0 + 2.0 * settings.svc_c * np.append(feature_energy(train, features), rows) / 3.0
     scale = 1.0 / curvature
     value[active], gradient[active] = evaluate(active, point[active])
-    goal = tolerance * np.minimum(positives, rows - positives) / rows * np.linalg.norm(gradient, axis=1)
+    goal = np.zeros(labels)
+    goal[:] = tolerance * np.minimum(positives, rows - positives) / rows * np.linalg.norm(gradient, axis=1)
     histories = [deque(maxlen=memory) for _ in range(labels)]
     direction = -gradient * scale
     length = np.ones(labels)
@@ -298,7 +308,7 @@ def fit_labels(
             moving[label] = np.linalg.norm(trial_gradient) > goal[label]
             direction[label] = _direction(trial_gradient, histories[label], scale)
             length[label] = 1.0
-    return point[:, :-1], point[:, -1], value
+    return point[:, :-1], point[:, -1], value, np.linalg.norm(gradient, axis=1) <= goal
 
 
 def fitting_tasks(train: DataFrame, features: int) -> int:
@@ -324,8 +334,11 @@ def fit_model(
     positives, rows = label_support(train, len(labels))
     # Every pass reads the rows again; a lost executor's part comes back from the stored table.
     cached = train.coalesce(fitting_tasks(train, features)).persist(StorageLevel.MEMORY_AND_DISK)
-    weights, intercepts, objective = fit_labels(cached, positives, rows, features, settings, **options)
+    weights, intercepts, objective, converged = fit_labels(cached, positives, rows, features, settings, **options)
     cached.unpersist()
+    if not converged.all():
+        stuck = [label for label, done in zip(labels, converged) if not done]
+        warnings.warn(f"the fit stopped before its tolerance for {len(stuck)} labels: {stuck[:5]}", stacklevel=2)
     for constant, sign in ((positives == 0, -np.inf), (positives == rows, np.inf)):
         intercepts[constant] = sign
-    return LinearModel(labels, weights, intercepts), objective
+    return LinearModel(labels, weights, intercepts, converged), objective

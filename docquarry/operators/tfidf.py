@@ -31,7 +31,8 @@ def with_grams(corpus: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def document_gram_counts(grams: DataFrame) -> DataFrame:
     """``(doc_id, gram, tf)``; needs no shuffle when the rows are distributed on ``doc_id``."""
     return (
-        grams.select("doc_id", F.explode("grams").alias("gram"))
+        grams.select("doc_id", F.explode_outer("grams").alias("gram"))
+        .where("gram is not null")
         .groupBy("doc_id", "gram")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -100,7 +100,9 @@ def text_cap(s: Stages) -> DataFrame:
     select doc_id, unnest(tokens) as token, generate_subscripts(tokens, 1) - 1 as pos from corpus""")
 def tokens(s: Stages) -> DataFrame:
     acts = corpus.with_tokens(spread(s.acts(), "row_no"))
-    return acts.select(F.col("CELEX").alias("doc_id"), F.posexplode("tokens").alias("pos", "token"))
+    # Outer, so that no test of the array, and with it the tokenizer, is pushed below the explosion.
+    rows = acts.select(F.col("CELEX").alias("doc_id"), F.posexplode_outer("tokens").alias("pos", "token"))
+    return rows.where("pos is not null")
 
 
 @registered("select doc_id, array_to_string(tokens, ' ') as joined from corpus")
@@ -110,7 +112,7 @@ def tokens_joined(s: Stages) -> DataFrame:
 
 @registered("select qid, unnest(tokens) as token, generate_subscripts(tokens, 1) - 1 as pos from queries")
 def query_tokens(s: Stages) -> DataFrame:
-    return s.queries().select("qid", F.posexplode("tokens").alias("pos", "token"))
+    return s.queries().select("qid", F.posexplode_outer("tokens").alias("pos", "token")).where("pos is not null")
 
 
 # --- index ---
@@ -286,8 +288,7 @@ def svc_margin(s: Stages) -> DataFrame:
 
 @registered("select label, doc_id from label_index")
 def label_index(s: Stages) -> DataFrame:
-    tagged = search.tag_documents(s.vectors(), s.tagger.model)
-    return tagged.select(F.explode("labels").alias("label"), "doc_id")
+    return s.tag_index.label_index()
 
 
 @registered("""
@@ -302,7 +303,7 @@ def label_index_stats(s: Stages) -> DataFrame:
 @registered("select qid, label, row_number() over (partition by qid order by rank) - 1 as pos from query_labels")
 def query_tags(s: Stages) -> DataFrame:
     tags = search.classify_queries(s.queries(), s.tagger)
-    return tags.select("qid", F.posexplode("labels").alias("pos", "label"))
+    return tags.select("qid", F.posexplode_outer("labels").alias("pos", "label")).where("pos is not null")
 
 
 @registered("select label, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from label_report")
@@ -412,7 +413,7 @@ def id_map_clean(s: Stages) -> DataFrame:
 
 @registered("select line_no, label, source_id, rel from judged")
 def qrels_parsed(s: Stages) -> DataFrame:
-    return s.parsed_judgments()
+    return s.parsed_judgments().withColumn("rel", F.col("rel").cast("int"))
 
 
 @registered("select qid, doc_id, rel from final_judged")
@@ -427,9 +428,9 @@ def qrels_skipped(s: Stages) -> DataFrame:
     return judgments.skipped_judgments(s.parsed_judgments(), s.label_vocabulary)
 
 
-@registered("select qid, first_seen from eval_set")
+@registered("select qid, first_seen from eval_set order by first_seen, qid limit 500")
 def eval_queries(s: Stages) -> DataFrame:
-    return s.evaluation_queries()
+    return s.evaluation_queries(500)
 
 
 @registered("select qid, doc_id, round(score, 6) as score, rank from eval_ranked")

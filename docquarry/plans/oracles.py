@@ -159,7 +159,7 @@ STEPS: dict[str, str] = {
                                  then 1.0::double else -1.0::double end as coef
         from (select p.label, v.gram, any_value(v.df) as df, count(*) as a
               from vocab v join gram_tf g on g.gram = v.gram join train_pairs p on p.doc_id = g.doc_id
-              where v.idx < 200 group by p.label, v.gram) join label_sizes using (label)""",
+              group by p.label, v.gram) join label_sizes using (label)""",
     "margins": """
         select d.doc_id, t.label, t.rank, coalesce(m, 0) + %(INTERCEPT)s as margin
         from corpus d cross join top_labels t left join
@@ -265,7 +265,7 @@ STEPS: dict[str, str] = {
         select qid, doc_id, arg_max(rel, line_no) as rel from mapped_judged group by qid, doc_id""",
     "eval_set": """
         select qid, min(line_no) as first_seen from mapped_judged group by qid
-        order by first_seen, qid limit 500""",
+""",
     "eval_terms": f"""
         select qid, term, count(*) as qtf from (select qid, unnest({_tokens('qid', False)}) as term from eval_set)
         group by qid, term""",

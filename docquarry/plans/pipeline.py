@@ -17,8 +17,7 @@ from docquarry.plans.fixtures import id_map, judgment_lines, query_set, raw_acts
 from docquarry.session import store
 
 
-# Grams of the fixed coefficient table, and its intercept.
-SIGN_GRAMS = 200
+# Intercept of the fixed coefficient table.
 INTERCEPT = -0.0625
 
 
@@ -26,11 +25,11 @@ def sign_coefficients(train_pairs: DataFrame, train_grams: DataFrame, vocabulary
     """A coefficient table that SQL can rebuild.
 
     +1 where a gram's share of documents is greater with the label than without it, else -1, over
-    the most frequent grams that occur with the label. Shares are compared as whole numbers.
+    all grams of the vocabulary that occur with the label. Shares are compared as whole numbers.
     """
-    top = F.broadcast(vocabulary.where(F.col("idx") < SIGN_GRAMS).select("gram", "idx", "df"))
+    known = F.broadcast(vocabulary.select("gram", "idx", "df"))  # at most max_features rows
     together = (
-        train_grams.join(top, "gram")
+        train_grams.join(known, "gram")
         .join(train_pairs, "doc_id")
         .groupBy("label", "idx", "df")
         .agg(F.count(F.lit(1)).alias("both"))
@@ -175,16 +174,14 @@ class Stages:
 
         return self.once("mapped_judgments", build)
 
-    def evaluation_queries(self) -> DataFrame:
-        return judgments.evaluation_queries(self.mapped_judgments, "line_no")
+    def evaluation_queries(self, limit: int | None = None) -> DataFrame:
+        return judgments.evaluation_queries(self.mapped_judgments, "line_no", limit)
 
     @property
     def evaluation_judgments(self) -> DataFrame:
         def build() -> DataFrame:
             final = judgments.final_judgments(self.mapped_judgments, "line_no")
-            # At most 500 queries.
-            chosen = F.broadcast(self.evaluation_queries().select("qid"))
-            return store(final.join(chosen, "qid", "left_semi"), "evaluation_judgments")
+            return store(final.join(self.evaluation_queries().select("qid"), "qid", "left_semi"), "evaluation_judgments")
 
         return self.once("evaluation_judgments", build)
 

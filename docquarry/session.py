@@ -87,14 +87,29 @@ def store(
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash rows over all cores when a scan has fewer tasks than the cluster has cores.
 
-    Large inputs have many splits and pass through unchanged.
+    Large inputs have many splits and pass through unchanged. Only file sizes are asked for; no job runs.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jvm.org.apache.spark.sql.internal.SQLConf.get().filesMaxPartitionBytes())
+    if input_bytes(df, cores * split) >= cores * split:
         return df
     return df.repartition(cores, key)
 
 
+def input_bytes(df: DataFrame, enough: int) -> int:
+    """Bytes of the files that the plan reads, counted until there are ``enough``."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    total = 0
+    for name in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+        if total >= enough:
+            break
+    return total
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 

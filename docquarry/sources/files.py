@@ -19,10 +19,12 @@ log = logging.getLogger(__name__)
 def file_order() -> Column:
     """Sortable place of a row: file, block within the file, row within the task.
 
-    Only valid in the first select on a scan. No global numbering, so no single task.
+    Only valid in the first select on a scan. No global numbering, so no single task. Digits in
+    paths compare as numbers, so ``2.csv`` comes before ``10.csv``.
     """
+    runs = F.regexp_extract_all(F.col("_metadata.file_path"), F.lit(r"\d+|\D+"), F.lit(0))
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.transform(runs, lambda run: F.when(run.rlike(r"^\d+$"), F.lpad(run, 24, "0")).otherwise(run)).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
