@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docquarry.llm import decontaminate, jaccard, packing, quality, secrets
-from docquarry.llm.common import store, table
+from docquarry.llm.common import reachable, store, table
 from docquarry.llm.tokens import vocabulary_path
 
 # No SQL: the classifier is trained, and texts are tokenized by a library.
@@ -56,6 +56,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), name)
