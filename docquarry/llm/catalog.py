@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from docquarry.llm import (
     warc,
     wordpiece,
 )
-from docquarry.llm.common import held_out, shared_path, table
+from docquarry.llm.common import held_out, reachable, shared_path, table
 from docquarry.llm.tokens import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,7 +29,12 @@ ORACLES: dict[str, str] = {}
 
 def registered(oracle: str | None = None):
     def add(query: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[query.__name__] = query
+        @wraps(query)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reachable(spark)
+            return query(spark, sf_dir)
+
+        QUERIES[query.__name__] = run
         if oracle is not None:
             ORACLES[query.__name__] = oracle
         return query

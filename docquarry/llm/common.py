@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,17 @@ from docquarry.session import shared_folder, store
 STEP_BYTES = 1 << 20
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, however the driver was started.
+
+    Clusters without a shared installation get the package by ``--py-files`` as usual.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    held = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in held.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, held]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return rows.select(*columns) if columns else rows
@@ -57,8 +71,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
-        sizes = [len(x) if x is not None else 0 for x in binary_values(column)]
+        sizes = pc.binary_length(column(batch, text)).fill_null(0).to_pylist()
         begin = held = 0
         for row, size in enumerate(sizes):
             if row > begin and held + size > STEP_BYTES:
@@ -88,6 +101,6 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 __all__ = [
-    "STEP_BYTES", "binary_values", "column", "filtered", "held_out", "labelled_sample", "learnable", "shared_path", "steps", "store",
+    "STEP_BYTES", "binary_values", "column", "filtered", "held_out", "labelled_sample", "learnable", "reachable", "shared_path", "steps", "store",
     "table",
 ]

@@ -173,7 +173,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     counts = {r["length"]: r["count"] for r in by_length.collect()}  # at most ``capacity`` rows
     parts = plan(counts, capacity)
 
-    buckets = max(1, -(-max(counts.values(), default=1) // BUCKET_PIECES))
+    most = max(counts.values(), default=1)
+    buckets = max(-(-most // BUCKET_PIECES), min(most, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("number"), F.lit(buckets)))
     sizes = pieces.groupBy("length", "bucket").count()
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

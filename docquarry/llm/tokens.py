@@ -9,6 +9,7 @@ The memory is bounded: a worker forgets its pieces after ``PIECES`` of them.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -16,12 +17,16 @@ from itertools import chain, repeat
 
 import numpy as np
 
-PIECES = 500_000
+PIECES = 1_000_000
 _WHITE, _BLACK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 # A run without white space and the one space before it; white space up to the last one before a run.
 _KEEPING = re.compile(rf" ?{_BLACK}+|{_WHITE}+(?!{_BLACK})|{_WHITE}+")
 _BARE = re.compile(rf"{_BLACK}+")
-_ENDING = frozenset(".,;:!?")
+# Latin letters, perhaps after a space, and marks: characters that normalization leaves alone.
+_WORD = re.compile("( ?[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+# How byte-level vocabularies print bytes: printable ones as themselves, the others from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+PRINTED = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _UPPER = re.compile("[A-Z]+")
 
 
@@ -40,6 +45,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.drops_white_space = drops_white_space
         self._forget()
 
@@ -61,30 +67,50 @@ class PieceEncoder:
         return text.split()
 
     def _learn(self, fresh: list[str]) -> None:
-        """Encode the pieces; a sentence mark after a letter is always cut off, so it is encoded apart."""
-        bare = {}
+        """Encode the pieces. A word with marks after it is cut there, as the tokenizers always do."""
+        known, cut, words, others = self.known, {}, {}, []
         for piece in fresh:
-            if len(piece) > 1 and piece[-1] in _ENDING and piece[-2] < "ɐ" and piece[-2].isalpha():
-                bare[piece] = (piece[:-1], piece[-1])
-        single = [p for p in fresh if p not in bare]
-        single += {part for parts in bare.values() for part in parts if part not in self.known} - set(single)
-        self._append(single, [e.ids for e in self.tokenizer.encode_batch_fast(single, add_special_tokens=False)])
-        self._append(list(bare), [[*self._of(a), *self._of(b)] for a, b in bare.values()])
-
-    def _of(self, piece: str) -> list[int]:
-        place = self.known[piece]
-        return self.ids[self.first[place]: self.first[place + 1]].tolist()
-
-    def _append(self, pieces: list[str], ids: list[list[int]]) -> None:
-        if not pieces:
-            return
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        place, end = len(self.known), self.used + int(sizes.sum())
+            found = _WORD.fullmatch(piece)
+            if not found or self.drops_white_space and not piece.islower():
+                others.append(piece)
+                continue
+            word, marks = found.groups()
+            if word not in known:
+                words[word] = None
+            if marks:
+                cut[piece] = (word, marks)
+                if marks not in known and marks not in words:
+                    others.append(marks)
+        # Letters, perhaps after a space: nothing to normalize or split, so the model alone is asked.
+        space, tokenize = chr(PRINTED[0x20]), self.model.tokenize
+        printed = [
+            (space + w[1:] if w[0] == " " else w) if w.isascii() else w.encode().decode("latin-1").translate(PRINTED)
+            for w in words
+        ]
+        found = [[t.id for t in tokenize(p)] for p in printed]
+        self._append(list(words), list(chain.from_iterable(found)), list(map(len, found)))
+        others = list(dict.fromkeys(others))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        self._append(others, list(chain.from_iterable(found)), list(map(len, found)))
+        codes = np.fromiter(map(known.__getitem__, chain.from_iterable(cut.values())), np.int64, 2 * len(cut))
+        ids, sizes = self._ids_of(codes)
+        self._append(list(cut), ids, sizes.reshape(-1, 2).sum(1))
+
+    def _ids_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these pieces in a row, and how many each has."""
+        begin = self.first[codes]
+        sizes = self.first[codes + 1] - begin
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(begin - (ends - sizes), sizes) + np.arange(total)], sizes
+
+    def _append(self, pieces: list[str], ids, sizes) -> None:
+        place, end = len(self.known), self.used + len(ids)
         while end > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while place + len(pieces) + 1 > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-        self.ids[self.used: end] = np.fromiter(chain.from_iterable(ids), np.int32, end - self.used)
+        self.ids[self.used: end] = ids
         self.first[place + 1: place + 1 + len(pieces)] = self.used + np.cumsum(sizes)
         self.used = end
         self.known.update(zip(pieces, range(place, place + len(pieces))))
@@ -98,15 +124,14 @@ class PieceEncoder:
         codes = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
         missing = np.flatnonzero(codes < 0).tolist()
         if missing:
+            gc.disable()  # very many small lists, none of them cyclic
             self._learn(list(dict.fromkeys(flat[i] for i in missing)))
+            gc.enable()
             codes[missing] = [self.known[flat[i]] for i in missing]
-        begin = self.first[codes]
-        sizes = self.first[codes + 1] - begin
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(begin - (ends - sizes), sizes) + np.arange(total)]
+        ids, sizes = self._ids_of(codes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
         bounds = np.cumsum([0, *map(len, cut)])
-        return ids, np.diff(np.concatenate([[0], ends])[bounds])
+        return ids, np.diff(ends[bounds])
 
 
 _encoders: dict[tuple, PieceEncoder] = {}

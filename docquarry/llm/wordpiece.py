@@ -24,29 +24,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docquarry.llm.common import binary_values, column, steps
+from docquarry.llm.tokens import PRINTED
 
 END = 256
 END_TEXT = "</w>"
 WORDS = 500_000
 
 
-def byte_of_letter() -> dict[str, int]:
-    """The letters that byte-level vocabularies print bytes as: printable bytes are themselves, others follow 255."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def pieces_of(path: str) -> list[tuple[int, ...]]:
     """The vocabulary of a tokenizer file, each piece as bytes with ``END`` for the end mark."""
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
-    bytes_of, found = byte_of_letter(), []
+    printed = {chr(PRINTED.get(b, b)): b for b in range(256)}
+    found = []
     for piece in vocabulary:
         closed = piece.endswith(END_TEXT) and piece != END_TEXT
         letters = piece[: -len(END_TEXT)] if closed else piece
-        if letters and all(c in bytes_of for c in letters):
-            found.append((*(bytes_of[c] for c in letters), *([END] if closed else [])))
+        if letters and all(c in printed for c in letters):
+            found.append((*(printed[c] for c in letters), *([END] if closed else [])))
     return found
 
 
