@@ -32,7 +32,7 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 FIRST_RULE = 49_408
 SYMBOLS = 1 << 16
-ROUNDS = 6
+ROUNDS = 4
 # A pair must occur so often to be worth a rule: a rule takes 8 bytes, an occurrence saves 2.
 LEAST = 6
 SHARDS_PER_FILE = 16
