@@ -53,8 +53,8 @@ def neighbour_graph(vectors: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` nearest other vectors of each, in blocks."""
     squares = (vectors**2).sum(1)
     found = []
-    for begin in range(0, len(vectors), 1024):
-        far = squares[begin: begin + 1024, None] + squares - 2 * vectors[begin: begin + 1024] @ vectors.T
+    for begin in range(0, len(vectors), 256):
+        far = squares[begin: begin + 256, None] + squares - 2 * vectors[begin: begin + 256] @ vectors.T
         far[np.arange(len(far)), begin + np.arange(len(far))] = np.inf
         found.append(np.argpartition(far, k, axis=1)[:, :k])
     return np.concatenate(found)
