@@ -18,15 +18,17 @@ def with_tokens(df: DataFrame, text_column: str = TEXT_COLUMN, settings: Setting
 
 
 def with_lemma_table(
-    df: DataFrame, lemmas: DataFrame, key: str, text_column: str = TEXT_COLUMN, settings: Settings = DEFAULTS
+    df: DataFrame, lemmas: DataFrame, key: str, text_column: str = TEXT_COLUMN, settings: Settings = DEFAULTS,
+    letters_only: bool = True,
 ) -> DataFrame:
-    """Like ``with_tokens``, with lemmas looked up in a table ``(surface, lemma)``.
+    """Like ``with_tokens`` (or, without ``letters_only``, the tokens of queries), with lemmas looked up in a table ``(surface, lemma)``.
 
     Words the table lacks fall back to the stemmer. ``key`` must be unique per row. Tokens are
     looked up on exploded words, so the table may be of any size.
     """
     require_columns(df, [text_column, key])
-    surface = df.select(key, F.posexplode(kept_words(F.col(text_column), settings)).alias("pos", "surface"))
+    kept = kept_words(F.col(text_column), settings, letters_only)
+    surface = df.select(key, F.posexplode_outer(kept).alias("pos", "surface")).where("pos is not null")
     found = surface.join(lemmas.select("surface", "lemma"), "surface", "left").select(
         key, "pos", F.coalesce("lemma", singular(F.col("surface"))).alias("token")
     )
@@ -38,7 +40,13 @@ def with_lemma_table(
     )
 
 
-def with_query_tokens(queries: DataFrame, text_column: str = "raw_query", settings: Settings = DEFAULTS) -> DataFrame:
+def with_query_tokens(
+    queries: DataFrame, text_column: str = "raw_query", settings: Settings = DEFAULTS, lemmas: DataFrame | None = None,
+    key: str = "qid",
+) -> DataFrame:
+    """Add ``tokens``; with ``lemmas`` by the same table as the documents."""
+    if lemmas is not None:
+        return with_lemma_table(queries, lemmas, key, text_column, settings, letters_only=False)
     return queries.withColumn("tokens", query_tokens(F.col(text_column), settings))
 
 
@@ -61,21 +69,29 @@ def text_cap_report(df: DataFrame, cap: int, text_column: str = TEXT_COLUMN) ->
     }).withColumn("is_cut", F.col("n_chars") > F.col("n_kept"))
 
 
-def build_corpus(acts: DataFrame, order: str, settings: Settings = DEFAULTS) -> DataFrame:
+def build_corpus(
+    acts: DataFrame, order: str, settings: Settings = DEFAULTS, lemmas: DataFrame | None = None
+) -> DataFrame:
     """Cleaned acts to the stored table ``(doc_id, row_no, tags, tokens)`` with unique ids.
 
+    ``lemmas`` is a table ``(surface, lemma)`` (see ``with_lemma_table``).
+
     The table is hash-distributed on ``doc_id``; postings, n-gram counts, scores and tag tables
     are all grouped by document and so need no shuffle of their own.
     """
     unique = last_copy(acts.select(ID_COLUMN, order, TEXT_COLUMN, TAG_COLUMN), ID_COLUMN, order)
+    if lemmas is None:
+        tokenized = with_tokens(unique, settings=settings)
+    else:
+        tokenized = with_lemma_table(unique, lemmas, ID_COLUMN, settings=settings)
     return store(
-        unique.select(
+        tokenized.select(
             F.col(ID_COLUMN).alias("doc_id"),
             F.col(order).alias("row_no"),
             F.col(TAG_COLUMN).alias("tags"),
-            document_tokens(F.col(TEXT_COLUMN), settings).alias("tokens"),
+            "tokens",
         ),
         "corpus",
         bucket_by="doc_id",
-        distributed=True,
+        distributed=lemmas is None,
     )

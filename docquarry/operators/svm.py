@@ -4,7 +4,7 @@ Each label minimises ``0.5 * (|w|^2 + b^2) + C * sum(max(0, 1 - y * (w.x + b))^2
 compute loss and gradient of all labels in one pass over their rows, Spark adds the parts up by
 label, and the driver takes an L-BFGS step. Driver and task hold matrices of labels x vocabulary,
 both bounded by settings (100 x 50,000 doubles are 40 MB); the driver also keeps two such matrices
-for each of the last five steps.
+for each of the last ten steps.
 """
 
 from __future__ import annotations
@@ -259,7 +259,7 @@ def fit_labels(
     settings: Settings = DEFAULTS,
     tolerance: float = 1e-4,
     max_passes: int = 300,
-    memory: int = 5,
+    memory: int = 10,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Weights, intercepts, final objective, and whether the tolerance was reached, per label.
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.config import ACT_COLUMNS, TEXT_CAP
+from docquarry.config import ACT_COLUMNS, DEFAULTS, TEXT_CAP
 from docquarry.operators import (
     clean,
     corpus,
@@ -24,10 +24,10 @@ from docquarry.operators import (
     tfidf,
 )
 from docquarry.plans import fixtures
-from docquarry.plans.oracles import chain
+from docquarry.plans.oracles import chain, lemma_tokens
 from docquarry.plans.pipeline import Stages, stages
 from docquarry.session import shared_folder, spread, store
-from docquarry.sources import files
+from docquarry.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +115,28 @@ def query_tokens(s: Stages) -> DataFrame:
     return s.queries().select("qid", F.posexplode_outer("tokens").alias("pos", "token")).where("pos is not null")
 
 
+def lemmas(s: Stages) -> DataFrame:
+    return s.once("lemmas", lambda: store(fixtures.lemma_table(s.acts()), "lemmas"))
+
+
+@registered(lemma_tokens("doc_id", "act_raw_text", "last_acts", True))
+def tokens_lemma(s: Stages) -> DataFrame:
+    rows = corpus.build_corpus(s.acts(), "row_no", lemmas=lemmas(s))
+    return rows.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token")).where("pos is not null")
+
+
+@registered(lemma_tokens("qid", "raw_query", "query_set", False))
+def query_tokens_lemma(s: Stages) -> DataFrame:
+    rows = corpus.with_query_tokens(fixtures.query_set(s.spark, s.sf_dir), lemmas=lemmas(s))
+    return rows.select("qid", F.posexplode_outer("tokens").alias("pos", "token")).where("pos is not null")
+
+
+@registered("select doc_id, array_to_string(tokens, ' ') as joined from corpus")
+def corpus_saved(s: Stages) -> DataFrame:
+    path = s.once("saved_corpus", lambda: written(s, "saved_corpus", lambda p: tables.save_corpus(s.corpus, p)))
+    return tables.load_corpus(s.spark, path).select("doc_id", F.array_join("tokens", " ").alias("joined"))
+
+
 # --- index ---
 
 
@@ -200,6 +222,29 @@ def bm25_topk(s: Stages) -> DataFrame:
     return retrieve.top_k(scores, 10).withColumn("score", F.round("score", 6))
 
 
+def top_ten(scores: DataFrame) -> DataFrame:
+    return retrieve.top_k(scores, 10).withColumn("score", F.round("score", 6))
+
+
+_TOP_TEN = """
+    select * from (select qid, doc_id, round(score, 6) as score,
+           row_number() over (partition by qid order by round(score, 9) desc, doc_id) as rank from {scores})
+    where rank <= 10"""
+
+
+@registered(_TOP_TEN.format(scores="dup_scores"))
+def bm25_topk_dup(s: Stages) -> DataFrame:
+    built = s.once("dup_index", lambda: index.build_index(dup_tokens(s), "overwrite", "row_no"))
+    return top_ten(retrieve.bm25_scores(retrieve.weighted_terms(s.queries(), built), built))
+
+
+@registered(_TOP_TEN.format(scores="scores"))
+def index_saved(s: Stages) -> DataFrame:
+    path = s.once("saved_index", lambda: written(s, "saved_index", lambda p: tables.save_index(s.index, p)))
+    loaded = s.once("loaded_index", lambda: tables.load_index(s.spark, path))
+    return top_ten(retrieve.bm25_scores(retrieve.weighted_terms(s.queries(), loaded), loaded))
+
+
 @registered("""
     select q.qid, count(u.doc_id) as total_hits from query_set q left join
       (select distinct t.qid, p.doc_id from query_terms t join postings p on p.term = t.term) u
@@ -286,6 +331,14 @@ def svc_margin(s: Stages) -> DataFrame:
     return svm.long_margins(s.vectors(), s.tagger.model).withColumn("margin", F.round("margin", 6))
 
 
+@registered("select doc_id, label, round(margin, 6) as margin from margins")
+def tagger_saved(s: Stages) -> DataFrame:
+    path = s.once("saved_tagger", lambda: written(s, "saved_tagger", lambda p: tables.save_tagger(s.tagger, p)))
+    loaded = s.once("loaded_tagger", lambda: tables.load_tagger(s.spark, path))
+    vectors = loaded.tfidf.transform(tfidf.with_grams(s.corpus))
+    return svm.long_margins(vectors, loaded.model).withColumn("margin", F.round("margin", 6))
+
+
 @registered("select label, doc_id from label_index")
 def label_index(s: Stages) -> DataFrame:
     return s.tag_index.label_index()
@@ -356,6 +409,44 @@ def svc_fit(s: Stages) -> DataFrame:
     return summary.join(norms, "label", "left")
 
 
+@registered("""
+    select label, true as converged from (select label, nl, (select count(*) from train) as n from label_sizes)
+    where nl < n""")
+def svc_optimality(s: Stages) -> DataFrame:
+    """Whether the gradient at the fitted weights is within the fit's tolerance, in plain SQL terms.
+
+    The gradient of ``0.5 (|w|^2 + b^2) + C sum(max(0, 1 - y m)^2)`` is recomputed from the tf-idf rows and
+    the coefficient rows; at zero every row is short by 1, which gives the gradient to compare with.
+    """
+    model, _ = s.fitted
+    held = s.training_table.select("doc_id", "targets")
+    weights = tfidf.long_weights(s.training_table, s.tfidf)
+    place = F.create_map(*[F.lit(x) for pair in zip(model.labels, range(len(model.labels))) for x in pair])
+    fitted = s.spark.createDataFrame(list(zip(model.labels, map(float, model.intercepts))), "label string, b double")
+    fitted = F.broadcast(fitted.where(F.abs("b") < float("inf")))
+    coefs = store(svm.coefficient_rows(model.to_table(s.spark), s.tfidf.table), "coefficients")
+    sums = weights.join(coefs, "gram").groupBy("doc_id", "label").agg(F.sum(F.col("weight") * F.col("coef")).alias("m"))
+    rows = held.withColumn("label", F.explode(F.array(*[F.lit(name) for name in model.labels])))
+    rows = rows.join(fitted, "label").join(sums, ["doc_id", "label"], "left")
+    sign = F.when(F.array_contains("targets", place[F.col("label")]), 1.0).otherwise(-1.0)
+    short = F.greatest(F.lit(0.0), 1 - F.col("y") * (F.coalesce("m", F.lit(0.0)) + F.col("b")))
+    pulls = rows.withColumn("y", sign).withColumn("pull", -2 * DEFAULTS.svc_c * F.col("y") * short)
+    pulls = pulls.withColumn("pull0", -2 * DEFAULTS.svc_c * F.col("y")).select("doc_id", "label", "y", "b", "pull", "pull0")
+    pulls = store(pulls, "pulls")
+    slopes = weights.join(pulls, "doc_id").groupBy("label", "gram").agg(
+        F.sum(F.col("weight") * F.col("pull")).alias("g"), F.sum(F.col("weight") * F.col("pull0")).alias("g0")
+    )
+    slopes = slopes.join(coefs, ["label", "gram"], "left").groupBy("label").agg(
+        F.sum((F.col("g") + F.coalesce("coef", F.lit(0.0))) ** 2).alias("g"), F.sum(F.col("g0") ** 2).alias("g0")
+    )
+    ends = pulls.groupBy("label").agg(
+        ((F.sum("pull") + F.first("b")) ** 2).alias("e"), (F.sum("pull0") ** 2).alias("e0"),
+        (F.least(F.sum((F.col("y") + 1) / 2), F.sum((1 - F.col("y")) / 2)) / F.count("*")).alias("rarer"),
+    )
+    within = F.sqrt(F.col("g") + F.col("e")) <= 1.001e-4 * F.col("rarer") * F.sqrt(F.col("g0") + F.col("e0"))
+    return slopes.join(ends, "label").select("label", within.alias("converged"))
+
+
 @registered()
 def svc_report(s: Stages) -> DataFrame:
     """Held-out report of the fitted models."""
@@ -529,3 +620,19 @@ def profile_describe(s: Stages) -> DataFrame:
 @registered("select * from wide_acts order by row_no limit 5")
 def profile_head(s: Stages) -> DataFrame:
     return profile.first_rows(fixtures.wide_acts(s.spark, s.sf_dir), "row_no")
+
+
+@registered(" union all ".join(
+    f"select {place} as position, '{name}' as column_name, '{kind}' as type where exists (from wide_acts)"
+    for place, (name, kind) in enumerate(WIDE_TYPES.items())))
+def column_listing(s: Stages) -> DataFrame:
+    return profile.column_types(fixtures.wide_acts(s.spark, s.sf_dir))
+
+
+@registered("select count(*) as rows, true as both_sides from kept_tags")
+def random_split_counts(s: Stages) -> DataFrame:
+    """A seeded random split keeps every row on one side and puts about a fifth into the test."""
+    train, test = labels.random_split(s.kept())
+    sides = train.select(F.lit(0).alias("side")).unionByName(test.select(F.lit(1).alias("side")))
+    share = F.avg("side")
+    return sides.agg(F.count(F.lit(1)).alias("rows"), share.between(0.05, 0.4).alias("both_sides"))

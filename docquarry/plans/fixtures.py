@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.functions.text import words
+
 # Row orders of added rows start here, after every document.
 SECOND = 1_000_000_000
 THIRD = 2_000_000_000
@@ -56,6 +58,13 @@ def raw_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acts.unionByName(stubs)
 
 
+def lemma_table(acts: DataFrame) -> DataFrame:
+    """``(surface, lemma)``: the words of the acts that end in -ing, without it."""
+    found = acts.select(F.explode_outer(words(F.col("act_raw_text"))).alias("surface")).distinct()
+    found = found.where(F.col("surface").endswith("ing") & (F.length("surface") > 5))
+    return found.withColumn("lemma", F.expr("substring(surface, 1, length(surface) - 3)"))
+
+
 def raw_acts_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The acts, then second copies of the toxic documents with other text."""
     acts = raw_acts(spark, sf_dir)

@@ -32,13 +32,25 @@ def _words(text: str) -> str:
     )
 
 
-def _tokens(text: str, letters_only: bool) -> str:
+def _kept(text: str, letters_only: bool) -> str:
     letters = r" and regexp_full_match(x, '\p{L}+')" if letters_only else ""
-    kept = f"list_filter({_words(text)}, lambda x: length(x) >= 2 and not list_contains({_STOP}, x){letters})"
-    return (
-        f"list_transform({kept}, lambda x: regexp_replace(regexp_replace(x, "
-        r"'([^ae])ies$', '\1y'), '([^us])s$', '\1'))"
-    )
+    return f"list_filter({_words(text)}, lambda x: length(x) >= 2 and not list_contains({_STOP}, x){letters})"
+
+
+_STEM = r"regexp_replace(regexp_replace(x, '([^ae])ies$', '\1y'), '([^us])s$', '\1')"
+
+
+def _tokens(text: str, letters_only: bool) -> str:
+    return f"list_transform({_kept(text, letters_only)}, lambda x: {_STEM})"
+
+
+def lemma_tokens(key: str, text: str, source: str, letters_only: bool) -> str:
+    """Tokens with lemmas from the table, one row each."""
+    return f"""
+        select {key}, pos, coalesce(lemma, {_STEM}) as token
+        from (select {key}, unnest(kept) as x, generate_subscripts(kept, 1) - 1 as pos
+              from (select {key}, {_kept(text, letters_only)} as kept from {source}))
+        left join lemma_table on surface = x"""
 
 
 def _gram_words(text: str) -> str:
@@ -114,6 +126,13 @@ STEPS: dict[str, str] = {
         union all select 'E3', 'zzzz qqqq 2024', null
         union all select 'E4', 'Toxic things, things and EN', 'unknown_label'""",
     "queries": f"select *, {_tokens('raw_query', False)} as tokens from query_set",
+    "last_acts": """
+        select CELEX as doc_id, act_raw_text from
+          (select *, row_number() over (partition by CELEX order by row_no desc) as copy from acts) where copy = 1""",
+    "lemma_table": f"""
+        select surface, substr(surface, 1, length(surface) - 3) as lemma
+        from (select distinct unnest({_words('act_raw_text')}) as surface from acts)
+        where surface like '%%ing' and length(surface) > 5""",
     "query_terms": """
         select qid, term, count(*) as qtf from (select qid, unnest(tokens) as term from queries)
         group by qid, term""",
@@ -124,6 +143,22 @@ STEPS: dict[str, str] = {
         from query_terms q join idf i on q.term = i.term join postings p on p.term = q.term
         join lengths l on l.doc_id = p.doc_id cross join stats s
         group by q.qid, p.doc_id""",
+    "dup_postings": """
+        select doc_id, term, arg_max(tf, row_no) as tf from
+          (select doc_id, row_no, term, count(*) as tf
+           from (select doc_id, row_no, unnest(tokens) as term from dup_tokens) group by all)
+        group by doc_id, term""",
+    "dup_lengths": "select doc_id, arg_max(len(tokens), row_no) as length from dup_tokens group by doc_id",
+    "dup_idf": """
+        select term, ln((n - df + 0.5::double) / (df + 0.5::double) + 1) as idf
+        from (select term, count(*) as df from dup_postings group by term), (select count(*) as n from dup_tokens)""",
+    "dup_scores": """
+        select q.qid, p.doc_id,
+               sum(q.qtf * i.idf * p.tf * 2.5::double / (p.tf + 1.5::double * (0.25::double
+                   + 0.75::double * l.length / s.avgdl))) as score
+        from query_terms q join dup_idf i on q.term = i.term join dup_postings p on p.term = q.term
+        join dup_lengths l on l.doc_id = p.doc_id cross join (select avg(len(tokens)) as avgdl from dup_tokens) s
+        group by q.qid, p.doc_id""",
     "label_freq": """
         select label, count(*) as n from (select unnest(tags) as label from corpus) group by label""",
     "top_labels": """
