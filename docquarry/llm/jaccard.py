@@ -42,6 +42,8 @@ from docquarry.llm.shingles import mix, shingle_sets
 LEAF = 32
 FAN = 8
 GROUP = 1024
+# Edges that one task turns into stars at a time.
+TASK_EDGES = 1_000_000
 # Groupings that a set may add before it falls back to keys for light groups too.
 GROUPINGS = 24
 # Points have about one axis for so many tokens, within these numbers of axes.
@@ -251,15 +253,7 @@ def near_pairs(encoded: list[bytes], split: int | None, share: tuple[int, int])
 def ties(ids: np.ndarray, encoded: list[bytes], split: int | None, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Edges that tie together what the bound cannot tell apart: each set and the first of its kind here."""
     a, b, _ = near_pairs(encoded, split, share)
-    label = np.arange(len(ids))
-    while True:
-        before = label.copy()
-        low = np.minimum(label[a], label[b])
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            break
+    label = lowest_reached(a, b, len(ids))
     tied = np.flatnonzero(label != np.arange(len(ids)))
     return ids[tied], ids[label[tied]]
 
@@ -289,28 +283,65 @@ def links(ids: np.ndarray, sets: list[np.ndarray], split: int | None, share: tup
 # --- components ---
 
 
+def lowest_reached(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of ``n`` nodes that each reaches by the edges: roots take the lower root, paths are halved."""
+    label = np.arange(n)
+    while True:
+        left, right = label[a], label[b]
+        if (left == right).all():
+            return label
+        low = np.minimum(left, right)
+        np.minimum.at(label, left, low)
+        np.minimum.at(label, right, low)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _as_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of a task as stars around their smallest nodes, in portions of bounded size."""
+    held: list[pa.RecordBatch] = []
+
+    def close() -> pa.RecordBatch:
+        ends = np.concatenate([column(b, c).to_numpy() for c in ("u", "v") for b in held])
+        nodes, place = np.unique(ends, return_inverse=True)
+        label = lowest_reached(place[: len(place) // 2], place[len(place) // 2:], len(nodes))
+        leaves = np.flatnonzero(label != np.arange(len(nodes)))
+        return pa.record_batch([pa.array(nodes[leaves]), pa.array(nodes[label[leaves]])], ["u", "v"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= TASK_EDGES:
+            yield close()
+            held = []
+    if held:
+        yield close()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node of the edges (a, b) can reach.
 
-    Large star: every neighbour above a node is tied to the smallest node next to it. Small star: the same for
-    neighbours below. Alternating them leaves stars around the smallest nodes after a number of rounds that
-    grows with the logarithm of the nodes. Minima are pre-aggregated; joins back to them can be split by AQE.
+    First every task turns its edges into stars. What is left fits one task up to ``TASK_EDGES`` edges (16 bytes
+    each), which then finishes. More edges go on in rounds: a large star ties every neighbour above a node to the
+    smallest node next to it, a small star does so for the neighbours below, until nothing changes. Rounds
+    grow with the logarithm of the nodes. Minima are pre-aggregated; joins back to them can be split by AQE.
     """
-    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges, before = store(edges, "edges"), None
-    while True:
+    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    edges = store(edges.mapInArrow(_as_stars, "u long, v long"), "edges")
+    before = None
+    while edges.limit(TASK_EDGES + 1).count() > TASK_EDGES:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")), "low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         large = store(large, "edges")
         low = store(large.groupBy("u").agg(F.min("v").alias("low")), "low")
-        joined = large.join(low, "u")
-        small = joined.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        small = large.join(low, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         edges = store(small.unionByName(low.select("u", F.col("low").alias("v"))).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
+    else:
+        edges = store(edges.repartition(1).mapInArrow(_as_stars, "u long, v long"), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

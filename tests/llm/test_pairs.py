@@ -47,6 +47,7 @@ ODD = [(900, None), (901, ""), (902, " \n "), (903, "one"), (904, "One"), (905,
 @pytest.mark.parametrize("group", [1024, 4])
 def test_components_equal_all_pairs(spark, monkeypatch, width, share, group):
     monkeypatch.setattr(jaccard, "GROUP", group)
+    monkeypatch.setattr(jaccard, "TASK_EDGES", 20 if group == 4 else 1_000_000)
     rows = near_copies(width * 7 + group) + ODD
     expected = components(rows, width, *share)
     found = jaccard.component_ids(documents(spark, rows).repartition(5), width, share).collect()
@@ -94,9 +95,21 @@ def test_folded_points_keep_the_bound():
     assert np.minimum(*points).sum() == 39
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=14))
-def test_stars_give_components(spark, edges):
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
+def test_lowest_node_reached(edges):
+    ends = np.array(edges, np.int64).reshape(-1, 2)
+    label = list(range(31))
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    assert jaccard.lowest_reached(ends[:, 0], ends[:, 1], 31).tolist() == label
+
+
+@pytest.mark.parametrize("task_edges", [2, 1_000_000])
+@pytest.mark.parametrize("edges", [[], [(1, 1)], [(3, 1), (1, 2), (7, 9), (9, 8), (2, 5), (3, 3), (5, 3), (12, 8), (0, 11)]])
+def test_stars_give_components(spark, monkeypatch, edges, task_edges):
+    monkeypatch.setattr(jaccard, "TASK_EDGES", task_edges)
     found = {r["node"]: r["component"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     label = {n: n for e in edges if e[0] != e[1] for n in e}
     for _ in label:
@@ -106,7 +119,9 @@ def test_stars_give_components(spark, edges):
     assert found == label
 
 
-def test_a_long_chain_is_one_component(spark):
+@pytest.mark.parametrize("task_edges", [10, 1_000_000])
+def test_a_long_chain_is_one_component(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(jaccard, "TASK_EDGES", task_edges)
     edges = spark.range(200).selectExpr("(id * 37) % 201 as a", "((id + 1) * 37) % 201 as b")
     found = jaccard.components(edges).collect()
     assert len(found) == 201
