@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,9 +36,8 @@ def number_columns(df: DataFrame) -> list[str]:
 def describe_numbers(df: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and exact interpolated quartiles of number columns.
 
-    Quartiles take two passes. The first brackets each quartile with approximate percentiles whose
-    rank error is bounded. The second counts the values below a bracket and groups the ones in it,
-    so only that narrow slice of values is sorted.
+    Approximate percentiles bracket each quartile; counts then check that its place lies inside, and
+    a bracket that misses is widened to the extremes. Only the values in a bracket are sorted.
     """
     names = number_columns(df)
     tall = df.select(*[F.col(name).cast("double").alias(name) for name in names]).unpivot(
@@ -52,17 +53,13 @@ def describe_numbers(df: DataFrame) -> DataFrame:
         F.percentile_approx("value", points, _ACCURACY).alias("points"),
     )
     summary = first.collect()  # one row per column
-    brackets = []
-    for row in summary:
-        for place, (name, p) in enumerate(QUARTILES.items()):
-            # A small column is bracketed by its extremes: the rank bound needs many rows.
-            small = row["count"] < 10 * _ACCURACY
-            low = row["min"] if small else row["points"][2 * place]
-            high = row["max"] if small else row["points"][2 * place + 1]
-            brackets.append((row["column_name"], name, p * (row["count"] - 1), low, high))
-    wanted = df.sparkSession.createDataFrame(
-        brackets, "column_name string, quartile string, place double, low double, high double"
-    )
+    brackets = [
+        (row["column_name"], name, p * (row["count"] - 1), row["points"][2 * place], row["points"][2 * place + 1])
+        for row in summary
+        for place, (name, p) in enumerate(QUARTILES.items())
+    ]
+    extremes = {row["column_name"]: (row["min"], row["max"]) for row in summary}
+    wanted = _checked(tall, brackets, extremes)
     # Three bracket rows per column.
     placed = tall.join(F.broadcast(wanted), "column_name").where(F.col("value") <= F.col("high"))
     below = F.col("value") < F.col("low")
@@ -90,5 +87,28 @@ def describe_numbers(df: DataFrame) -> DataFrame:
     return basics.join(quartiles, "column_name")
 
 
+def _checked(
+    tall: DataFrame, brackets: list[tuple], extremes: dict[str, tuple[float, float]]
+) -> DataFrame:
+    """The brackets ``(column_name, quartile, place, low, high)`` with those that miss their place widened."""
+    spark, schema = tall.sparkSession, "column_name string, quartile string, place double, low double, high double"
+    # Three bracket rows per column.
+    counts = (
+        tall.join(F.broadcast(spark.createDataFrame(brackets, schema)), "column_name")
+        .groupBy("column_name", "quartile")
+        .agg(
+            F.sum((F.col("value") < F.col("low")).cast("long")).alias("below"),
+            F.sum((F.col("value") <= F.col("high")).cast("long")).alias("up_to"),
+        )
+    )
+    found = {(row["column_name"], row["quartile"]): row for row in counts.collect()}
+    kept = []
+    for column, name, place, low, high in brackets:
+        row = found[column, name]
+        inside = row["below"] <= math.floor(place) and math.ceil(place) < row["up_to"]
+        kept.append((column, name, place, *((low, high) if inside else extremes[column])))
+    return spark.createDataFrame(kept, schema)
+
+
 def first_rows(df: DataFrame, order: str, n: int = 5) -> DataFrame:
     return df.orderBy(order).limit(n)

@@ -3,6 +3,7 @@ import math
 import pytest
 
 from docquarry.operators import judgments, ranking_metrics, tagging_metrics
+from docquarry.operators import profile
 from docquarry.operators.profile import column_types, describe_numbers, first_rows, null_profile
 
 
@@ -110,3 +111,12 @@ def test_profile_rows(spark):
     assert got == {"a": (2, 2, "int"), "b": (2, 1, "string")}
     assert [tuple(r) for r in column_types(frame).collect()] == [(0, "a", "int"), (1, "b", "string")]
     assert [r.a for r in first_rows(frame, "a", 1).collect()] == [1]
+
+
+def test_quartiles_survive_a_bracket_that_misses(spark, monkeypatch):
+    monkeypatch.setattr(profile, "_MARGIN", -0.2)
+    monkeypatch.setattr(profile, "_ACCURACY", 10)
+    frame = spark.range(1001).selectExpr("cast(id * id as double) as a", "id % 7 as b")
+    expected = frame.toPandas().describe()
+    for row in describe_numbers(frame).collect():
+        assert [row["q25"], row["q50"], row["q75"]] == list(expected[row["column_name"]][["25%", "50%", "75%"]])
