@@ -44,8 +44,12 @@ class TagIndex:
     doc_labels: DataFrame
     combos: DataFrame
 
-    def label_index(self) -> DataFrame:
-        return self.doc_labels.select(F.explode_outer("labels").alias("label"), "doc_id").where("label is not null")
+    def label_index(self, only: DataFrame | None = None) -> DataFrame:
+        """``(label, doc_id)`` rows; ``only`` is a table of the ``doc_id`` to keep, such as a test side."""
+        rows = self.doc_labels
+        if only is not None:
+            rows = rows.join(only.select("doc_id"), "doc_id", "left_semi")
+        return rows.select(F.explode_outer("labels").alias("label"), "doc_id").where("label is not null")
 
 
 def tag_documents(vectors: DataFrame, model: LinearModel) -> DataFrame:

@@ -12,6 +12,7 @@ from docquarry.operators.search import Tagger, TagIndex
 from docquarry.operators.svm import LinearModel
 from docquarry.operators.tfidf import TfidfModel
 from docquarry.session import bucket_count
+from docquarry.sources.files import or_none
 
 
 def save_corpus(df: DataFrame, path: str) -> None:
@@ -91,7 +92,18 @@ def save_tag_index(tag_index: TagIndex, path: str) -> None:
     spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/layout")
 
 
-def load_tag_index(spark: SparkSession, path: str) -> TagIndex:
+def empty_tag_index(spark: SparkSession) -> TagIndex:
+    """The tag index of a missing corpus: every label has no documents."""
+    return TagIndex(
+        spark.createDataFrame([], "doc_id string, labels array<string>"),
+        spark.createDataFrame([], "labels array<string>, n long"),
+    )
+
+
+def load_tag_index(spark: SparkSession, path: str, missing_ok: bool = False) -> TagIndex:
+    """A saved tag index; with ``missing_ok`` a missing one is logged and gives an empty index."""
+    if missing_ok and or_none(lambda: spark.read.parquet(f"{path}/layout")) is None:
+        return empty_tag_index(spark)
     buckets = spark.read.parquet(f"{path}/layout").first().buckets
     return TagIndex(
         _load_by_document(spark, f"{path}/doc_labels", buckets, "doc_id"),

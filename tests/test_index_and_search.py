@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,10 +8,10 @@ from docquarry.config import Settings
 from docquarry.operators import index as indexing
 from docquarry.operators import retrieve, search
 from docquarry.operators.clean import blank_to_null, clean_acts
-from docquarry.operators.corpus import build_corpus, last_copy
-from docquarry.operators.svm import LinearModel
+from docquarry.operators.corpus import build_corpus, last_copy, with_query_tokens
+from docquarry.operators.svm import LinearModel, predict
 from docquarry.operators.tfidf import fit_tfidf, with_grams
-from docquarry.session import join_hot, store
+from docquarry.session import join_hot, spread, store
 from docquarry.sources import tables
 
 
@@ -199,3 +200,43 @@ def test_saved_tagger_and_tag_index(spark, engine, tmp_path):
     again = (index, tables.load_tag_index(spark, str(tmp_path / "tags")), tables.load_tagger(spark, str(tmp_path / "tagger")))
     query = [("q", "beer and apple", None)]
     assert answers(spark, again, query) == answers(spark, engine, query)
+
+
+def test_overwriting_index_keeps_terms_of_earlier_copies(spark):
+    rows = [("d1", 1, ["a", "a", "b"]), ("d1", 2, ["b", "c", "c", "c"]), ("d2", 3, ["c"])]
+    built = indexing.build_index(spark.createDataFrame(rows, "doc_id string, n int, tokens array<string>"), "overwrite", "n")
+    found = {(r.doc_id, r.term): (r.tf, r.length) for r in built.postings.collect()}
+    assert found == {("d1", "a"): (2, 4), ("d1", "b"): (1, 4), ("d1", "c"): (3, 4), ("d2", "c"): (1, 1)}
+    assert (built.total_documents, built.avgdl) == (3, 8 / 3)
+
+
+def test_lemmas_serve_documents_and_queries(spark):
+    lemmas = spark.createDataFrame([("went", "go"), ("mice", "mouse")], "surface string, lemma string")
+    acts = spark.createDataFrame([("d1", 1, "mice went 7 farms", [])], "CELEX string, row_no long, act_raw_text string, EUROVOC array<string>")
+    assert build_corpus(acts, "row_no", lemmas=lemmas).first().tokens == ["mouse", "go", "farm"]
+    queries = spark.createDataFrame([("q", "Mice went 42 times"), ("e", "")], "qid string, raw_query string")
+    found = {r.qid: r.tokens for r in with_query_tokens(queries, lemmas=lemmas).collect()}
+    assert found == {"q": ["mouse", "go", "42", "time"], "e": []}
+
+
+def test_missing_and_restricted_tag_index(spark, tmp_path):
+    assert tables.load_tag_index(spark, str(tmp_path / "nothing"), missing_ok=True).label_index().count() == 0
+    rows = spark.createDataFrame([("d1", ["x", "y"]), ("d2", ["x"]), ("d3", [])], "doc_id string, labels array<string>")
+    index = search.TagIndex(rows, rows)
+    only = spark.createDataFrame([("d2",), ("d3",)], "doc_id string")
+    assert [tuple(r) for r in index.label_index(only).collect()] == [("x", "d2")]
+
+
+def test_no_labels_to_predict(spark):
+    rows = spark.createDataFrame([("d1", [0], [1.0]), ("d2", [], [])], "doc_id string, indices array<int>, values array<double>")
+    model = LinearModel([], np.zeros((0, 1)), np.zeros(0))
+    assert sorted((r.doc_id, r.labels) for r in predict(rows, model).collect()) == [("d1", []), ("d2", [])]
+
+
+def test_spreading_rows_starts_no_job(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "rows"))
+    read = spark.read.parquet(str(tmp_path / "rows"))  # reading the schema is a job of its own
+    spark.sparkContext.setJobGroup("spread", "plans only")
+    rows = spread(read, "id")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("spread")
+    assert rows.count() == 10

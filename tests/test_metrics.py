@@ -120,3 +120,18 @@ def test_quartiles_survive_a_bracket_that_misses(spark, monkeypatch):
     expected = frame.toPandas().describe()
     for row in describe_numbers(frame).collect():
         assert [row["q25"], row["q50"], row["q75"]] == list(expected[row["column_name"]][["25%", "50%", "75%"]])
+
+
+def test_only_kept_judgments_need_a_number(spark):
+    lines = [(1, "known a one"), (2, "unknown a high"), (3, "known b 2"), (4, "known gone x")]
+    parsed = judgments.parse_judgments(spark.createDataFrame(lines[1:], "line_no int, line string"), "line_no")
+    vocabulary = spark.createDataFrame([("known",)], "label string")
+    ids = spark.createDataFrame([("a", "A"), ("b", "B")], "source_id string, doc_id string")
+    kept = judgments.vocabulary_judgments(parsed, vocabulary)
+    assert [(r.doc_id, r.rel) for r in judgments.mapped_judgments(kept, ids).collect()] == [("B", 2)]
+
+
+def test_all_judged_queries_are_evaluated(spark):
+    rows = spark.range(700).selectExpr("concat('q', id) as qid", "id as line_no")
+    assert judgments.evaluation_queries(rows, "line_no").count() == 700
+    assert judgments.evaluation_queries(rows, "line_no", 500).count() == 500

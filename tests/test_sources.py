@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from docquarry.operators.clean import clean_acts, dropped_counts, preview_rows
 from docquarry.operators.corpus import last_copy, with_tokens
+from docquarry.operators.judgments import clean_id_map
 from docquarry.sources import files, tables
 
 CSV = '''CELEX,act_raw_text,EUROVOC,extra
@@ -104,3 +105,10 @@ def test_corpus_round_trip(spark, csv_file, tmp_path):
     assert again.dtypes == corpus.dtypes
     assert again.exceptAll(corpus).count() == 0 and again.count() == corpus.count()
     assert again.select(F.max(F.size("tokens"))).first()[0] == 5  # line one said two three
+
+
+def test_numbered_files_are_read_in_the_order_of_their_numbers(spark, tmp_path):
+    for name, target in (("2", "old"), ("10", "new")):
+        (tmp_path / f"{name}.csv").write_text(f"DocID,CelexID\nx,{target}\n")
+    found = clean_id_map(files.read_id_map(spark, str(tmp_path / "*.csv")), "row_order")
+    assert [(r.source_id, r.doc_id) for r in found.collect()] == [("x", "new")]
