@@ -172,7 +172,7 @@ def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int = NEIGH
     bounds = weights @ index.most[terms]
     order = np.argsort(-bounds, kind="stable")
     scores = np.zeros(len(index.ids))
-    done, step, least = 0, 4, 0.0
+    done, step, least = 0, 16, 0.0
     while done < n_blocks:
         # Bounds are sums in another order than scores, so nearly equal ones are still looked at.
         ready = order[done: done + step]
