@@ -1,9 +1,9 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and the beginnings of words. Of the terms of the examples those stay that tell the classes
-apart best (chi-squared); how many documents of the whole corpus hold each term gives its weight. The
-examples lie in blocks of an inverted index that also stores each term's largest weight per block. For
-a document these maxima bound the cosine of every example in a block; blocks are scored exactly, best bound
+Terms are words and the beginnings of words. Every term of the examples counts, however rare, so their texts
+bound the index; how many documents of the whole corpus hold each term gives its weight. Terms that no example
+holds meet nothing and have no weight. The examples lie in blocks of an inverted index that also stores each
+term's largest weight in every block that holds it. For a document these maxima bound the cosine of every example in a block; blocks are scored exactly, best bound
 first, until no other block can hold one of the ``NEIGHBOURS`` nearest. Their labels vote with the square of
 the cosine, weighed by how many labelled rows an example stands for, and a small share of the base rate
 keeps scores of distant documents low. The nearest examples are returned as evidence.
@@ -31,8 +31,6 @@ from docquarry.llm.common import column, labelled_sample, learnable, steps
 
 EXAMPLES = 3000
 EXAMPLE_BYTES = 1 << 16
-TERMS = 4000
-LEAST_EXAMPLES = 4
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 30
 BLOCK = 64
@@ -66,28 +64,29 @@ class Terms:
                 numbers = known[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
             if numbers:
                 found += numbers
-        counts = np.bincount(np.array(found, np.int64))
-        present = np.flatnonzero(counts)
-        return present, counts[present]
+        return np.unique(np.array(found, np.int64), return_counts=True)
 
 
 class Index(NamedTuple):
-    """Postings by term, then block; ``starts[t, b]`` is where block ``b`` of term ``t`` begins."""
+    """Postings by term, then block. A cell is a term in a block that holds it: term ``t`` has the cells from
+    ``cells[t]`` on, cell ``c`` the postings from ``starts[c]`` on."""
 
     number: dict[str, int]
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     stands_for: np.ndarray
+    cells: np.ndarray
+    blocks: np.ndarray  # the block of each cell
+    most: np.ndarray  # the largest weight of each cell
     starts: np.ndarray
     examples: np.ndarray
     weights: np.ndarray
-    most: np.ndarray  # (term, block): the largest weight
     base: float
 
 
-def choose_terms(texts: list[str], labels: list[int], most: int = TERMS, least: int = LEAST_EXAMPLES) -> dict[str, int]:
-    """Terms by chi-squared of their occurrence against the label; ties go to the smaller term."""
+def choose_terms(texts: list[str], labels: list[int], most: int | None = None, least: int = 1) -> dict[str, int]:
+    """All terms, by chi-squared of their occurrence against the label; ties go to the smaller term."""
     counts: dict[str, list[int]] = {}
     for text, label in zip(texts, labels):
         for term in {t for word in set(text.lower().split()) for t in terms_of(word)}:
@@ -117,8 +116,8 @@ def document_counts(docs: DataFrame, number: dict[str, int], text: str = "text")
 
     found = rows.mapInArrow(counted, "term long, n long").where("n > 0").groupBy("term").agg(F.sum("n").alias("n"))
     counts = np.zeros(len(number) + 1, np.int64)
-    for row in found.collect():  # one row per chosen term
-        counts[row["term"]] = row["n"]
+    sums = found.toArrow()  # one row per term of the examples
+    counts[sums["term"].to_numpy()] = sums["n"].to_numpy()
     return counts[:-1], int(counts[-1])
 
 
@@ -140,10 +139,17 @@ def build(
         rows.append((present, weighted(present, counts, idf)))
     marks = np.array(labels)
     stands = np.array([shares[c] / max(1, labels.count(c)) for c in (0, 1)])[marks]
-    # Examples with the same strongest term lie together, so a block's maxima are close to its members.
-    order = sorted(
-        (i for i, (present, _) in enumerate(rows) if len(present)), key=lambda i: (int(rows[i][0][rows[i][1].argmax()]), ids[i])
-    )
+    # Examples with the same strongest term, of those that a tenth of them hold, lie together, so a block's maxima
+    # are close to its members.
+    held = np.bincount(np.concatenate([*(present for present, _ in rows), np.empty(0, np.int64)]), minlength=len(number))
+    common = held * 10 >= len(rows)
+
+    def place(i: int) -> tuple[int, int]:
+        present, weights = rows[i]
+        strong = np.where(common[present], weights, 0)
+        return int(present[strong.argmax()]) if strong.any() else len(number), ids[i]
+
+    order = sorted((i for i, (present, _) in enumerate(rows) if len(present)), key=place)
     without = np.array([i for i, (present, _) in enumerate(rows) if not len(present)], np.int64)
     rate = float((marks * stands).sum() / stands.sum())
     # The base rate, from the examples without a term; ten rows at the overall rate steady it.
@@ -157,36 +163,49 @@ def build(
     placed = np.lexsort((example, term))
     term, example, weight = term[placed], example[placed], weight[placed]
     cell = term * n_blocks + example // BLOCK
-    starts = np.searchsorted(cell, np.arange(len(number) * n_blocks + 1))
-    most = np.zeros(len(number) * n_blocks)
-    np.maximum.at(most, cell, weight)
+    begin = np.flatnonzero(np.diff(cell, prepend=-1))
+    most = np.maximum.reduceat(weight, begin) if len(begin) else np.empty(0)
+    cells = np.searchsorted(term[begin], np.arange(len(number) + 1))
     return Index(
-        number, idf, np.array(ids, np.int64)[order_at], marks[order_at], stands[order_at], starts, example, weight,
-        most.reshape(len(number), n_blocks), base,
+        number, idf, np.array(ids, np.int64)[order_at], marks[order_at], stands[order_at], cells,
+        (cell[begin] % max(1, n_blocks)).astype(np.int32), most, np.append(begin, len(cell)), example.astype(np.int32), weight, base,
     )
 
 
+def _runs(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs one after the other."""
+    ends = np.cumsum(sizes)
+    at = np.repeat(begin - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return at
+
+
 def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` examples of the largest cosine and the cosines; only those above 0."""
-    n_blocks = index.most.shape[1]
-    bounds = weights @ index.most[terms]
+    n_blocks = -(-len(index.ids) // BLOCK)
+    sizes = index.cells[terms + 1] - index.cells[terms]
+    cells = _runs(index.cells[terms], sizes)
+    weight_of = np.repeat(weights, sizes)
+    block_of = index.blocks[cells]
+    bounds = np.bincount(block_of, weight_of * index.most[cells], n_blocks)
     order = np.argsort(-bounds, kind="stable")
+    turn = np.empty(n_blocks, np.int64)
+    turn[order] = np.arange(n_blocks)
+    turn_of = turn[block_of]
     scores = np.zeros(len(index.ids))
     done, step, least = 0, 16, 0.0
     while done < n_blocks:
         # Bounds are sums in another order than scores, so nearly equal ones are still looked at.
-        ready = order[done: done + step]
-        ready = ready[bounds[ready] > max(least - 1e-9, 0)]
-        if not len(ready):
+        ready = bounds[order[done: done + step]] > max(least - 1e-9, 0)
+        n_ready = len(ready) if ready.all() else int(ready.argmin())
+        if not n_ready:
             break
-        cells = (terms[:, None] * n_blocks + ready).ravel()
-        begin = index.starts[cells]
-        sizes = index.starts[cells + 1] - begin
-        ends = np.cumsum(sizes)
-        at = np.repeat(begin - (ends - sizes), sizes) + np.arange(ends[-1])
-        parts = np.repeat(np.repeat(weights, len(ready)), sizes) * index.weights[at]
-        scores += np.bincount(index.examples[at], parts, len(scores))
-        done += len(ready)
+        now = np.flatnonzero((turn_of >= done) & (turn_of < done + n_ready))
+        begin = index.starts[cells[now]]
+        held = index.starts[cells[now] + 1] - begin
+        at = _runs(begin, held)
+        scores += np.bincount(index.examples[at], np.repeat(weight_of[now], held) * index.weights[at], len(scores))
+        done += n_ready
         if done * BLOCK >= k:
             least = np.partition(scores, -min(k, len(scores)))[-min(k, len(scores))]
         step *= 2

@@ -107,6 +107,18 @@ def test_block_bounds_lose_no_neighbour(index):
         assert np.allclose(cosines, exact[order])
 
 
+def test_every_term_of_the_examples_counts(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(600)) for i in range(10)]
+    assert toxicity.choose_terms(texts, [0, 1] * 5).keys() == {t for text in texts for w in text.split() for t in toxicity.terms_of(w)}
+    # A word of a single example is evidence; of these ids only 6 is held out.
+    rows = [(i, f"common word{i}" + " zorgle" * (i == 4)) for i in range(1, 10) if i != 6] + [(6, "zorgle")]
+    docs = documents(spark, rows)
+    labels = odd_labels(spark, [(i, 0, int(i == 4), "") for i, _ in rows])
+    found = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert [e["doc_id"] for e in found[6]["evidence"]] == [4]
+    assert found[6]["score"] > 0.5
+
+
 def test_votes_follow_the_nearest(index):
     built = index[0]
     ones = np.flatnonzero(built.labels == 1)[:5]
