@@ -2,7 +2,7 @@
 
 A shard is a run of documents. Round by round the pairs of neighbouring symbols are counted, the frequent
 ones become rules, and their occurrences are replaced from the left without overlap; then the shorter
-sequence is counted again. Symbols fit in 16 bits: ids below ``first_rule``, rules above. A shard stores its
+sequence is counted again, until no pair is frequent or all symbols are taken. Symbols fit in 16 bits: ids below ``first_rule``, rules above. A shard stores its
 rules, the number of ids each rule expands to, and the shortened sequence. Sums of expansion lengths find
 the symbols of any range of ids, so a document is decoded without the rest.
 
@@ -32,7 +32,8 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 FIRST_RULE = 49_408
 SYMBOLS = 1 << 16
-ROUNDS = 4
+# A round takes half of the free symbols, so that later rounds can build on its rules; so few are taken at once.
+LAST_SYMBOLS = 256
 # A pair must occur so often to be worth a rule: a rule takes 8 bytes, an occurrence saves 2.
 LEAST = 6
 SHARDS_PER_FILE = 16
@@ -69,17 +70,16 @@ def _slot(keys: np.ndarray) -> np.ndarray:
     return (keys * np.uint32(2654435761)) >> np.uint32(32 - _SLOTS)
 
 
-def compress(ids: np.ndarray, first_rule: int = FIRST_RULE, rounds: int = ROUNDS, least: int = LEAST) -> Grammar:
+def compress(ids: np.ndarray, first_rule: int = FIRST_RULE, least: int = LEAST) -> Grammar:
     """Rules and the shortened sequence. Ids must be below ``first_rule``, that below 65,536."""
     if len(ids) and int(ids.max()) >= first_rule:
         raise ValueError(f"id {int(ids.max())} is not below {first_rule}")
     sequence = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     next_symbol = first_rule
-    for round_ in range(rounds):
-        room = (SYMBOLS - next_symbol) // (1 if round_ == rounds - 1 else 2)
-        if len(sequence) < 2 or not room:
-            break
+    while len(sequence) > 1 and next_symbol < SYMBOLS:
+        free = SYMBOLS - next_symbol
+        room = free if free <= LAST_SYMBOLS else free // 2
         keys = (sequence[:-1] << np.uint32(16)) | sequence[1:]
         pairs = frequent_pairs(keys, room, least)
         if not len(pairs):
@@ -99,7 +99,11 @@ def compress(ids: np.ndarray, first_rule: int = FIRST_RULE, rounds: int = ROUNDS
         run_start = np.concatenate([[True], places[1:] != places[:-1] + 1])
         first_of_run = np.maximum.accumulate(np.where(run_start, np.arange(len(places)), 0))
         places = places[(np.arange(len(places)) - first_of_run) % 2 == 0]
-        sequence[places] = symbol_of[slot[places]]
+        # Pairs whose places all went to overlapping ones make no rule.
+        made = (symbol_of[slot[places]] - next_symbol).astype(np.int64)
+        used = np.bincount(made, minlength=len(pairs)) > 0
+        sequence[places] = (next_symbol + np.cumsum(used) - 1)[made]
+        pairs = pairs[used]
         stays = np.ones(len(sequence), bool)
         stays[places + 1] = False
         sequence = sequence[stays]

@@ -100,6 +100,18 @@ def test_ids_above_the_limit_are_refused():
         repair.compress(np.array([50_000]))
 
 
+def test_rules_are_made_until_no_pair_is_frequent():
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 40_000, 3000)
+    ids = np.concatenate([np.append(passage, rng.integers(0, 40_000, 9)) for _ in range(20)] + [np.full(5000, 7)])
+    grammar = repair.compress(ids)
+    left = grammar.sequence.astype(np.int64)
+    assert len(grammar.rules) < repair.SYMBOLS - repair.FIRST_RULE
+    assert np.unique((left[:-1] << 16) | left[1:], return_counts=True)[1].max() < repair.LEAST
+    assert grammar.lengths.max() > 1000
+    assert repair.expand(grammar, grammar.sequence).tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("shard_ids", [1 << 20, 20])
 def test_shards_hold_every_document_in_order(spark, shard_ids):
     folder = shared_path(spark, "shards")
