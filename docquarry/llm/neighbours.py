@@ -12,7 +12,8 @@ queries are split by hash into cells of bounded size, so no task holds an unboun
 
 Defined results: vectors that are null, empty, zero, of another length than the most common one, or with
 null or non-finite components take no part, nor do rows without an id. Ties go to the smaller id. A row never
-finds its own id; repeated ids count as one row each, so a repeated id is found once per row by others.
+finds its own id; repeated ids count as one row each, so a repeated id is found once per row by others,
+and a repeated query is answered once.
 Fewer candidates than asked for give fewer rows. Empty tables give no rows. Other columns are ignored.
 """
 
@@ -196,11 +197,13 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest rows found for every row that ``is_query`` (SQL over vec_id) names."""
     spark = rows.sparkSession
-    # A point is a vector with its k + 1 smallest ids: one may be the query's own. The limit applies before the shuffle too.
-    every = store(usable(rows, vector, ident), "vectors")
+    # A point is a vector with its k + 1 smallest distinct ids: one may be the query's own. Repeated rows are counted
+    # first, so that they take no places. The limit applies before the shuffle too.
+    every = usable(rows, vector, ident).groupBy("vector", "vec_id").agg(F.count("*").alias("copies"))
+    every = store(every, "vectors")
     nth = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     points = every.withColumn("nth", nth).where(F.col("nth") <= k + 1).groupBy("vector")
-    points = points.agg(F.min("vec_id").alias("point"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    points = points.agg(F.min("vec_id").alias("point"), F.sort_array(F.collect_list(F.struct("vec_id", "copies"))).alias("ids"))
     points = store(points.select("point", "vector", "ids"), "points")
     n_points = points.count()
     taught = points.orderBy(F.xxhash64("point"), "point").limit(sample).select("vector").toArrow()["vector"].combine_chunks()
@@ -220,8 +223,8 @@ def search(
     asked = every.where(is_query).select("vec_id", "vector")
     asked = store(asked.join(points.select("point", "vector"), "vector").select(F.col("vec_id").alias("query_id"), "point"), "asked")
     asking = asked.select("point").distinct().withColumn("asks", F.lit(True))
-    placed = points.join(asking, "point", "left").select("point", "vector", "ids", F.coalesce("asks", F.lit(False)).alias("asks"))
-    placed = store(placed.mapInArrow(routed, "point long, vector array<double>, ids array<long>, asks boolean, parts array<int>"), "placed")
+    placed = points.join(asking, "point", "left").select("point", "vector", F.coalesce("asks", F.lit(False)).alias("asks"))
+    placed = store(placed.mapInArrow(routed, "point long, vector array<double>, asks boolean, parts array<int>"), "placed")
 
     held = placed.groupBy(F.get("parts", F.lit(0)).alias("part")).agg(F.count("*").alias("n"))
     visits = placed.where("asks").select("point", F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("q"))
@@ -259,9 +262,12 @@ def search(
     hits = cells.applyInArrow(ranked, "query long, hit long, score double")
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "hit"))
     hits = hits.withColumn("nth", best).where(F.col("nth") <= k + 1).drop("nth")
-    hits = hits.join(points.select(F.col("point").alias("hit"), "ids"), "hit").select("query", "score", F.explode("ids").alias("vec_id"))
+    hits = hits.join(points.select(F.col("point").alias("hit"), "ids"), "hit").select("query", "score", F.inline("ids"))
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
-    hits = hits.withColumn("nth", best).where(F.col("nth") <= k + 1).select(F.col("query").alias("point"), "score", "vec_id")
+    hits = hits.withColumn("nth", best).where(F.col("nth") <= k + 1).select(F.col("query").alias("point"), "score", "vec_id", "copies")
     answers = asked.join(store(hits, "hits"), "point").where("query_id <> vec_id")
+    # Only now an id takes a place for each of its rows.
+    places = F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k)))).alias("copy")
+    answers = answers.select("query_id", "vec_id", "score", places)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return answers.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -180,6 +180,14 @@ def test_odd_vectors_take_no_part(spark):
     assert found == [(0, 1, 1, 1.0), (0, 2, 100, 1.0), (100, 1, 1, 0.0), (100, 2, 0, 1.0)]
 
 
+def test_repeated_query_rows_take_no_places(spark):
+    rows = [(i, [float(i), 1.0], 0) for i in range(1, 21)]
+    rows += [(100, [1.5, 1.0], 0)] * 2 + [(200, [18.5, 1.0], 0)] * 12 + [(201, [18.5, 1.0], 0), (5, [5.0, 1.0], 0)]
+    found = sorted(map(tuple, neighbours.search(vectors(spark, rows), "vec_id % 100 = 0").collect()))
+    assert found == sorted(set(brute(rows, 10)))
+    assert len(found) == 20
+
+
 def test_no_vectors(spark):
     assert neighbours.search(vectors(spark, []), "vec_id % 100 = 0").count() == 0
     assert neighbours.search(vectors(spark, [(100, [1.0], 1)]), "vec_id % 100 = 0").count() == 0
