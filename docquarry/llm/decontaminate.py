@@ -107,12 +107,13 @@ def search(items: Items, texts: list[bytes | None]) -> Iterator[tuple[int, int,
 def _blocks(benchmark: DataFrame, item: str, text: str, width: int, share: float) -> list[Items]:
     """The items in blocks of bounded size, by hash; one block for all usual benchmarks."""
     rows = benchmark.select(F.col(item).alias("item_id"), F.col(text).cast("string").cast("binary").alias("text"))
+    rows = rows.where("text is not null")  # such items are in no document
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-2 * size // BLOCK_BYTES) or 1
     found = []
     for block in range(n):
         part = rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == block).toArrow()
-        order = sorted(zip(part["item_id"].to_pylist(), part["text"].to_pylist()), key=lambda r: (r[0] is None, r))
+        order = sorted(zip(part["item_id"].to_pylist(), part["text"].to_pylist()), key=lambda r: (r[0] is None, r[:1] if r[0] is not None else (), r[1]))
         found.append(build([r[0] for r in order], [r[1] for r in order], width, share))
     return found
 

@@ -188,3 +188,13 @@ def test_items_in_documents_equal_all_pairs(spark, monkeypatch, block_bytes):
     clean = decontaminate.without_items(frame, benchmark)
     assert clean.columns == frame.columns
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted(i for i, _ in docs if i not in dirty)
+
+
+def test_items_that_repeat_an_id_with_a_null_text(spark):
+    items = [(1, None), (1, "one two three"), (None, None), (None, "four five"), (2, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = documents(spark, [(7, "one two three four five"), (8, None)])
+    found = decontaminate.matches(frame, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(7, 1), (7, None)}
+    nothing = benchmark.where("text is null")
+    assert decontaminate.matches(frame, nothing).count() == 0
