@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import (
+    collocations,
     decontaminate,
     jaccard,
     neighbours,
@@ -222,3 +223,40 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path("byte_bpe_50k.json"))
+
+
+_COLLOCATIONS = f"""
+with docs as (
+    select row_number() over () as row, coalesce(lang, 'und') as lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body from documents),
+pieces as (select row, lang, unnest(string_split_regex(body, '[.,;:!?\\x0A-\\x0D]')) as piece from docs),
+worded as (select row_number() over () as p, lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') as w from pieces),
+grams as (
+    select lang, k, array_to_string(w[i: i + k - 1], ' ') as phrase
+    from worded, (select unnest(range(1, 5)) as k), lateral (select unnest(range(1, len(w) - k + 2)) as i)),
+f as (select lang, k, phrase, count(*)::hugeint as f from grams group by all),
+n as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= {collocations.LEAST}),
+cuts as (
+    select c.lang, c.phrase, a, c.k, w, cut, l.f as l, r.f as r, ({collocations.SCALE}::hugeint * a) // (l.f + r.f) as score
+    from (select *, unnest(range(1, k)) as cut from candidates) c
+    join f l on l.lang = c.lang and l.phrase = array_to_string(w[:cut], ' ')
+    join f r on r.lang = c.lang and r.phrase = array_to_string(w[cut + 1:], ' ')),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inner_parts as (
+    select lang, a as longer, array_to_string(w[i: i + s - 1], ' ') as phrase
+    from (select *, unnest(range(2, k)) as s from candidates), lateral (select unnest(range(1, k - s + 2)) as i)),
+around as (select lang, phrase, max(longer) as longer from inner_parts group by all),
+kept as (
+    select b.* from best b left join around o on o.lang = b.lang and o.phrase = b.phrase
+    where o.longer is null or 100 * o.longer < {collocations.COVERED} * b.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase collate c) as rank from kept)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from ranked join n using (lang) where rank <= {collocations.MOST}
+"""
+
+
+@registered(_COLLOCATIONS)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))

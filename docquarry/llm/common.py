@@ -66,15 +66,15 @@ def labelled_sample(
     return tuple(map(list, zip(*ordered))) if ordered else ([], [], [])
 
 
-def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``STEP_BYTES`` of text, or one row when a single text is larger."""
+def steps(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``most`` bytes of text, or one row when a single text is larger."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.binary_length(column(batch, text)).fill_null(0).to_pylist()
         begin = held = 0
         for row, size in enumerate(sizes):
-            if row > begin and held + size > STEP_BYTES:
+            if row > begin and held + size > most:
                 yield batch.slice(begin, row - begin)
                 begin, held = row, 0
             held += size
