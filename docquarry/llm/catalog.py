@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm import (
+    alignment,
     collocations,
     decontaminate,
     jaccard,
+    languages,
     neighbours,
     packing,
     quality,
@@ -260,3 +262,18 @@ from ranked join n using (lang) where rank <= {collocations.MOST}
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 best phrases of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+@registered()
+def op12_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by its code length in each language."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = languages.predict(docs, languages.fit(docs))
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@registered()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of two tokenizers linked over every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
