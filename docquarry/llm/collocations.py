@@ -5,15 +5,16 @@ with empty words. Only these windows are counted. A phrase of k words is a prefi
 occurrences, so one ROLLUP over the columns sums the windows to all shorter phrases, and its empty prefix to
 the number of words.
 
-Most windows are rare from their second word on, and no phrase that holds a rare pair can be a candidate. So a
-first pass counts hashes of pairs of neighbouring words, and windows are padded from the first rare pair on.
-Padded windows are few, as they collapse where they are made. The hashes of frequent pairs are kept in a bit
-map of a fixed size (``FILTER_BITS``): hashes that meet only keep windows longer, so counts are exact at any
-size of the corpus, and a larger map only saves shuffling.
+Most windows are rare from their second word on, and a phrase is frequent only if all phrases in it are. So
+before that, passes over the texts count hashes of runs of 2 and of 3 neighbouring words, the latter only where
+both pairs in it are frequent, and windows are padded from the first rare run on. Padded windows are few, as
+they collapse where they are made. The hashes of frequent runs are kept in bit maps of a fixed size
+(``FILTER_BITS``): hashes that meet only keep windows longer, so counts are exact at any size of the corpus,
+and larger maps only save shuffling.
 
-The pair pass ships a hash and a count for the distinct pairs of a task's step; the window pass ships padded
-windows. Both are added up before and after the shuffle, so words and pairs that a third of all places share
-reach the shuffle once a task. All further tables hold frequent phrases only.
+The passes ship a hash and a count for the distinct runs of a task's step, and padded windows. Both are added
+up before and after the shuffle, so words and pairs that a third of all places share reach the shuffle once a
+task. All further tables hold frequent phrases only.
 
 Defined results: a null text is empty; empty texts and pieces without words have no phrases. A null language
 is ``und``. Repeated rows count each. Ties in score and count go by the phrase's UTF-8 bytes. Other columns are
@@ -23,6 +24,7 @@ ignored. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -81,26 +83,41 @@ def _hashes(words: pa.Array) -> np.ndarray:
     return found
 
 
-def _languages(batch: pa.RecordBatch, of: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The distinct languages of a batch and the number of the one that each word has."""
-    encoded = column(batch, "lang").dictionary_encode()
-    return encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[of]
+class Step(NamedTuple):
+    """The words of one step of a task, in order."""
 
+    words: pa.Array  # distinct
+    codes: np.ndarray
+    joined: np.ndarray  # whether the next word is in the same piece
+    languages: list[str]
+    language: np.ndarray  # the number of each word's language
 
-def _pairs(codes: np.ndarray, joined: np.ndarray, lang: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places where a pair begins, and an exact key of the pair and its language within this step."""
-    at = np.flatnonzero(joined)
-    return at, (lang[at] * n_words + codes[at]) * n_words + codes[at + 1]
 
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Step]:
+    for batch in steps(batches, most=STEP):
+        words, codes, joined, of = word_codes(binary_values(column(batch, "text")))
+        if len(codes):
+            languages = column(batch, "lang").dictionary_encode()
+            number = languages.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            yield Step(words, codes, joined, languages.dictionary.to_pylist(), number[of])
 
-def _pair_hashes(keys: np.ndarray, names: list[str], hashes: np.ndarray) -> np.ndarray:
-    n = len(hashes)
-    by_name = np.array([hash_of_name(name) for name in names], np.uint64)
-    return mix((by_name[keys // (n * n)] * _TURN + hashes[keys // n % n]) * _TURN + hashes[keys % n])
 
-
-def hash_of_name(name: str) -> int:
-    return int(_hashes(pa.array([name.encode()], pa.large_binary()))[0])
+def runs(step: Step, maps: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 2 words, then 3 and so on: where runs that are in their map begin, and their hashes; at last, for the
+    first size without a map, runs whose shorter ones are all known."""
+    of_word, of_language = _hashes(step.words), _hashes(pa.array([n.encode() for n in step.languages], pa.large_binary()))
+    at = np.flatnonzero(step.joined)
+    hashes = mix(of_language[step.language[at]] * _TURN + of_word[step.codes[at]])
+    for size in range(2, len(maps) + 3):
+        hashes = mix(hashes * _TURN + of_word[step.codes[at + size - 1]])
+        if size in maps:
+            place = (hashes & np.uint64(8 * len(maps[size]) - 1)).astype(np.int64)
+            known = (maps[size][place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+            at, hashes = at[known], hashes[known]
+        yield at, hashes
+        begins = np.zeros(len(step.codes) + 1, bool)
+        begins[at] = True
+        at, hashes = at[begins[at + 1]], hashes[begins[at + 1]]
 
 
 def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -109,70 +126,58 @@ def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
     ).where(F.octet_length("text") > 0)
 
 
-def frequent_pairs(docs: DataFrame, least: int = LEAST, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(pair, n): hashes of the pairs of neighbouring words, by language, that occur ``least`` times or more."""
+def frequent_runs(
+    docs: DataFrame, maps: dict[int, np.ndarray], least: int = LEAST, text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """(run, n): hashes of the runs of the first size without a map, by language, that occur ``least`` times or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(maps)  # ``FILTER_BITS`` / 8 bytes each
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, most=STEP):
-            words, codes, joined, of = word_codes(binary_values(column(batch, "text")))
-            names, lang_of = _languages(batch, of)
-            keys, counts = np.unique(_pairs(codes, joined, lang_of, len(words))[1], return_counts=True)
-            hashes = _pair_hashes(keys, names, _hashes(words)).view(np.int64)
-            yield pa.record_batch([pa.array(hashes), pa.array(counts)], ["pair", "n"])
-
-    pairs = _rows(docs, text, lang).mapInArrow(counted, "pair long, n long")
-    return pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-
-
-def pair_map(pairs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit map of the pairs' hashes, at most ``bits`` bits, made by Spark in blocks of 4 kB."""
-    place = F.pmod("pair", F.lit(bits)) + 1  # Spark counts bits from 1
-    blocks = pairs.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("block"))
-    found = blocks.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")).toArrow()
+        for step in _steps(batches):
+            *_, (_, hashes) = runs(step, shared.value)
+            hashes, counts = np.unique(hashes, return_counts=True)
+            yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts)], ["run", "n"])
+
+    found = _rows(docs, text, lang).mapInArrow(counted, "run long, n long")
+    return found.groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def bit_map(found: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bit map of the hashes, ``bits`` bits, made by Spark in blocks of 4 kB."""
+    place = F.pmod("run", F.lit(bits)) + 1  # Spark counts bits from 1
+    blocks = found.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("block"))
+    held = blocks.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")).toArrow()
     out = np.zeros((-(-bits // 32768), 4096), np.uint8)
-    for block, held in zip(found["block"].to_pylist(), found["bits"]):
-        out[block - 1] = np.frombuffer(held.as_buffer(), np.uint8)
+    for block, part in zip(held["block"].to_pylist(), held["bits"]):
+        out[block - 1] = np.frombuffer(part.as_buffer(), np.uint8)
     return out.ravel()
 
 
-def padded_windows(
-    docs: DataFrame, known: np.ndarray, bits: int = FILTER_BITS, text: str = "text", lang: str = "lang"
-) -> DataFrame:
-    """(lang, w1 .. w4, n): how often a window begins at a word, cut before the first pair that is not ``known``."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)  # ``bits`` / 8 bytes
+def padded_windows(docs: DataFrame, maps: dict[int, np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, w1 .. w4, n): how often a window begins at a word, cut before the first run that is not in the maps."""
+    shared = docs.sparkSession.sparkContext.broadcast(maps)
     names = [f"w{i}" for i in range(1, LONGEST + 1)]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
-        for batch in steps(batches, most=STEP):
-            words, codes, joined, of = word_codes(binary_values(column(batch, "text")))
-            if not len(codes):
-                continue
-            langs, lang_of = _languages(batch, of)
-            n_words = len(words)
-            at, keys = _pairs(codes, joined, lang_of, n_words)
-            distinct, inverse = np.unique(keys, return_inverse=True)
-            place = (_pair_hashes(distinct, langs, _hashes(words)) & np.uint64(bits - 1)).astype(np.int64)
-            often = (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
-            goes_on = np.zeros(len(codes) + LONGEST, bool)
-            goes_on[at] = often[inverse]
+        for step in _steps(batches):
+            n, n_words = len(step.codes), len(step.words)
+            reach = np.ones(n, np.int64)
+            for size, (at, _) in enumerate(runs(step, shared.value), 2):
+                reach[at] = size
             # Codes of the lead columns, one beyond the last word for padding.
-            padded = np.append(codes, np.full(LONGEST, n_words))
-            lead, open_ = [lang_of, codes], np.ones(len(codes), bool)
-            for i in range(1, LONGEST):
-                open_ = open_ & goes_on[i - 1: i - 1 + len(codes)]
-                lead.append(np.where(open_, padded[i: i + len(codes)], n_words))
+            padded = np.append(step.codes, np.full(LONGEST, n_words))
+            lead = [step.language, step.codes]
+            lead += [np.where(reach > i, padded[i: i + n], n_words) for i in range(1, LONGEST)]
             # Equal windows of the step become one row, by exact keys of two columns at a time.
             key = lead[0]
-            for column_codes in lead[1:]:
-                key = np.unique(key * (n_words + 1) + column_codes, return_inverse=True)[1]
-            first = np.full(int(key.max()) + 1, len(key))
-            np.minimum.at(first, key, np.arange(len(key)))
-            counts = np.bincount(key)
-            choices = pa.concat_arrays([words.cast(pa.large_string()), pa.array([""], pa.large_string())])
-            columns = [pa.array(langs, pa.string()).take(pa.array(lead[0][first]))]
-            columns += [choices.take(pa.array(c[first])).cast(pa.string()) for c in lead[1:]]
-            yield pa.record_batch([*columns, pa.array(counts)], ["lang", *names, "n"])
+            for codes in lead[1:]:
+                key = np.unique(key * (n_words + 1) + codes, return_inverse=True)[1]
+            first = np.full(int(key.max()) + 1, n)
+            np.minimum.at(first, key, np.arange(n))
+            choices = pa.concat_arrays([step.words.cast(pa.large_string()), pa.array([""], pa.large_string())])
+            columns = [pa.array(step.languages, pa.string()).take(pa.array(lead[0][first]))]
+            columns += [choices.take(pa.array(codes[first])).cast(pa.string()) for codes in lead[1:]]
+            yield pa.record_batch([*columns, pa.array(np.bincount(key))], ["lang", *names, "n"])
 
     schema = ", ".join(f"{name} string" for name in ["lang", *names])
     return _rows(docs, text, lang).mapInArrow(windows, f"{schema}, n long")
@@ -180,10 +185,12 @@ def padded_windows(
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, words, size, f): phrases of 1 to 4 words that occur ``least`` times; size 0 holds the number of all words."""
-    if bits & (bits - 1):
-        raise ValueError("bits is a power of two")
-    known = pair_map(frequent_pairs(docs, least, text, lang), bits)
-    windows = padded_windows(docs, known, bits, text, lang)
+    if bits & (bits - 1) or bits < 1 << 15:
+        raise ValueError("bits is a power of two from 32768 on")
+    maps: dict[int, np.ndarray] = {}
+    for size in range(2, LONGEST):
+        maps = maps | {size: bit_map(frequent_runs(docs, maps, least, text, lang), bits)}
+    windows = padded_windows(docs, maps, text, lang)
     # The lowest bits of grouping_id tell which of the last columns are summed over.
     sizes = " ".join(f"when {(1 << (LONGEST - k)) - 1} then {k}" for k in range(LONGEST + 1))
     rolled = docs.sparkSession.sql(
