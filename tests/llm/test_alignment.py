@@ -4,8 +4,11 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from docquarry.llm import alignment
 from docquarry.llm.common import table
@@ -100,26 +103,43 @@ def test_whole_texts_of_the_documents(spark):
     assert rows_of(alignment.align(docs, *PATHS)) == brute(rows)
 
 
-def test_stretches_are_tokenized_as_whole_texts_are(spark):
-    texts = [t for t in ODD if t] + [r["text"] for r in table(spark, "/root/testdata/sf0.01", "pages").selectExpr("html as text").limit(150).collect()]
+def test_pieces_are_tokenized_as_whole_texts_are(spark):
+    texts = [t for t in ODD if t and "▁" not in t] + [r["text"] for r in table(spark, "/root/testdata/sf0.01", "pages").selectExpr("html as text").limit(150).collect()]
     aligner = alignment.Aligner(*PATHS)
-    for text in texts:
-        cut = alignment.stretches(text)
-        assert " ".join(cut) == text
-        for side in (aligner.a, aligner.b):
-            assert sum(side.encode(cut), []) == side.encode([text])[0]
+    ids, sizes = aligner.b_side.encode_bytes([b" " + t.encode() for t in texts])
+    assert [f.tolist() for f in np.split(ids, np.cumsum(sizes)[:-1])] == aligner.b_side.model.encode(texts)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZé.,'s \n\t▁ßΣ12<|>🙂́日\xa0"), max_size=30), min_size=1, max_size=4))
+def test_any_texts(texts):
+    if not hasattr(test_any_texts, "aligner"):
+        test_any_texts.aligner = alignment.Aligner(*PATHS)
+    facts, digests, ends, pairs, times = test_any_texts.aligner.align([t.encode() for t in texts])
+    begin = 0
+    for text, fact, digest, end in zip(texts, facts.tolist(), digests, ends.tolist()):
+        groups = linked(text)
+        places = Counter((x, y) for a, b in groups or [] for x in a for y in b)
+        found = {(p >> alignment.ID_BITS, p & (1 << alignment.ID_BITS) - 1): n for p, n in zip(pairs[begin:end].tolist(), times[begin:end].tolist())}
+        begin = end
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups or [])
+        assert found == places
+        assert digest == (hashlib.sha256(shown.encode()).hexdigest() if groups else "")
+        assert fact == [sum(len(a) for a, _ in groups or []), sum(len(b) for _, b in groups or []), len(groups or []), sum(places.values())]
 
 
 def test_windows_are_remembered_by_ids_and_forgotten(monkeypatch):
     aligner = alignment.Aligner(*PATHS)
-    texts = ["the cat  sat", "cat the", "x▁y", "the cat  sat"]
+    texts = [b"the cat  sat", b"cat the", "x▁y".encode(), b"the cat  sat the cat the", None]
     whole = aligner.align(texts)
-    assert len(aligner.windows) < len(aligner.known) + 2
-    monkeypatch.setattr(alignment, "STRETCHES", 0)
+    assert len(aligner.known) == len(aligner.shown) <= 8
+    monkeypatch.setattr(alignment, "WINDOWS", 0)
+    monkeypatch.setattr(alignment, "GROUP_LINKS", 0)
     single = [aligner.align([t]) for t in texts]
-    assert [whole[0][i].tolist() for i in range(4)] == [s[0][0].tolist() for s in single]
+    assert [whole[0][i].tolist() for i in range(5)] == [s[0][0].tolist() for s in single]
     assert whole[1] == [s[1][0] for s in single]
     assert whole[3].tolist() == [p for s in single for p in s[3].tolist()]
+    assert whole[4].tolist() == [p for s in single for p in s[4].tolist()]
 
 
 def test_no_rows_and_clashing_columns(spark):
