@@ -40,9 +40,9 @@ LEAST = 30
 COVERED = 80
 MOST = 2000
 SCALE = 2_000_000
-FILTER_BITS = 1 << 28
+FILTER_BITS = 1 << 27
 # Bytes of text whose windows collapse before they leave Python.
-STEP = 8 << 20
+STEP = 4 << 20
 
 _END, _SPACE, _LETTER = 0, 1, 2
 _KIND = np.full(256, _LETTER, np.uint8)
@@ -64,7 +64,7 @@ def word_codes(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray, np.ndar
     words = pa.Array.from_buffers(
         pa.large_binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(_LOWER[raw[inside]])]
     ).dictionary_encode()
-    piece = np.cumsum(kind == _END)[begin] if len(begin) else begin
+    piece = np.searchsorted(np.flatnonzero(kind == _END), begin)
     joined = np.append(piece[1:] == piece[:-1], False)[: len(begin)]
     starts = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
     return words.dictionary, words.indices.to_numpy().astype(np.int64), joined, np.searchsorted(starts, begin, "right") - 1
@@ -171,9 +171,7 @@ def padded_windows(docs: DataFrame, maps: dict[int, np.ndarray], text: str = "te
             # Equal windows of the step become one row, by exact keys of two columns at a time.
             key = lead[0]
             for codes in lead[1:]:
-                key = np.unique(key * (n_words + 1) + codes, return_inverse=True)[1]
-            first = np.full(int(key.max()) + 1, n)
-            np.minimum.at(first, key, np.arange(n))
+                _, first, key = np.unique(key * (n_words + 1) + codes, return_index=True, return_inverse=True)
             choices = pa.concat_arrays([step.words.cast(pa.large_string()), pa.array([""], pa.large_string())])
             columns = [pa.array(step.languages, pa.string()).take(pa.array(lead[0][first]))]
             columns += [choices.take(pa.array(codes[first])).cast(pa.string()) for codes in lead[1:]]
