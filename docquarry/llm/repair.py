@@ -6,8 +6,10 @@ sequence is counted again, until no pair is frequent or all symbols are taken. S
 rules, the number of ids each rule expands to, and the shortened sequence. Sums of expansion lengths find
 the symbols of any range of ids, so a document is decoded without the rest.
 
-Files are written with Spark's text writer, a shard per line; a shard states its own size, so its bytes may
-hold line breaks. Files are read with the ``binaryFile`` source, from any store that Spark reaches.
+Files are written with Spark's text writer, one shard each; a shard states its own size, so its bytes may hold
+line breaks. Ranges of ids have folders named by their order, and the files of a range are numbered, so in the
+order of their paths the files hold ascending ids. They are read with the ``binaryFile`` source, from any store
+that Spark reaches.
 
 Defined results: a null or empty text is the end id alone. Documents with null ids come first; equal ids
 stay in an order fixed by their ids' hash. Repeated rows are stored each. A text over ``SHARD_IDS`` is a
@@ -25,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import column, steps, store
-from docquarry.llm.tokens import crc32, encoder
+from docquarry.llm.common import binary_values, column, steps, store
+from docquarry.llm.tokens import STEP, crc32, encoder, forget
 
 END_ID = 2
 SHARD_IDS = 1 << 20
@@ -36,7 +38,6 @@ SYMBOLS = 1 << 16
 LAST_SYMBOLS = 256
 # A pair must occur so often to be worth a rule: a rule takes 8 bytes, an occurrence saves 2.
 LEAST = 6
-SHARDS_PER_FILE = 16
 _SLOTS = 16
 MAGIC = b"DQRP"
 # part, ids before the shard in its part, documents, ids, first rule, rules, symbols, bytes of the whole shard
@@ -216,10 +217,11 @@ def write_shards(
     shares = [i / n_ranges for i in range(1, n_ranges)]
     (bounds,) = rows.agg(F.percentile_approx("doc_id", shares, 20 * n_ranges)).first()
     edges = np.unique(np.array(bounds or [], np.int64))
+    width = len(str(len(edges) + 1))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            ids, sizes = encoder(path, True).encode(column(batch, "text").to_pylist())
+        for batch in steps(batches, most=STEP):
+            ids, sizes = encoder(path, True).encode(binary_values(column(batch, "text")))
             ends = np.cumsum(sizes)
             small = ids.astype("<u2")
             parts = [small[b:e].tobytes() for b, e in zip((ends - sizes).tolist(), ends.tolist())]
@@ -227,6 +229,7 @@ def write_shards(
             part = 1 + np.searchsorted(edges, doc_ids.fill_null(0).to_numpy(), "left")
             part[doc_ids.is_null().to_numpy(zero_copy_only=False)] = 0
             yield pa.record_batch([pa.array(part.astype(np.int64)), doc_ids, pa.array(parts, pa.binary())], ["part", "doc_id", "ids"])
+        forget()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, held, doc_ids, parts = None, 0, 0, [], []
@@ -238,7 +241,7 @@ def write_shards(
             keep[np.cumsum(sizes) - 1] = False
             ids[keep] = np.frombuffer(b"".join(parts), "<u2")
             block = pack_shard(Shard(part, before, doc_ids, sizes, compress(ids, first_rule)))
-            return pa.record_batch([pa.array([block], pa.binary())], ["shard"])
+            return pa.record_batch([pa.array([f"{part:0{width}d}"]), pa.array([block], pa.binary())], ["part", "shard"])
 
         for batch in batches:
             for row_part, doc_id, ids in zip(*(c.to_pylist() for c in batch.columns)):
@@ -260,11 +263,12 @@ def write_shards(
         rows.mapInArrow(encoded, "part long, doc_id long, ids binary")
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
         .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), F.xxhash64("ids"), "ids")
-        .mapInArrow(shards, "shard binary")
-        .select(F.col("shard").cast("string").alias("value"))
-        .write.option("lineSep", "\n")
+        .mapInArrow(shards, "part string, shard binary")
+        .select("part", F.col("shard").cast("string").alias("value"))
+        .write.partitionBy("part")
+        .option("lineSep", "\n")
         .option("compression", "none")
-        .option("maxRecordsPerFile", SHARDS_PER_FILE)
+        .option("maxRecordsPerFile", 1)
         .text(folder)
     )
 
