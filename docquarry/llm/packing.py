@@ -5,7 +5,7 @@ by their lengths alone: how many pieces have each length is all that the search
 numbers as a sequence has tokens. Each step takes the longest length left and, with a bitset of the sums
 that the other lengths can reach, the multiset that fills the sequence closest to capacity. The multiset
 is read back from the bitsets, and is used as often as the counts allow, so each step uses up a length and
-the plan stays short however large the corpus is. A sum that is a power of two needs no padding either.
+the plan stays short however large the corpus is.
 
 Pieces then find their places without a shuffle of ids: the rank of a piece among those of its length
 gives its sequence and offset. Ranks are counted in buckets, so a length that holds most pieces is spread.
@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import column, steps, store
-from docquarry.llm.tokens import crc32, encoder
+from docquarry.llm.common import binary_values, column, steps, store
+from docquarry.llm.tokens import STEP, crc32, encoder, forget
 
 CAPACITY = 2048
 END_ID = 1
@@ -85,16 +85,11 @@ def read_back(sums: list[int], offered: dict[int, int], total: int) -> dict[int,
 
 
 def choose(counts: dict[int, int], seed: int, capacity: int) -> dict[int, int]:
-    """The multiset with the seed that leaves least padding; sums that are powers of two need none."""
+    """The multiset with the seed that fills the sequence closest to capacity."""
     rest = dict(counts)
     rest[seed] -= 1
     sums, offered = best_fill(rest, capacity - seed)
-    reach = sums[-1]
-    total = reach.bit_length() - 1
-    if total + seed < capacity:
-        exact = [1 << k for k in range(capacity.bit_length()) if seed <= 1 << k <= total + seed]
-        total = next((p - seed for p in reversed(exact) if reach >> (p - seed) & 1), total)
-    chosen = read_back(sums, offered, total)
+    chosen = read_back(sums, offered, sums[-1].bit_length() - 1)
     chosen[seed] = chosen.get(seed, 0) + 1
     return chosen
 
@@ -146,19 +141,24 @@ def cut_pieces(
     types = [pa.int64()] * 4
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            ids, sizes = encoder(path, False).encode(column(batch, "text").to_pylist())
-            ends = np.cumsum(sizes)
+        for batch in steps(batches, most=STEP):
+            ids, sizes = encoder(path, False).encode(binary_values(column(batch, "text")))
+            # The end id after each document's ids.
+            ends = np.cumsum(sizes + 1)
+            whole = np.full(int(ends[-1]), end_id, "<u4")
+            inner = np.ones(len(whole), bool)
+            inner[ends - 1] = False
+            whole[inner] = ids
             at, out = [], []
-            for row, (begin, end) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
-                whole = np.append(ids[begin:end], end_id)
-                for start in range(0, len(whole), capacity):
-                    piece = whole[start: start + capacity]
+            for row, (begin, end) in enumerate(zip((ends - sizes - 1).tolist(), ends.tolist())):
+                for start in range(begin, end, capacity):
+                    stop = min(start + capacity, end)
                     at.append(row)
-                    out.append((start, len(piece), crc32(piece), len(whole)))
+                    out.append((start - begin, stop - start, crc32(whole[start:stop]), end - begin))
             columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             yield pa.record_batch([column(batch, "doc_id").take(pa.array(at)), *columns], names)
+        forget()
 
     return rows.mapInArrow(cut, PIECES.format(id=rows.schema["doc_id"].dataType.simpleString()))
 
