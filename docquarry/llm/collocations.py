@@ -6,11 +6,11 @@ occurrences, so one ROLLUP over the columns sums the windows to all shorter phra
 the number of words.
 
 Most windows are rare from their second word on, and a phrase is frequent only if all phrases in it are. So
-before that, passes over the texts count hashes of runs of 2 and of 3 neighbouring words, the latter only where
-both pairs in it are frequent, and windows are padded from the first rare run on. Padded windows are few, as
-they collapse where they are made. The hashes of frequent runs are kept in bit maps of a fixed size
-(``FILTER_BITS``): hashes that meet only keep windows longer, so counts are exact at any size of the corpus,
-and larger maps only save shuffling.
+before that, passes over the texts count hashes of words and of pairs of neighbouring words, then of runs of
+three where both pairs in it are frequent, and windows are padded from the first rare run on, rare words
+included. Padded windows are few, as they collapse where they are made. The hashes of frequent runs are kept in
+bit maps of a fixed size (``FILTER_BITS``): hashes that meet only keep windows longer, so counts are exact at any
+size of the corpus, and larger maps only save shuffling.
 
 The passes ship a hash and a count for the distinct runs of a task's step, and padded windows. Both are added
 up before and after the shuffle, so words and pairs that a third of all places share reach the shuffle once a
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import binary_values, column, steps, store
+from docquarry.llm.common import binary_values, bit_map, column, in_map, steps, store
 from docquarry.llm.shingles import mix
 
 LONGEST = 4
@@ -102,22 +102,22 @@ def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Step]:
             yield Step(words, codes, joined, languages.dictionary.to_pylist(), number[of])
 
 
-def runs(step: Step, maps: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For 2 words, then 3 and so on: where runs that are in their map begin, and their hashes; at last, for the
-    first size without a map, runs whose shorter ones are all known."""
+def runs(step: Step, maps: dict[int, np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 word, then 2 and so on up to ``most``: where runs begin that are in their map, and their hashes. Shorter
+    runs in them are all known; a size without a map counts as known."""
     of_word, of_language = _hashes(step.words), _hashes(pa.array([n.encode() for n in step.languages], pa.large_binary()))
-    at = np.flatnonzero(step.joined)
-    hashes = mix(of_language[step.language[at]] * _TURN + of_word[step.codes[at]])
-    for size in range(2, len(maps) + 3):
+    at = np.arange(len(step.codes))
+    hashes = of_language[step.language]
+    for size in range(1, most + 1):
         hashes = mix(hashes * _TURN + of_word[step.codes[at + size - 1]])
         if size in maps:
-            place = (hashes & np.uint64(8 * len(maps[size]) - 1)).astype(np.int64)
-            known = (maps[size][place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+            known = in_map(maps[size], hashes)
             at, hashes = at[known], hashes[known]
         yield at, hashes
         begins = np.zeros(len(step.codes) + 1, bool)
         begins[at] = True
-        at, hashes = at[begins[at + 1]], hashes[begins[at + 1]]
+        both = step.joined[at] & begins[at + 1]
+        at, hashes = at[both], hashes[both]
 
 
 def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -127,32 +127,22 @@ def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def frequent_runs(
-    docs: DataFrame, maps: dict[int, np.ndarray], least: int = LEAST, text: str = "text", lang: str = "lang"
+    docs: DataFrame, sizes: tuple[int, ...], maps: dict[int, np.ndarray], least: int = LEAST, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
-    """(run, n): hashes of the runs of the first size without a map, by language, that occur ``least`` times or more."""
+    """(run, n): hashes of the runs of these sizes, by language, that occur ``least`` times or more."""
     shared = docs.sparkSession.sparkContext.broadcast(maps)  # ``FILTER_BITS`` / 8 bytes each
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in _steps(batches):
-            *_, (_, hashes) = runs(step, shared.value)
-            hashes, counts = np.unique(hashes, return_counts=True)
-            yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts)], ["run", "n"])
+            for size, (_, hashes) in enumerate(runs(step, shared.value, max(sizes)), 1):
+                if size in sizes:
+                    hashes, counts = np.unique(hashes, return_counts=True)
+                    yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts)], ["run", "n"])
 
     found = _rows(docs, text, lang).mapInArrow(counted, "run long, n long")
     return found.groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def bit_map(found: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit map of the hashes, ``bits`` bits, made by Spark in blocks of 4 kB."""
-    place = F.pmod("run", F.lit(bits)) + 1  # Spark counts bits from 1
-    blocks = found.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("block"))
-    held = blocks.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")).toArrow()
-    out = np.zeros((-(-bits // 32768), 4096), np.uint8)
-    for block, part in zip(held["block"].to_pylist(), held["bits"]):
-        out[block - 1] = np.frombuffer(part.as_buffer(), np.uint8)
-    return out.ravel()
-
-
 def padded_windows(docs: DataFrame, maps: dict[int, np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, w1 .. w4, n): how often a window begins at a word, cut before the first run that is not in the maps."""
     shared = docs.sparkSession.sparkContext.broadcast(maps)
@@ -161,13 +151,12 @@ def padded_windows(docs: DataFrame, maps: dict[int, np.ndarray], text: str = "te
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in _steps(batches):
             n, n_words = len(step.codes), len(step.words)
-            reach = np.ones(n, np.int64)
-            for size, (at, _) in enumerate(runs(step, shared.value), 2):
+            reach = np.zeros(n, np.int64)
+            for size, (at, _) in enumerate(runs(step, shared.value, LONGEST), 1):
                 reach[at] = size
             # Codes of the lead columns, one beyond the last word for padding.
             padded = np.append(step.codes, np.full(LONGEST, n_words))
-            lead = [step.language, step.codes]
-            lead += [np.where(reach > i, padded[i: i + n], n_words) for i in range(1, LONGEST)]
+            lead = [step.language, *(np.where(reach > i, padded[i: i + n], n_words) for i in range(LONGEST))]
             # Equal windows of the step become one row, by exact keys of two columns at a time.
             key = lead[0]
             for codes in lead[1:]:
@@ -186,8 +175,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS,
     if bits & (bits - 1) or bits < 1 << 15:
         raise ValueError("bits is a power of two from 32768 on")
     maps: dict[int, np.ndarray] = {}
-    for size in range(2, LONGEST):
-        maps = maps | {size: bit_map(frequent_runs(docs, maps, least, text, lang), bits)}
+    for sizes in ((1, 2), *((k,) for k in range(3, LONGEST))):
+        known = bit_map(frequent_runs(docs, sizes, maps, least, text, lang), "run", bits)
+        maps = maps | dict.fromkeys(sizes, known)
     windows = padded_windows(docs, maps, text, lang)
     # The lowest bits of grouping_id tell which of the last columns are summed over.
     sizes = " ".join(f"when {(1 << (LONGEST - k)) - 1} then {k}" for k in range(LONGEST + 1))

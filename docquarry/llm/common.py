@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,6 +92,26 @@ def filtered(docs: DataFrame, text: str, stays) -> DataFrame:
     return docs.mapInArrow(kept, docs.schema)
 
 
+def bit_map(keys: DataFrame, key: str, bits: int) -> np.ndarray:
+    """A bit map of 64-bit keys by their lowest bits, ``bits`` bits however many keys there are, made in blocks of 4 kB.
+
+    Rows that may be dropped because they match no key can be tested against it; keys that meet keep some more.
+    """
+    place = F.pmod(F.col(key), F.lit(bits)) + 1  # Spark counts bits from 1
+    blocks = keys.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("block"))
+    held = blocks.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")).toArrow()
+    out = np.zeros((-(-bits // 32768), 4096), np.uint8)
+    for block, part in zip(held["block"].to_pylist(), held["bits"]):
+        out[block - 1] = np.frombuffer(part.as_buffer(), np.uint8)
+    return out.ravel()
+
+
+def in_map(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the keys may be among those of the map."""
+    place = (keys & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
 def binary_values(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each text, without decoding them."""
     return column.cast(pa.binary()).to_pylist() if pa.types.is_string(column.type) else column.to_pylist()
@@ -101,6 +122,6 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 __all__ = [
-    "STEP_BYTES", "binary_values", "column", "filtered", "held_out", "labelled_sample", "learnable", "reachable", "shared_path", "steps", "store",
+    "STEP_BYTES", "binary_values", "bit_map", "column", "filtered", "held_out", "in_map", "labelled_sample", "learnable", "reachable", "shared_path", "steps", "store",
     "table",
 ]

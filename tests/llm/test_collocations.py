@@ -74,7 +74,7 @@ def test_all_counts_are_exact(spark, rows, least, bits):
 
 
 def test_a_full_bit_map_loses_nothing(spark, rows, monkeypatch):
-    monkeypatch.setattr(collocations, "bit_map", lambda found, bits: np.full(bits // 8, 255, np.uint8))
+    monkeypatch.setattr(collocations, "bit_map", lambda found, key, bits: np.full(bits // 8, 255, np.uint8))
     assert rows_of(collocations.collocations(texts(spark, rows), 3, bits=1 << 15)) == brute(rows, 3)
 
 
