@@ -35,11 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import binary_values, column, steps, store
-from docquarry.llm.tokens import PRINTED, STEP, PieceEncoder, Remembering
+from docquarry.llm.tokens import PRINTED, PieceEncoder, Remembering
 from docquarry.session import join_hot
 
-WINDOWS = 300_000
-WINDOW_BYTES = 32 << 20
+# What a task remembers of windows, and of pieces of each side.
+WINDOWS = 120_000
+WINDOW_BYTES = 12 << 20
+PIECES = 120_000
+# Bytes of text that are aligned at once.
+STEP = 2 << 20
 MARKS = 1_000_000
 # A pair of ids as one number.
 ID_BITS = 20
@@ -131,6 +135,7 @@ class Aligner:
 
     def __init__(self, byte_path: str, piece_path: str) -> None:
         self.a_side, self.b_side = PieceEncoder(byte_path, False, plain=True), SentenceEncoder(piece_path)
+        self.a_side.most = self.b_side.most = PIECES
         sides = byte_level_parts(self.a_side), self.b_side.parts()
         if max(map(len, sides)) > 1 << ID_BITS:
             raise ValueError(f"ids need more than {ID_BITS} bits")

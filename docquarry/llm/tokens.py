@@ -78,7 +78,9 @@ def _kinds_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Remembering:
-    """The ids of pieces, each encoded once until it is forgotten."""
+    """The ids of pieces, each encoded once until it is forgotten. ``most``: pieces that are remembered."""
+
+    most = PIECES
 
     def __init__(self) -> None:
         self.forget()
@@ -120,7 +122,7 @@ class Remembering:
 
     def encode_bytes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
-        if len(self.known) > PIECES or self.size > PIECE_BYTES:
+        if len(self.known) > self.most or self.size > PIECE_BYTES:
             self.forget()
         cut, counts = self.cut(texts)
         encoded = cut.dictionary_encode()

@@ -53,7 +53,7 @@ def test_tasks_leave_no_pieces_behind():
 
 
 def test_forgetting_pieces_changes_nothing(monkeypatch):
-    monkeypatch.setattr(tokens, "PIECES", 3)
+    monkeypatch.setattr(tokens.Remembering, "most", 3)
     own = tokens.PieceEncoder(BYTE, False)
     for text in ODD * 2:
         assert own.encode([text])[0].tolist() == whole(BYTE, text)
