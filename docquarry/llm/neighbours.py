@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by learned partitions.
 
-Fit, on a bounded sample: the exact neighbour graph of the sample is cut into balanced parts by recursive
-bisection (the graph's slowest varying vector, split at its median, then swaps that cut fewer edges). A
-softmax classifier with one hidden layer learns, from a vector, the shares of its neighbours in each part.
-The number of parts that a query visits is the smallest that finds ``RECALL`` of the sample's neighbours.
+Fit, in one task on a bounded sample: the exact neighbour graph of three quarters of the sample is cut into
+balanced parts by recursive bisection (the graph's slowest varying vector, split at its median, then swaps that
+cut fewer edges). A softmax classifier with one hidden layer learns, from a vector, the shares of its neighbours
+in each part. The number of parts that a query visits is the smallest that finds ``RECALL`` of the neighbours of
+the quarter that was held back.
 
 Index and search, on all rows: the classifier sends every vector to its most probable part, and a query to
 its most probable parts, where exact double-precision distances rank the candidates. Equal vectors are
@@ -13,12 +14,14 @@ queries are split by hash into cells of bounded size, so no task holds an unboun
 Defined results: vectors that are null, empty, zero, of another length than the most common one, or with
 null or non-finite components take no part, nor do rows without an id. Ties go to the smaller id. A row never
 finds its own id; repeated ids count as one row each, so a repeated id is found once per row by others,
-and a repeated query is answered once.
+and a repeated query is answered once. Distances of huge vectors that a double cannot hold are infinite, and ranked
+by id.
 Fewer candidates than asked for give fewer rows. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,16 +34,19 @@ from docquarry.llm.common import column, store
 
 SAMPLE = 8192
 GRAPH = 10
-PART_ROWS = 512
+PART_ROWS = 128
 MOST_PARTS = 256
 HIDDEN = 64
-RECALL = 0.95
+RECALL = 0.98
+# Above it squares of components may not fit a double.
+HUGE = 1e100
 CELL_ROWS = 16_384
 CELL_QUERIES = 2048
 NEAREST = 10
 
 
 class Router(NamedTuple):
+    unit: float  # a power of two that brings huge components down
     mean: np.ndarray
     scale: float
     layers: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -50,14 +56,15 @@ class Router(NamedTuple):
 # --- fit ---
 
 
-def neighbour_graph(vectors: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` nearest other vectors of each, in blocks."""
+def neighbour_graph(vectors: np.ndarray, k: int, queries: np.ndarray | None = None) -> np.ndarray:
+    """The ``k`` nearest vectors of each query, in blocks; without queries the nearest others of each vector."""
     squares = (vectors**2).sum(1)
-    found = []
-    for begin in range(0, len(vectors), 256):
-        far = squares[begin: begin + 256, None] + squares - 2 * vectors[begin: begin + 256] @ vectors.T
-        far[np.arange(len(far)), begin + np.arange(len(far))] = np.inf
-        found.append(np.argpartition(far, k, axis=1)[:, :k])
+    asked, found = vectors if queries is None else queries, []
+    for begin in range(0, len(asked), 256):
+        far = squares - 2 * asked[begin: begin + 256] @ vectors.T
+        if queries is None:
+            far[np.arange(len(far)), begin + np.arange(len(far))] = np.inf
+        found.append(np.argpartition(far, k - 1, axis=1)[:, :k])
     return np.concatenate(found)
 
 
@@ -114,27 +121,41 @@ def _forward(layers, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hidden, chances / chances.sum(1, keepdims=True)
 
 
+def _unit(vectors: np.ndarray) -> float:
+    most = float(np.abs(vectors).max(initial=0.0))
+    return 1.0 if most < HUGE else 2.0 ** -int(np.log2(most))
+
+
+def _inputs(vectors: np.ndarray, unit: float, mean: np.ndarray, scale: float) -> np.ndarray:
+    return np.clip((vectors * unit - mean) / scale, -1e4, 1e4).astype(np.float32)
+
+
 def chances(router: Router, vectors: np.ndarray) -> np.ndarray:
-    return _forward(router.layers, (vectors - router.mean) / router.scale)[1]
+    return _forward(router.layers, _inputs(vectors, router.unit, router.mean, router.scale))[1]
 
 
 def fit(vectors: np.ndarray, n_rows: int, seed: int = 3, epochs: int = 40) -> Router:
     """The router of ``n_rows`` vectors, from a sample of them."""
-    wanted = max(1, min(n_rows // PART_ROWS, MOST_PARTS, len(vectors) // 32))
+    rng = np.random.default_rng(seed)
+    order = rng.permutation(len(vectors))
+    held, taught = np.split(order, [len(order) // 4])
+    wanted = max(1, min(n_rows // PART_ROWS, MOST_PARTS, len(taught) // 24))
     n_parts = 1 << (wanted.bit_length() - 1)
-    mean, rng = vectors.mean(0), np.random.default_rng(seed)
-    scale = float((vectors - mean).std()) or 1.0
-    x = (vectors - mean) / scale
+    unit = _unit(vectors)
+    mean = (vectors * unit).mean(0)
+    scale = float((vectors * unit - mean).std()) or 1.0
+    x = _inputs(vectors[taught], unit, mean, scale)
     layers = [
         rng.standard_normal((x.shape[1], HIDDEN)) * np.sqrt(2 / x.shape[1]), np.zeros(HIDDEN),
         rng.standard_normal((HIDDEN, n_parts)) * np.sqrt(1 / HIDDEN), np.zeros(n_parts),
     ]
+    layers = [w.astype(np.float32) for w in layers]
     if n_parts == 1:
-        return Router(mean, scale, tuple(layers), 1)
+        return Router(unit, mean, scale, tuple(layers), 1)
     k = min(GRAPH, len(x) - 1)
     graph = neighbour_graph(x, k)
     part = balanced_parts(graph, n_parts)
-    target = np.zeros((len(x), n_parts))
+    target = np.zeros((len(x), n_parts), np.float32)
     np.add.at(target, (np.repeat(np.arange(len(x)), k), part[graph.ravel()]), 1 / (k + 1))
     target[np.arange(len(x)), part] += 1 / (k + 1)
     steps = [np.zeros_like(w) for w in layers], [np.zeros_like(w) for w in layers]
@@ -150,13 +171,14 @@ def fit(vectors: np.ndarray, n_rows: int, seed: int = 3, epochs: int = 40) -> Ro
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 w -= 0.003 * (1 - epoch / epochs) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    # How many parts must be visited to meet the neighbours of the sample, each in its most probable part.
-    guess = _forward(layers, x)[1]
-    home = guess.argmax(1)
-    rank = np.argsort(np.argsort(-guess, axis=1, kind="stable"), axis=1)
-    needed = np.sort(rank[np.repeat(np.arange(len(x)), k), home[graph.ravel()]])
+    # How many parts a held-back query must visit to meet its neighbours, each in its most probable part.
+    home = _forward(layers, x)[1].argmax(1)
+    asked = _inputs(vectors[held], unit, mean, scale)
+    rank = np.argsort(np.argsort(-_forward(layers, asked)[1], axis=1, kind="stable"), axis=1)
+    near = neighbour_graph(x, k, asked)
+    needed = np.sort(rank[np.repeat(np.arange(len(asked)), k), home[near.ravel()]])
     probes = int(needed[min(len(needed) - 1, int(RECALL * len(needed)))]) + 1
-    return Router(mean, scale, tuple(layers), probes)
+    return Router(unit, mean, scale, tuple(layers), probes)
 
 
 # --- rows ---
@@ -179,15 +201,19 @@ def usable(rows: DataFrame, vector: str, ident: str) -> DataFrame:
 
 def nearest_in_cell(points: np.ndarray, point_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each query the ``k`` points of the smallest exact distance, ties to the smaller id, and the distances."""
+    # A power of two changes no digit of a distance.
+    unit = min(_unit(points), _unit(queries))
+    points, queries = points * unit, queries * unit
     squares = (points**2).sum(1)
     for query in queries:
         far = squares - 2 * (points @ query)
         near = np.arange(len(points))
-        if len(points) > k:
+        if len(points) > k and unit == 1.0:
             # The expanded form loses digits, so everything near its k-th value is measured exactly.
             limit = np.partition(far, k - 1)[k - 1] + 1e-9 * (float(query @ query) + float(squares.max()))
             near = np.flatnonzero(far <= limit)
-        exact = np.sqrt(((points[near] - query) ** 2).sum(1))
+        with np.errstate(over="ignore"):
+            exact = np.sqrt(((points[near] - query) ** 2).sum(1)) / unit
         best = np.lexsort((point_ids[near], exact))[:k]
         yield point_ids[near[best]], exact[best]
 
@@ -206,17 +232,25 @@ def search(
     points = points.agg(F.min("vec_id").alias("point"), F.sort_array(F.collect_list(F.struct("vec_id", "copies"))).alias("ids"))
     points = store(points.select("point", "vector", "ids"), "points")
     n_points = points.count()
-    taught = points.orderBy(F.xxhash64("point"), "point").limit(sample).select("vector").toArrow()["vector"].combine_chunks()
     schema = "query_id long, rank int, vec_id long, score double"
     if not n_points:
         return spark.createDataFrame([], schema)
-    router = spark.sparkContext.broadcast(fit(_matrix(taught), n_points))  # bounded by the number of parts
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = [_matrix(column(batch, "vector")) for batch in batches if batch.num_rows]
+        if vectors:
+            yield pa.record_batch([pa.array([pickle.dumps(fit(np.concatenate(vectors), n_points))], pa.binary())], ["router"])
+
+    taught = points.orderBy(F.xxhash64("point"), "point").limit(sample).select("vector")
+    found = taught.coalesce(1).mapInArrow(fitted, "router binary").first()
+    router = spark.sparkContext.broadcast(bytes(found["router"]))  # bounded by the number of parts
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pickle.loads(router.value)
         for batch in batches:
             if batch.num_rows:
-                order = np.argsort(-chances(router.value, _matrix(column(batch, "vector"))), axis=1, kind="stable")
-                parts = pa.array(list(order[:, : router.value.probes].astype(np.int32)), pa.list_(pa.int32()))
+                order = np.argsort(-chances(known, _matrix(column(batch, "vector"))), axis=1, kind="stable")
+                parts = pa.array(list(order[:, : known.probes].astype(np.int32)), pa.list_(pa.int32()))
                 yield pa.record_batch([*batch.columns, parts], [*batch.schema.names, "parts"])
 
     # Which points the queries are; a vector that many queries share is searched once.

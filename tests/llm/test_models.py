@@ -130,7 +130,7 @@ def test_votes_follow_the_nearest(index):
 
 
 def vectors(spark, rows):
-    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, part int")
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, part int")
 
 
 def brute(rows, k):
@@ -188,6 +188,28 @@ def test_repeated_query_rows_take_no_places(spark):
     assert len(found) == 20
 
 
+def test_huge_vectors_keep_their_rows(spark):
+    rows = [(i, [float(i) * 1e200, 1e200], 0) for i in range(1, 21)] + [(100, [3.5e200, 1e200], 0), (200, [-1.7e308, 1e308], 0), (201, [1.7e308, 1e308], 0)]
+    found = sorted(map(tuple, neighbours.search(vectors(spark, rows).selectExpr("vec_id", "embedding"), "vec_id % 100 = 0").collect()))
+    nearest = [r for r in found if r[0] == 100]
+    assert [r[2] for r in nearest] == [3, 4, 2, 5, 1, 6, 7, 8, 9, 10]
+    assert nearest[0][3] == pytest.approx(0.5e200) and len(found) == 20
+
+
+def test_recall_on_the_given_embeddings(spark):
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings", "vec_id", "embedding").where("vec_id is not null and embedding is not null").collect()
+    known = np.array([r["embedding"] for r in rows], np.float64)
+    ids = np.array([r["vec_id"] for r in rows])
+    expected = set()
+    for i in np.flatnonzero(ids % 100 == 0):
+        far = np.sqrt(((known - known[i]) ** 2).sum(1))
+        far[i] = np.inf
+        expected |= {(int(ids[i]), int(ids[j])) for j in np.lexsort((ids, far))[:10]}
+    found = {(r["query_id"], r["vec_id"]) for r in catalog.QUERIES["op8_nearest_neighbours"](spark, "/root/testdata/sf0.1").collect()}
+    assert len(found) == len(expected)
+    assert len(found & expected) >= 0.95 * len(expected)
+
+
 def test_no_vectors(spark):
     assert neighbours.search(vectors(spark, []), "vec_id % 100 = 0").count() == 0
     assert neighbours.search(vectors(spark, [(100, [1.0], 1)]), "vec_id % 100 = 0").count() == 0
