@@ -83,10 +83,13 @@ def _secrets_sql() -> str:
         ("hex", "[0-9a-f]+", 0, 32, 2),
         ("entropy", secrets.CANDIDATE, 0, secrets.WINDOW, 3),
     ]
+    masked = "body"
+    for word in secrets.ALLOWED_WORDS:
+        masked = f"regexp_replace({masked}, '(?i){word}', '{' ' * len(word)}', 'g')"
     cut = ", ".join(
-        f"string_split_regex(body, '{regex}') as g{o}, regexp_extract_all(body, '{regex}', 0) as h{o}, "
-        f"regexp_extract_all(body, '{regex}', {group}) as v{o}"
-        for _, regex, group, _, o in kinds
+        f"string_split_regex({text}, '{regex}') as g{o}, regexp_extract_all({text}, '{regex}', 0) as h{o}, "
+        f"regexp_extract_all({text}, '{regex}', {group}) as v{o}"
+        for text, (_, regex, group, _, o) in zip(["body"] * 3 + ["masked"], kinds)
     )
     placed = " union all ".join(
         f"select row, '{kind}' as kind, {o} as ord, unnest(h{o}) as hit, length(unnest(v{o})) as size, {least} as least, "
@@ -98,7 +101,7 @@ def _secrets_sql() -> str:
     w = secrets.WINDOW
     return f"""
     with numbered as (select row_number() over () as row, doc_id, coalesce(text, '') as body from documents),
-    cut as (select row, {cut} from numbered),
+    cut as (select row, {cut} from (select *, {masked} as masked from numbered)),
     placed as ({placed}),
     spans as (
         select row, kind, ord, hit, size, least,

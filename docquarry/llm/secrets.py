@@ -3,7 +3,8 @@
 A candidate string is a run of 20 or more base64 or hex characters. A window of ``WINDOW`` characters
 slides over it; the window's character counts change by one character in and one out, and so does
 ``sum(c * log2(c))``, from which Shannon's entropy follows. The threshold depends on the character
-class of the candidate (hex or base64). Candidates that an allow-list names are suppressed.
+class of the candidate (hex or base64). Candidates that an allow-list names are suppressed, and words
+that it names are no part of a candidate.
 
 Everything is a DataFrame expression over one row: no shuffle, no Python on the executors.
 
@@ -49,13 +50,15 @@ HEX_ONLY = r"^[0-9A-Fa-f]+$"
 # Bits per character that a window must reach.
 THRESHOLDS = {"hex": 3.0, "base64": 3.9}
 # Whole candidates that are no secrets: strings without a digit or without a letter (words, rules,
-# numbers), identifiers in UUID form, runs of the alphabet or of digits, and stated examples.
+# numbers), and identifiers in UUID form.
 ALLOWED = (
     r"^[^0-9]*$",
     r"^[^A-Za-z]*$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)0123456789|abcdefghij|example",
 )
+# Runs of the digits or the alphabet, and stated examples, in either case: candidates end before them and
+# begin anew after them, so a key next to one is still found.
+ALLOWED_WORDS = ("0123456789", "abcdefghij", "example")
 # c * log2(c) in millionths, as integers, so that sums do not depend on their order.
 WEIGHTS = [round(c * math.log2(c) * 1_000_000) if c else 0 for c in range(WINDOW + 1)]
 
@@ -156,8 +159,12 @@ def dense_window(candidate: Column) -> Column:
 def dense_spans(text: Column) -> Column:
     """Spans of high entropy in candidates that the allow-list does not name."""
     allowed = "|".join(f"(?:{rule})" for rule in ALLOWED)
+    # Blanks of the same length instead of allowed words keep all places.
+    open_text = text
+    for word in ALLOWED_WORDS:
+        open_text = F.regexp_replace(open_text, f"(?i){word}", " " * len(word))
     # A candidate's text is cut out by place, so only candidates that stay are cut.
-    hits = located(text, CANDIDATE, 0)
+    hits = located(open_text, CANDIDATE, 0)
 
     def judged(span: Column) -> Column:
         value = F.substring(text, span["start"] + 1, span["value"])
@@ -180,15 +187,19 @@ def find_secrets(docs: DataFrame, text: str = "text", patterns: tuple[Pattern, .
     found = {}
     for order, pattern in enumerate(patterns):
         spans = _long_enough(located(body, pattern.regex, pattern.group), pattern.least)
-        found[f"_{pattern.kind}"] = _labelled(spans, pattern.kind, order)
-    found["_entropy"] = _labelled(dense_spans(body), "entropy", len(patterns))
-    rows = docs.withColumns(found)
-    base = F.array_sort(F.concat(*[F.col(f"_{p.kind}") for p in patterns]))
+        found[pattern.kind] = _labelled(spans, pattern.kind, order)
+    found["entropy"] = _labelled(dense_spans(body), "entropy", len(patterns))
+    # One column for the spans by kind, of a name that the input does not have.
+    own = "spans"
+    while own in docs.columns:
+        own += "_"
+    rows = docs.withColumn(own, F.struct(*[spans.alias(kind) for kind, spans in found.items()]))
+    base = F.array_sort(F.concat(*[F.col(own)[p.kind] for p in patterns]))
     rows = rows.withColumns(
-        {f"n_{p.kind}": F.size(f"_{p.kind}").cast("long") for p in patterns}
-        | {"base_spans": base, "secret_spans": F.array_sort(F.concat(base, "_entropy"))}
+        {f"n_{p.kind}": F.size(F.col(own)[p.kind]).cast("long") for p in patterns}
+        | {"base_spans": base, "secret_spans": F.array_sort(F.concat(base, F.col(own)["entropy"]))}
     )
-    return rows.drop(*found)
+    return rows.drop(own)
 
 
 def joined(spans: str) -> Column:
