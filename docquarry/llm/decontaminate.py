@@ -11,7 +11,8 @@ even where the document is a thousand times the item. Every word position of a d
 against all sketches. A met item is then verified by counting its shingles in the document exactly.
 
 Items go to the tasks in blocks of at most ``BLOCK_BYTES`` of text, each block with its own pass over the
-documents, so a pass has a proven bound and no document is shuffled.
+documents, so a pass has a proven bound and no document is shuffled. The results of a block are stored before
+the next one is read, so the driver and the tasks hold one block at a time.
 
 Defined results: null and empty documents hold nothing; null and empty items, and items without words, are
 in no document. Repeated documents and items are matched each. Null ids stay null. Other columns, also of
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import binary_values, column, filtered, steps
+from docquarry.llm.common import binary_values, column, filtered, steps, store
 from docquarry.llm.shingles import distinct, rolled, words
 
 WORDS = 5
@@ -104,18 +105,16 @@ def search(items: Items, texts: list[bytes | None]) -> Iterator[tuple[int, int,
                 yield t, i, shared
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, width: int, share: float) -> list[Items]:
-    """The items in blocks of bounded size, by hash; one block for all usual benchmarks."""
+def _blocks(benchmark: DataFrame, item: str, text: str, width: int, share: float) -> Iterator[tuple[Items, bool]]:
+    """The items in blocks of bounded size, by hash, one at a time, and whether it is the last one."""
     rows = benchmark.select(F.col(item).alias("item_id"), F.col(text).cast("string").cast("binary").alias("text"))
     rows = rows.where("text is not null")  # such items are in no document
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-2 * size // BLOCK_BYTES) or 1
-    found = []
     for block in range(n):
         part = rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == block).toArrow()
         order = sorted(zip(part["item_id"].to_pylist(), part["text"].to_pylist()), key=lambda r: (r[0] is None, r[:1] if r[0] is not None else (), r[1]))
-        found.append(build([r[0] for r in order], [r[1] for r in order], width, share))
-    return found
+        yield build([r[0] for r in order], [r[1] for r in order], width, share), block == n - 1
 
 
 def matches(
@@ -127,7 +126,7 @@ def matches(
     id_types = rows.schema["doc_id"].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
     schema = f"doc_id {id_types[0]}, item_id {id_types[1]}, item_shingles long, shared long, containment double"
     found = None
-    for items in _blocks(benchmark, item, text, width, share):
+    for items, last in _blocks(benchmark, item, text, width, share):
         known = docs.sparkSession.sparkContext.broadcast(items)
 
         def matched(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
@@ -145,13 +144,16 @@ def matches(
                     yield pa.record_batch(columns, ["doc_id", "item_id", "item_shingles", "shared", "containment"])
 
         part = rows.mapInArrow(matched, schema)
+        if not last:
+            part = store(part, "matches")
+            known.destroy()
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, width: int = WORDS, share: float = SHARE, text: str = "text", item: str = "item_id") -> DataFrame:
     """The documents, with all their columns, that hold no item."""
-    for items in _blocks(benchmark, item, text, width, share):
+    for items, last in _blocks(benchmark, item, text, width, share):
         known = docs.sparkSession.sparkContext.broadcast(items)
 
         def stays(texts: list[bytes | None], known=known) -> np.ndarray:
@@ -160,4 +162,7 @@ def without_items(docs: DataFrame, benchmark: DataFrame, width: int = WORDS, sha
             return mask
 
         docs = filtered(docs, text, stays)
+        if not last:
+            docs = store(docs, "without_items")
+            known.destroy()
     return docs

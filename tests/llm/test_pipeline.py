@@ -88,9 +88,30 @@ def test_run_gives_the_same_pieces(spark, passed):
 
 
 def test_odd_rows_pass_the_stages(spark):
-    rows = [(1, None), (2, ""), (3, "word " * 30_000), (4, "a b c d e f"), (4, "a b c d e f"), (None, "lost"), (5, "A B C D E F")]
+    """Which rows and texts are left after each stage; the classifier's verdict on them is read from its scores."""
+    long, secret = "word " * 30_000, "token = kJ8f2Lq0ZpX7vB3nR6tY1wS5"
+    rows = [(1, None), (2, ""), (3, long), (4, "a b c d e f"), (4, "a b c d e f"), (None, "lost"), (5, "A B C D E F"), (6, secret)]
+    model = quality.fit(table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels"))
+    odds = {t: o for t, o in zip([t for _, t in rows], quality.log_odds(model, [t.encode() if t else None for _, t in rows]))}
+    least = np.log(quality.CUT / (1 - quality.CUT))
+    first = [(i, t) for i, t in rows if odds[t] >= least]
     for some in (rows, []):
-        docs = documents(spark, some).withColumnRenamed("lang", "digest")
+        docs, left = documents(spark, some).withColumnRenamed("lang", "digest").withColumnRenamed("source", "own_id"), {}
         for name, stage in corpus_pipeline.STAGES:
-            docs = store(stage(spark, docs, SF_DIR), name)
-        assert (docs.count() > 0) == bool(some)
+            if name == "quality":  # learnt from the given documents
+                docs = quality.without_rejected(docs, model)
+            else:
+                docs = stage(spark, docs, SF_DIR)
+            docs = store(docs, name)
+            left[name] = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=repr) if name != "packing" else docs.collect()
+        if not some:
+            assert not any(left.values())
+            continue
+        assert left["quality"] == sorted(first, key=repr)
+        # Of equal texts, and of rows of an id, one is left; texts without words and rows without an id all stay.
+        once = {t.lower() if t and t.strip() else (i, t): (i, t) for i, t in reversed(first) if i is not None} | {(i, t): (i, t) for i, t in first if i is None}
+        assert left["near_duplicates"] == sorted(once.values(), key=repr) == left["decontamination"]
+        assert left["secrets"] == sorted(((i, "[secret]" if t == secret else t) for i, t in once.values()), key=repr)
+        assert {r["doc_id"] for r in left["packing"]} == {i for i, _ in once.values()}
+
+
