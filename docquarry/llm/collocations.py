@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import binary_values, bit_map, column, in_map, steps, store
+from docquarry.llm.common import binary_values, bit_map, column, in_map, release, steps, store
 from docquarry.llm.shingles import mix
 
 LONGEST = 4
@@ -42,7 +42,7 @@ MOST = 2000
 SCALE = 2_000_000
 FILTER_BITS = 1 << 27
 # Bytes of text whose windows collapse before they leave Python.
-STEP = 4 << 20
+STEP = 2 << 20
 
 _END, _SPACE, _LETTER = 0, 1, 2
 _KIND = np.full(256, _LETTER, np.uint8)
@@ -138,6 +138,7 @@ def frequent_runs(
                 if size in sizes:
                     hashes, counts = np.unique(hashes, return_counts=True)
                     yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts)], ["run", "n"])
+        release()
 
     found = _rows(docs, text, lang).mapInArrow(counted, "run long, n long")
     return found.groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -165,6 +166,7 @@ def padded_windows(docs: DataFrame, maps: dict[int, np.ndarray], text: str = "te
             columns = [pa.array(step.languages, pa.string()).take(pa.array(lead[0][first]))]
             columns += [choices.take(pa.array(codes[first])).cast(pa.string()) for codes in lead[1:]]
             yield pa.record_batch([*columns, pa.array(np.bincount(key))], ["lang", *names, "n"])
+        release()
 
     schema = ", ".join(f"{name} string" for name in ["lang", *names])
     return _rows(docs, text, lang).mapInArrow(windows, f"{schema}, n long")

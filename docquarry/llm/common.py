@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -82,6 +83,15 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = STE
         yield batch.slice(begin)
 
 
+def release() -> None:
+    """Give back memory that this worker has freed; tasks call it at their end, as workers may wait long for another."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
+
+
 def filtered(docs: DataFrame, text: str, stays) -> DataFrame:
     """The rows, with all their columns, whose texts pass: ``stays`` takes a list of texts and returns a mask."""
 
@@ -122,6 +132,6 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 __all__ = [
-    "STEP_BYTES", "binary_values", "bit_map", "column", "filtered", "held_out", "in_map", "labelled_sample", "learnable", "reachable", "shared_path", "steps", "store",
+    "STEP_BYTES", "binary_values", "bit_map", "column", "filtered", "held_out", "in_map", "labelled_sample", "learnable", "reachable", "release", "shared_path", "steps", "store",
     "table",
 ]
