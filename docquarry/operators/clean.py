@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.config import ACT_COLUMNS, MISSING_SPELLINGS, TAG_COLUMN, TEXT_COLUMN
+from docquarry.config import ACT_COLUMNS, ID_COLUMN, MISSING_SPELLINGS, TAG_COLUMN, TEXT_COLUMN
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
@@ -61,6 +61,20 @@ def dropped_counts(df: DataFrame, text_column: str = TEXT_COLUMN) -> DataFrame:
     )
 
 
+def missing_id_counts(acts: DataFrame, id_column: str = ID_COLUMN) -> DataFrame:
+    """Of cleaned acts: all rows, rows without an id, and how many of these a corpus of unique ids would lose."""
+    without = F.coalesce(F.sum((F.col(id_column) == "").cast("long")), F.lit(0))
+    return acts.agg(
+        F.count(F.lit(1)).alias("rows"), without.alias("without_id"), F.greatest(without - 1, F.lit(0)).alias("rows_lost")
+    )
+
+
+def with_own_ids(acts: DataFrame, order: str, id_column: str = ID_COLUMN) -> DataFrame:
+    """Cleaned acts where rows without an id get one of their own, ``row `` and their order, so all are kept apart."""
+    own = F.concat(F.lit("row "), F.col(order).cast("string"))
+    return acts.withColumn(id_column, F.when(F.col(id_column) == "", own).otherwise(F.col(id_column)))
+
+
 def text_preview(text: Column, length: int = 150) -> Column:
     """The first characters, with three dots only when the text goes on."""
     return F.when(F.length(text) > length, F.concat(F.substring(text, 1, length), F.lit("..."))).otherwise(text)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.session import store
@@ -56,18 +56,31 @@ def unique_terms(doc_freq_table: DataFrame) -> DataFrame:
     return doc_freq_table.agg(F.count(F.lit(1)).alias("unique_terms"))
 
 
+def term_counts(tokens: Column) -> Column:
+    """``array<struct<term, tf>>``: the distinct terms of a token array and how often each occurs, without a shuffle."""
+
+    def counted(ordered: Column) -> Column:
+        last = F.filter(
+            F.sequence(F.lit(1), F.size(ordered)), lambda i: F.get(ordered, i).isNull() | (F.get(ordered, i) != F.get(ordered, i - 1))
+        )
+        return F.get(F.transform(F.array(last), lambda ends: F.transform(
+            ends, lambda end, i: F.struct(F.get(ordered, end - 1).alias("term"), (end - F.coalesce(F.get(ends, i - 1), F.lit(0))).alias("tf"))
+        )), F.lit(0))
+
+    # Bound once, as an element of an array.
+    found = F.get(F.transform(F.array(F.array_sort(tokens)), counted), F.lit(0))
+    return F.when(F.size(tokens) > 0, found)
+
+
 def overwriting_postings(tokens: DataFrame, order: str) -> DataFrame:
     """Postings when ids repeat: per term the latest copy that holds it wins.
 
-    A term only an earlier copy holds stays. ``tokens`` has ``doc_id``, ``order`` and ``tokens``.
+    A term only an earlier copy holds stays. ``tokens`` has ``doc_id``, ``order`` and ``tokens``. Terms are
+    counted within each row, and the copies of a term meet in one shuffle, merged per task before it, so an id
+    that very many rows share sends each of its terms once a task.
     """
-    per_copy = (
-        tokens.select("doc_id", order, F.explode_outer("tokens").alias("term"))
-        .where("term is not null")
-        .groupBy("doc_id", "term", order)
-        .agg(F.count(F.lit(1)).cast("int").alias("tf"))
-    )
-    return per_copy.groupBy("term", "doc_id").agg(F.max_by("tf", order).alias("tf"))
+    rows = tokens.select("doc_id", order, F.explode(term_counts(F.col("tokens"))).alias("held"))
+    return rows.groupBy("held.term", "doc_id").agg(F.max_by("held.tf", order).alias("tf"))
 
 
 def overwriting_lengths(tokens: DataFrame, order: str) -> DataFrame:

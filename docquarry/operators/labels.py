@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.config import DEFAULTS, Settings
+from docquarry.operators.profile import order_statistics
 
 
 def label_freq(corpus: DataFrame) -> DataFrame:
@@ -65,6 +66,27 @@ def random_split(df: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFram
     return train, test
 
 
+def with_exact_split(df: DataFrame, key: str = "doc_id", settings: Settings = DEFAULTS) -> DataFrame:
+    """Add ``is_test``: exactly the share of rows whose seeded hashes are smallest, rounded up; ties by the key.
+
+    The smallest hash that stays out is found by selection, not by a global sort, so membership is the same
+    for any partitioning and no task holds more than the rows of one hash. ``key`` is unique per row.
+    """
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{settings.split_seed}")))
+    place = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")  # 52 bits, exact as a double
+    rows = df.withColumn("place", place)
+    total = df.count()
+    wanted = -(-total * settings.test_percent // 100)
+    if not wanted or wanted == total:
+        return df.withColumn("is_test", F.lit(bool(wanted)))
+    tall = rows.select(F.lit("place").alias("column_name"), F.col("place").alias("value"))
+    edge, before = order_statistics(tall, [("place", wanted - 1)])["place", wanted - 1]
+    at_edge = rows.where(F.col("place") == edge).select(key)
+    inside = at_edge.orderBy(key).limit(wanted - before).withColumn("inside", F.lit(True))
+    marked = rows.join(F.broadcast(inside), key, "left")  # the rows of one hash value
+    return marked.withColumn("is_test", (F.col("place") < edge) | F.coalesce("inside", F.lit(False))).drop("place", "inside")
+
+
 def label_index_stats(vocabulary: DataFrame, label_index: DataFrame) -> DataFrame:
     """Mean documents per label and the number of labels with at least one document."""
     counts = label_index.groupBy("label").agg(F.count(F.lit(1)).alias("n"))

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
-# percentile_approx with this accuracy is off by at most one in 100,000 ranks.
-_ACCURACY = 100_000
-_MARGIN = 5.0 / _ACCURACY
+# Values that cut a bracket in each round of a selection.
+CUTS = 63
 
 
 def column_types(df: DataFrame) -> DataFrame:
@@ -33,81 +32,78 @@ def number_columns(df: DataFrame) -> list[str]:
     return [field.name for field in df.schema if isinstance(field.dataType, T.NumericType)]
 
 
-def describe_numbers(df: DataFrame) -> DataFrame:
-    """Count, mean, deviation, extremes and exact interpolated quartiles of number columns.
+def order_statistics(tall: DataFrame, wanted: list[tuple[str, int]], cuts: int = CUTS) -> dict[tuple[str, int], tuple[float, int]]:
+    """For each ``(column_name, rank)``, rank from 0: the value of that rank, and how many values are smaller.
 
-    Approximate percentiles bracket each quartile; counts then check that its place lies inside, and
-    a bracket that misses is widened to the extremes. Only the values in a bracket are sorted.
+    ``tall`` has ``column_name`` and ``value`` (double, not NULL). In each round approximate percentiles of
+    the values in a bracket cut it, counts between the cuts tell where the rank lies, and the bracket
+    shrinks to that place, or is done if the rank lies on a cut. Cuts follow the counts, not the values, so
+    a round leaves about one value in ``cuts`` however skewed they are. Nothing is sorted and a task holds
+    counts only.
     """
+    spark = tall.sparkSession
+    schema = "column_name string, rank long, low double, high double"
+    # Between which values, both excluded, a rank is looked for, and how many values are below the bracket.
+    open_ = {key: (float("-inf"), float("inf"), 0) for key in set(wanted)}
+    first, found = True, {}
+    while open_:
+        rows = [(column, rank, low, high) for (column, rank), (low, high, _) in open_.items()]
+        brackets = F.broadcast(spark.createDataFrame(rows, schema))  # one row per rank that is still open
+        inside = tall.join(brackets, "column_name")
+        if not first:
+            inside = inside.where((F.col("value") > F.col("low")) & (F.col("value") < F.col("high")))
+        shares = [(i + 1) / (cuts + 1) for i in range(cuts)]
+        points = inside.groupBy("column_name", "rank").agg(F.percentile_approx("value", shares, 10 * cuts).alias("points"))
+        points = [(r["column_name"], r["rank"], sorted(set(r["points"]))) for r in points.collect()]
+        known = F.broadcast(spark.createDataFrame(points, "column_name string, rank long, points array<double>"))
+        below = F.size(F.filter("points", lambda p: p < F.col("value")))
+        up_to = F.size(F.filter("points", lambda p: p <= F.col("value")))
+        counts = inside.join(known, ["column_name", "rank"]).groupBy("column_name", "rank", below.alias("below"), up_to.alias("up_to"))
+        places: dict[tuple[str, int], list] = {}
+        for r in counts.agg(F.count(F.lit(1)).alias("n")).collect():  # at most two rows per cut
+            places.setdefault((r["column_name"], r["rank"]), []).append((r["below"], r["up_to"], r["n"]))
+        still = {}
+        for column, rank, cut_at in points:
+            low, high, before = open_[column, rank]
+            for below_n, up_to_n, n in sorted(places[column, rank]):
+                if before + n > rank:
+                    break
+                before += n
+            if up_to_n > below_n:
+                found[column, rank] = (cut_at[below_n], before)
+            else:
+                left = cut_at[below_n - 1] if below_n else low
+                still[column, rank] = (left, cut_at[below_n] if below_n < len(cut_at) else high, before)
+        first, open_ = False, still
+    return found
+
+
+def describe_numbers(df: DataFrame) -> DataFrame:
+    """Count, mean, deviation, extremes and exact interpolated quartiles of number columns."""
     names = number_columns(df)
     tall = df.select(*[F.col(name).cast("double").alias(name) for name in names]).unpivot(
         [], names, "column_name", "value"
     ).where(F.col("value").isNotNull())
-    points = [min(max(p + shift, 0.0), 1.0) for p in QUARTILES.values() for shift in (-_MARGIN, _MARGIN)]
-    first = tall.groupBy("column_name").agg(
+    summary = tall.groupBy("column_name").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.percentile_approx("value", points, _ACCURACY).alias("points"),
-    )
-    summary = first.collect()  # one row per column
-    brackets = [
-        (row["column_name"], name, p * (row["count"] - 1), row["points"][2 * place], row["points"][2 * place + 1])
-        for row in summary
-        for place, (name, p) in enumerate(QUARTILES.items())
-    ]
-    extremes = {row["column_name"]: (row["min"], row["max"]) for row in summary}
-    wanted = _checked(tall, brackets, extremes)
-    # Three bracket rows per column.
-    placed = tall.join(F.broadcast(wanted), "column_name").where(F.col("value") <= F.col("high"))
-    below = F.col("value") < F.col("low")
-    groups = placed.groupBy(
-        "column_name", "quartile", "place", F.when(~below, F.col("value")).alias("value")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    in_order = Window.partitionBy("column_name", "quartile").orderBy(F.col("value").asc_nulls_first())
-    ranked = groups.withColumn(
-        "last", F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    )
-    # The value at a position is the smallest whose last rank reaches it.
-    at_floor = F.min(F.when(F.col("last") >= F.floor("place"), F.col("value")))
-    at_ceil = F.min(F.when(F.col("last") >= F.ceil("place"), F.col("value")))
-    part = F.first("place") - F.floor(F.first("place"))
-    quartiles = (
-        ranked.groupBy("column_name", "quartile")
-        .agg((at_floor + (at_ceil - at_floor) * part).alias("at"))
-        .groupBy("column_name")
-        .agg(*[F.max(F.when(F.col("quartile") == name, F.col("at"))).alias(name) for name in QUARTILES])
-    )
-    basics = df.sparkSession.createDataFrame(
-        [row[:-1] for row in summary],
-        "column_name string, count long, mean double, std double, min double, max double",
-    )
-    return basics.join(quartiles, "column_name")
-
-
-def _checked(
-    tall: DataFrame, brackets: list[tuple], extremes: dict[str, tuple[float, float]]
-) -> DataFrame:
-    """The brackets ``(column_name, quartile, place, low, high)`` with those that miss their place widened."""
-    spark, schema = tall.sparkSession, "column_name string, quartile string, place double, low double, high double"
-    # Three bracket rows per column.
-    counts = (
-        tall.join(F.broadcast(spark.createDataFrame(brackets, schema)), "column_name")
-        .groupBy("column_name", "quartile")
-        .agg(
-            F.sum((F.col("value") < F.col("low")).cast("long")).alias("below"),
-            F.sum((F.col("value") <= F.col("high")).cast("long")).alias("up_to"),
-        )
-    )
-    found = {(row["column_name"], row["quartile"]): row for row in counts.collect()}
-    kept = []
-    for column, name, place, low, high in brackets:
-        row = found[column, name]
-        inside = row["below"] <= math.floor(place) and math.ceil(place) < row["up_to"]
-        kept.append((column, name, place, *((low, high) if inside else extremes[column])))
-    return spark.createDataFrame(kept, schema)
+    ).collect()  # one row per column
+    places = {(row["column_name"], name): p * (row["count"] - 1) for row in summary for name, p in QUARTILES.items()}
+    wanted = [(column, rank) for (column, _), place in places.items() for rank in (math.floor(place), math.ceil(place))]
+    found = order_statistics(tall, wanted) if wanted else {}
+    rows = []
+    for row in summary:
+        quartiles = []
+        for name in QUARTILES:
+            place = places[row["column_name"], name]
+            floor, ceil = (found[row["column_name"], rank][0] for rank in (math.floor(place), math.ceil(place)))
+            quartiles.append(floor + (ceil - floor) * (place - math.floor(place)))
+        rows.append((*row, *quartiles))
+    schema = "column_name string, count long, mean double, std double, min double, max double"
+    return df.sparkSession.createDataFrame(rows, schema + "".join(f", {name} double" for name in QUARTILES))
 
 
 def first_rows(df: DataFrame, order: str, n: int = 5) -> DataFrame:

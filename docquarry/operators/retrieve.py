@@ -13,6 +13,9 @@ from docquarry.functions.scoring import bm25_idf, bm25_saturation
 from docquarry.operators.index import Index
 from docquarry.session import join_hot, store
 
+# Ranges of terms that a scan of postings is told to look at.
+TERM_RANGES = 16
+
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """``(qid, term, qtf)``; a token that repeats in the query counts again."""
@@ -33,9 +36,30 @@ def weighted_terms(queries: DataFrame, index: Index) -> DataFrame:
     return store(known.select("qid", "term", "qtf", "idf"), "query_terms")
 
 
+def term_ranges(terms: DataFrame, most: int = TERM_RANGES) -> list[tuple[str, str]]:
+    """At most ``most`` ranges that hold every term, in order.
+
+    Terms with the same first two characters are a range, a term without such neighbours a range of its own.
+    Neighbouring ranges are merged while there are too many, so the predicate has a fixed size.
+    """
+    first = F.substring("term", 1, 2)
+    rows = terms.groupBy(first.alias("first")).agg(F.min("term").alias("low"), F.max("term").alias("high"))
+    found = sorted((row.low.encode(), row.high.encode()) for row in rows.collect())
+    width = -(-len(found) // most)
+    return [(found[i][0].decode(), found[min(i + width, len(found)) - 1][1].decode()) for i in range(0, len(found), width or 1)]
+
+
+def pruned_postings(terms: DataFrame, index: Index) -> DataFrame:
+    """The postings in the ranges of the terms. Files are sorted by term, so the scan skips what lies between."""
+    term, wanted = F.col("term"), F.lit(False)
+    for low, high in term_ranges(terms):
+        wanted = wanted | (term == low if low == high else term.between(low, high))
+    return index.postings.where(wanted)
+
+
 def matching_postings(terms: DataFrame, index: Index, settings: Settings = DEFAULTS) -> DataFrame:
     """Postings joined to the query terms; common terms do not pile up in one task."""
-    return join_hot(index.postings, terms, "term", "doc_id", settings.broadcast_rows)
+    return join_hot(pruned_postings(terms, index), terms, "term", "doc_id", settings.broadcast_rows)
 
 
 def union_retrieval(terms: DataFrame, index: Index, settings: Settings = DEFAULTS) -> DataFrame:
@@ -57,11 +81,20 @@ def bm25_scores(terms: DataFrame, index: Index, settings: Settings = DEFAULTS) -
     )
 
 
-def restrict_to(candidates: DataFrame, scores: DataFrame) -> DataFrame:
-    """Scores of given candidates; one without a matching token keeps 0.0."""
-    return candidates.join(scores, ["qid", "doc_id"], "left").withColumn(
-        "score", F.coalesce("score", F.lit(0.0))
-    )
+def restricted_scores(
+    query_labels: DataFrame, doc_labels: DataFrame, scores: DataFrame, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """``(qid, doc_id, score)`` of all documents that carry a label of the query; one without a matching token keeps 0.0.
+
+    ``query_labels`` has ``qid`` and ``label``, ``doc_labels`` has ``doc_id`` and ``labels``. The scores of a
+    document become one row, which meets its labels where both lie: tables distributed on ``doc_id`` are not
+    shuffled, nor are the scores.
+    """
+    by_document = scores.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("qid", "score"))).alias("scored"))
+    labelled = doc_labels.join(by_document, "doc_id", "left").select("doc_id", "scored", F.explode("labels").alias("label"))
+    found = join_hot(labelled, query_labels, "label", "doc_id", settings.broadcast_rows)
+    score = F.coalesce(F.try_element_at("scored", F.col("qid")), F.lit(0.0))
+    return found.select("qid", "doc_id", score.alias("score")).groupBy("qid", "doc_id").agg(F.max("score").alias("score"))
 
 
 def top_k(scores: DataFrame, k: int, settings: Settings = DEFAULTS) -> DataFrame:

@@ -22,7 +22,7 @@ from docquarry.operators.index import Index
 from docquarry.operators.retrieve import bm25_scores, top_k, union_retrieval, weighted_terms
 from docquarry.operators.svm import LinearModel, predict
 from docquarry.operators.tfidf import TfidfModel, with_text_grams
-from docquarry.session import fits, store
+from docquarry.session import fits, join_hot, store
 
 
 @dataclass(frozen=True)
@@ -33,16 +33,22 @@ class Tagger:
     model: LinearModel
 
 
+# Smallest ids kept of each label: as many candidates without a matching token as a search may ask for.
+HEADS = 1000
+
+
 @dataclass(frozen=True)
 class TagIndex:
     """Tables of the tagged corpus.
 
     ``doc_labels(doc_id, labels)`` is hash-distributed like the postings. ``combos(labels, n)``
-    counts the documents of each distinct set of labels.
+    counts the documents of each distinct set of labels. ``heads(label, doc_id, place)`` holds the
+    ``HEADS`` smallest ids of each label.
     """
 
     doc_labels: DataFrame
     combos: DataFrame
+    heads: DataFrame
 
     def label_index(self, only: DataFrame | None = None) -> DataFrame:
         """``(label, doc_id)`` rows; ``only`` is a table of the ``doc_id`` to keep, such as a test side."""
@@ -62,7 +68,14 @@ def build_tag_index(vectors: DataFrame, model: LinearModel) -> TagIndex:
         tag_documents(vectors, model), "doc_labels", bucket_by="doc_id", sort_by=("doc_id",), distributed=True
     )
     combos = doc_labels.where(F.size("labels") > 0).groupBy("labels").agg(F.count(F.lit(1)).alias("n"))
-    return TagIndex(doc_labels, store(combos, "label_combos"))
+    return TagIndex(doc_labels, store(combos, "label_combos"), store(label_heads(doc_labels), "label_heads"))
+
+
+def label_heads(doc_labels: DataFrame, most: int = HEADS) -> DataFrame:
+    """``(label, doc_id, place)``: the smallest ids of each label. Spark keeps at most ``most`` per task before the shuffle."""
+    rows = doc_labels.select(F.explode_outer("labels").alias("label"), "doc_id").where("label is not null")
+    by_id = Window.partitionBy("label").orderBy("doc_id")
+    return rows.withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= most)
 
 
 def query_vectors(queries: DataFrame, tfidf: TfidfModel, query_text: str = "raw", settings: Settings = DEFAULTS) -> DataFrame:
@@ -108,7 +121,8 @@ def tag_set_hits(tag_sets: DataFrame, combos: DataFrame) -> DataFrame:
 
 
 def choose_methods(
-    queries: DataFrame, tags: DataFrame, tag_index: TagIndex, labels: list[str], strict: bool = False
+    queries: DataFrame, tags: DataFrame, tag_index: TagIndex, labels: list[str], strict: bool = False,
+    settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """Add ``tags``, ``tag_hits`` and ``method`` to queries with ``tokens`` and ``target_label``."""
     target = matched_target(F.col("target_label"), labels, strict)
@@ -118,7 +132,10 @@ def choose_methods(
         .withColumn("tags", F.when(F.col("target").isNotNull(), F.array("target")).otherwise(F.col("labels")))
         .drop("labels")
     )
-    counted = chosen.join(tag_set_hits(chosen, tag_index.combos), "tags", "left").withColumn(
+    # Only queries with tags have hits to look up, so untagged ones do not meet in one task.
+    hits = store(tag_set_hits(chosen.where(F.size("tags") > 0), tag_index.combos), "tag_hits")
+    tagged = join_hot(chosen.where(F.size("tags") > 0).select("qid", "tags"), hits, "tags", "qid", settings.broadcast_rows)
+    counted = chosen.join(tagged.select("qid", "tag_hits"), "qid", "left").withColumn(
         "tag_hits", F.coalesce("tag_hits", F.lit(0))
     )
     method = (
@@ -152,13 +169,9 @@ def ranked_candidates(
         .where(~F.col("by_tags") | F.arrays_overlap("tags", "labels"))
         .select("qid", "doc_id", "score")
     )
-    by_id = Window.partitionBy("label").orderBy("doc_id")
-    heads = (
-        tag_index.label_index()
-        .withColumn("place", F.row_number().over(by_id))
-        .where(F.col("place") <= k)
-        .select("label", "doc_id")
-    )
+    if k > HEADS:
+        raise ValueError(f"k is at most {HEADS}")
+    heads = tag_index.heads.where(F.col("place") <= k).select("label", "doc_id")
     unscored = (
         chosen.where("by_tags")
         .select("qid", F.explode("tags").alias("label"))
@@ -188,7 +201,7 @@ def search(
     # Stored: the plan below reads the tags of each query more than once.
     tags = store(classify_queries(tokenized, tagger, query_text, settings), "query_tags")
     chosen = store(
-        choose_methods(tokenized, tags, tag_index, tagger.model.labels, strict_label_match), "search_plan"
+        choose_methods(tokenized, tags, tag_index, tagger.model.labels, strict_label_match, settings), "search_plan"
     )
     terms = weighted_terms(chosen, index)
     ranked = ranked_candidates(chosen, terms, index, tag_index, k, settings)

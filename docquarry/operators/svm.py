@@ -1,10 +1,18 @@
 """One linear SVM per label, fitted together, and margins for whole tables.
 
-Each label minimises ``0.5 * (|w|^2 + b^2) + C * sum(max(0, 1 - y * (w.x + b))^2)``. Executors
-compute loss and gradient of all labels in one pass over their rows, Spark adds the parts up by
-label, and the driver takes an L-BFGS step. Driver and task hold matrices of labels x vocabulary,
-both bounded by settings (100 x 50,000 doubles are 40 MB); the driver also keeps two such matrices
-for each of the last ten steps.
+Each label minimises ``0.5 * (|w|^2 + b^2) + C * sum(max(0, 1 - y * (w.x + b))^2)``. The rows become
+sparse blocks once, in row order and in feature order, and stay cached. In each pass executors compute
+loss and gradient of all labels over their blocks, Spark adds the parts up by label, and the driver
+takes a quasi-Newton step.
+
+All labels share their curvature: a label's Hessian is ``1 + 2 C X'X`` over the rows inside its
+margin. A few passes of Hessian-vector products, on a block of vectors at once, give the largest
+eigenvalues and vectors of ``X'X``. Each label's steps start from the inverse of the Hessian that they
+and the label's share of rows inside the margin imply, and L-BFGS pairs correct the rest, so few
+passes are needed.
+
+Driver and task hold matrices of labels x vocabulary, both bounded by settings (100 x 50,000 doubles
+are 40 MB); the driver also keeps two such matrices for each of the last ten steps.
 """
 
 from __future__ import annotations
@@ -29,6 +37,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Rows a task turns into one dense matrix at a time.
 BLOCK_ROWS = 8
 
+# Entries of a sparse block; a row with more is a block of its own.
+BLOCK_ENTRIES = 1 << 15
+
+# Entries x columns that one product holds at a time.
+SLICE = 1 << 18
+
+# Vectors of the shared curvature, and passes that refine them.
+CURVATURE = 48
+REFINING = 2
+
 # Gradients one merging task adds up.
 MERGE_WIDTH = 64
 
@@ -159,58 +177,103 @@ def predict(vectors: DataFrame, model: LinearModel, key: str = "doc_id") -> Data
 # --- fitting ---
 
 
-def loss_and_gradient(
-    train: DataFrame, active: np.ndarray, all_labels: int, weights: np.ndarray, intercepts: np.ndarray, c: float
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Loss sum, intercept gradient and weight gradient per active label, without the penalty.
+BLOCK_COLUMNS = ("row_ends", "places", "values", "features", "feature_ends", "rows", "by_feature", "targets", "target_ends")
+_KINDS = dict(zip(BLOCK_COLUMNS, (np.int32, np.int32, np.float64, np.int32, np.int32, np.int32, np.float64, np.int32, np.int32)))
 
-    ``active`` holds the label positions that the rows of ``weights`` and ``intercepts`` stand for.
+
+def sparse_blocks(train: DataFrame) -> DataFrame:
+    """The rows as sparse blocks, a block per row of the result.
+
+    A block holds its distinct ``features``, and its entries twice: by row (``row_ends``, ``places`` among
+    the features, ``values``), and by feature (``feature_ends``, ``rows``, ``by_feature``).
     """
-    spark = train.sparkSession
-    labels, features = weights.shape
-    shared = spark.sparkContext.broadcast((np.ascontiguousarray(weights.T), intercepts))
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_feature, bias = shared.value
-        gradient = np.zeros((features, labels))
-        bias_gradient = np.zeros(labels)
-        loss = np.zeros(labels)
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lengths, indices = _lists(batch.column("indices"))
+            _, values = _lists(batch.column("values"))
             counts, targets = _lists(batch.column("targets"))
-            signs = np.full((batch.num_rows, all_labels), -1.0)
-            signs[np.repeat(np.arange(batch.num_rows), counts), targets] = 1.0
-            signs = signs[:, active]
-            for rows, held, matrix in _blocks(batch.column("indices"), batch.column("values")):
-                short = np.maximum(0.0, 1.0 - signs[rows] * (matrix @ by_feature[held] + bias))
-                loss += c * np.square(short).sum(axis=0)
-                pull = -2.0 * c * signs[rows] * short
-                bias_gradient += pull.sum(axis=0)
-                gradient[held] += matrix.T @ pull
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(labels), pa.int32()),
-                pa.array([
-                    np.concatenate(([loss[i], bias_gradient[i]], gradient[:, i])).tobytes() for i in range(labels)
-                ]),
-            ],
-            names=["label", "sums"],
-        )
+            ends, target_ends = np.cumsum(lengths), np.cumsum(counts)
+            start = 0
+            while start < batch.num_rows:
+                before = ends[start] - lengths[start]
+                stop = max(start + 1, int(np.searchsorted(ends, before + BLOCK_ENTRIES, "right")))
+                entries = slice(before, ends[stop - 1])
+                features, places = np.unique(indices[entries], return_inverse=True)
+                rows = np.repeat(np.arange(stop - start), lengths[start:stop])
+                order = np.argsort(places, kind="stable")
+                target_start = target_ends[start] - counts[start]
+                parts = (
+                    ends[start:stop] - before, places, values[entries], features, np.cumsum(np.bincount(places, minlength=len(features))),
+                    rows[order], values[entries][order], targets[target_start: target_ends[stop - 1]], target_ends[start:stop] - target_start,
+                )
+                packed = [np.ascontiguousarray(part, kind).tobytes() for part, kind in zip(parts, _KINDS.values())]
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.binary()) for part in packed], names=list(BLOCK_COLUMNS))
+                start = stop
 
     rows = train.select("indices", "values", "targets")
-    totals = rows.mapInArrow(partial, "label int, sums binary")
-    tasks = rows.rdd.getNumPartitions()
-    if tasks > MERGE_WIDTH:
-        # No group holds the sums of more than tasks / MERGE_WIDTH, then MERGE_WIDTH tasks.
-        slots = totals.withColumn("slot", F.spark_partition_id() % MERGE_WIDTH)
-        totals = slots.groupBy("label", "slot").applyInArrow(_add_up, "label int, sums binary")
-    if tasks > 1:
-        totals = totals.groupBy("label").applyInArrow(_add_up, "label int, sums binary")
-    table = totals.toArrow()
-    shared.destroy()
-    sums = np.empty((labels, features + 2))
+    return rows.mapInArrow(built, ", ".join(f"{name} binary" for name in BLOCK_COLUMNS))
+
+
+class _Block:
+    """A sparse block as arrays."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int) -> None:
+        for name, kind in _KINDS.items():
+            buffer = batch.column(name)[row].as_buffer()
+            setattr(self, name, np.frombuffer(buffer, kind) if buffer.size else np.empty(0, kind))
+        self.size = len(self.row_ends)
+
+    def times(self, vectors: np.ndarray) -> np.ndarray:
+        """Rows x columns: the block times a dense matrix with a row per feature of the vocabulary."""
+        return _summed(vectors[self.features], self.places, self.values, self.row_ends)
+
+    def transposed_times(self, pulls: np.ndarray) -> np.ndarray:
+        """Features of the block x columns."""
+        return _summed(pulls, self.rows, self.by_feature, self.feature_ends)
+
+    def signs(self, labels: int) -> np.ndarray:
+        signs = np.full((self.size, labels), -1.0)
+        signs[np.repeat(np.arange(self.size), np.diff(self.target_ends, prepend=0)), self.targets] = 1.0
+        return signs
+
+
+def _summed(matrix: np.ndarray, places: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each run of entries up to its end, the weighted sum of the matrix rows at their places."""
+    out = np.zeros((len(ends), matrix.shape[1]))
+    width = max(1, SLICE // max(matrix.shape[1], 1))
+    first = 0
+    while first < len(ends):
+        begin = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, begin + width, "right")))
+        part = slice(begin, int(ends[last - 1]))
+        starts = np.concatenate(([0], ends[first: last - 1] - begin))
+        filled = np.diff(ends[first:last], prepend=begin) > 0
+        if filled.any():
+            products = matrix[places[part]]
+            products *= weights[part, None]
+            out[first:last][filled] = np.add.reduceat(products, starts[filled], axis=0)
+        first = last
+    return out
+
+
+def _added_up(blocks: DataFrame, partial, columns: int) -> list[np.ndarray]:
+    """The sums over all tasks of ``partial(blocks of the task)``: vectors by column, one to each."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = partial(_Block(batch, row) for batch in batches for row in range(batch.num_rows))
+        packed = pa.array([np.ascontiguousarray(v).tobytes() for v in vectors], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(range(columns), pa.int32()), packed], names=["label", "sums"])
+
+    totals = blocks.mapInArrow(sums, "label int, sums binary")
+    # No group holds the sums of more than MERGE_WIDTH tasks, then tasks / MERGE_WIDTH of these sums.
+    slots = totals.withColumn("slot", F.floor(F.spark_partition_id() / MERGE_WIDTH))
+    totals = slots.groupBy("label", "slot").applyInArrow(_add_up, "label int, sums binary")
+    table = totals.groupBy("label").applyInArrow(_add_up, "label int, sums binary").toArrow()
+    found: list[np.ndarray] = [np.empty(0)] * columns
     for label, packed in zip(table.column("label").to_pylist(), table.column("sums")):
-        sums[label] = np.frombuffer(packed.as_buffer())
-    return sums[:, 0], sums[:, 1], sums[:, 2:]
+        found[label] = np.frombuffer(packed.as_buffer())
+    return found
 
 
 def _add_up(parts: pa.Table) -> pa.Table:
@@ -221,38 +284,96 @@ def _add_up(parts: pa.Table) -> pa.Table:
     return pa.table({"label": parts.column("label").combine_chunks().slice(0, 1), "sums": [total.tobytes()]})
 
 
-def _direction(gradient: np.ndarray, history: deque, scale: np.ndarray) -> np.ndarray:
-    """L-BFGS direction of one label from its past steps; ``scale`` is the inverse curvature guess."""
+def loss_and_gradient(
+    blocks: DataFrame, active: np.ndarray, all_labels: int, weights: np.ndarray, intercepts: np.ndarray, c: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Loss sum, rows inside the margin, intercept gradient and weight gradient per active label, without the penalty.
+
+    ``active`` holds the label positions that the rows of ``weights`` and ``intercepts`` stand for.
+    """
+    labels, features = weights.shape
+    shared = blocks.sparkSession.sparkContext.broadcast((np.ascontiguousarray(weights.T), intercepts))
+
+    def partial(held: Iterator[_Block]) -> np.ndarray:
+        by_feature, bias = shared.value
+        sums = np.zeros((3 + features, labels))
+        for block in held:
+            signs = block.signs(all_labels)[:, active]
+            short = np.maximum(0.0, 1.0 - signs * (block.times(by_feature) + bias))
+            pull = -2.0 * c * signs * short
+            sums[0] += c * np.square(short).sum(axis=0)
+            sums[1] += (short > 0).sum(axis=0)
+            sums[2] += pull.sum(axis=0)
+            sums[3 + block.features] += block.transposed_times(pull)
+        return sums.T
+
+    sums = np.array(_added_up(blocks, partial, labels)).reshape(labels, 3 + features)
+    shared.destroy()
+    return sums[:, 0], sums[:, 1], sums[:, 2], sums[:, 3:]
+
+
+def gram_product(blocks: DataFrame, vectors: np.ndarray) -> np.ndarray:
+    """``X'X`` times the columns of ``vectors``; the last row stands for the intercept, a feature of 1 in every row."""
+    width = vectors.shape[1]
+    shared = blocks.sparkSession.sparkContext.broadcast(vectors)
+
+    def partial(held: Iterator[_Block]) -> np.ndarray:
+        known = shared.value
+        sums = np.zeros(known.shape)
+        for block in held:
+            products = block.times(known) + known[-1]
+            sums[-1] += products.sum(axis=0)
+            sums[block.features] += block.transposed_times(products)
+        return sums.T
+
+    found = np.array(_added_up(blocks, partial, width)).reshape(width, len(vectors)).T
+    shared.destroy()
+    return found
+
+
+def curvature(blocks: DataFrame, features: int, vectors: int = CURVATURE, refining: int = REFINING) -> tuple[np.ndarray, np.ndarray]:
+    """About the largest eigenvalues of ``X'X`` and their vectors, by subspace iteration from a fixed seed."""
+    vectors = min(vectors, features + 1)
+    basis = np.random.default_rng(11).standard_normal((features + 1, vectors))
+    for _ in range(refining):
+        basis, _ = np.linalg.qr(gram_product(blocks, basis))
+    found = gram_product(blocks, basis)
+    values, turn = np.linalg.eigh(basis.T @ found)
+    return np.maximum(values, 0.0), basis @ turn
+
+
+class _Inverse:
+    """The inverse of ``1 + 2 C p X'X`` by the shared curvature, p being the share of rows inside the margin.
+
+    Beyond the known vectors the smallest known eigenvalue stands for the rest, halved as it bounds them.
+    """
+
+    def __init__(self, values: np.ndarray, vectors: np.ndarray, c: float) -> None:
+        self.values, self.vectors, self.c = values, vectors, c
+        self.rest = values.min(initial=0.0) / 2 if vectors.shape[1] < len(vectors) else 0.0
+
+    def __call__(self, gradient: np.ndarray, share: float) -> np.ndarray:
+        rest = 1.0 + 2.0 * self.c * share * self.rest
+        known = 1.0 + 2.0 * self.c * share * self.values
+        return gradient / rest + self.vectors @ ((1.0 / known - 1.0 / rest) * (gradient @ self.vectors))
+
+
+def _direction(gradient: np.ndarray, history: deque, inverse) -> np.ndarray:
+    """L-BFGS direction of one label from its past steps; ``inverse`` applies the guess of the inverse Hessian."""
     step = gradient.copy()
     shares = []
     for move, change, weight in reversed(history):
         share = weight * move.dot(step)
         step -= share * change
         shares.append(share)
-    step *= scale
-    if history:
-        move, change, _ = history[-1]
-        step *= move.dot(change) / change.dot(scale * change)
+    step = inverse(step)
     for (move, change, weight), share in zip(history, reversed(shares)):
         step += move * (share - weight * change.dot(step))
     return -step
 
 
-def feature_energy(train: DataFrame, features: int) -> np.ndarray:
-    """Sum of squares of each feature, one entry per vocabulary position."""
-    energy = np.zeros(features)
-    squares = (
-        train.select(F.inline(F.arrays_zip("indices", "values")))
-        .groupBy("indices")
-        .agg(F.sum(F.col("values") * F.col("values")).alias("energy"))
-    )
-    for row in squares.collect():
-        energy[row["indices"]] = row["energy"]
-    return energy
-
-
 def fit_labels(
-    train: DataFrame,
+    blocks: DataFrame,
     positives: np.ndarray,
     rows: int,
     features: int,
@@ -263,39 +384,38 @@ def fit_labels(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Weights, intercepts, final objective, and whether the tolerance was reached, per label.
 
-    ``train`` has ``indices``, ``values`` and ``targets`` (label positions). One pass over it
-    serves the trial points of all labels that are still moving; a label stops when its gradient
-    has shrunk by ``tolerance`` times its share of the rarer class.
+    ``blocks`` are those of ``sparse_blocks``. One pass over them serves the trial points of all
+    labels that are still moving; a label stops when its gradient has shrunk by ``tolerance`` times
+    its share of the rarer class.
     """
     labels = len(positives)
     point = np.zeros((labels, features + 1))
-    value = np.zeros(labels)
+    value, inside = np.zeros(labels), np.ones(labels)
     gradient = np.zeros_like(point)
 
-    def evaluate(active: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        loss, bias, slope = loss_and_gradient(train, active, labels, at[:, :-1], at[:, -1], settings.svc_c)
-        return 0.5 * np.square(at).sum(axis=1) + loss, at + np.column_stack([slope, bias])
+    def evaluate(active: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        loss, held, bias, slope = loss_and_gradient(blocks, active, labels, at[:, :-1], at[:, -1], settings.svc_c)
+        return 0.5 * np.square(at).sum(axis=1) + loss, held / rows, at + np.column_stack([slope, bias])
 
     moving = (positives > 0) & (positives < rows)
     active = np.flatnonzero(moving)
     if not len(active):
         return point[:, :-1], point[:, -1], value, np.ones(labels, bool)
-    # The curvature of a coordinate, with about a third of the rows inside the margin.
-    curvature = 1.0 + 2.0 * settings.svc_c * np.append(feature_energy(train, features), rows) / 3.0
-    scale = 1.0 / curvature
-    value[active], gradient[active] = evaluate(active, point[active])
+    inverse = _Inverse(*curvature(blocks, features), settings.svc_c)
+    value[active], inside[active], gradient[active] = evaluate(active, point[active])
     goal = np.zeros(labels)
     goal[:] = tolerance * np.minimum(positives, rows - positives) / rows * np.linalg.norm(gradient, axis=1)
     histories = [deque(maxlen=memory) for _ in range(labels)]
-    direction = -gradient * scale
+    direction = np.zeros_like(point)
+    for label in active:
+        direction[label] = -inverse(gradient[label], inside[label])
     length = np.ones(labels)
     for _ in range(max_passes):
         active = np.flatnonzero(moving)
         if not len(active):
             break
         trials = point[active] + length[active, None] * direction[active]
-        trial_values, trial_gradients = evaluate(active, trials)
-        for label, trial, trial_value, trial_gradient in zip(active, trials, trial_values, trial_gradients):
+        for label, trial, trial_value, trial_inside, trial_gradient in zip(active, trials, *evaluate(active, trials)):
             slope = gradient[label].dot(direction[label])
             if trial_value > value[label] + 1e-4 * length[label] * slope:
                 length[label] /= 2.0
@@ -304,21 +424,14 @@ def fit_labels(
             move, change = trial - point[label], trial_gradient - gradient[label]
             if move.dot(change) > 1e-12:
                 histories[label].append((move, change, 1.0 / move.dot(change)))
-            point[label], value[label], gradient[label] = trial, trial_value, trial_gradient
+            point[label], value[label], inside[label], gradient[label] = trial, trial_value, trial_inside, trial_gradient
             moving[label] = np.linalg.norm(trial_gradient) > goal[label]
-            direction[label] = _direction(trial_gradient, histories[label], scale)
+            share = inside[label]
+            direction[label] = _direction(trial_gradient, histories[label], lambda g: inverse(g, share))
             length[label] = 1.0
     return point[:, :-1], point[:, -1], value, np.linalg.norm(gradient, axis=1) <= goal
 
 
-def fitting_tasks(train: DataFrame, features: int) -> int:
-    """Tasks per pass: each returns a gradient as wide as the vocabulary, so each should hold
-    at least twice as many entries."""
-    entries = train.agg(F.sum(F.size("indices").cast("long"))).first()[0] or 0
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return int(min(max(entries // (2 * max(features, 1)), 1), cores))
-
-
 def label_support(train: DataFrame, labels: int) -> tuple[np.ndarray, int]:
     """Rows per label position, and all rows."""
     counts = np.zeros(labels)
@@ -332,10 +445,10 @@ def fit_model(
 ) -> tuple[LinearModel, np.ndarray]:
     """Fit all labels; a label with one class in training gets a constant answer."""
     positives, rows = label_support(train, len(labels))
-    # Every pass reads the rows again; a lost executor's part comes back from the stored table.
-    cached = train.coalesce(fitting_tasks(train, features)).persist(StorageLevel.MEMORY_AND_DISK)
-    weights, intercepts, objective, converged = fit_labels(cached, positives, rows, features, settings, **options)
-    cached.unpersist()
+    # Every pass reads the blocks again; a lost executor's part comes back from the stored table.
+    blocks = sparse_blocks(train).persist(StorageLevel.MEMORY_AND_DISK)
+    weights, intercepts, objective, converged = fit_labels(blocks, positives, rows, features, settings, **options)
+    blocks.unpersist()
     if not converged.all():
         stuck = [label for label, done in zip(labels, converged) if not done]
         warnings.warn(f"the fit stopped before its tolerance for {len(stuck)} labels: {stuck[:5]}", stacklevel=2)

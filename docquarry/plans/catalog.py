@@ -71,6 +71,26 @@ def acts_dropped(s: Stages) -> DataFrame:
     return clean.dropped_counts(known_acts(s))
 
 
+def partly_nameless_acts(s: Stages) -> DataFrame:
+    """The acts, with the id taken from those that have no quality label."""
+    known = known_acts(s)
+    return clean.clean_acts(known.withColumn("CELEX", F.when(F.col("Act_name").isNotNull(), F.col("CELEX"))), carry=("row_no",))
+
+
+@registered("""
+    select count(*) as rows, count(*) filter (Act_name = '') as without_id,
+           greatest(count(*) filter (Act_name = '') - 1, 0) as rows_lost from acts""")
+def acts_without_id(s: Stages) -> DataFrame:
+    return clean.missing_id_counts(partly_nameless_acts(s))
+
+
+@registered("select case when Act_name = '' then 'row ' || row_no else CELEX end as doc_id, row_no, len(EUROVOC) as n_tags from acts")
+def acts_kept_apart(s: Stages) -> DataFrame:
+    acts = clean.with_own_ids(partly_nameless_acts(s), "row_no")
+    apart = corpus.last_copy(acts, "CELEX", "row_no")
+    return apart.select(F.col("CELEX").alias("doc_id"), "row_no", F.size("EUROVOC").alias("n_tags"))
+
+
 @registered("""
     select row_no, unnest(EUROVOC) as tag, generate_subscripts(EUROVOC, 1) - 1 as pos from acts""")
 def acts_tags(s: Stages) -> DataFrame:
@@ -290,6 +310,13 @@ def train_test_split(s: Stages) -> DataFrame:
     return s.kept().select("doc_id", "is_test")
 
 
+@registered("""
+    select doc_id, row_number() over (order by ('0x' || substr(md5(doc_id || '|42'), 1, 13))::bigint, doc_id)
+           <= ceil((select count(*) from kept_tags) * 20 / 100.0) as is_test from kept_tags""")
+def exact_split(s: Stages) -> DataFrame:
+    return labels.with_exact_split(s.kept().select("doc_id")).select("doc_id", "is_test")
+
+
 # --- tf-idf ---
 
 
@@ -409,6 +436,21 @@ def svc_fit(s: Stages) -> DataFrame:
     return summary.join(norms, "label", "left")
 
 
+@registered("""
+    select t.label, coalesce(nl, 0) as positives, (select count(*) from train) as rows,
+           coalesce(nl, 0) > 0 and coalesce(nl, 0) < (select count(*) from train) as learnable
+    from top_labels t left join label_sizes z on z.label = t.label""")
+def svc_learnable(s: Stages) -> DataFrame:
+    """Rows with each label, and whether the fit learnt it; labels with one class in training get a constant answer."""
+    model, _ = s.fitted
+    learnt = [(label, bool(abs(b) < float("inf"))) for label, b in zip(model.labels, model.intercepts)]
+    learnt = F.broadcast(s.spark.createDataFrame(learnt, "label string, learnable boolean"))  # at most 100 labels
+    sizes = s.kept_pairs(False).groupBy("label").agg(F.count(F.lit(1)).alias("positives"))
+    return learnt.join(sizes, "label", "left").select(
+        "label", F.coalesce("positives", F.lit(0)).alias("positives"), F.lit(s.train_rows).cast("long").alias("rows"), "learnable"
+    )
+
+
 @registered("""
     select label, true as converged from (select label, nl, (select count(*) from train) as n from label_sizes)
     where nl < n""")
@@ -467,19 +509,22 @@ def label_union(s: Stages) -> DataFrame:
     return retrieve.label_documents(wanted, s.tag_index.label_index())
 
 
+def target_labels(s: Stages) -> DataFrame:
+    target = search.matched_target(F.col("target_label"), s.label_names)
+    return s.queries().select("qid", target.alias("label")).where("label is not null")
+
+
 @registered("select t.qid, x.doc_id from targets t join label_index x on x.label = t.label")
 def label_target(s: Stages) -> DataFrame:
-    target = search.matched_target(F.col("target_label"), s.label_names)
-    wanted = s.queries().select("qid", target.alias("label")).where("label is not null")
-    return retrieve.label_documents(wanted, s.tag_index.label_index())
+    return retrieve.label_documents(target_labels(s), s.tag_index.label_index())
 
 
 @registered("""
     select t.qid, x.doc_id, round(coalesce(s.score, 0.0), 6) as score from targets t
     join label_index x on x.label = t.label left join scores s on s.qid = t.qid and s.doc_id = x.doc_id""")
 def bm25_label_restricted(s: Stages) -> DataFrame:
-    scored = retrieve.restrict_to(label_target(s), retrieve.bm25_scores(s.query_terms, s.index))
-    return rounded(scored, "score")
+    scores = retrieve.bm25_scores(s.query_terms, s.index)
+    return rounded(retrieve.restricted_scores(target_labels(s), s.tag_index.doc_labels, scores), "score")
 
 
 @registered("""
@@ -574,6 +619,26 @@ def acts_from_csv(s: Stages) -> DataFrame:
     return acts.withColumn("tags", F.array_join("EUROVOC", "|")).drop("EUROVOC")
 
 
+def wide_csv(s: Stages) -> str:
+    return s.once("wide_csv", lambda: csv_path(s, fixtures.wide_acts(s.spark, s.sf_dir).orderBy("row_no"), "wide_csv"))
+
+
+@registered("select row_no, " + ", ".join(f"nullif({name}, '') as {name}" for name in ("Act_type", "CELEX"))
+            + ", length(case when act_raw_text in ('NA', 'n/a', '') then null else act_raw_text end) as n_text, "
+            + "n_chars, quality::bigint as quality, toxic::bigint as toxic from wide_acts")
+def wide_acts_from_csv(s: Stages) -> DataFrame:
+    """All columns of a CSV, their types inferred, as written but for missing values."""
+    wide = files.read_wide_acts(s.spark, wide_csv(s), ("CELEX",))
+    return wide.select("row_no", "Act_type", "CELEX", F.length("act_raw_text").alias("n_text"), "n_chars", "quality", "toxic")
+
+
+@registered("select row_no::varchar as row_no, Act_type, CELEX from wide_acts order by wide_acts.row_no limit 5")
+def acts_head(s: Stages) -> DataFrame:
+    """The first rows of a CSV, all columns as strings."""
+    first = min(s.spark.read.text(wide_csv(s)).inputFiles())
+    return files.read_head(s.spark, first).select("row_no", "Act_type", "CELEX")
+
+
 @registered("select source_id, doc_id from ids")
 def id_map_from_csv(s: Stages) -> DataFrame:
     rows = fixtures.id_map(s.spark, s.sf_dir).orderBy("row_no").drop("row_no")

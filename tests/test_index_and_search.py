@@ -97,6 +97,49 @@ def test_scoring_shuffles_only_the_best_rows(spark, small):
     assert "WindowGroupLimit" in plan
 
 
+def test_scan_of_postings_names_the_terms(spark, small):
+    terms = retrieve.weighted_terms(queries_of(spark, [("q", ["a", "c"])]), small)
+    plan = retrieve.bm25_scores(terms, small)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,a)" in plan and "EqualTo(term,c)" in plan
+
+
+def test_term_ranges_hold_all_terms(spark):
+    rng = np.random.default_rng(1)
+    words = sorted({"".join(rng.choice(list("abcé日🙂"), rng.integers(1, 5))) for _ in range(300)}, key=str.encode)
+    terms = spark.createDataFrame([(w,) for w in words], "term string")
+    for most in (1, 3, 64):
+        ranges = retrieve.term_ranges(terms, most)
+        assert len(ranges) <= most
+        assert all(any(low.encode() <= w.encode() <= high.encode() for low, high in ranges) for w in words)
+        assert all(a[1].encode() < b[0].encode() for a, b in zip(ranges, ranges[1:]))
+    assert retrieve.term_ranges(terms.where("false")) == []
+
+
+def test_restricted_scores_need_no_shuffle(spark, small):
+    labels = spark.createDataFrame([("d1", ["x", "y"]), ("d2", ["x"]), ("d3", []), ("d9", ["y"])], "doc_id string, labels array<string>")
+    held = store(labels, "held", bucket_by="doc_id")
+    wanted = spark.createDataFrame([("q", "x"), ("q", "y"), ("r", "y")], "qid string, label string")
+    terms = retrieve.weighted_terms(queries_of(spark, [("q", ["a", "c"]), ("r", ["zebra"])]), small)
+    found = retrieve.restricted_scores(wanted, held, retrieve.bm25_scores(terms, small))
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    scores = scores_of(spark, small, ["a", "c"])
+    expected = {("q", "d1"): scores["d1"], ("q", "d2"): scores["d2"], ("q", "d9"): 0.0, ("r", "d1"): 0.0, ("r", "d9"): 0.0}
+    for settings in (Settings(), Settings(broadcast_rows=0)):
+        found = retrieve.restricted_scores(wanted, held, retrieve.bm25_scores(terms, small), settings)
+        assert {(r.qid, r.doc_id): r.score for r in found.collect()} == pytest.approx(expected)
+
+
+def test_overwriting_postings_shuffle_once(spark):
+    rows = [(f"d{i % 7}", i, list("abcab"[: i % 6])) for i in range(60)]
+    tokens = spark.createDataFrame(rows, "doc_id string, row_no long, tokens array<string>").repartition(4)
+    found = indexing.overwriting_postings(store(tokens, "copies"), "row_no")
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    expected = {}
+    for doc, _, held in sorted(rows, key=lambda r: r[1]):
+        expected |= {(doc, t): held.count(t) for t in held}
+    assert {(r.doc_id, r.term): r.tf for r in found.collect()} == expected
+
+
 def test_saved_index_needs_no_shuffle_after_loading(spark, small, tmp_path):
     tables.save_index(small, str(tmp_path / "index"))
     loaded = tables.load_index(spark, str(tmp_path / "index"))
@@ -166,7 +209,8 @@ def test_search_methods(spark, engine):
 def test_tags_without_documents_fall_back_to_words(spark, engine):
     index, tag_index, tagger = engine
     hidden = search.TagIndex(
-        tag_index.doc_labels.withColumn("labels", F.array().cast("array<string>")), tag_index.combos.where("false")
+        tag_index.doc_labels.withColumn("labels", F.array().cast("array<string>")), tag_index.combos.where("false"),
+        tag_index.heads.where("false"),
     )
     got = answers(spark, (index, hidden, tagger), [("q", "beer", None)])["q"]
     assert got.method == "boolean_fallback" and {r.doc_id for r in got.top_results} == {"d3", "d4"}
@@ -202,6 +246,27 @@ def test_saved_tagger_and_tag_index(spark, engine, tmp_path):
     assert answers(spark, again, query) == answers(spark, engine, query)
 
 
+def test_a_killed_write_leaves_the_old_version(spark, small, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    tables.save_index(small, path)
+    other = indexing.build_index(corpus_of(spark, [("d7", ["a", "z"])]))
+    write = tables._save_by_document
+    monkeypatch.setattr(tables, "_save_by_document", lambda df, place, by: write(df, place, by) and exec("raise KeyboardInterrupt"))
+    with pytest.raises(KeyboardInterrupt):
+        tables.save_index(other, path)
+    monkeypatch.undo()
+    assert len(list((tmp_path / "index" / "versions").iterdir())) == 2
+    assert tables.load_index(spark, path).total_documents == 3
+    held = tables.load_index(spark, path)
+    tables.save_index(other, path)
+    # The killed write is gone; a reader of the version before may go on.
+    assert len(tables.versions(spark, path)) == len(list((tmp_path / "index" / "versions").iterdir())) == 2
+    assert tables.load_index(spark, path).total_documents == 1
+    assert scores_of(spark, held, ["a", "c"]) == scores_of(spark, small, ["a", "c"])
+    tables.save_index(other, path)
+    assert len(tables.versions(spark, path)) == 2
+
+
 def test_overwriting_index_keeps_terms_of_earlier_copies(spark):
     rows = [("d1", 1, ["a", "a", "b"]), ("d1", 2, ["b", "c", "c", "c"]), ("d2", 3, ["c"])]
     built = indexing.build_index(spark.createDataFrame(rows, "doc_id string, n int, tokens array<string>"), "overwrite", "n")
@@ -222,7 +287,7 @@ def test_lemmas_serve_documents_and_queries(spark):
 def test_missing_and_restricted_tag_index(spark, tmp_path):
     assert tables.load_tag_index(spark, str(tmp_path / "nothing"), missing_ok=True).label_index().count() == 0
     rows = spark.createDataFrame([("d1", ["x", "y"]), ("d2", ["x"]), ("d3", [])], "doc_id string, labels array<string>")
-    index = search.TagIndex(rows, rows)
+    index = search.TagIndex(rows, rows, rows)
     only = spark.createDataFrame([("d2",), ("d3",)], "doc_id string")
     assert [tuple(r) for r in index.label_index(only).collect()] == [("x", "d2")]
 

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import DataFrame
 
 from docquarry.operators import judgments, ranking_metrics, tagging_metrics
 from docquarry.operators import profile
@@ -113,13 +114,23 @@ def test_profile_rows(spark):
     assert [r.a for r in first_rows(frame, "a", 1).collect()] == [1]
 
 
-def test_quartiles_survive_a_bracket_that_misses(spark, monkeypatch):
-    monkeypatch.setattr(profile, "_MARGIN", -0.2)
-    monkeypatch.setattr(profile, "_ACCURACY", 10)
-    frame = spark.range(1001).selectExpr("cast(id * id as double) as a", "id % 7 as b")
-    expected = frame.toPandas().describe()
-    for row in describe_numbers(frame).collect():
-        assert [row["q25"], row["q50"], row["q75"]] == list(expected[row["column_name"]][["25%", "50%", "75%"]])
+@pytest.mark.parametrize("cuts", [1, 3, 63])
+def test_order_statistics_of_skewed_values(spark, cuts):
+    values = [0.0] * 400 + [10.0 ** (i % 300) for i in range(300)] + [-(2.0 ** -i) for i in range(300)] + [float("inf")]
+    rows = spark.createDataFrame([("a", v) for v in values] + [("b", 7.0)], "column_name string, value double").repartition(5)
+    ordered, wanted = sorted(values), [0, 1, 250, 300, 500, 699, 700, 701, 999, 1000]
+    found = profile.order_statistics(rows, [("a", rank) for rank in wanted] + [("b", 0)], cuts)
+    assert found["b", 0] == (7.0, 0)
+    assert {rank: found["a", rank] for rank in wanted} == {rank: (ordered[rank], ordered.index(ordered[rank])) for rank in wanted}
+
+
+def test_selection_sorts_no_values(spark, monkeypatch):
+    """Every job of a selection aggregates: no plan sorts, and none ranks with a window."""
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    frame = spark.range(5000).selectExpr("cast(exp(id % 700) as double) as a")
+    describe_numbers(frame)
+    assert len(plans) > 2 and not any("Sort [" in p or "Window" in p for p in plans)
 
 
 def test_only_kept_judgments_need_a_number(spark):

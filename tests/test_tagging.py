@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +24,17 @@ def test_label_vocabulary(spark):
     assert got == {"d0": (["x", "x"], [0]), "d1": (["y"], [1]), "d2": (["y"], [1]), "d4": (["w"], [2])}
 
 
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 997])
+def test_exact_split(spark, n):
+    docs = spark.range(n).select(F.col("id").cast("string").alias("doc_id"), F.lit("x").alias("place"))
+    rows = labels.with_exact_split(docs.select("doc_id"))
+    one = {r.doc_id for r in rows.where("is_test").collect()}
+    assert len(one) == -(-n // 5) and rows.count() == n
+    digest = {str(i): int(hashlib.md5(f"{i}|42".encode()).hexdigest()[:13], 16) for i in range(n)}
+    assert one == set(sorted(digest, key=lambda i: (digest[i], i))[: len(one)])
+    assert one == {r.doc_id for r in labels.with_exact_split(docs.select("doc_id").repartition(7)).where("is_test").collect()}
+
+
 def test_split_does_not_depend_on_partitions(spark):
     docs = corpus_of(spark, [("a", [])] * 500)
     one = {r.doc_id: r.is_test for r in labels.with_split(docs).collect()}
@@ -93,10 +106,10 @@ def test_fit_reaches_the_optimum(spark):
 def test_merging_sums_of_many_tasks(spark, monkeypatch):
     train, matrix, _ = toy(spark)
     weights, intercepts = np.full((2, matrix.shape[1]), 0.1), np.array([0.2, -0.1])
-    whole = svm.loss_and_gradient(train.coalesce(1), np.array([0, 1]), 4, weights, intercepts, 1.0)
+    whole = svm.loss_and_gradient(svm.sparse_blocks(train.coalesce(1)), np.array([0, 1]), 4, weights, intercepts, 1.0)
     for width in (2, 64):
         monkeypatch.setattr(svm, "MERGE_WIDTH", width)
-        parts = svm.loss_and_gradient(train, np.array([0, 1]), 4, weights, intercepts, 1.0)
+        parts = svm.loss_and_gradient(svm.sparse_blocks(train), np.array([0, 1]), 4, weights, intercepts, 1.0)
         for one, other in zip(whole, parts):
             assert other == pytest.approx(one)
 
