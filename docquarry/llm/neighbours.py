@@ -8,8 +8,10 @@ the quarter that was held back.
 
 Index and search, on all rows: the classifier sends every vector to its most probable part, and a query to
 its most probable parts, where exact double-precision distances rank the candidates. Equal vectors are
-one point with their smallest ids, as no more of them can be among the nearest. Parts with many points or
-queries are split by hash into cells of bounded size, so no task holds an unbounded group.
+one point with their smallest ids, as no more of them can be among the nearest. Parts are searched in groups of
+neighbouring parts, up to ``CELL_ROWS`` points together, and a query gives one list of its nearest per group, of
+the parts in it that it visits. Parts with more points, and groups with many queries, are split by hash into cells
+of bounded size, so no task holds an unbounded group.
 
 Defined results: vectors that are null, empty, zero, of another length than the most common one, or with
 null or non-finite components take no part, nor do rows without an id. Ties go to the smaller id. A row never
@@ -199,19 +201,20 @@ def usable(rows: DataFrame, vector: str, ident: str) -> DataFrame:
     return found.where(F.size(v) == (length["n"] if length else 0))
 
 
-def nearest_in_cell(points: np.ndarray, point_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each query the ``k`` points of the smallest exact distance, ties to the smaller id, and the distances."""
+def nearest_in_cell(
+    points: np.ndarray, point_ids: np.ndarray, queries: np.ndarray, k: int, visited: list[np.ndarray]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query the ``k`` visited points of the smallest exact distance, ties to the smaller id, and the distances."""
     # A power of two changes no digit of a distance.
     unit = min(_unit(points), _unit(queries))
     points, queries = points * unit, queries * unit
     squares = (points**2).sum(1)
-    for query in queries:
-        far = squares - 2 * (points @ query)
-        near = np.arange(len(points))
-        if len(points) > k and unit == 1.0:
+    for query, near in zip(queries, visited):
+        if len(near) > k and unit == 1.0:
             # The expanded form loses digits, so everything near its k-th value is measured exactly.
+            far = (squares - 2 * (points @ query))[near]
             limit = np.partition(far, k - 1)[k - 1] + 1e-9 * (float(query @ query) + float(squares.max()))
-            near = np.flatnonzero(far <= limit)
+            near = near[far <= limit]
         with np.errstate(over="ignore"):
             exact = np.sqrt(((points[near] - query) ** 2).sum(1)) / unit
         best = np.lexsort((point_ids[near], exact))[:k]
@@ -261,38 +264,51 @@ def search(
     placed = store(placed.mapInArrow(routed, "point long, vector array<double>, asks boolean, parts array<int>"), "placed")
 
     held = placed.groupBy(F.get("parts", F.lit(0)).alias("part")).agg(F.count("*").alias("n"))
-    visits = placed.where("asks").select("point", F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("q"))
-    sizes = held.join(visits, "part").select(  # one row per part
-        "part",
-        F.ceil(F.col("n") / CELL_ROWS).alias("row_cells"),
-        F.ceil(F.col("q") / CELL_QUERIES).alias("query_cells"),
-    )
-    sizes = F.broadcast(store(sizes, "part_sizes"))
-    salt = F.xxhash64("point")
-    stored = placed.select("point", "vector", F.get("parts", F.lit(0)).alias("part")).join(sizes, "part")
+    visits = placed.where("asks").select(F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("q"))
+    sizes = {r["part"]: (r["n"], r["q"]) for r in held.join(visits, "part").collect()}  # one row per part
+    # Neighbouring parts go together while they fit; per group its row cells and query cells.
+    group_of, groups, full = {}, [], CELL_ROWS
+    for part, (n, q) in sorted(sizes.items()):
+        if full + n > CELL_ROWS:
+            groups.append([0, 0])
+            full = 0
+        full += n
+        group_of[part] = len(groups) - 1
+        groups[-1] = [groups[-1][0] + n, groups[-1][1] + q]
+    if not groups:
+        return spark.createDataFrame([], schema)
+    group = F.array(*[F.lit(group_of.get(part, -1)) for part in range(max(sizes) + 1)])
+    row_cells = F.array(*[F.lit(-(-n // CELL_ROWS)) for n, _ in groups])
+    query_cells = F.array(*[F.lit(-(-q // CELL_QUERIES)) for _, q in groups])
+    salt, part = F.xxhash64("point"), F.get("parts", F.lit(0))
+    stored = placed.withColumn("group", F.get(group, part)).where("group >= 0")
     stored = stored.select(
-        "part", F.pmod(salt, "row_cells").alias("row_cell"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_cells") - 1)).alias("query_cell"),
-        "point", "vector", F.lit(False).alias("asks"),
+        "group", F.pmod(salt, F.get(row_cells, "group")).alias("row_cell"),
+        F.explode(F.sequence(F.lit(0), F.get(query_cells, "group") - 1)).alias("query_cell"),
+        "point", "vector", F.array(part).alias("parts"), F.lit(False).alias("asks"),
     )
-    visiting = placed.where("asks").select("point", "vector", F.explode("parts").alias("part")).join(sizes, "part")
-    visiting = visiting.select(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_cells") - 1)).alias("row_cell"), F.pmod(salt, "query_cells").alias("query_cell"),
-        "point", "vector", F.lit(True).alias("asks"),
+    met = F.array_distinct(F.filter(F.transform("parts", lambda p: F.get(group, p)), lambda g: g >= 0))
+    visiting = placed.where("asks").withColumn("group", F.explode(met)).select(
+        "group", F.explode(F.sequence(F.lit(0), F.get(row_cells, "group") - 1)).alias("row_cell"),
+        F.pmod(salt, F.get(query_cells, "group")).alias("query_cell"), "point", "vector", "parts", F.lit(True).alias("asks"),
     )
 
     def ranked(cell: pa.Table) -> pa.Table:
         asks = cell["asks"].to_numpy()
         ids = cell["point"].to_numpy()
         vectors = _matrix(cell["vector"].combine_chunks())
+        parts = cell["parts"].to_pylist()
         own, found = ids[~asks], []
         if len(own):
-            found = list(nearest_in_cell(vectors[~asks], own, vectors[asks], k + 1))
+            part_of = np.array([p[0] for p, asked in zip(parts, asks.tolist()) if not asked])
+            visited = [np.flatnonzero(np.isin(part_of, p)) for p, asked in zip(parts, asks.tolist()) if asked]
+            found = list(nearest_in_cell(vectors[~asks], own, vectors[asks], k + 1, visited))
         query = np.repeat(ids[asks], [len(f[0]) for f in found]) if found else own[:0]
         hits = np.concatenate([f[0] for f in found]) if found else own[:0]
         far = np.concatenate([f[1] for f in found]) if found else np.empty(0)
         return pa.table({"query": query, "hit": hits, "score": far})
 
-    cells = stored.unionByName(visiting).groupBy("part", "row_cell", "query_cell")
+    cells = stored.unionByName(visiting).groupBy("group", "row_cell", "query_cell")
     hits = cells.applyInArrow(ranked, "query long, hit long, score double")
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "hit"))
     hits = hits.withColumn("nth", best).where(F.col("nth") <= k + 1).drop("nth")
