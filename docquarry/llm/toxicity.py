@@ -2,11 +2,19 @@
 
 Terms are words and the beginnings of words. Every term of the examples counts, however rare, so their texts
 bound the index; how many documents of the whole corpus hold each term gives its weight. Terms that no example
-holds meet nothing and have no weight. The examples lie in blocks of an inverted index that also stores each
-term's largest weight in every block that holds it. For a document these maxima bound the cosine of every example in a block; blocks are scored exactly, best bound
-first, until no other block can hold one of the ``NEIGHBOURS`` nearest. Their labels vote with the square of
-the cosine, weighed by how many labelled rows an example stands for, and a small share of the base rate
-keeps scores of distant documents low. The nearest examples are returned as evidence.
+holds meet nothing and have no weight.
+
+The examples lie in blocks of an inverted index. Postings of terms that one example in ``DENSE`` holds are full
+columns, and a product of matrices adds them up for all documents of a step at once. All other terms have short
+postings, with their largest weight in every block that holds them. For a document the column sums and these
+maxima bound the cosine of every example in a block; only blocks whose bound reaches the ``NEIGHBOURS``-th
+largest cosine known so far are scored. Examples near the last cosine that stays are measured again in double
+precision. Texts of a step that are equal are searched once.
+
+The nearest examples vote with the square of the cosine, weighed by how many labelled rows an example stands
+for, and a small share of the base rate keeps scores of distant documents low. Votes are calibrated: examples
+are scored without themselves, and a logistic curve over their votes gives the chance of label 1. The nearest
+examples are returned as evidence.
 
 At most ``EXAMPLES`` rows of each class, of texts of at most ``EXAMPLE_BYTES``, are examples, the first by a
 hash of the id. That is the only bound; document counts and scores cover every row and whole texts.
@@ -34,10 +42,18 @@ EXAMPLE_BYTES = 1 << 16
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 30
 BLOCK = 64
+# Terms that at least one example in so many holds are full columns.
+DENSE = 8
 EVIDENCE = 3
 PRIOR = 0.2
-WORDS = 400_000
+WORDS = 200_000
+# Examples of each class that the calibration scores without themselves.
+CALIBRATING = 700
+# More than the rounding of sums in single precision.
+SLACK = 1e-4
 _MARKS = ".,;:!?\"'()[]{}<>*&%$#|-_/"
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\n\x0b\x0c\r")] = True
 
 
 def terms_of(word: str) -> list[str]:
@@ -46,50 +62,83 @@ def terms_of(word: str) -> list[str]:
     return [bare, *(bare[:n] + "~" for n in PREFIXES if len(bare) > n)] if bare else []
 
 
+def words_of(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of lower-cased texts, the number of each word in order, and the text it is in."""
+    lowered = [(t or "").lower().encode() for t in texts]
+    raw = np.frombuffer(b"\n".join([*lowered, b""]), np.uint8)
+    inside = ~_BLANK[raw]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    begin, end = edges[0::2], edges[1::2]
+    offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
+    encoded = pa.Array.from_buffers(
+        pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]
+    ).dictionary_encode()
+    starts = np.cumsum([0, *(len(t) + 1 for t in lowered)])
+    return encoded.dictionary.to_pylist(), encoded.indices.to_numpy().astype(np.int64), np.searchsorted(starts, begin, "right") - 1
+
+
 class Terms:
     """Numbers of the terms that count, with a bounded memory of words already looked up."""
 
     def __init__(self, number: dict[str, int]) -> None:
         self.number = number
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[bytes, tuple[int, ...]] = {}
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct terms of a text, ascending, and how often each occurs."""
+    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct terms of each text in a row, ascending; how often each occurs; and where each text ends."""
         if len(self.known) > WORDS:
             self.known.clear()
-        known, found = self.known, []
-        for word in (text or "").lower().split():
+        words, codes, of = words_of(texts)
+        known, number, found = self.known, self.number, []
+        for word in words:
             numbers = known.get(word)
             if numbers is None:
-                numbers = known[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
-            if numbers:
-                found += numbers
-        return np.unique(np.array(found, np.int64), return_counts=True)
+                numbers = known[word] = tuple(number[t] for t in terms_of(word.decode("utf-8", "replace")) if t in number)
+            found.append(numbers)
+        sizes = np.array([len(f) for f in found], np.int64)
+        flat = np.array([t for f in found for t in f], np.int64)
+        begin = np.cumsum(sizes) - sizes
+        # Each word of a text once, then its terms.
+        held, times = np.unique(of * max(len(words), 1) + codes, return_counts=True)
+        code, text = held % max(len(words), 1), held // max(len(words), 1)
+        terms = flat[_runs(begin[code], sizes[code])]
+        key, place = np.unique(np.repeat(text, sizes[code]) * max(len(number), 1) + terms, return_inverse=True)
+        counts = np.bincount(place, np.repeat(times, sizes[code]), len(key)).astype(np.int64)
+        ends = np.searchsorted(key // max(len(number), 1), np.arange(len(texts)), "right")
+        return key % max(len(number), 1), counts, ends
 
 
 class Index(NamedTuple):
-    """Postings by term, then block. A cell is a term in a block that holds it: term ``t`` has the cells from
-    ``cells[t]`` on, cell ``c`` the postings from ``starts[c]`` on."""
+    """``columns``: example x dense term. Other postings by term, then block: a cell is a term in a block that holds it;
+    term ``t`` has the cells from ``cells[t]`` on, cell ``c`` the postings from ``starts[c]`` on. All weights of
+    example ``e`` are those from ``ends[e - 1]`` on."""
 
     number: dict[str, int]
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     stands_for: np.ndarray
+    dense: np.ndarray  # the column of each term, or -1
+    columns: np.ndarray
     cells: np.ndarray
     blocks: np.ndarray  # the block of each cell
     most: np.ndarray  # the largest weight of each cell
     starts: np.ndarray
     examples: np.ndarray
     weights: np.ndarray
+    ends: np.ndarray
+    terms: np.ndarray
+    all_weights: np.ndarray
     base: float
+    slope: float = 1.0
+    offset: float = 0.0
 
 
 def choose_terms(texts: list[str], labels: list[int], most: int | None = None, least: int = 1) -> dict[str, int]:
     """All terms, by chi-squared of their occurrence against the label; ties go to the smaller term."""
     counts: dict[str, list[int]] = {}
     for text, label in zip(texts, labels):
-        for term in {t for word in set(text.lower().split()) for t in terms_of(word)}:
+        for term in {t for word in words_of([text])[0] for t in terms_of(word.decode("utf-8", "replace"))}:
             counts.setdefault(term, [0, 0])[label] += 1
     share = sum(labels) / len(labels)
 
@@ -110,8 +159,7 @@ def document_counts(docs: DataFrame, number: dict[str, int], text: str = "text")
         terms, sums = Terms(known.value), np.zeros(len(known.value) + 1, np.int64)
         for batch in steps(batches):
             sums[-1] += batch.num_rows
-            for value in column(batch, "text").to_pylist():
-                sums[terms.counts(value)[0]] += 1
+            sums[:-1] += np.bincount(terms.counts(column(batch, "text").to_pylist())[0], minlength=len(sums) - 1)
         yield pa.record_batch([pa.array(np.arange(len(sums))), pa.array(sums)], ["term", "n"])
 
     found = rows.mapInArrow(counted, "term long, n long").where("n > 0").groupBy("term").agg(F.sum("n").alias("n"))
@@ -121,22 +169,25 @@ def document_counts(docs: DataFrame, number: dict[str, int], text: str = "text")
     return counts[:-1], int(counts[-1])
 
 
-def weighted(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF weights of unit length."""
+def weighted(terms: np.ndarray, counts: np.ndarray, ends: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF weights, of unit length in each text."""
     weights = (1 + np.log(counts)) * idf[terms]
-    return weights / np.sqrt(weights @ weights) if len(weights) else weights
+    row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    return weights / np.sqrt(np.bincount(row, weights * weights, len(ends)))[row]
 
 
 def build(
-    ids: list[int], texts: list[str], labels: list[int], shares: dict[int, int], number: dict[str, int], df: np.ndarray, n_docs: int
+    ids: list[int], texts: list[str], labels: list[int], shares: dict[int, int], number: dict[str, int], df: np.ndarray, n_docs: int,
+    dense_share: int = DENSE,
 ) -> Index:
     """The index of the examples. ``shares``: how many labelled rows each class has."""
     idf = np.log((1 + n_docs) / (1 + df)) + 1
     terms = Terms(number)
     rows = []
-    for i, text in enumerate(texts):
-        present, counts = terms.counts(text)
-        rows.append((present, weighted(present, counts, idf)))
+    for i in range(0, len(texts), 200):
+        present, counts, ends = terms.counts(texts[i: i + 200])
+        weights = weighted(present, counts, ends, idf)
+        rows += list(zip(np.split(present, ends[:-1]), np.split(weights, ends[:-1])))
     marks = np.array(labels)
     stands = np.array([shares[c] / max(1, labels.count(c)) for c in (0, 1)])[marks]
     # Examples with the same strongest term, of those that a tenth of them hold, lie together, so a block's maxima
@@ -160,6 +211,14 @@ def build(
     term = np.concatenate([*(rows[i][0] for i in order), np.empty(0, np.int64)])
     weight = np.concatenate([*(rows[i][1] for i in order), np.empty(0)])
     n_blocks = -(-len(order) // BLOCK)
+    ends, all_terms, all_weights = np.cumsum(sizes).astype(np.int64), term, weight
+    dense = np.full(len(number), -1)
+    full = np.flatnonzero((held * dense_share >= len(rows)) & (held > 0))
+    dense[full] = np.arange(len(full))
+    columns = np.zeros((len(order), len(full)), np.float32)
+    in_column = dense[term] >= 0
+    columns[example[in_column], dense[term[in_column]]] = weight[in_column]
+    term, example, weight = term[~in_column], example[~in_column], weight[~in_column]
     placed = np.lexsort((example, term))
     term, example, weight = term[placed], example[placed], weight[placed]
     cell = term * n_blocks + example // BLOCK
@@ -167,8 +226,9 @@ def build(
     most = np.maximum.reduceat(weight, begin) if len(begin) else np.empty(0)
     cells = np.searchsorted(term[begin], np.arange(len(number) + 1))
     return Index(
-        number, idf, np.array(ids, np.int64)[order_at], marks[order_at], stands[order_at], cells,
-        (cell[begin] % max(1, n_blocks)).astype(np.int32), most, np.append(begin, len(cell)), example.astype(np.int32), weight, base,
+        number, idf, np.array(ids, np.int64)[order_at], marks[order_at], stands[order_at], dense, columns, cells,
+        (cell[begin] % max(1, n_blocks)).astype(np.int32), most, np.append(begin, len(cell)), example.astype(np.int32), weight,
+        ends, all_terms, all_weights, base,
     )
 
 
@@ -180,38 +240,56 @@ def _runs(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return at
 
 
-def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-    """The ``k`` examples of the largest cosine and the cosines; only those above 0."""
-    n_blocks = -(-len(index.ids) // BLOCK)
-    sizes = index.cells[terms + 1] - index.cells[terms]
-    cells = _runs(index.cells[terms], sizes)
-    weight_of = np.repeat(weights, sizes)
+def column_sums(index: Index, terms: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Text x example: the part of the cosine that dense terms make, in single precision."""
+    asked = np.zeros((len(ends), index.columns.shape[1]), np.float32)
+    row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    column_of = index.dense[terms]
+    held = column_of >= 0
+    asked[row[held], column_of[held]] = weights[held]
+    return asked @ index.columns.T
+
+
+def nearest(
+    index: Index, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, k: int = NEIGHBOURS, without: int = -1
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` examples of the largest cosine and the cosines; only those above 0. ``sums``: the text's row of ``column_sums``.
+
+    ``without`` is an example that takes no part.
+    """
+    n, n_blocks = len(index.ids), -(-len(index.ids) // BLOCK)
+    rare = index.dense[terms] < 0
+    of_rare, weight_of = terms[rare], weights[rare]
+    sizes = index.cells[of_rare + 1] - index.cells[of_rare]
+    cells = _runs(index.cells[of_rare], sizes)
+    weight_of = np.repeat(weight_of, sizes)
     block_of = index.blocks[cells]
-    bounds = np.bincount(block_of, weight_of * index.most[cells], n_blocks)
-    order = np.argsort(-bounds, kind="stable")
-    turn = np.empty(n_blocks, np.int64)
-    turn[order] = np.arange(n_blocks)
-    turn_of = turn[block_of]
-    scores = np.zeros(len(index.ids))
-    done, step, least = 0, 16, 0.0
-    while done < n_blocks:
-        # Bounds are sums in another order than scores, so nearly equal ones are still looked at.
-        ready = bounds[order[done: done + step]] > max(least - 1e-9, 0)
-        n_ready = len(ready) if ready.all() else int(ready.argmin())
-        if not n_ready:
-            break
-        now = np.flatnonzero((turn_of >= done) & (turn_of < done + n_ready))
-        begin = index.starts[cells[now]]
-        held = index.starts[cells[now] + 1] - begin
-        at = _runs(begin, held)
-        scores += np.bincount(index.examples[at], np.repeat(weight_of[now], held) * index.weights[at], len(scores))
-        done += n_ready
-        if done * BLOCK >= k:
-            least = np.partition(scores, -min(k, len(scores)))[-min(k, len(scores))]
-        step *= 2
-    near = np.flatnonzero(scores > max(least - 1e-9, 0))
-    best = near[np.lexsort((index.ids[near], -scores[near].round(12)))][:k]
-    return best, scores[best]
+    bounds = np.maximum.reduceat(sums, np.arange(0, n, BLOCK)) + np.bincount(block_of, weight_of * index.most[cells], n_blocks)
+    scores = sums.astype(np.float64)
+    # Rare terms only add, so the k-th largest sum so far is a bound from below.
+    kept = min(k + (without >= 0), n)
+    least = float(np.partition(sums, n - kept)[n - kept])
+    ready = bounds >= max(least, 0.0) - SLACK
+    now = np.flatnonzero(ready[block_of])
+    begin = index.starts[cells[now]]
+    held = index.starts[cells[now] + 1] - begin
+    at = _runs(begin, held)
+    scores += np.bincount(index.examples[at], np.repeat(weight_of[now], held) * index.weights[at], n)
+    if without >= 0:
+        scores[without] = -1.0
+    # Only scored blocks can hold the nearest; those near the last place are measured exactly.
+    least = float(np.partition(scores, n - min(k, n))[n - min(k, n)])
+    near = np.flatnonzero(scores >= max(least - 2 * SLACK, 0.0))
+    near = near[near != without]
+    full = np.zeros(len(index.idf))
+    full[terms] = weights
+    begin = np.concatenate([[0], index.ends])[near]
+    held = index.ends[near] - begin
+    at = _runs(begin, held)
+    exact = np.bincount(np.repeat(np.arange(len(near)), held), full[index.terms[at]] * index.all_weights[at], len(near))
+    best = np.lexsort((index.ids[near], -exact.round(12)))
+    best = best[exact[best] > 1e-12][:k]
+    return near[best], exact[best]
 
 
 def vote(index: Index, best: np.ndarray, cosines: np.ndarray) -> float:
@@ -219,6 +297,39 @@ def vote(index: Index, best: np.ndarray, cosines: np.ndarray) -> float:
     return float(((votes * index.labels[best]).sum() + PRIOR * index.base) / (votes.sum() + PRIOR))
 
 
+def calibrated(index: Index, raw: np.ndarray) -> np.ndarray:
+    """The chance of label 1 for these votes."""
+    odds = np.log(np.clip(raw, 1e-6, 1 - 1e-6)) - np.log1p(-np.clip(raw, 1e-6, 1 - 1e-6))
+    return 1 / (1 + np.exp(-np.clip(index.slope * odds + index.offset, -30, 30)))
+
+
+def calibrate(index: Index, most: int = CALIBRATING) -> Index:
+    """The curve over the votes for examples that are scored without themselves; at most ``most`` of each class."""
+    chosen = np.concatenate([np.flatnonzero(index.labels == c)[:: max(1, int((index.labels == c).sum()) // most)][:most] for c in (0, 1)])
+    raw = np.empty(len(chosen))
+    for first in range(0, len(chosen), 200):
+        part = chosen[first: first + 200]
+        begin = np.concatenate([[0], index.ends])[part]
+        sizes = index.ends[part] - begin
+        at, ends = _runs(begin, sizes), np.cumsum(sizes)
+        terms, weights = index.terms[at], index.all_weights[at]
+        sums = column_sums(index, terms, weights, ends)
+        for i, (example, low, high) in enumerate(zip(part.tolist(), (ends - sizes).tolist(), ends.tolist())):
+            raw[first + i] = vote(index, *nearest(index, terms[low:high], weights[low:high], sums[i], without=example))
+    odds = np.log(np.clip(raw, 1e-6, 1 - 1e-6)) - np.log1p(-np.clip(raw, 1e-6, 1 - 1e-6))
+    marks = index.labels[chosen]
+    # A class weighs what it weighs among all labelled rows.
+    weight = np.array([index.stands_for[index.labels == c].sum() / max(1, (marks == c).sum()) for c in (0, 1)])[marks]
+    weight /= weight.mean()
+    x, point = np.stack([odds, np.ones(len(odds))], 1), np.array([1.0, 0.0])
+    for _ in range(30):  # Newton steps, drawn a little towards the uncalibrated vote
+        chance = 1 / (1 + np.exp(-np.clip(x @ point, -30, 30)))
+        slope = x.T @ (weight * (chance - marks)) + (point - [1.0, 0.0])
+        point = point - np.linalg.solve((x * (weight * chance * (1 - chance))[:, None]).T @ x + np.eye(2), slope)
+    # A curve that falls would say that the votes tell nothing.
+    return index._replace(slope=float(max(point[0], 0.05)), offset=float(point[1]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = EXAMPLES) -> Index | float:
     """The index, or the score of every row where the labels have one class only."""
     shares = {r["label"]: r["count"] for r in learnable(labels, label).groupBy("label").count().collect()}
@@ -228,7 +339,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = EX
     texts = [t.decode("utf-8", "replace") for t in raw]
     number = choose_terms(texts, marks)
     df, n_docs = document_counts(docs, number)
-    return build(ids, texts, marks, shares, number, df, n_docs)
+    index = build(ids, texts, marks, shares, number, df, n_docs)
+    return calibrate(index) if len(set(index.labels.tolist())) == 2 else index
+
+
+def searched(index: Index, terms: Terms, texts: list[str | None]) -> list[tuple[float, list[dict]]]:
+    """Score and evidence of each text."""
+    present, counts, ends = terms.counts(texts)
+    weights = weighted(present, counts, ends, index.idf)
+    raw, evidence = np.full(len(texts), index.base), [[] for _ in texts]
+    begin = np.concatenate([[0], ends[:-1]])
+    for first in range(0, len(texts), 256):  # 256 x examples sums at a time
+        last = min(first + 256, len(texts))
+        part = slice(int(begin[first]), int(ends[last - 1]))
+        sums = column_sums(index, present[part], weights[part], ends[first:last] - begin[first])
+        for i in range(first, last):
+            own = slice(int(begin[i]), int(ends[i]))
+            if ends[i] > begin[i] and len(index.ids):
+                best, cosines = nearest(index, present[own], weights[own], sums[i - first])
+                raw[i] = vote(index, best, cosines)
+                evidence[i] = [{"doc_id": d, "cosine": c} for d, c in zip(index.ids[best[:EVIDENCE]].tolist(), cosines[:EVIDENCE].tolist())]
+    return list(zip(calibrated(index, raw).tolist(), evidence))
 
 
 def score(docs: DataFrame, model: Index | float, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -241,17 +372,13 @@ def score(docs: DataFrame, model: Index | float, text: str = "text", doc: str =
         index = known.value
         terms = None if isinstance(index, float) else Terms(index.number)
         for batch in steps(batches):
-            scores, evidence = [], []
-            for value in column(batch, "text").to_pylist():
-                if terms is None:
-                    scores.append(index)
-                    evidence.append([])
-                    continue
-                present, counts = terms.counts(value)
-                best, cosines = nearest(index, present, weighted(present, counts, index.idf)) if len(present) else (present, present)
-                scores.append(vote(index, best, cosines))
-                shown = zip(index.ids[best[:EVIDENCE]].tolist(), cosines[:EVIDENCE].tolist())
-                evidence.append([{"doc_id": i, "cosine": c} for i, c in shown])
+            texts = column(batch, "text").to_pylist()
+            if terms is None:
+                scores, evidence = [index] * len(texts), [[]] * len(texts)
+            else:
+                place = {t: i for i, t in enumerate(dict.fromkeys(texts))}
+                found = searched(index, terms, list(place))
+                scores, evidence = zip(*(found[place[t]] for t in texts))
             yield pa.record_batch(
                 [column(batch, "doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"]
             )

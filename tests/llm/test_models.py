@@ -16,7 +16,7 @@ def ranked_right(scores, labels):
     return float(np.mean((ones[:, None] > zeros) + 0.5 * (ones[:, None] == zeros)))
 
 
-@pytest.mark.parametrize("query, label, least", [("op9_quality", "quality", 0.97), ("op7_toxicity", "toxic", 0.85)])
+@pytest.mark.parametrize("query, label, least", [("op9_quality", "quality", 0.97), ("op7_toxicity", "toxic", 0.9)])
 def test_held_out_rows_are_ranked(spark, query, label, least):
     scored = catalog.QUERIES[query](spark, SF_DIR)
     rows = scored.join(table(spark, SF_DIR, "labels"), "doc_id").where("held_out").toPandas()
@@ -76,17 +76,15 @@ def index():
     rng = np.random.default_rng(1)
     words = [f"term{i}" for i in range(120)]
     texts = [" ".join(rng.choice(words, rng.integers(1, 40))) for _ in range(500)] + ["unknown"]
-    labels = [int(rng.random() < 0.3) for _ in texts]
+    labels = [int(rng.random() < (0.9 if {"term7", "term8", "term9"} & set(text.split()) else 0.05)) for text in texts]
     number = toxicity.choose_terms(texts, labels, most=150, least=2)
     terms, df = toxicity.Terms(number), np.zeros(len(number), np.int64)
-    for text in texts:
-        df[terms.counts(text)[0]] += 1
-    return toxicity.build(list(range(500, 1001)), texts, labels, {0: 700, 1: 300}, number, df, len(texts)), texts, df
+    df += np.bincount(terms.counts(texts)[0], minlength=len(df))
+    built = [toxicity.build(list(range(500, 1001)), texts, labels, {0: 700, 1: 300}, number, df, len(texts), share) for share in (8, 3, 0)]
+    return built, texts, labels, df
 
 
-def test_block_bounds_lose_no_neighbour(index):
-    built, texts, df = index
-    terms = toxicity.Terms(built.number)
+def dense_vectors(built, texts, df):
     idf = np.log((1 + len(texts)) / (1 + df)) + 1
     dense = np.zeros((len(texts), len(idf)))
     for i, text in enumerate(texts):
@@ -95,16 +93,71 @@ def test_block_bounds_lose_no_neighbour(index):
                 if term in built.number:
                     dense[i, built.number[term]] += 1
     dense = np.where(dense > 0, 1 + np.log(np.maximum(dense, 1)), 0) * idf
-    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
-    for i in range(0, len(texts), 7):
-        present, counts = terms.counts(texts[i])
-        if not len(present):
-            continue
-        best, cosines = toxicity.nearest(built, present, toxicity.weighted(present, counts, built.idf), 12)
-        exact = (dense @ dense[i]).round(12)
-        order = [j for j in np.lexsort((np.arange(len(texts)), -exact)) if exact[j] > 0][:12]
-        assert (built.ids[best] - 500).tolist() == order
-        assert np.allclose(cosines, exact[order])
+    return dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+
+
+def ordered(cosines, k=toxicity.NEIGHBOURS, without=None):
+    exact = cosines.round(12)
+    return [j for j in np.lexsort((np.arange(len(exact)), -exact)) if exact[j] > 0 and j != without][:k]
+
+
+def test_block_bounds_lose_no_neighbour(index):
+    builds, texts, _, df = index
+    for built in builds:
+        dense = dense_vectors(built, texts, df)
+        terms = toxicity.Terms(built.number)
+        present, counts, ends = terms.counts(texts)
+        weights = toxicity.weighted(present, counts, ends, built.idf)
+        sums = toxicity.column_sums(built, present, weights, ends)
+        for i in range(0, len(texts), 7):
+            own = slice(ends[i - 1] if i else 0, ends[i])
+            if own.start == own.stop:
+                continue
+            best, cosines = toxicity.nearest(built, present[own], weights[own], sums[i], 12)
+            expected = ordered(dense @ dense[i], 12)
+            assert (built.ids[best] - 500).tolist() == expected
+            assert np.allclose(cosines, (dense @ dense[i])[expected])
+
+
+def test_scores_equal_a_plain_version(index):
+    """Votes and the calibrated curve from dense cosines, end to end."""
+    builds, texts, labels, df = index
+    built = toxicity.calibrate(builds[0], most=10_000)
+    dense, marks = dense_vectors(built, texts, df), np.array(labels)
+    stands = np.array([700 / labels.count(0), 300 / labels.count(1)])[marks]
+    usable = dense.any(1)
+
+    def vote(cosines, without=None):
+        best = [j for j in ordered(np.where(usable, cosines, 0), without=without)]
+        votes = cosines[best] ** 2 * stands[best] / stands[usable].mean()
+        return (votes @ marks[best] + toxicity.PRIOR * built.base) / (votes.sum() + toxicity.PRIOR)
+
+    raw = np.array([vote(dense @ dense[i], i) for i in np.flatnonzero(usable)])
+    weight = np.array([stands[usable & (marks == c)].sum() / (usable & (marks == c)).sum() for c in (0, 1)])[marks[usable]]
+    weight /= weight.mean()
+    odds = np.log(raw) - np.log1p(-raw)
+
+    def loss(slope, offset):
+        z = slope * odds + offset
+        return (weight * (np.logaddexp(0, z) - marks[usable] * z)).sum() + ((slope - 1) ** 2 + offset**2) / 2
+
+    best = loss(built.slope, built.offset)
+    assert built.slope > 0.05
+    assert all(best <= loss(built.slope + a, built.offset + b) for a, b in ((0.02, 0), (-0.02, 0), (0, 0.02), (0, -0.02)))
+    asked = texts[::9] + ["term1 term2 new words", "", None]
+    found = toxicity.searched(built, toxicity.Terms(built.number), asked)
+    for (score, _), i in zip(found, range(0, len(texts), 9)):
+        expected = vote(dense @ dense[i]) if usable[i] else built.base
+        z = built.slope * (np.log(expected) - np.log1p(-expected)) + built.offset
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
+def test_scores_are_calibrated(spark):
+    scored = catalog.QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.1")
+    rows = scored.join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("held_out").toPandas()
+    bins = np.minimum((rows["score"] * 5).astype(int), 4)
+    error = sum(abs(rows["score"][bins == b].mean() - rows["toxic"][bins == b].mean()) * (bins == b).mean() for b in set(bins))
+    assert error <= 0.08
 
 
 def test_every_term_of_the_examples_counts(spark):
@@ -120,7 +173,7 @@ def test_every_term_of_the_examples_counts(spark):
 
 
 def test_votes_follow_the_nearest(index):
-    built = index[0]
+    built = index[0][0]
     ones = np.flatnonzero(built.labels == 1)[:5]
     assert toxicity.vote(built, ones, np.ones(5)) > 0.9
     assert toxicity.vote(built, ones[:0], np.ones(0)) == pytest.approx(built.base)
@@ -192,7 +245,7 @@ def test_huge_vectors_keep_their_rows(spark):
     rows = [(i, [float(i) * 1e200, 1e200], 0) for i in range(1, 21)] + [(100, [3.5e200, 1e200], 0), (200, [-1.7e308, 1e308], 0), (201, [1.7e308, 1e308], 0)]
     found = sorted(map(tuple, neighbours.search(vectors(spark, rows).selectExpr("vec_id", "embedding"), "vec_id % 100 = 0").collect()))
     nearest = [r for r in found if r[0] == 100]
-    assert [r[2] for r in nearest] == [3, 4, 2, 5, 1, 6, 7, 8, 9, 10]
+    assert [r[2] for r in nearest] == sorted(range(1, 21), key=lambda i: (abs(float(i) * 1e200 - 3.5e200), i))[:10]
     assert nearest[0][3] == pytest.approx(0.5e200) and len(found) == 20
 
 
