@@ -43,15 +43,15 @@ def order_statistics(tall: DataFrame, wanted: list[tuple[str, int]], cuts: int =
     """
     spark = tall.sparkSession
     schema = "column_name string, rank long, low double, high double"
-    # Between which values, both excluded, a rank is looked for, and how many values are below the bracket.
-    open_ = {key: (float("-inf"), float("inf"), 0) for key in set(wanted)}
-    first, found = True, {}
+    # Between which values, both excluded, a rank is looked for (NULL: no end), and how many values are below.
+    open_: dict[tuple[str, int], tuple] = {key: (None, None, 0) for key in set(wanted)}
+    found: dict[tuple[str, int], tuple[float, int]] = {}
     while open_:
         rows = [(column, rank, low, high) for (column, rank), (low, high, _) in open_.items()]
         brackets = F.broadcast(spark.createDataFrame(rows, schema))  # one row per rank that is still open
-        inside = tall.join(brackets, "column_name")
-        if not first:
-            inside = inside.where((F.col("value") > F.col("low")) & (F.col("value") < F.col("high")))
+        inside = tall.join(brackets, "column_name").where(
+            (F.col("low").isNull() | (F.col("value") > F.col("low"))) & (F.col("high").isNull() | (F.col("value") < F.col("high")))
+        )
         shares = [(i + 1) / (cuts + 1) for i in range(cuts)]
         points = inside.groupBy("column_name", "rank").agg(F.percentile_approx("value", shares, 10 * cuts).alias("points"))
         points = [(r["column_name"], r["rank"], sorted(set(r["points"]))) for r in points.collect()]
@@ -74,7 +74,7 @@ def order_statistics(tall: DataFrame, wanted: list[tuple[str, int]], cuts: int =
             else:
                 left = cut_at[below_n - 1] if below_n else low
                 still[column, rank] = (left, cut_at[below_n] if below_n < len(cut_at) else high, before)
-        first, open_ = False, still
+        open_ = still
     return found
 
 

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import DataFrame
 
 from docquarry.operators import judgments, ranking_metrics, tagging_metrics
 from docquarry.operators import profile
@@ -126,8 +125,9 @@ def test_order_statistics_of_skewed_values(spark, cuts):
 
 def test_selection_sorts_no_values(spark, monkeypatch):
     """Every job of a selection aggregates: no plan sorts, and none ranks with a window."""
-    plans, collect = [], DataFrame.collect
-    monkeypatch.setattr(DataFrame, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    kind = type(spark.range(1))
+    plans, collect = [], kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
     frame = spark.range(5000).selectExpr("cast(exp(id % 700) as double) as a")
     describe_numbers(frame)
     assert len(plans) > 2 and not any("Sort [" in p or "Window" in p for p in plans)
