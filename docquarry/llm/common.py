@@ -98,6 +98,7 @@ def filtered(docs: DataFrame, text: str, stays) -> DataFrame:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
             yield batch.filter(pa.array(stays(binary_values(column(batch, text))), pa.bool_()))
+        release()
 
     return docs.mapInArrow(kept, docs.schema)
 

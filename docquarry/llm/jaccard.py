@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import binary_values, bit_map, column, in_map, steps, store
+from docquarry.llm.common import binary_values, bit_map, column, in_map, release, steps, store
 from docquarry.llm.shingles import mix, shingle_sets
 
 LEAF = 32
@@ -367,6 +367,7 @@ def described(rows: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch(
                 [column(batch, "doc_id"), *map(pa.array, columns, kinds)], ["doc_id", "n_shingles", "digest", "point"]
             )
+        release()
 
     return rows.mapInArrow(sized, "doc_id long, n_shingles long, digest binary, point binary")
 
@@ -391,6 +392,7 @@ def shared_keys(rows: DataFrame, width: int, share: tuple[int, int], bits: int =
                 may = in_map(known, found)
                 found, ids = found[may], ids[may]
             yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(ids)], ["key", "doc_id"])
+        release()
 
     schema = "key long, doc_id long"
     counts = rows.mapInArrow(keyed, schema).groupBy("key").agg(F.count("*").alias("n"))
@@ -440,6 +442,7 @@ def pairs_of(rows: DataFrame, found_in, value: str, decode) -> DataFrame:
                 blocks.append(block)
         if ids and (out := close()) is not None:
             yield out
+        release()
 
     return rows.mapInArrow(searched, "a long, b long")
 
@@ -469,6 +472,7 @@ def component_ids(
             sets = shingle_sets(binary_values(column(batch, "text")), width)
             data = pa.array([s.tobytes() for s in sets], pa.binary())
             yield pa.record_batch([column(batch, "family"), column(batch, "doc_id"), data], ["family", "doc_id", "tokens"])
+        release()
 
     sets = members.mapInArrow(tokens, "family long, doc_id long, tokens binary").where(F.octet_length("tokens") > 0)
     sets = store(sets, "family_sets")
