@@ -33,17 +33,15 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import binary_values, bit_map, column, in_map, release, steps, store
+from docquarry.llm.common import binary_values, column, release, steps, store
 from docquarry.llm.shingles import mix, shingle_sets
 
 LEAF = 32
 FAN = 8
 GROUP = 1024
-# Bits of the map of keys that several sets may have.
-KEY_BITS = 1 << 27
 # Edges that one task turns into stars at a time.
 TASK_EDGES = 1_000_000
 # Groupings that a set may add before it falls back to keys for light groups too.
@@ -372,38 +370,33 @@ def described(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(sized, "doc_id long, n_shingles long, digest binary, point binary")
 
 
-def shared_keys(rows: DataFrame, width: int, share: tuple[int, int], bits: int = KEY_BITS) -> DataFrame:
+def shared_keys(rows: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
     """(bucket, doc_id): the sets that a key brings together; keys of the same sets are one bucket.
 
-    Most keys belong to one set. A first pass counts the keys, added up before the shuffle, and the repeated
-    ones go into a bit map of a fixed size. A second pass makes the keys again and ships only those that may be
-    repeated. Their sets are summed up by key before the shuffle too, and joined back to the keys, a join that
-    Spark splits where a key is hot. So no task gathers the sets of a key.
+    The ids of a key's sets are summed up over a window, so all ids of one key meet in a task, which spills
+    them. Counting keys first and joining the repeated ones back would split them, but took more than the
+    3,000 MB of an executor (see the README).
     """
 
-    def keyed(batches: Iterator[pa.RecordBatch], known: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             ids = column(batch, "doc_id").to_numpy()
             sets = shingle_sets(binary_values(column(batch, "text")), width)
             keys = [group_keys(s, share) if len(s) else np.empty(0, np.uint64) for s in sets]
             found = np.concatenate([*keys, np.empty(0, np.uint64)])
-            ids = np.repeat(ids, [len(k) for k in keys])
-            if known is not None:
-                may = in_map(known, found)
-                found, ids = found[may], ids[may]
-            yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(ids)], ["key", "doc_id"])
+            yield pa.record_batch(
+                [pa.array(found.view(np.int64)), pa.array(np.repeat(ids, [len(k) for k in keys]))], ["key", "doc_id"]
+            )
         release()
 
-    schema = "key long, doc_id long"
-    counts = rows.mapInArrow(keyed, schema).groupBy("key").agg(F.count("*").alias("n"))
-    shared = rows.sparkSession.sparkContext.broadcast(bit_map(counts.where("n > 1"), "key", bits))  # ``bits`` / 8 bytes
-    again = store(rows.mapInArrow(lambda batches: keyed(batches, shared.value), schema), "repeated_keys")
+    together = Window.partitionBy("key")
     hashed = F.xxhash64("doc_id")
-    sums = again.groupBy("key").agg(
-        F.count("*").alias("n"), F.sum(hashed.bitwiseAND(0xFFFFFFFFFF)).alias("sum"), F.bit_xor(hashed).alias("xor")
-    )
-    buckets = store(sums.where("n > 1").select("key", F.xxhash64("n", "sum", "xor").alias("bucket")), "key_buckets")
-    return again.join(buckets, "key").select("bucket", "doc_id").distinct()
+    found = rows.mapInArrow(keyed, "key long, doc_id long").withColumns({
+        "n": F.count("*").over(together),
+        "sum": F.sum(hashed.bitwiseAND(0xFFFFFFFFFF)).over(together),
+        "xor": F.bit_xor(hashed).over(together),
+    })
+    return found.where("n > 1").select(F.xxhash64("n", "sum", "xor").alias("bucket"), "doc_id").distinct()
 
 
 def in_blocks(members: DataFrame, group: str, node: str) -> DataFrame:
