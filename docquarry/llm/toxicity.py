@@ -232,6 +232,15 @@ def build(
     )
 
 
+def columns_of(index: Index) -> np.ndarray:
+    """The full columns, from the weights of all examples; tasks make them anew instead of being sent them."""
+    columns = np.zeros((len(index.ids), int(index.dense.max(initial=-1)) + 1), np.float32)
+    example = np.repeat(np.arange(len(index.ids)), np.diff(index.ends, prepend=0))
+    held = index.dense[index.terms] >= 0
+    columns[example[held], index.dense[index.terms[held]]] = index.all_weights[held]
+    return columns
+
+
 def _runs(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of runs one after the other."""
     ends = np.cumsum(sizes)
@@ -365,11 +374,14 @@ def searched(index: Index, terms: Terms, texts: list[str | None]) -> list[tuple[
 def score(docs: DataFrame, model: Index | float, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """(doc_id, score, evidence) of every row; the model has a fixed bound and goes to every task."""
     rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    sent = model if isinstance(model, float) else model._replace(columns=None, terms=model.terms.astype(np.int32))
+    known = docs.sparkSession.sparkContext.broadcast(sent)
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = known.value
+        if not isinstance(index, float):
+            index = index._replace(columns=columns_of(index))
         terms = None if isinstance(index, float) else Terms(index.number)
         for batch in steps(batches):
             texts = column(batch, "text").to_pylist()
