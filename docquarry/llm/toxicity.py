@@ -374,7 +374,10 @@ def searched(index: Index, terms: Terms, texts: list[str | None]) -> list[tuple[
 def score(docs: DataFrame, model: Index | float, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """(doc_id, score, evidence) of every row; the model has a fixed bound and goes to every task."""
     rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sent = model if isinstance(model, float) else model._replace(columns=None, terms=model.terms.astype(np.int32))
+    sent = model if isinstance(model, float) else model._replace(  # what only bounds cosines, in single precision
+        columns=None, terms=model.terms.astype(np.int32), weights=model.weights.astype(np.float32), most=model.most.astype(np.float32),
+        starts=model.starts.astype(np.int32), cells=model.cells.astype(np.int32),
+    )
     known = docs.sparkSession.sparkContext.broadcast(sent)
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
 
