@@ -148,3 +148,33 @@ def test_model_table_round_trip(spark, tmp_path):
     words = spark.createDataFrame([(0, "x"), (1, "y")], "idx int, gram string")
     rows = sorted(tuple(r) for r in svm.coefficient_rows(model.to_table(spark), words).collect())
     assert rows == [("a", "y", 1.5), ("b", "x", 2.0)]
+
+
+def frequent_and_rare(spark, n=400, features=600, seed=7):
+    """Rows of unit length whose features fall off in frequency like words, with labels that follow nothing."""
+    rng = np.random.default_rng(seed)
+    matrix = np.where(rng.random((n, features)) < 8.0 / (8.0 + np.arange(features)), rng.random((n, features)) + 0.1, 0.0)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    rows = [
+        (f"d{i}", [int(j) for j in np.flatnonzero(row)], [float(v) for v in row[row > 0]],
+         [t for t in range(3) if rng.random() < 0.2])
+        for i, row in enumerate(matrix)
+    ]
+    schema = "doc_id string, indices array<int>, values array<double>, targets array<int>"
+    return spark.createDataFrame(rows, schema).coalesce(2), matrix
+
+
+def test_curvature_of_a_small_space_is_exact(spark):
+    train, matrix, _ = toy(spark)
+    values, vectors, rest = svm.curvature(svm.sparse_blocks(train), matrix.shape[1])
+    wide = np.column_stack([matrix, np.ones(len(matrix))])
+    assert rest == 0.0 and vectors.T @ vectors == pytest.approx(np.eye(len(values)), abs=1e-9)
+    assert vectors @ np.diag(values) @ vectors.T == pytest.approx(wide.T @ wide, abs=1e-6)
+
+
+def test_fit_takes_few_passes(spark, monkeypatch):
+    train, matrix = frequent_and_rare(spark)
+    passes, plain = [], svm.loss_and_gradient
+    monkeypatch.setattr(svm, "loss_and_gradient", lambda *args: passes.append(1) or plain(*args))
+    model, _ = svm.fit_model(train, ["a", "b", "c"], matrix.shape[1])
+    assert model.converged.all() and len(passes) <= 20
