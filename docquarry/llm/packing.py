@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import binary_values, column, steps, store
-from docquarry.llm.tokens import STEP, crc32, encoder, forget
+from docquarry.llm.tokens import crc32, encoder, forget
 
 CAPACITY = 2048
 END_ID = 1
@@ -141,7 +141,7 @@ def cut_pieces(
     types = [pa.int64()] * 4
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, most=STEP):
+        for batch in steps(batches):
             ids, sizes = encoder(path, False).encode(binary_values(column(batch, "text")))
             # The end id after each document's ids.
             ends = np.cumsum(sizes + 1)

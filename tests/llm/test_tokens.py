@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents
 from hypothesis import given, settings
@@ -224,3 +225,19 @@ def test_packed_documents(spark, monkeypatch):
         times = sum(1 for j, _ in rows if j == i)
         assert sum(n for _, n in pieces[i]) == times * len([*whole(BYTE, text_of[i]), 1])
     assert sum(128 - e for e in end.values() if e & (e - 1)) <= 0.01 * sum(end.values())
+
+
+def test_packing_tokenizes_a_megabyte_at_a_time(spark, monkeypatch):
+    docs, held = documents(spark, [(0, "a")]), []
+
+    class Recording:
+        def encode(self, texts):
+            held.append(sum(map(len, texts)))
+            return np.zeros(len(texts), np.int32), np.ones(len(texts), np.int64)
+
+    monkeypatch.setattr(packing, "encoder", lambda *_: Recording())
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda rows, cut, schema: cut)
+    cut = packing.cut_pieces(docs, BYTE)
+    batch = pa.record_batch({"doc_id": pa.array(range(30), pa.int64()), "text": ["x" * 100_000] * 30})
+    assert sum(out.num_rows for out in cut(iter([batch]))) == 30
+    assert sum(held) == 3_000_000 and max(held) <= 1 << 20
