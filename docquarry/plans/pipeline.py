@@ -12,7 +12,7 @@ from docquarry.operators.corpus import build_corpus, with_query_tokens
 from docquarry.operators.index import Index, build_index
 from docquarry.operators.retrieve import weighted_terms
 from docquarry.operators.search import Tagger, TagIndex, build_tag_index, search
-from docquarry.operators.tfidf import TfidfModel, document_gram_counts, fit_tfidf, with_grams
+from docquarry.operators.tfidf import TfidfModel, fit_tfidf, with_grams
 from docquarry.plans.fixtures import id_map, judgment_lines, query_set, raw_acts
 from docquarry.session import store
 
@@ -21,20 +21,25 @@ from docquarry.session import store
 INTERCEPT = -0.0625
 
 
-def sign_coefficients(train_pairs: DataFrame, train_grams: DataFrame, vocabulary: DataFrame, rows: int) -> DataFrame:
+def sign_coefficients(train: DataFrame, vocabulary: DataFrame, rows: int) -> DataFrame:
     """A coefficient table that SQL can rebuild.
 
     +1 where a gram's share of documents is greater with the label than without it, else -1, over
     all grams of the vocabulary that occur with the label. Shares are compared as whole numbers.
+
+    ``train`` has a row per document with ``grams`` and ``kept_tags``. A row holds all that a document
+    adds, so its distinct grams meet its distinct labels without a grouping or a join of documents.
     """
     known = F.broadcast(vocabulary.select("gram", "idx", "df"))  # at most max_features rows
+    held = train.select(F.array_distinct("kept_tags").alias("labels"), F.array_distinct("grams").alias("grams"))
     together = (
-        train_grams.join(known, "gram")
-        .join(train_pairs, "doc_id")
+        held.select("labels", F.explode_outer("grams").alias("gram"))
+        .join(known, "gram")
+        .select("idx", "df", F.explode("labels").alias("label"))
         .groupBy("label", "idx", "df")
         .agg(F.count(F.lit(1)).alias("both"))
     )
-    sizes = train_pairs.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    sizes = held.select(F.explode("labels").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     more = F.col("both") * (rows - F.col("size")) > (F.col("df") - F.col("both")) * F.col("size")
     return together.join(sizes, "label").select(
         "label", "idx", F.when(more, 1.0).otherwise(-1.0).alias("coef")
@@ -116,8 +121,8 @@ class Stages:
     @property
     def tagger(self) -> Tagger:
         def build() -> Tagger:
-            grams = document_gram_counts(with_grams(self.kept().where("not is_test")))
-            signs = sign_coefficients(self.kept_pairs(False), grams, self.tfidf.table, self.train_rows)
+            train = with_grams(self.kept().where("not is_test"))
+            signs = sign_coefficients(train, self.tfidf.table, self.train_rows)
             model = svm.LinearModel.from_coefficients(
                 self.label_names, signs, self.tfidf.size, INTERCEPT
             )

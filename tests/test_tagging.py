@@ -8,6 +8,7 @@ from docquarry.config import Settings
 from docquarry.operators import labels, svm
 from docquarry.operators.svm import LinearModel
 from docquarry.operators.tfidf import count_threshold, fit_tfidf, gram_counts, long_weights, vocabulary, with_grams
+from docquarry.plans.pipeline import sign_coefficients
 
 
 def corpus_of(spark, docs):
@@ -178,3 +179,15 @@ def test_fit_takes_few_passes(spark, monkeypatch):
     monkeypatch.setattr(svm, "loss_and_gradient", lambda *args: passes.append(1) or plain(*args))
     model, _ = svm.fit_model(train, ["a", "b", "c"], matrix.shape[1])
     assert model.converged.all() and len(passes) <= 20
+
+
+def test_sign_coefficients_count_documents_row_by_row(spark):
+    corpus = corpus_of(spark, [("aa bb aa", ["x", "x"]), ("aa", ["x", "y"]), ("bb", ["y"]), ("bb cc", ["y"]), ("", ["y"])])
+    tfidf = fit_tfidf(corpus, Settings(ngram_max=1))
+    train = with_grams(corpus.withColumn("kept_tags", F.col("tags")), Settings(ngram_max=1))
+    signs = sign_coefficients(train, tfidf.table, 5)
+    grams = {r.idx: r.gram for r in tfidf.table.collect()}
+    assert {(r.label, grams[r.idx]): r.coef for r in signs.collect()} == {
+        ("x", "aa"): 1.0, ("x", "bb"): -1.0, ("y", "aa"): -1.0, ("y", "bb"): -1.0, ("y", "cc"): 1.0,
+    }
+    assert "hashpartitioning(doc_id" not in signs._jdf.queryExecution().executedPlan().toString()
