@@ -12,6 +12,8 @@ Method per query, first match:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,9 @@ class Tagger:
 # Smallest ids kept of each label: as many candidates without a matching token as a search may ask for.
 HEADS = 1000
 
+# Labels that one word of bits holds.
+WORD_BITS = 62
+
 
 @dataclass(frozen=True)
 class TagIndex:
@@ -79,11 +84,12 @@ def label_heads(doc_labels: DataFrame, most: int = HEADS) -> DataFrame:
 
 
 def query_vectors(queries: DataFrame, tfidf: TfidfModel, query_text: str = "raw", settings: Settings = DEFAULTS) -> DataFrame:
-    """Vectors of the query text: as typed, or of its ``tokens``."""
+    """Vectors of the query text: as typed, or of its ``tokens``. Rows that share an id add up to one."""
     if query_text not in ("raw", "tokens"):
         raise ValueError("query_text is 'raw' or 'tokens'")
     text = F.col("raw_query") if query_text == "raw" else F.array_join("tokens", " ")
-    return tfidf.transform(with_text_grams(queries, text, settings), key="qid", settings=settings)
+    grams = with_text_grams(queries, text, settings).groupBy("qid").agg(F.flatten(F.collect_list("grams")).alias("grams"))
+    return tfidf.transform(grams, key="qid", settings=settings)
 
 
 def classify_queries(queries: DataFrame, tagger: Tagger, query_text: str = "raw", settings: Settings = DEFAULTS) -> DataFrame:
@@ -109,15 +115,39 @@ def matched_target(target: Column, labels: list[str], strict: bool = False) -> C
     return F.when(target.isNotNull() & (target != ""), F.get(hits, F.lit(0)))
 
 
-def tag_set_hits(tag_sets: DataFrame, combos: DataFrame) -> DataFrame:
+def label_bits(held: Column, names: list[str]) -> list[Column]:
+    """One bit per name that the array holds, in words of ``WORD_BITS`` bits."""
+    words = []
+    for start in range(0, len(names), WORD_BITS):
+        bits = F.create_map(*[F.lit(x) for i, name in enumerate(names[start: start + WORD_BITS]) for x in (name, 1 << i)])
+        bit = lambda label, bits=bits: F.coalesce(F.try_element_at(bits, label), F.lit(0)).cast("long")
+        words.append(F.aggregate(held, F.lit(0).cast("long"), lambda word, label: word.bitwiseOR(bit(label))))
+    return words
+
+
+def tag_set_hits(tag_sets: DataFrame, combos: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Documents with any label of a tag set, counted from the distinct label sets.
 
-    ``tag_sets`` has ``tags``; the result adds ``tag_hits``. No document row is touched.
+    ``tag_sets`` has ``tags``; the result adds ``tag_hits``. No document row is touched. Each tag set meets each
+    distinct label set once, as bits of the labels that any tag set holds; the label sets are spread over all cores.
     """
-    wanted = tag_sets.select("tags").distinct().select("tags", F.explode("tags").alias("label"))
-    held = combos.select("labels", "n", F.explode("labels").alias("label"))
-    each = wanted.join(held, "label").select("tags", "labels", "n").distinct()
-    return each.groupBy("tags").agg(F.sum("n").alias("tag_hits"))
+    wanted = tag_sets.select("tags").distinct()
+    # At most the vocabulary of labels.
+    names = sorted(row.label for row in wanted.select(F.explode("tags").alias("label")).distinct().collect())
+    words = range(-(-len(names) // WORD_BITS))
+    tag_words, label_words = [f"tag_word_{i}" for i in words], [f"label_word_{i}" for i in words]
+    if not names:
+        return wanted.where("false").withColumn("tag_hits", F.lit(0).cast("long"))
+    wanted = wanted.withColumns(dict(zip(tag_words, label_bits(F.col("tags"), names))))
+    cores = combos.sparkSession.sparkContext.defaultParallelism
+    held = combos.select("n", *[bits.alias(name) for name, bits in zip(label_words, label_bits(F.col("labels"), names))])
+    held = held.repartition(cores, *label_words).groupBy(*label_words).agg(F.sum("n").alias("n"))
+    sought = wanted.select(*tag_words).distinct()
+    if fits(sought, settings.broadcast_rows):
+        sought = F.broadcast(sought)
+    shared = [F.col(tag).bitwiseAND(F.col(label)) != 0 for tag, label in zip(tag_words, label_words)]
+    hits = held.join(sought, reduce(or_, shared)).groupBy(*tag_words).agg(F.sum("n").alias("tag_hits"))
+    return wanted.join(hits, tag_words).select("tags", "tag_hits")
 
 
 def choose_methods(
@@ -133,7 +163,7 @@ def choose_methods(
         .drop("labels")
     )
     # Only queries with tags have hits to look up, so untagged ones do not meet in one task.
-    hits = store(tag_set_hits(chosen.where(F.size("tags") > 0), tag_index.combos), "tag_hits")
+    hits = store(tag_set_hits(chosen.where(F.size("tags") > 0), tag_index.combos, settings), "tag_hits")
     tagged = join_hot(chosen.where(F.size("tags") > 0).select("qid", "tags"), hits, "tags", "qid", settings.broadcast_rows)
     counted = chosen.join(tagged.select("qid", "tag_hits"), "qid", "left").withColumn(
         "tag_hits", F.coalesce("tag_hits", F.lit(0))

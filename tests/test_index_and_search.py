@@ -305,3 +305,22 @@ def test_spreading_rows_starts_no_job(spark, tmp_path):
     rows = spread(read, "id")
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("spread")
     assert rows.count() == 10
+
+
+def test_tag_set_hits_meet_label_sets_once(spark):
+    names = [f"l{i:02}" for i in range(70)]
+    sets = [names[i: i + 1 + i % 5] for i in range(70)] + [[names[0], names[69]], ["other"]]
+    combos = spark.createDataFrame([(held, n + 1) for n, held in enumerate(sets)], "labels array<string>, n long")
+    wanted = [[names[3]], names[60:], names, [names[69], names[1]], ["unheld"], names[60:]]
+    found = search.tag_set_hits(spark.createDataFrame([(w,) for w in wanted], "tags array<string>"), combos)
+    expected = {tuple(w): sum(n + 1 for n, held in enumerate(sets) if set(w) & set(held)) for w in wanted}
+    assert {tuple(r.tags): r.tag_hits for r in found.collect()} == {w: n for w, n in expected.items() if n}
+    assert "hashpartitioning(label#" not in found._jdf.queryExecution().executedPlan().toString()
+    assert search.tag_set_hits(spark.createDataFrame([], "tags array<string>"), combos).count() == 0
+
+
+def test_queries_that_share_an_id_have_one_vector(spark):
+    model = fit_tfidf(spark.createDataFrame([("d", ["aa", "bb"])], "doc_id string, tokens array<string>"), Settings(ngram_max=1))
+    queries = spark.createDataFrame([("q", "aa"), ("q", "bb"), ("n", None)], "qid string, raw_query string")
+    found = {r.qid: sorted(r.indices) for r in search.query_vectors(queries, model, settings=Settings(ngram_max=1)).collect()}
+    assert found == {"q": [0, 1], "n": []}
