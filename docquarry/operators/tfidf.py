@@ -1,13 +1,18 @@
 """TF-IDF vocabulary and document vectors.
 
-Everything is a join or a grouping by document. On a corpus distributed by ``doc_id`` none of it
-shuffles documents; only n-gram totals are exchanged.
+Everything is made row by row, or by a join or grouping by document. On a corpus distributed by
+``doc_id`` none of it shuffles documents; only n-gram totals are exchanged.
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +21,9 @@ from docquarry.functions.scoring import smooth_idf
 from docquarry.functions.text import gram_words, ngrams
 from docquarry.session import join_hot, store
 
+# The functions below that run in tasks travel with the job: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def with_text_grams(df: DataFrame, text: Column, settings: Settings = DEFAULTS) -> DataFrame:
     """Add ``grams``: the n-grams of the words of a text, in order, with repeats."""
@@ -78,6 +86,40 @@ def vocabulary(counts: DataFrame, documents: int, settings: Settings = DEFAULTS)
     )
 
 
+def _vectors(lists: pa.Array, known: pa.Array, places: np.ndarray, idf: np.ndarray) -> pa.StructArray:
+    """``(indices, values)`` of each list of grams; ``known`` are the grams that have these places and idfs."""
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    found = pc.index_in(lists.flatten(), value_set=known.cast(lists.type.value_type)).fill_null(-1)
+    found = found.to_numpy(zero_copy_only=False).astype(np.int64)
+    hit = found >= 0
+    rows = np.repeat(np.arange(len(lists)), lengths)[hit]
+    entries, tf = np.unique(rows * len(known) + found[hit], return_counts=True)
+    rows, at = np.divmod(entries, max(len(known), 1))
+    weights = tf * idf[at]
+    norms = np.sqrt(np.bincount(rows, weights * weights, len(lists)))
+    ends = pa.array(np.searchsorted(rows, np.arange(len(lists) + 1)).astype(np.int32))
+    columns = [pa.ListArray.from_arrays(ends, pa.array(column)) for column in (places[at], weights / norms[rows])]
+    return pa.StructArray.from_arrays(columns, ["indices", "values"])
+
+
+def vector_column(vocabulary: DataFrame, grams: Column) -> Column:
+    """``struct<indices, values>``: the unit-length tf-idf weights of an array of grams, by place.
+
+    The vocabulary goes to every task; each row is looked up and added up on its own.
+    """
+    table = vocabulary.select("gram", F.col("idx").cast("int"), F.col("idf").cast("double")).toArrow().combine_chunks()
+    known = pa.concat_arrays(table["gram"].chunks) if len(table) else pa.array([], pa.string())
+    shared = vocabulary.sparkSession.sparkContext.broadcast(
+        (known, table["idx"].to_numpy().astype(np.int32), table["idf"].to_numpy().astype(np.float64))
+    )
+
+    @F.arrow_udf("struct<indices: array<int>, values: array<double>>")
+    def vectors(lists: pa.Array) -> pa.Array:
+        return _vectors(lists, *shared.value)
+
+    return vectors(grams)
+
+
 @dataclass(frozen=True)
 class TfidfModel:
     """The fitted vocabulary ``(gram, idx, n, df, idf)`` and its size."""
@@ -91,10 +133,14 @@ class TfidfModel:
         Unknown grams are ignored; a row without a known one gets empty arrays. ``key`` must be
         unique per row.
         """
+        if self.size <= settings.broadcast_rows:
+            rows = df.select(key, vector_column(self.table, F.col("grams")).alias("vector"))
+            return rows.select(key, "vector.indices", "vector.values")
         weights = (F.col("tf") * F.col("idf")).alias("weight")
         entries = F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "weight")))
         found = (
-            self.known_grams(df.select(key, F.explode_outer("grams").alias("gram")), settings)
+            df.select(key, F.explode_outer("grams").alias("gram"))
+            .join(self.table.select("gram", "idx", "idf"), "gram", "left")
             .groupBy(key, "idx", "idf")
             .agg(F.count(F.lit(1)).alias("tf"))
             .select(key, "idx", weights)
@@ -107,13 +153,6 @@ class TfidfModel:
             F.transform("entries.weight", lambda weight: weight / F.col("norm")).alias("values"),
         )
 
-    def known_grams(self, grams: DataFrame, settings: Settings) -> DataFrame:
-        """Join the vocabulary, which has at most ``max_features`` rows; others keep a NULL place."""
-        table = self.table.select("gram", "idx", "idf")
-        if self.size <= settings.broadcast_rows:
-            table = F.broadcast(table)
-        return grams.join(table, "gram", "left")
-
 
 def fit_tfidf(train: DataFrame, settings: Settings = DEFAULTS) -> TfidfModel:
     """Fit on a corpus table; vocabulary and idf come from its documents only."""
@@ -124,7 +163,8 @@ def fit_tfidf(train: DataFrame, settings: Settings = DEFAULTS) -> TfidfModel:
 
 def long_weights(vectors: DataFrame, model: TfidfModel, key: str = "doc_id", settings: Settings = DEFAULTS) -> DataFrame:
     """``(key, gram, weight)`` rows of transformed documents."""
-    entries = vectors.select(key, F.inline(F.arrays_zip("indices", "values"))).select(
+    # Outer: for an inner one Spark asks for the size of the arrays first, and makes the vectors twice.
+    entries = vectors.select(key, F.inline_outer(F.arrays_zip("indices", "values"))).select(
         key, F.col("indices").alias("idx"), F.col("values").alias("weight")
-    )
+    ).where("idx is not null")
     return join_hot(entries, model.table.select("idx", "gram"), "idx", key, settings.broadcast_rows).drop("idx")

@@ -12,7 +12,7 @@ from docquarry.operators.corpus import build_corpus, with_query_tokens
 from docquarry.operators.index import Index, build_index
 from docquarry.operators.retrieve import weighted_terms
 from docquarry.operators.search import Tagger, TagIndex, build_tag_index, search
-from docquarry.operators.tfidf import TfidfModel, fit_tfidf, with_grams
+from docquarry.operators.tfidf import TfidfModel, fit_tfidf, vector_column, with_grams
 from docquarry.plans.fixtures import id_map, judgment_lines, query_set, raw_acts
 from docquarry.session import store
 
@@ -28,18 +28,20 @@ def sign_coefficients(train: DataFrame, vocabulary: DataFrame, rows: int) -> Dat
     all grams of the vocabulary that occur with the label. Shares are compared as whole numbers.
 
     ``train`` has a row per document with ``grams`` and ``kept_tags``. A row holds all that a document
-    adds, so its distinct grams meet its distinct labels without a grouping or a join of documents.
+    adds, so the places of its known grams meet its distinct labels without a grouping or a join of documents.
     """
-    known = F.broadcast(vocabulary.select("gram", "idx", "df"))  # at most max_features rows
-    held = train.select(F.array_distinct("kept_tags").alias("labels"), F.array_distinct("grams").alias("grams"))
+    places = vector_column(vocabulary, F.col("grams")).getField("indices")
+    # Exploded as outer: for an inner one Spark asks for the size first, and makes the places twice.
+    held = train.select(F.array_distinct("kept_tags").alias("labels"), places.alias("places"))
     together = (
-        held.select("labels", F.explode_outer("grams").alias("gram"))
-        .join(known, "gram")
-        .select("idx", "df", F.explode("labels").alias("label"))
-        .groupBy("label", "idx", "df")
+        held.select("labels", F.explode_outer("places").alias("idx"))
+        .select("idx", F.explode("labels").alias("label"))
+        .groupBy("label", "idx")
         .agg(F.count(F.lit(1)).alias("both"))
+        .join(F.broadcast(vocabulary.select("idx", "df")), "idx")  # at most max_features rows
     )
-    sizes = held.select(F.explode("labels").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    labelled = train.select(F.explode(F.array_distinct("kept_tags")).alias("label"))
+    sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     more = F.col("both") * (rows - F.col("size")) > (F.col("df") - F.col("both")) * F.col("size")
     return together.join(sizes, "label").select(
         "label", "idx", F.when(more, 1.0).otherwise(-1.0).alias("coef")

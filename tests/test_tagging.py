@@ -191,3 +191,29 @@ def test_sign_coefficients_count_documents_row_by_row(spark):
         ("x", "aa"): 1.0, ("x", "bb"): -1.0, ("y", "aa"): -1.0, ("y", "bb"): -1.0, ("y", "cc"): 1.0,
     }
     assert "hashpartitioning(doc_id" not in signs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vectors_are_made_row_by_row(spark):
+    corpus = corpus_of(spark, [("aa bb aa", []), ("bb cc dd", []), ("", []), ("aa bb cc", [])])
+    model = fit_tfidf(corpus, Settings(max_features=5))
+    rows = with_grams(corpus_of(spark, [("aa bb aa bb", []), ("zz yy", []), ("", []), ("dd cc bb aa", [])]))
+    rows = rows.unionByName(rows.limit(1).withColumns({"doc_id": F.lit(None).cast("string"), "grams": F.lit(None).cast("array<string>")}))
+    placed = model.transform(rows)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Generate" not in plan
+
+    def entries(found):
+        return {r.doc_id: sorted((i, round(v, 12)) for i, v in zip(r.indices, r["values"])) for r in found.collect()}
+
+    assert placed.schema["indices"].dataType.simpleString() == "array<int>"
+    assert entries(placed) == entries(model.transform(rows, settings=Settings(broadcast_rows=0)))
+    assert sum(len(found) > 0 for found in entries(placed).values()) == 2 and len(entries(placed)) == 5
+
+
+def test_vectors_are_made_once(spark):
+    corpus = corpus_of(spark, [("aa bb aa", ["x"]), ("bb cc", ["y"]), ("", ["y"])])
+    model = fit_tfidf(corpus)
+    train = with_grams(corpus.withColumn("kept_tags", F.col("tags")))
+    for plan in (long_weights(model.transform(train), model), sign_coefficients(train, model.table, 3)):
+        shown = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert shown.count("ArrowEvalPython") == 1
