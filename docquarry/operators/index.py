@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.session import store
+from docquarry.functions.text import rows_of, term_counts
+from docquarry.session import bucket_count, store
+
+# The functions below that run in tasks travel with the job: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass(frozen=True)
@@ -25,16 +35,51 @@ class Index:
     avgdl: float
 
 
-def postings(corpus: DataFrame) -> DataFrame:
-    """Term frequency and document length per ``(doc_id, term)`` for a corpus with unique ids."""
-    return (
-        corpus.select("doc_id", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
-        .groupBy("doc_id", "length", "term")
-        .agg(F.count(F.lit(1)).cast("int").alias("tf"))
-        .select("doc_id", "term", "tf", "length")
+# Rows of a batch that tasks hand back.
+STEP = 100_000
+
+
+def _postings(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``(doc_id, term, tf, length)`` of the rows of a batch, by bucket, then term."""
+    lists = batch.column("tokens")
+    coded = lists.flatten().dictionary_encode(null_encoding="encode")
+    terms = pc.array_sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(terms), np.int64)
+    rank[terms] = np.arange(len(terms))
+    order = np.argsort(batch.column("bucket").to_numpy(), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    # A key holds bucket, term and row; buckets are numbered by their first row.
+    first = np.searchsorted(batch.column("bucket").to_numpy()[order], batch.column("bucket").to_numpy())
+    rows = rows_of(lists)
+    size, high = max(len(lists), 1), max(len(terms), 1)
+    held, tf = np.unique((first[rows] * high + rank[coded.indices.to_numpy()]) * size + place[rows], return_counts=True)
+    rows, codes = pa.array(order[held % size]), terms[held // size % high]
+    return pa.record_batch(
+        [batch.column("doc_id").take(rows), coded.dictionary.take(pa.array(codes)), pa.array(tf.astype(np.int32)),
+         lists.value_lengths().take(rows)],
+        ["doc_id", "term", "tf", "length"],
     )
 
 
+def postings(corpus: DataFrame) -> DataFrame:
+    """Term frequency and document length per ``(doc_id, term)`` for a corpus with unique ids.
+
+    Terms are counted row by row, so nothing is grouped or shuffled. The rows of a batch come in the order of the
+    bucketed table, so that its sort merges a few long runs.
+    """
+    bucket = F.pmod(F.hash("doc_id"), F.lit(bucket_count(corpus.sparkSession)))
+    rows = corpus.select("doc_id", F.col("tokens").cast("array<string>").alias("tokens"), bucket.alias("bucket"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _postings(batch)
+            yield from (found.slice(at, STEP) for at in range(0, len(found), STEP))
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(counted, f"doc_id {id_type}, term string, tf int, length int")
+
+
 def doc_lengths(corpus: DataFrame) -> DataFrame:
     return corpus.select("doc_id", F.size("tokens").alias("length"))
 
@@ -56,22 +101,6 @@ def unique_terms(doc_freq_table: DataFrame) -> DataFrame:
     return doc_freq_table.agg(F.count(F.lit(1)).alias("unique_terms"))
 
 
-def term_counts(tokens: Column) -> Column:
-    """``array<struct<term, tf>>``: the distinct terms of a token array and how often each occurs, without a shuffle."""
-
-    def counted(ordered: Column) -> Column:
-        last = F.filter(
-            F.sequence(F.lit(1), F.size(ordered)), lambda i: F.get(ordered, i).isNull() | (F.get(ordered, i) != F.get(ordered, i - 1))
-        )
-        return F.get(F.transform(F.array(last), lambda ends: F.transform(
-            ends, lambda end, i: F.struct(F.get(ordered, end - 1).alias("term"), (end - F.coalesce(F.get(ends, i - 1), F.lit(0))).alias("tf"))
-        )), F.lit(0))
-
-    # Bound once, as an element of an array.
-    found = F.get(F.transform(F.array(F.array_sort(tokens)), counted), F.lit(0))
-    return F.when(F.size(tokens) > 0, found)
-
-
 def overwriting_postings(tokens: DataFrame, order: str) -> DataFrame:
     """Postings when ids repeat: per term the latest copy that holds it wins.
 
@@ -79,8 +108,8 @@ def overwriting_postings(tokens: DataFrame, order: str) -> DataFrame:
     counted within each row, and the copies of a term meet in one shuffle, merged per task before it, so an id
     that very many rows share sends each of its terms once a task.
     """
-    rows = tokens.select("doc_id", order, F.explode(term_counts(F.col("tokens"))).alias("held"))
-    return rows.groupBy("held.term", "doc_id").agg(F.max_by("held.tf", order).alias("tf"))
+    rows = tokens.select("doc_id", order, F.explode_outer(term_counts(F.col("tokens"))).alias("held"))
+    return rows.where("held is not null").groupBy("held.term", "doc_id").agg(F.max_by("held.tf", order).alias("tf"))
 
 
 def overwriting_lengths(tokens: DataFrame, order: str) -> DataFrame:
