@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from docquarry.config import DEFAULTS, Settings
 from docquarry.functions.scoring import smooth_idf
-from docquarry.functions.text import gram_words, ngrams
+from docquarry.functions.text import gram_words, ngrams, term_counts
 from docquarry.session import join_hot, store
 
 # The functions below that run in tasks travel with the job: executors need no copy of the package.
@@ -27,9 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def with_text_grams(df: DataFrame, text: Column, settings: Settings = DEFAULTS) -> DataFrame:
     """Add ``grams``: the n-grams of the words of a text, in order, with repeats."""
-    # The words are a column of their own: the n-grams read them several times.
-    split = df.withColumn("gram_words", gram_words(text))
-    return split.withColumn("grams", ngrams(F.col("gram_words"), settings.ngram_max)).drop("gram_words")
+    return df.withColumn("grams", ngrams(gram_words(text), settings.ngram_max))
 
 
 def with_grams(corpus: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -37,13 +35,9 @@ def with_grams(corpus: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def document_gram_counts(grams: DataFrame) -> DataFrame:
-    """``(doc_id, gram, tf)``; needs no shuffle when the rows are distributed on ``doc_id``."""
-    return (
-        grams.select("doc_id", F.explode_outer("grams").alias("gram"))
-        .where("gram is not null")
-        .groupBy("doc_id", "gram")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """``(doc_id, gram, tf)``, one row of each document; grams are counted within their row."""
+    held = grams.select("doc_id", F.explode_outer(term_counts(F.col("grams"))).alias("held")).where("held.term is not null")
+    return held.select("doc_id", F.col("held.term").alias("gram"), F.col("held.tf").cast("long").alias("tf"))
 
 
 def gram_counts(grams: DataFrame) -> DataFrame:
