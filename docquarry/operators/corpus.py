@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.config import DEFAULTS, ID_COLUMN, TAG_COLUMN, TEXT_COLUMN, Settings
-from docquarry.functions.text import cap_text, document_tokens, kept_words, query_tokens, singular
+from docquarry.functions.text import cap_text, document_tokens, kept_words, listed, query_tokens, rows_of, singular, singulars
 from docquarry.operators.clean import require_columns
-from docquarry.session import store
+from docquarry.session import fits, store
+
+# The functions below that run in tasks travel with the job: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def with_tokens(df: DataFrame, text_column: str = TEXT_COLUMN, settings: Settings = DEFAULTS) -> DataFrame:
@@ -17,17 +26,52 @@ def with_tokens(df: DataFrame, text_column: str = TEXT_COLUMN, settings: Setting
     return df.withColumn("tokens", document_tokens(F.col(text_column), settings))
 
 
+def _lemmas(lists: pa.Array, surfaces: pa.Array, starts: np.ndarray, lemmas: pa.Array) -> pa.Array:
+    """The lemmas of each list of words; surface ``i`` has those from ``starts[i]`` on. Other words get their singular."""
+    coded = lists.flatten().dictionary_encode()
+    found = pc.index_in(coded.dictionary, value_set=surfaces).fill_null(-1).to_numpy()
+    # After the lemmas come the singulars of the distinct words.
+    tokens = pa.concat_arrays([lemmas, singulars(coded.dictionary)])
+    begin = np.where(found >= 0, starts[found], len(lemmas) + np.arange(len(found)))
+    sizes = np.where(found >= 0, starts[found + 1] - starts[found], 1)
+    codes = coded.indices.to_numpy()
+    times = sizes[codes]
+    ends = np.cumsum(times)
+    at = np.repeat(begin[codes] - (ends - times), times) + np.arange(times.sum())
+    return listed(np.repeat(rows_of(lists), times), tokens.take(pa.array(at)), lists)
+
+
+def looked_up(kept: Column, lemmas: DataFrame) -> Column:
+    """An array of words as an array of lemmas; the table goes to every task. A word with several lemmas becomes all of them."""
+    known = lemmas.where("surface is not null").select("surface", F.coalesce("lemma", singular(F.col("surface"))).alias("lemma"))
+    table = known.toArrow().sort_by([("surface", "ascending"), ("lemma", "ascending")])
+    coded = pa.chunked_array(table["surface"].chunks, pa.string()).combine_chunks().dictionary_encode()
+    codes = coded.indices.to_numpy()
+    starts = np.append(np.searchsorted(codes, np.arange(len(coded.dictionary) + 1)), len(codes))
+    held = pa.chunked_array(table["lemma"].chunks, pa.string()).combine_chunks()
+    shared = lemmas.sparkSession.sparkContext.broadcast((coded.dictionary, starts, held))
+
+    @F.arrow_udf("array<string>")
+    def lemma(lists: pa.Array) -> pa.Array:
+        return _lemmas(lists, *shared.value)
+
+    return lemma(kept)
+
+
 def with_lemma_table(
     df: DataFrame, lemmas: DataFrame, key: str, text_column: str = TEXT_COLUMN, settings: Settings = DEFAULTS,
     letters_only: bool = True,
 ) -> DataFrame:
     """Like ``with_tokens`` (or, without ``letters_only``, the tokens of queries), with lemmas looked up in a table ``(surface, lemma)``.
 
-    Words the table lacks fall back to the stemmer. ``key`` must be unique per row. Tokens are
-    looked up on exploded words, so the table may be of any size.
+    Words the table lacks fall back to the stemmer. ``key`` must be unique per row. A table of up to
+    ``Settings.broadcast_rows`` words goes to every task and each text is looked up on its own; a larger one is
+    joined with the exploded words.
     """
     require_columns(df, [text_column, key])
     kept = kept_words(F.col(text_column), settings, letters_only)
+    if fits(lemmas, settings.broadcast_rows):
+        return df.withColumn("tokens", F.coalesce(looked_up(kept, lemmas), F.array().cast("array<string>")))
     surface = df.select(key, F.posexplode_outer(kept).alias("pos", "surface")).where("pos is not null")
     found = surface.join(lemmas.select("surface", "lemma"), "surface", "left").select(
         key, "pos", F.coalesce("lemma", singular(F.col("surface"))).alias("token")
@@ -93,5 +137,5 @@ def build_corpus(
         ),
         "corpus",
         bucket_by="doc_id",
-        distributed=lemmas is None,
+        distributed=lemmas is None or fits(lemmas, settings.broadcast_rows),
     )
