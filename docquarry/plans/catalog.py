@@ -254,7 +254,8 @@ _TOP_TEN = """
 
 @registered(_TOP_TEN.format(scores="dup_scores"))
 def bm25_topk_dup(s: Stages) -> DataFrame:
-    built = s.once("dup_index", lambda: index.build_index(dup_tokens(s), "overwrite", "row_no"))
+    # Stored, as postings, lengths and statistics each read the tokens.
+    built = s.once("dup_index", lambda: index.build_index(store(dup_tokens(s), "dup_corpus"), "overwrite", "row_no"))
     return top_ten(retrieve.bm25_scores(retrieve.weighted_terms(s.queries(), built), built))
 
 
