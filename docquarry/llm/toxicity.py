@@ -8,8 +8,9 @@ The examples lie in blocks of an inverted index. Postings of terms that one exam
 columns, and a product of matrices adds them up for all documents of a step at once. All other terms have short
 postings, with their largest weight in every block that holds them. For a document the column sums and these
 maxima bound the cosine of every example in a block; only blocks whose bound reaches the ``NEIGHBOURS``-th
-largest cosine known so far are scored. Examples near the last cosine that stays are measured again in double
-precision. Texts of a step that are equal are searched once.
+largest cosine known so far are scored, or all where most blocks do. What rare terms add is double precision;
+for examples near the last cosine that stays so is what dense terms add. Texts of a step that are equal are
+searched once. Terms are found by 64-bit hashes.
 
 The nearest examples vote with the square of the cosine, weighed by how many labelled rows an example stands
 for, and a small share of the base rate keeps scores of distant documents low. Votes are calibrated: examples
@@ -27,6 +28,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import column, labelled_sample, learnable, steps
+from docquarry.llm.common import column, labelled_sample, learnable, release, steps
+from docquarry.llm.shingles import Spans
 
 EXAMPLES = 3000
 EXAMPLE_BYTES = 1 << 16
@@ -43,17 +46,20 @@ PREFIXES = (4, 5, 6)
 NEIGHBOURS = 30
 BLOCK = 64
 # Terms that at least one example in so many holds are full columns.
-DENSE = 8
+DENSE = 32
 EVIDENCE = 3
 PRIOR = 0.2
-WORDS = 200_000
 # Examples of each class that the calibration scores without themselves.
 CALIBRATING = 700
 # More than the rounding of sums in single precision.
 SLACK = 1e-4
+# Bytes of text whose words are looked up at once.
+PORTION = 4 << 20
 _MARKS = ".,;:!?\"'()[]{}<>*&%$#|-_/"
-_BLANK = np.zeros(256, bool)
-_BLANK[list(b" \t\n\x0b\x0c\r")] = True
+_OTHER, _BLANK, _MARK = 0, 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t\n\x0b\x0c\r")] = _BLANK
+_KIND[list(_MARKS.encode())] = _MARK
 
 
 def terms_of(word: str) -> list[str]:
@@ -62,56 +68,99 @@ def terms_of(word: str) -> list[str]:
     return [bare, *(bare[:n] + "~" for n in PREFIXES if len(bare) > n)] if bare else []
 
 
-def words_of(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct words of lower-cased texts, the number of each word in order, and the text it is in."""
+def spans_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all lower-cased texts, where each word without the marks around it begins and ends, and the text it is in."""
     lowered = [(t or "").lower().encode() for t in texts]
     raw = np.frombuffer(b"\n".join([*lowered, b""]), np.uint8)
-    inside = ~_BLANK[raw]
-    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
-    begin, end = edges[0::2], edges[1::2]
-    offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
-    encoded = pa.Array.from_buffers(
-        pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]
-    ).dictionary_encode()
+    kind = _KIND[raw]
+    inside = kind != _BLANK
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(raw) and inside[0]:
+        edges = np.concatenate([[0], edges])
+    begin, end = edges[0::2].copy(), edges[1::2].copy()
+    for move, ends in ((begin, False), (end, True)):
+        live = np.arange(len(begin))
+        while len(live := live[(begin[live] < end[live]) & (kind[move[live] - ends] == _MARK)]):
+            move[live] += -1 if ends else 1
+    kept = begin < end
+    begin, end = begin[kept], end[kept]
     starts = np.cumsum([0, *(len(t) + 1 for t in lowered)])
-    return encoded.dictionary.to_pylist(), encoded.indices.to_numpy().astype(np.int64), np.searchsorted(starts, begin, "right") - 1
+    return raw, begin, end, np.searchsorted(starts, begin, "right") - 1
+
+
+def words_of(text: str | None) -> set[bytes]:
+    """The words of a lower-cased text, without the marks around them."""
+    raw, begin, end, _ = spans_of([text])
+    whole = raw.tobytes()
+    return {whole[i:j] for i, j in zip(begin.tolist(), end.tolist())}
 
 
 class Terms:
-    """Numbers of the terms that count, with a bounded memory of words already looked up."""
+    """Finds the numbers of the terms that count by 64-bit hashes, in buckets of about one hash in two."""
 
     def __init__(self, number: dict[str, int]) -> None:
-        self.number = number
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        names = [term.encode() for term in number]
+        ends = np.cumsum([len(n) for n in names], dtype=np.int64)
+        begin = ends - np.array([len(n) for n in names], np.int64)
+        hashes = Spans(np.frombuffer(b"".join(names), np.uint8)).hashes(begin, ends)
+        order = np.argsort(hashes)
+        self.size = len(names)
+        self.hashes, self.numbers = hashes[order], np.fromiter(number.values(), np.int32, len(names))[order]
+        self.shift = np.uint64(63 - max(1, len(names)).bit_length())
+        counts = np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << (64 - int(self.shift)))
+        self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of the term with each hash, or -1."""
+        found = np.full(len(hashes), -1, np.int32)
+        bucket = (hashes >> self.shift).astype(np.int64)
+        at, last = self.first[bucket], self.first[bucket + 1]
+        live = np.flatnonzero(at < last)
+        while len(live):
+            place = at[live]
+            equal = self.hashes[place] == hashes[live]
+            found[live[equal]] = self.numbers[place[equal]]
+            live = live[~equal]
+            at[live] += 1
+            live = live[at[live] < last[live]]
+        return found
 
     def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct terms of each text in a row, ascending; how often each occurs; and where each text ends."""
-        if len(self.known) > WORDS:
-            self.known.clear()
-        words, codes, of = words_of(texts)
-        known, number, found = self.known, self.number, []
-        for word in words:
-            numbers = known.get(word)
-            if numbers is None:
-                numbers = known[word] = tuple(number[t] for t in terms_of(word.decode("utf-8", "replace")) if t in number)
-            found.append(numbers)
-        sizes = np.array([len(f) for f in found], np.int64)
-        flat = np.array([t for f in found for t in f], np.int64)
-        begin = np.cumsum(sizes) - sizes
-        # Each word of a text once, then its terms.
-        held, times = np.unique(of * max(len(words), 1) + codes, return_counts=True)
-        code, text = held % max(len(words), 1), held // max(len(words), 1)
-        terms = flat[_runs(begin[code], sizes[code])]
-        key, place = np.unique(np.repeat(text, sizes[code]) * max(len(number), 1) + terms, return_inverse=True)
-        counts = np.bincount(place, np.repeat(times, sizes[code]), len(key)).astype(np.int64)
-        ends = np.searchsorted(key // max(len(number), 1), np.arange(len(texts)), "right")
-        return key % max(len(number), 1), counts, ends
+        raw, begin, end, of = spans_of(texts)
+        width, keys = max(self.size, 1), []
+        # Long texts in portions, as sums over bytes take eight times their room.
+        cuts = np.searchsorted(begin, np.arange(PORTION, len(raw) + PORTION, PORTION))
+        for low, high in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+            if low < high:
+                first, text = int(begin[low]), of[low:high]
+                keys += self._keys(raw[first: int(end[high - 1])], begin[low:high] - first, end[low:high] - first, text * width)
+        key, counts = np.unique(np.concatenate([*keys, np.empty(0, np.int64)]), return_counts=True)
+        return key % width, counts, np.searchsorted(key // width, np.arange(len(texts)), "right")
+
+    def _keys(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray, row: np.ndarray) -> Iterator[np.ndarray]:
+        """For every known term of every word its number, added to the word's ``row``."""
+        spans = Spans(raw)
+        # Where the characters begin, as beginnings of words have whole ones.
+        lead = (raw & 0xC0) != 0x80
+        ascii = bool(lead.all())
+        places = None if ascii else np.append(np.flatnonzero(lead), [len(raw)] * max(PREFIXES))
+        rank = begin if ascii else (np.cumsum(lead) - 1)[begin]
+        for size in (0, *PREFIXES):
+            if size:
+                stop = begin + size if ascii else places[rank + size]
+                longer = np.flatnonzero(stop < end)
+                found, of = self.find(spans.hashes(begin[longer], stop[longer], b"~")), row[longer]
+            else:
+                found, of = self.find(spans.hashes(begin, end)), row
+            known = found >= 0
+            yield of[known] + found[known]
 
 
 class Index(NamedTuple):
     """``columns``: example x dense term. Other postings by term, then block: a cell is a term in a block that holds it;
     term ``t`` has the cells from ``cells[t]`` on, cell ``c`` the postings from ``starts[c]`` on. All weights of
-    example ``e`` are those from ``ends[e - 1]`` on."""
+    example ``e`` are those from ``ends[e - 1]`` on, those of its dense terms from ``dense_ends[e - 1]`` on."""
 
     number: dict[str, int]
     idf: np.ndarray
@@ -129,6 +178,9 @@ class Index(NamedTuple):
     ends: np.ndarray
     terms: np.ndarray
     all_weights: np.ndarray
+    dense_ends: np.ndarray
+    dense_terms: np.ndarray  # the column of each weight
+    dense_weights: np.ndarray
     base: float
     slope: float = 1.0
     offset: float = 0.0
@@ -136,31 +188,32 @@ class Index(NamedTuple):
 
 def choose_terms(texts: list[str], labels: list[int], most: int | None = None, least: int = 1) -> dict[str, int]:
     """All terms, by chi-squared of their occurrence against the label; ties go to the smaller term."""
-    counts: dict[str, list[int]] = {}
+    counts = (Counter(), Counter())
     for text, label in zip(texts, labels):
-        for term in {t for word in words_of([text])[0] for t in terms_of(word.decode("utf-8", "replace"))}:
-            counts.setdefault(term, [0, 0])[label] += 1
+        counts[label].update({term for word in words_of(text) for term in terms_of(word.decode())})
     share = sum(labels) / len(labels)
 
-    def weight(pair: list[int]) -> float:
-        expected = sum(pair) * share
-        return (pair[1] - expected) ** 2 / expected + (pair[0] - sum(pair) + expected) ** 2 / (sum(pair) - expected)
+    def weight(zeros: int, ones: int) -> float:
+        expected = (zeros + ones) * share
+        return (ones - expected) ** 2 / expected + (expected - ones) ** 2 / (zeros + ones - expected)
 
-    ranked = sorted((-weight(pair), term) for term, pair in counts.items() if sum(pair) >= least)
+    held = ((term, counts[0][term], counts[1][term]) for term in counts[0] | counts[1])
+    ranked = sorted((-weight(zeros, ones), term) for term, zeros, ones in held if zeros + ones >= least)
     return {term: i for i, (_, term) in enumerate(ranked[:most])}
 
 
 def document_counts(docs: DataFrame, number: dict[str, int], text: str = "text") -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and how many documents there are."""
     rows = docs.select(F.col(text).cast("string").alias("text"))
-    known = docs.sparkSession.sparkContext.broadcast(number)
+    known = docs.sparkSession.sparkContext.broadcast(Terms(number))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, sums = Terms(known.value), np.zeros(len(known.value) + 1, np.int64)
+        terms, sums = known.value, np.zeros(known.value.size + 1, np.int64)
         for batch in steps(batches):
             sums[-1] += batch.num_rows
             sums[:-1] += np.bincount(terms.counts(column(batch, "text").to_pylist())[0], minlength=len(sums) - 1)
         yield pa.record_batch([pa.array(np.arange(len(sums))), pa.array(sums)], ["term", "n"])
+        release()
 
     found = rows.mapInArrow(counted, "term long, n long").where("n > 0").groupBy("term").agg(F.sum("n").alias("n"))
     counts = np.zeros(len(number) + 1, np.int64)
@@ -215,9 +268,9 @@ def build(
     dense = np.full(len(number), -1)
     full = np.flatnonzero((held * dense_share >= len(rows)) & (held > 0))
     dense[full] = np.arange(len(full))
-    columns = np.zeros((len(order), len(full)), np.float32)
     in_column = dense[term] >= 0
-    columns[example[in_column], dense[term[in_column]]] = weight[in_column]
+    dense_ends = np.cumsum(np.bincount(example[in_column], minlength=len(order)))
+    dense_terms, dense_weights = dense[term[in_column]].astype(np.int32), weight[in_column]
     term, example, weight = term[~in_column], example[~in_column], weight[~in_column]
     placed = np.lexsort((example, term))
     term, example, weight = term[placed], example[placed], weight[placed]
@@ -225,19 +278,18 @@ def build(
     begin = np.flatnonzero(np.diff(cell, prepend=-1))
     most = np.maximum.reduceat(weight, begin) if len(begin) else np.empty(0)
     cells = np.searchsorted(term[begin], np.arange(len(number) + 1))
-    return Index(
-        number, idf, np.array(ids, np.int64)[order_at], marks[order_at], stands[order_at], dense, columns, cells,
+    index = Index(
+        number, idf, np.array(ids, np.int64)[order_at], marks[order_at], stands[order_at], dense, None, cells,
         (cell[begin] % max(1, n_blocks)).astype(np.int32), most, np.append(begin, len(cell)), example.astype(np.int32), weight,
-        ends, all_terms, all_weights, base,
+        ends, all_terms, all_weights, dense_ends, dense_terms, dense_weights, base,
     )
+    return index._replace(columns=columns_of(index))
 
 
 def columns_of(index: Index) -> np.ndarray:
-    """The full columns, from the weights of all examples; tasks make them anew instead of being sent them."""
+    """The full columns, from the weights of dense terms; tasks make them anew instead of being sent them."""
     columns = np.zeros((len(index.ids), int(index.dense.max(initial=-1)) + 1), np.float32)
-    example = np.repeat(np.arange(len(index.ids)), np.diff(index.ends, prepend=0))
-    held = index.dense[index.terms] >= 0
-    columns[example[held], index.dense[index.terms[held]]] = index.all_weights[held]
+    columns[np.repeat(np.arange(len(index.ids)), np.diff(index.dense_ends, prepend=0)), index.dense_terms] = index.dense_weights
     return columns
 
 
@@ -267,35 +319,36 @@ def nearest(
     ``without`` is an example that takes no part.
     """
     n, n_blocks = len(index.ids), -(-len(index.ids) // BLOCK)
-    rare = index.dense[terms] < 0
+    column_of = index.dense[terms]
+    rare = column_of < 0
     of_rare, weight_of = terms[rare], weights[rare]
-    sizes = index.cells[of_rare + 1] - index.cells[of_rare]
-    cells = _runs(index.cells[of_rare], sizes)
-    weight_of = np.repeat(weight_of, sizes)
+    first, last = index.cells[of_rare], index.cells[of_rare + 1]
+    cells, weight_in = _runs(first, last - first), np.repeat(weight_of, last - first)
     block_of = index.blocks[cells]
-    bounds = np.maximum.reduceat(sums, np.arange(0, n, BLOCK)) + np.bincount(block_of, weight_of * index.most[cells], n_blocks)
-    scores = sums.astype(np.float64)
+    bounds = np.maximum.reduceat(sums, np.arange(0, n, BLOCK)) + np.bincount(block_of, weight_in * index.most[cells], n_blocks)
     # Rare terms only add, so the k-th largest sum so far is a bound from below.
     kept = min(k + (without >= 0), n)
     least = float(np.partition(sums, n - kept)[n - kept])
-    ready = bounds >= max(least, 0.0) - SLACK
-    now = np.flatnonzero(ready[block_of])
-    begin = index.starts[cells[now]]
-    held = index.starts[cells[now] + 1] - begin
-    at = _runs(begin, held)
-    scores += np.bincount(index.examples[at], np.repeat(weight_of[now], held) * index.weights[at], n)
+    ready = (bounds >= max(least, 0.0) - SLACK)[block_of]
+    if 2 * np.count_nonzero(ready) < len(cells):
+        cells, weight_of = cells[ready], weight_in[ready]
+        begin, end = index.starts[cells], index.starts[cells + 1]
+    else:  # whole postings are read faster than their parts
+        begin, end = index.starts[first], index.starts[last]
+    at = _runs(begin, end - begin)
+    added = np.bincount(index.examples[at], np.repeat(weight_of, end - begin) * index.weights[at], n)
+    scores = sums + added
     if without >= 0:
         scores[without] = -1.0
-    # Only scored blocks can hold the nearest; those near the last place are measured exactly.
+    # Only scored blocks can hold the nearest; the dense terms of those near the last place are added up again.
     least = float(np.partition(scores, n - min(k, n))[n - min(k, n)])
     near = np.flatnonzero(scores >= max(least - 2 * SLACK, 0.0))
     near = near[near != without]
-    full = np.zeros(len(index.idf))
-    full[terms] = weights
-    begin = np.concatenate([[0], index.ends])[near]
-    held = index.ends[near] - begin
-    at = _runs(begin, held)
-    exact = np.bincount(np.repeat(np.arange(len(near)), held), full[index.terms[at]] * index.all_weights[at], len(near))
+    full = np.zeros(index.columns.shape[1])
+    full[column_of[~rare]] = weights[~rare]
+    ends = index.dense_ends[near].tolist()
+    own = [slice(begin, end) for begin, end in zip((index.dense_ends[near - 1] * (near > 0)).tolist(), ends)]
+    exact = added[near] + [full[index.dense_terms[o]] @ index.dense_weights[o] for o in own]
     best = np.lexsort((index.ids[near], -exact.round(12)))
     best = best[exact[best] > 1e-12][:k]
     return near[best], exact[best]
@@ -349,7 +402,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = EX
     number = choose_terms(texts, marks)
     df, n_docs = document_counts(docs, number)
     index = build(ids, texts, marks, shares, number, df, n_docs)
-    return calibrate(index) if len(set(index.labels.tolist())) == 2 else index
+    index = calibrate(index) if len(set(index.labels.tolist())) == 2 else index
+    return index._replace(columns=None)  # each task makes its own
 
 
 def searched(index: Index, terms: Terms, texts: list[str | None]) -> list[tuple[float, list[dict]]]:
@@ -374,18 +428,17 @@ def searched(index: Index, terms: Terms, texts: list[str | None]) -> list[tuple[
 def score(docs: DataFrame, model: Index | float, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """(doc_id, score, evidence) of every row; the model has a fixed bound and goes to every task."""
     rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sent = model if isinstance(model, float) else model._replace(  # what only bounds cosines, in single precision
-        columns=None, terms=model.terms.astype(np.int32), weights=model.weights.astype(np.float32), most=model.most.astype(np.float32),
-        starts=model.starts.astype(np.int32), cells=model.cells.astype(np.int32),
-    )
+    sent = (model, None) if isinstance(model, float) else (model._replace(  # what only bounds cosines, in single precision
+        number=None, columns=None, terms=None, all_weights=None, ends=None, most=model.most.astype(np.float32),
+        starts=model.starts.astype(np.int32), cells=model.cells.astype(np.int32), dense=model.dense.astype(np.int32),
+    ), Terms(model.number))
     known = docs.sparkSession.sparkContext.broadcast(sent)
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = known.value
-        if not isinstance(index, float):
+        index, terms = known.value
+        if terms is not None:
             index = index._replace(columns=columns_of(index))
-        terms = None if isinstance(index, float) else Terms(index.number)
         for batch in steps(batches):
             texts = column(batch, "text").to_pylist()
             if terms is None:
@@ -397,6 +450,7 @@ def score(docs: DataFrame, model: Index | float, text: str = "text", doc: str =
             yield pa.record_batch(
                 [column(batch, "doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"]
             )
+        release()
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(scored, f"doc_id {id_type}, score double, evidence array<struct<doc_id:long,cosine:double>>")

@@ -1,5 +1,8 @@
 """Classifiers and neighbour search: held-out accuracy, recall, and the exact parts against brute force."""
 
+import pickle
+from collections import Counter
+
 import numpy as np
 import pytest
 from helpers import documents
@@ -172,6 +175,21 @@ def test_every_term_of_the_examples_counts(spark):
     assert found[6]["score"] > 0.5
 
 
+def test_terms_are_counted_without_a_memory_of_words(monkeypatch):
+    texts = [None, "", "(Naïveté), naïveté! abcd~ abcdef .. --x", "日本語日本語日本語 é\n\tİstanbul abcdef", "zorgle, " * 40 + "abcde"]
+    expected = [Counter(t for w in (text or "").lower().split() for t in toxicity.terms_of(w)) for text in texts]
+    number = {t: i for i, t in enumerate(sorted(set().union(*expected) - {"x", "abcde~"}))}
+    terms = toxicity.Terms(number)
+    size = len(pickle.dumps(terms))
+    for portion in (toxicity.PORTION, 16):
+        monkeypatch.setattr(toxicity, "PORTION", portion)
+        found, counts, ends = terms.counts(texts)
+        for text, plain, part, times in zip(texts, expected, np.split(found, ends[:-1]), np.split(counts, ends[:-1])):
+            assert list(zip(part.tolist(), times.tolist())) == sorted((number[t], n) for t, n in plain.items() if t in number), text
+    terms.counts([" ".join(f"new{i}" for i in range(5000))])
+    assert len(pickle.dumps(terms)) == size  # workers hold nothing that grows with the words they have seen
+
+
 def test_votes_follow_the_nearest(index):
     built = index[0][0]
     ones = np.flatnonzero(built.labels == 1)[:5]
