@@ -14,7 +14,7 @@ size of the corpus, and larger maps only save shuffling.
 
 The passes ship a hash and a count for the distinct runs of a task's step, and padded windows. Both are added
 up before and after the shuffle, so words and pairs that a third of all places share reach the shuffle once a
-task. All further tables hold frequent phrases only.
+task. ROLLUP gets each window of the corpus once. All further tables hold frequent phrases only.
 
 Defined results: a null text is empty; empty texts and pieces without words have no phrases. A null language
 is ``und``. Repeated rows count each. Ties in score and count go by the phrase's UTF-8 bytes. Other columns are
@@ -180,7 +180,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS,
     for sizes in ((1, 2), *((k,) for k in range(3, LONGEST))):
         known = bit_map(frequent_runs(docs, sizes, maps, least, text, lang), "run", bits)
         maps = maps | dict.fromkeys(sizes, known)
-    windows = padded_windows(docs, maps, text, lang)
+    # Equal windows of all tasks become one row before ROLLUP copies them five times.
+    names = ["lang", *(f"w{i}" for i in range(1, LONGEST + 1))]
+    windows = padded_windows(docs, maps, text, lang).groupBy(names).agg(F.sum("n").alias("n"))
     # The lowest bits of grouping_id tell which of the last columns are summed over.
     sizes = " ".join(f"when {(1 << (LONGEST - k)) - 1} then {k}" for k in range(LONGEST + 1))
     rolled = docs.sparkSession.sql(

@@ -100,3 +100,10 @@ def test_scores_beyond_64_bits(spark):
         assert rows_of(collocations.collocations(texts(spark, []))) == [("en", 1, "a b", big - 1, big, big, big, 999_999)]
     finally:
         collocations.phrase_counts = original
+
+
+def test_windows_meet_before_rollup_copies_them(spark, rows, capfd):
+    collocations.phrase_counts(texts(spark, rows), least=3).explain()
+    plan = capfd.readouterr().out
+    below = plan[plan.index("Expand"):]
+    assert "hashpartitioning(lang" in below, plan
