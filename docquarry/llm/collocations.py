@@ -28,6 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ COVERED = 80
 MOST = 2000
 SCALE = 2_000_000
 FILTER_BITS = 1 << 27
+# Bits of a run's hash that are shipped and counted; runs that meet there may only keep windows longer.
+RUN_BITS = 32
 # Bytes of text whose windows collapse before they leave Python.
 STEP = 2 << 20
 
@@ -129,15 +132,15 @@ def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def frequent_runs(
     docs: DataFrame, sizes: tuple[int, ...], maps: dict[int, np.ndarray], least: int = LEAST, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
-    """(run, n): hashes of the runs of these sizes, by language, that occur ``least`` times or more."""
+    """(run, n): the lowest bits of hashes of the runs of these sizes, by language, that occur ``least`` times or more."""
     shared = docs.sparkSession.sparkContext.broadcast(maps)  # ``FILTER_BITS`` / 8 bytes each
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in _steps(batches):
             for size, (_, hashes) in enumerate(runs(step, shared.value, max(sizes)), 1):
                 if size in sizes:
-                    hashes, counts = np.unique(hashes, return_counts=True)
-                    yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts)], ["run", "n"])
+                    hashes, counts = np.unique((hashes & np.uint64((1 << RUN_BITS) - 1)).view(np.int64), return_counts=True)
+                    yield pa.record_batch([pa.array(hashes), pa.array(counts)], ["run", "n"])
         release()
 
     found = _rows(docs, text, lang).mapInArrow(counted, "run long, n long")
@@ -145,9 +148,11 @@ def frequent_runs(
 
 
 def padded_windows(docs: DataFrame, maps: dict[int, np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, w1 .. w4, n): how often a window begins at a word, cut before the first run that is not in the maps."""
+    """(lang, w1 .. w4, n): how often a window begins at a word, cut before the first run that is not in the maps.
+
+    Each window is one row. They are shuffled as one text, whose words are joined by spaces, as words hold none.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(maps)
-    names = [f"w{i}" for i in range(1, LONGEST + 1)]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in _steps(batches):
@@ -164,25 +169,25 @@ def padded_windows(docs: DataFrame, maps: dict[int, np.ndarray], text: str = "te
                 _, first, key = np.unique(key * (n_words + 1) + codes, return_index=True, return_inverse=True)
             choices = pa.concat_arrays([step.words.cast(pa.large_string()), pa.array([""], pa.large_string())])
             columns = [pa.array(step.languages, pa.string()).take(pa.array(lead[0][first]))]
-            columns += [choices.take(pa.array(codes[first])).cast(pa.string()) for codes in lead[1:]]
-            yield pa.record_batch([*columns, pa.array(np.bincount(key))], ["lang", *names, "n"])
+            joined = pc.binary_join_element_wise(*(choices.take(pa.array(codes[first])) for codes in lead[1:]), pa.scalar(" ", pa.large_string()))
+            yield pa.record_batch([*columns, joined.cast(pa.string()), pa.array(np.bincount(key))], ["lang", "words", "n"])
         release()
 
-    schema = ", ".join(f"{name} string" for name in ["lang", *names])
-    return _rows(docs, text, lang).mapInArrow(windows, f"{schema}, n long")
+    found = _rows(docs, text, lang).mapInArrow(windows, "lang string, words string, n long")
+    found = found.groupBy("lang", "words").agg(F.sum("n").alias("n"))
+    words = F.split("words", " ", -1)
+    return found.select("lang", *(words[i].alias(f"w{i + 1}") for i in range(LONGEST)), "n")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, words, size, f): phrases of 1 to 4 words that occur ``least`` times; size 0 holds the number of all words."""
-    if bits & (bits - 1) or bits < 1 << 15:
-        raise ValueError("bits is a power of two from 32768 on")
+    if bits & (bits - 1) or not 1 << 15 <= bits <= 1 << RUN_BITS:
+        raise ValueError(f"bits is a power of two from 2**15 to 2**{RUN_BITS}")
     maps: dict[int, np.ndarray] = {}
     for sizes in ((1, 2), *((k,) for k in range(3, LONGEST))):
         known = bit_map(frequent_runs(docs, sizes, maps, least, text, lang), "run", bits)
         maps = maps | dict.fromkeys(sizes, known)
-    # Equal windows of all tasks become one row before ROLLUP copies them five times.
-    names = ["lang", *(f"w{i}" for i in range(1, LONGEST + 1))]
-    windows = padded_windows(docs, maps, text, lang).groupBy(names).agg(F.sum("n").alias("n"))
+    windows = padded_windows(docs, maps, text, lang)
     # The lowest bits of grouping_id tell which of the last columns are summed over.
     sizes = " ".join(f"when {(1 << (LONGEST - k)) - 1} then {k}" for k in range(LONGEST + 1))
     rolled = docs.sparkSession.sql(

@@ -107,3 +107,10 @@ def test_windows_meet_before_rollup_copies_them(spark, rows, capfd):
     plan = capfd.readouterr().out
     below = plan[plan.index("Expand"):]
     assert "hashpartitioning(lang" in below, plan
+
+
+def test_runs_that_share_a_hash_change_no_count(spark, rows, monkeypatch):
+    monkeypatch.setattr(collocations, "RUN_BITS", 16)
+    runs = collocations.frequent_runs(texts(spark, rows), (1, 2), {}, least=3)
+    assert runs.where("run < 0 or run >= 65536").isEmpty()
+    assert rows_of(collocations.collocations(texts(spark, rows), least=3, bits=1 << 15)) == sorted(brute(rows, 3))
