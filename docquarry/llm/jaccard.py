@@ -49,6 +49,9 @@ GROUPINGS = 24
 # Points have about one axis for so many tokens, within these numbers of axes.
 TOKENS_PER_AXIS = 6
 AXES = (16, 1 << 14)
+# Pairs that are Python numbers at once, and coordinates of paired corners that are compared at once.
+PAIRS = 1 << 16
+CORNERS = 1 << 20
 _CONTENT = np.uint64(0xA0761D6478BD642F)
 _AXIS = np.uint64(0xE7037ED1A0B428DB)
 
@@ -191,8 +194,9 @@ def candidate_pairs(left: Tree, right: Tree, share: tuple[int, int]) -> tuple[np
     while True:
         (corner_a, least_a), (corner_b, least_b) = left.levels[level], right.levels[level]
         kept, slacks = [], []
-        for begin in range(0, len(a), 1 << 14):
-            i, j = a[begin: begin + (1 << 14)], b[begin: begin + (1 << 14)]
+        step = max(1, CORNERS // corner_a.shape[1])
+        for begin in range(0, len(a), step):
+            i, j = a[begin: begin + step], b[begin: begin + step]
             bound = np.minimum(corner_a[i], corner_b[j]).sum(1, dtype=np.int64)
             slack = bound * (p + q) - p * (least_a[i] + least_b[j]).astype(np.int64)
             ok = np.flatnonzero(slack >= 0)
@@ -271,11 +275,13 @@ def links(ids: np.ndarray, sets: list[np.ndarray], split: int | None, share: tup
     a, b, slack = near_pairs([point_of(s) for s in sets], split, share)
     surest = np.argsort(-slack, kind="stable")
     found = []
-    for i, j in zip(a[surest].tolist(), b[surest].tolist()):
-        one, other = root(i), root(j)
-        if one != other and linked(sets[i], sets[j], share):
-            parent[max(one, other)] = min(one, other)
-            found.append((i, j))
+    for first in range(0, len(surest), PAIRS):
+        part = surest[first: first + PAIRS]
+        for i, j in zip(a[part].tolist(), b[part].tolist()):
+            one, other = root(i), root(j)
+            if one != other and linked(sets[i], sets[j], share):
+                parent[max(one, other)] = min(one, other)
+                found.append((i, j))
     at = np.array(found, np.int64).reshape(-1, 2)
     return ids[at[:, 0]], ids[at[:, 1]]
 

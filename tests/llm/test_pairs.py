@@ -1,6 +1,7 @@
 """Operators on pairs of texts, against comparing all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -198,3 +199,19 @@ def test_items_that_repeat_an_id_with_a_null_text(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(7, 1), (7, None)}
     nothing = benchmark.where("text is null")
     assert decontaminate.matches(frame, nothing).count() == 0
+
+
+def test_pairs_of_long_sets_take_bounded_memory(monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRS", 100)
+    rng = np.random.default_rng(4)
+    base = rng.integers(1, 2**63, 20_000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base, rng.integers(1, 2**63, 10, dtype=np.uint64)])) for _ in range(64)]
+    points = [jaccard.point_of(s) for s in sets]
+    tracemalloc.start()
+    a, b, _ = jaccard.near_pairs(points, None, (9, 10))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(a) == 64 * 63 // 2
+    assert peak < 30 << 20  # all pairs of points at once are 33 MB in each array
+    one, other = jaccard.links(np.arange(64), sets, None, (9, 10))
+    assert jaccard.lowest_reached(one, other, 64).tolist() == [0] * 64 and len(one) == 63
