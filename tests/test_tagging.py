@@ -217,3 +217,26 @@ def test_vectors_are_made_once(spark):
     for plan in (long_weights(model.transform(train), model), sign_coefficients(train, model.table, 3)):
         shown = plan._jdf.queryExecution().optimizedPlan().toString()
         assert shown.count("ArrowEvalPython") == 1
+
+
+def test_fit_has_at_most_a_task_for_each_core(spark, monkeypatch):
+    train, matrix, _ = toy(spark)
+    tasks, plain = [], svm.sparse_blocks
+    monkeypatch.setattr(svm, "sparse_blocks", lambda rows: tasks.append(rows.rdd.getNumPartitions()) or plain(rows))
+    model, _ = svm.fit_model(train.repartition(40), ["a", "b", "never", "always"], matrix.shape[1])
+    assert tasks == [spark.sparkContext.defaultParallelism] and model.converged.all()
+
+
+def test_blocks_hold_entries_once_and_bounded_cells(spark):
+    # Entries of one feature add up; rows without entries, null ones too, count.
+    rows = [([2, 0, 2], [1.0, 2.0, 3.0], [0]), ([], [], []), (None, None, None), ([1], [5.0], [1, 0])] + [([], [], [])] * 1500
+    train = spark.createDataFrame(rows, "indices array<int>, values array<double>, targets array<int>").coalesce(1)
+    packed = svm.sparse_blocks(train)
+    assert packed.columns == ["features", "cells", "values", "targets", "target_ends"]
+    batch = packed.toArrow().combine_chunks().to_batches()[0]
+    blocks = [svm._Block(batch, i) for i in range(batch.num_rows)]
+    assert sum(b.size for b in blocks) == 1504 and all(b.size <= svm.DENSE_ROWS for b in blocks)
+    at = np.eye(4)
+    assert blocks[0].times(at)[:4].tolist() == [[2, 0, 4, 0], [0] * 4, [0] * 4, [0, 5, 0, 0]]
+    assert blocks[0].transposed_times(blocks[0].times(at))[:3].tolist() == [[4, 0, 8, 0], [0, 25, 0, 0], [8, 0, 16, 0]]
+    assert blocks[0].signs(2)[:4].tolist() == [[1, -1], [-1, -1], [-1, -1], [1, 1]]
