@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.functions.text import rows_of, term_counts
@@ -38,6 +38,9 @@ class Index:
 # Rows of a batch that tasks hand back.
 STEP = 100_000
 
+# Bits, as a power of 2, of the map that tells which ids repeat.
+FILTER_BITS = 24
+
 
 def _postings(batch: pa.RecordBatch) -> pa.RecordBatch:
     """``(doc_id, term, tf, length)`` of the rows of a batch, by bucket, then term."""
@@ -101,15 +104,42 @@ def unique_terms(doc_freq_table: DataFrame) -> DataFrame:
     return doc_freq_table.agg(F.count(F.lit(1)).alias("unique_terms"))
 
 
+def repeated_ids(rows: DataFrame, bits: int = FILTER_BITS) -> Column:
+    """Whether the id of a row of ``rows`` repeats: true for all that do, and for a few others.
+
+    Ids are counted by their hash. Those that come more than once are marked in a bit map, which every task gets;
+    it has a fixed size, so an id that shares a bit with a repeated one is taken for repeated too.
+    """
+    code = F.xxhash64("doc_id")
+    again = rows.groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    places = again.select(F.pmod("code", F.lit(1 << bits)).cast("int").alias("place")).distinct().toArrow()["place"]
+    marks = np.zeros(1 << bits, bool)
+    marks[places.to_numpy()] = True
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(marks, bitorder="little"))
+
+    @F.arrow_udf("boolean")
+    def marked(at: pa.Array) -> pa.Array:
+        place = at.to_numpy()
+        return pa.array((shared.value[place >> 3] >> (place & 7) & 1).astype(bool))
+
+    return marked(F.pmod(code, F.lit(1 << bits)).cast("int"))
+
+
 def overwriting_postings(tokens: DataFrame, order: str) -> DataFrame:
     """Postings when ids repeat: per term the latest copy that holds it wins.
 
     A term only an earlier copy holds stays. ``tokens`` has ``doc_id``, ``order`` and ``tokens``. Terms are
-    counted within each row, and the copies of a term meet in one shuffle, merged per task before it, so an id
-    that very many rows share sends each of its terms once a task.
+    counted within each row. Rows whose id comes once stay where they are. The copies of a term of the others meet in
+    one shuffle, merged per task before it, so an id that very many rows share sends each of its terms once a task.
     """
-    rows = tokens.select("doc_id", order, F.explode_outer(term_counts(F.col("tokens"))).alias("held"))
-    return rows.where("held is not null").groupBy("held.term", "doc_id").agg(F.max_by("held.tf", order).alias("tf"))
+    repeats = repeated_ids(tokens)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        held = rows.select("doc_id", order, F.explode_outer(term_counts(F.col("tokens"))).alias("held"))
+        return held.where("held is not null")
+
+    copies = counted(tokens.where(repeats)).groupBy("held.term", "doc_id").agg(F.max_by("held.tf", order).alias("tf"))
+    return counted(tokens.where(~repeats)).select("held.term", "doc_id", "held.tf").unionByName(copies)
 
 
 def overwriting_lengths(tokens: DataFrame, order: str) -> DataFrame:

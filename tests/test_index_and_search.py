@@ -8,7 +8,7 @@ from docquarry.config import Settings
 from docquarry.operators import index as indexing
 from docquarry.operators import retrieve, search
 from docquarry.operators.clean import blank_to_null, clean_acts
-from docquarry.operators.corpus import build_corpus, last_copy, with_query_tokens
+from docquarry.operators.corpus import build_corpus, last_copy, with_query_tokens, with_tokens
 from docquarry.operators.svm import LinearModel, predict
 from docquarry.operators.tfidf import fit_tfidf, with_grams
 from docquarry.session import join_hot, spread, store
@@ -324,3 +324,37 @@ def test_queries_that_share_an_id_have_one_vector(spark):
     queries = spark.createDataFrame([("q", "aa"), ("q", "bb"), ("n", None)], "qid string, raw_query string")
     found = {r.qid: sorted(r.indices) for r in search.query_vectors(queries, model, settings=Settings(ngram_max=1)).collect()}
     assert found == {"q": [0, 1], "n": []}
+
+
+def test_postings_of_ids_that_come_once_are_not_shuffled(spark, monkeypatch):
+    # Ids that come once, that repeat, that are empty or null, and that share a bit of a small map with others.
+    ids = [f"d{i}" for i in range(300)] + [f"d{i}" for i in range(0, 300, 30)] + ["", "", None, None]
+    rows = [(doc, i, list("abcab"[: 1 + i % 5])) for i, doc in enumerate(ids)]
+    tokens = spark.createDataFrame(rows, "doc_id string, row_no long, tokens array<string>").repartition(4)
+    tokens = store(tokens, "copies")
+    expected = {}
+    for doc, _, held in rows:
+        expected |= {(doc, t): held.count(t) for t in held}
+    repeats = indexing.repeated_ids(tokens)
+    marked = {r.doc_id for r in tokens.where(repeats).collect()}
+    assert {doc for doc in ids if ids.count(doc) > 1} <= marked and len(marked) < 30
+    found = indexing.overwriting_postings(tokens, "row_no")
+    assert {(r.doc_id, r.term): r.tf for r in found.collect()} == expected and found.count() == len(expected)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("Aggregate") == 1
+    plain = indexing.repeated_ids
+    monkeypatch.setattr(indexing, "repeated_ids", lambda rows: plain(rows, bits=3))
+    found = indexing.overwriting_postings(tokens, "row_no")
+    assert {(r.doc_id, r.term): r.tf for r in found.collect()} == expected and found.count() == len(expected)
+
+
+def test_rows_are_told_apart_before_they_are_tokenized(spark):
+    rows = [("x", 1, "aa bb"), ("x", 2, "aa"), ("y", 3, "cc")]
+    texts = spark.createDataFrame(rows, "doc_id string, row_no long, act_raw_text string")
+    found = indexing.overwriting_postings(with_tokens(texts).drop("act_raw_text"), "row_no")
+    assert sorted((r.doc_id, r.term, r.tf) for r in found.collect()) == [("x", "aa", 1), ("x", "bb", 1), ("y", "cc", 1)]
+    # Each copy of the rows is filtered first: the test of the ids stands below the splitting of the texts.
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    split = [i for i, line in enumerate(plan) if "ArrowEvalPython [kept(" in line]
+    told = [i for i, line in enumerate(plan) if "ArrowEvalPython [marked(" in line]
+    assert len(split) == len(told) == 2 and all(a < b for a, b in zip(split, told))
