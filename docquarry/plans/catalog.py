@@ -26,7 +26,7 @@ from docquarry.operators import (
 from docquarry.plans import fixtures
 from docquarry.plans.oracles import chain, lemma_tokens
 from docquarry.plans.pipeline import Stages, stages
-from docquarry.session import shared_folder, spread, store
+from docquarry.session import join_hot, shared_folder, spread, store
 from docquarry.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -452,6 +452,10 @@ def svc_learnable(s: Stages) -> DataFrame:
     )
 
 
+# Labels whose sums a row takes part in at a time: with more columns Spark would not compile the sums.
+TOGETHER = 32
+
+
 @registered("""
     select label, true as converged from (select label, nl, (select count(*) from train) as n from label_sizes)
     where nl < n""")
@@ -462,32 +466,53 @@ def svc_optimality(s: Stages) -> DataFrame:
     the coefficient rows; at zero every row is short by 1, which gives the gradient to compare with.
     """
     model, _ = s.fitted
-    held = s.training_table.select("doc_id", "targets")
-    weights = tfidf.long_weights(s.training_table, s.tfidf)
-    place = F.create_map(*[F.lit(x) for pair in zip(model.labels, range(len(model.labels))) for x in pair])
-    fitted = s.spark.createDataFrame(list(zip(model.labels, map(float, model.intercepts))), "label string, b double")
-    fitted = F.broadcast(fitted.where(F.abs("b") < float("inf")))
     coefs = store(svm.coefficient_rows(model.to_table(s.spark), s.tfidf.table), "coefficients")
-    sums = weights.join(coefs, "gram").groupBy("doc_id", "label").agg(F.sum(F.col("weight") * F.col("coef")).alias("m"))
-    rows = held.withColumn("label", F.explode(F.array(*[F.lit(name) for name in model.labels])))
-    rows = rows.join(fitted, "label").join(sums, ["doc_id", "label"], "left")
-    sign = F.when(F.array_contains("targets", place[F.col("label")]), 1.0).otherwise(-1.0)
-    short = F.greatest(F.lit(0.0), 1 - F.col("y") * (F.coalesce("m", F.lit(0.0)) + F.col("b")))
-    pulls = rows.withColumn("y", sign).withColumn("pull", -2 * DEFAULTS.svc_c * F.col("y") * short)
-    pulls = pulls.withColumn("pull0", -2 * DEFAULTS.svc_c * F.col("y")).select("doc_id", "label", "y", "b", "pull", "pull0")
+    known = [(i, name, float(b)) for i, (name, b) in enumerate(zip(model.labels, model.intercepts)) if abs(b) < float("inf")]
+    found = s.spark.createDataFrame([], "label string, converged boolean")
+    for start in range(0, len(known), TOGETHER):
+        found = found.unionByName(optimal_labels(s, coefs, known[start: start + TOGETHER]))
+    return found
+
+
+def optimal_labels(s: Stages, coefs: DataFrame, known: list[tuple[int, str, float]]) -> DataFrame:
+    """``(label, converged)`` of the labels ``(place, label, intercept)``.
+
+    Each label is a column, so that a tf-idf row stays one row for all of them, and what the rows of a document share
+    is joined before they are taken apart.
+    """
+    one, c, spots = [F.col("label") == name for _, name, _ in known], -2 * DEFAULTS.svc_c, range(len(known))
+    wide = coefs.groupBy("gram").agg(*[F.sum(F.when(is_it, F.col("coef")).otherwise(0.0)).alias(f"c{i}") for i, is_it in enumerate(one)])
+    wide = store(wide, "wide_coefficients")
+    weights = join_hot(tfidf.long_weights(s.training_table, s.tfidf), wide, "gram", "doc_id", DEFAULTS.broadcast_rows)
+    sums = weights.groupBy("doc_id").agg(*[F.sum(F.col("weight") * F.col(f"c{i}")).alias(f"m{i}") for i in spots])
+    signs = [F.when(F.array_contains("targets", place), 1.0).otherwise(-1.0) for place, _, _ in known]
+    held = s.training_table.select("doc_id", F.array(*signs).alias("y")).join(sums, "doc_id", "left")
+    short = [F.greatest(F.lit(0.0), 1 - F.col("y")[i] * (F.coalesce(f"m{i}", F.lit(0.0)) + b)) for i, (_, _, b) in enumerate(known)]
+    pulls = held.select("doc_id", "y", F.array(*[c * F.col("y")[i] * short[i] for i in spots]).alias("pull"))
     pulls = store(pulls, "pulls")
-    slopes = weights.join(pulls, "doc_id").groupBy("label", "gram").agg(
-        F.sum(F.col("weight") * F.col("pull")).alias("g"), F.sum(F.col("weight") * F.col("pull0")).alias("g0")
+    rows = s.training_table.join(pulls, "doc_id").select(F.struct("doc_id", "y", "pull").alias("held"), "indices", "values")
+    slopes = tfidf.long_weights(rows, s.tfidf, key="held").groupBy("gram").agg(
+        *[F.sum(F.col("weight") * F.col("held.pull")[i]).alias(f"g{i}") for i in spots],
+        *[F.sum(F.col("weight") * c * F.col("held.y")[i]).alias(f"h{i}") for i in spots],
     )
-    slopes = slopes.join(coefs, ["label", "gram"], "left").groupBy("label").agg(
-        F.sum((F.col("g") + F.coalesce("coef", F.lit(0.0))) ** 2).alias("g"), F.sum(F.col("g0") ** 2).alias("g0")
+    slopes = slopes.join(wide, "gram", "left").agg(
+        *[F.sum((F.col(f"g{i}") + F.coalesce(f"c{i}", F.lit(0.0))) ** 2).alias(f"g{i}") for i in spots],
+        *[F.sum(F.col(f"h{i}") ** 2).alias(f"h{i}") for i in spots],
     )
-    ends = pulls.groupBy("label").agg(
-        ((F.sum("pull") + F.first("b")) ** 2).alias("e"), (F.sum("pull0") ** 2).alias("e0"),
-        (F.least(F.sum((F.col("y") + 1) / 2), F.sum((1 - F.col("y")) / 2)) / F.count("*")).alias("rarer"),
+    ends = pulls.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[((F.sum(F.col("pull")[i]) + b) ** 2).alias(f"e{i}") for i, (_, _, b) in enumerate(known)],
+        *[F.sum(F.col("y")[i]).alias(f"y{i}") for i in spots],
     )
-    within = F.sqrt(F.col("g") + F.col("e")) <= 1.001e-4 * F.col("rarer") * F.sqrt(F.col("g0") + F.col("e0"))
-    return slopes.join(ends, "label").select("label", within.alias("converged"))
+
+    def within(i: int):
+        steep, start = F.col(f"g{i}") + F.col(f"e{i}"), F.col(f"h{i}") + (c * F.col(f"y{i}")) ** 2
+        rarer = (F.col("n") - F.abs(f"y{i}")) / 2 / F.col("n")
+        return F.sqrt(steep) <= 1.001e-4 * rarer * F.sqrt(start)
+
+    checked = [F.struct(F.lit(name).alias("label"), within(i).alias("converged")) for i, (_, name, _) in enumerate(known)]
+    # Both sides have one row.
+    return slopes.crossJoin(ends).select(F.inline(F.array(*checked))).where("converged is not null")
 
 
 @registered()

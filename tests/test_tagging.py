@@ -1,4 +1,5 @@
 import hashlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -7,7 +8,8 @@ from pyspark.sql import functions as F
 from docquarry.config import Settings
 from docquarry.operators import labels, svm
 from docquarry.operators.svm import LinearModel
-from docquarry.operators.tfidf import count_threshold, fit_tfidf, gram_counts, long_weights, vocabulary, with_grams
+from docquarry.operators.tfidf import TfidfModel, count_threshold, fit_tfidf, gram_counts, long_weights, vocabulary, with_grams
+from docquarry.plans import catalog
 from docquarry.plans.pipeline import sign_coefficients
 
 
@@ -240,3 +242,27 @@ def test_blocks_hold_entries_once_and_bounded_cells(spark):
     assert blocks[0].times(at)[:4].tolist() == [[2, 0, 4, 0], [0] * 4, [0] * 4, [0, 5, 0, 0]]
     assert blocks[0].transposed_times(blocks[0].times(at))[:3].tolist() == [[4, 0, 8, 0], [0, 25, 0, 0], [8, 0, 16, 0]]
     assert blocks[0].signs(2)[:4].tolist() == [[1, -1], [-1, -1], [-1, -1], [1, 1]]
+
+
+@pytest.mark.parametrize("together", [1, 32])
+def test_optimality_has_a_row_for_each_document(spark, monkeypatch, together):
+    train, matrix, signs = toy(spark)
+    train = train.unionByName(spark.createDataFrame([("empty", [], [], [0, 3])], train.schema))
+    names = ["a", "it's b", "never", "always"]
+    grams = spark.createDataFrame([(i, f"g{i}") for i in range(matrix.shape[1])], "idx int, gram string")
+    model, _ = svm.fit_model(train, names, matrix.shape[1])
+    held = {}
+    plain = catalog.store
+    monkeypatch.setattr(catalog, "store", lambda df, name, **more: held.setdefault(name, []).append(plain(df, name, **more)) or held[name][-1])
+    monkeypatch.setattr(catalog, "TOGETHER", together, raising=False)
+
+    def checked(weights):
+        moved = LinearModel(names, weights, model.intercepts)
+        stub = SimpleNamespace(spark=spark, fitted=(moved, None), training_table=train, tfidf=TfidfModel(grams, matrix.shape[1]))
+        return {r.label: r.converged for r in catalog.svc_optimality(stub).collect()}
+
+    assert checked(model.weights) == {"a": True, "it's b": True}
+    assert all(part.count() == 61 for part in held["pulls"])
+    weights = model.weights.copy()
+    weights[1, 0] += 0.01
+    assert checked(weights) == {"a": True, "it's b": False}
