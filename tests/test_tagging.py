@@ -1,4 +1,5 @@
 import hashlib
+import time
 from types import SimpleNamespace
 
 import numpy as np
@@ -266,3 +267,25 @@ def test_optimality_has_a_row_for_each_document(spark, monkeypatch, together):
     weights = model.weights.copy()
     weights[1, 0] += 0.01
     assert checked(weights) == {"a": True, "it's b": False}
+
+
+def test_passes_leave_no_shuffle_files(spark):
+    train, matrix, _ = toy(spark)
+    blocks = svm.sparse_blocks(train).cache()
+    weights, intercepts = np.full((2, matrix.shape[1]), 0.1), np.array([0.2, -0.1])
+    kept = spark.conf.get(svm.DROP_SHUFFLES)
+
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",").split(",")
+        return {name for name in held if "shuffle_" in name}
+
+    svm.loss_and_gradient(blocks, np.array([0, 1]), 4, weights, intercepts, 1.0)
+    there = files()
+    for _ in range(3):
+        svm.loss_and_gradient(blocks, np.array([0, 1]), 4, weights, intercepts, 1.0)
+    for _ in range(100):  # files go in the background
+        if files() <= there:
+            break
+        time.sleep(0.1)
+    assert files() <= there and spark.conf.get(svm.DROP_SHUFFLES) == kept
+    blocks.unpersist()
